@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
 WIFI, BT = "wifi", "bt"
@@ -109,11 +108,10 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*contract(table).fieldNames())
 
 
-def project(df: DataFrame, table: str, derived: dict) -> DataFrame:
+def project(df: DataFrame, table: str, derived: dict[str, Column]) -> DataFrame:
     """One flat projection to ``table``: derived expressions where given, the input column otherwise."""
-    return df.select(
-        *[
-            derived.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name)
-            for f in contract(table).fields
-        ]
-    )
+    columns = [
+        derived[f.name].cast(f.dataType.simpleString()).alias(f.name) if f.name in derived else f.name
+        for f in contract(table).fields
+    ]
+    return df.select(*columns)

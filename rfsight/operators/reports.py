@@ -72,7 +72,7 @@ def ingest_lag(bronze: DataFrame, alert_minutes: int = 15) -> DataFrame:
     per_sensor = histogram.groupBy("sensor_id").agg(
         F.sum("n").alias("row_count"),
         F.max("lag").alias("max_lag_seconds"),
-        F.percentile("lag", F.lit(0.95), "n").alias("p95_lag_seconds"),
+        F.round(F.percentile("lag", F.lit(0.95), F.col("n")), 3).alias("p95_lag_seconds"),
     )
     return per_sensor.withColumn("alert", F.col("max_lag_seconds") > alert_minutes * 60)
 

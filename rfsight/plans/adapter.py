@@ -9,10 +9,10 @@ One scan of four columns; everything else is arithmetic on them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from rfsight.config import Settings
+from rfsight.contracts import contract
 
 SALT = "bench-salt"
 AS_OF = "2024-01-01T12:30:00Z"
@@ -43,161 +43,134 @@ def settings(**overrides) -> Settings:
     return Settings(**{"salt": SALT, "as_of": AS_OF, "run_id": RUN_ID, **overrides})
 
 
-def pick(values: list, index: Column) -> Column:
-    """``values[index % len(values)]``; the array is a constant."""
-    options = F.array(*[F.lit(v) for v in values])
-    return F.element_at(options, (index % len(values) + 1).cast("int"))
+def _text(value) -> str:
+    if value is None:
+        return "NULL"
+    return "'" + value + "'" if isinstance(value, str) else str(value).lower()
 
 
-def _null_every(n: int, value: Column) -> Column:
-    return F.when(F.col("e") % n != 0, value)
+def pick(values: list, index: str = "e") -> str:
+    """SQL for ``values[index % len(values)]``; the array is a constant."""
+    options = ", ".join(map(_text, values))
+    return f"element_at(array({options}), cast(({index}) % {len(values)} + 1 AS int))"
 
 
-def _address(prefix: str, spaced: str) -> Column:
-    """Six octets of a digest of the user, in one of four notations."""
-    digest = F.sha2(F.concat(F.lit(prefix), F.col("u").cast("string")), 256)
-    octets = [digest.substr(i, 2) for i in range(1, 13, 2)]
-    quads = [digest.substr(i, 4) for i in range(1, 13, 4)]
-    style = F.col("e") % 4
-    text = (
-        F.when(F.col("e") % 97 == 0, F.lit(None))
-        .when(F.col("e") % 89 == 0, F.lit("zz:not-an-address"))
-        .when(style == 0, F.concat_ws(":", *octets))
-        .when(style == 1, F.upper(F.concat_ws("-", *octets)))
-        .when(style == 2, F.concat_ws(".", *quads))
-        .otherwise(F.concat_ws(spaced, *octets))
-    )
-    return text
+def _octets(digest: str, separator: str, width: int = 2) -> str:
+    parts = ", ".join(f"substr({digest}, {i}, {width})" for i in range(1, 13, width))
+    return f"concat_ws('{separator}', {parts})"
 
 
-def base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per arrival: e (event id), u (user), ms, ingest_ms, sensor, idx, copy, wifi?"""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        F.col("event_id").alias("e"), F.col("user_id").alias("u"), "event_type", "ts"
-    )
-    compressed = F.expr(
-        f"{EPOCH_MS} + (unix_micros(cast(ts AS timestamp)) - {EPOCH_MS} * 1000) div 60000"
-    )
-    fault = (
-        F.when(F.col("e") % 59 == 0, F.lit(-864000000))
-        .when(F.col("e") % 61 == 0, F.lit(172800000))
-        .otherwise(F.lit(0))
-    )
-    e = F.col("e")
-    timed = events.select(
-        "e",
-        "u",
-        F.col("event_type").isin(WIFI_EVENTS).alias("is_wifi"),
-        (compressed + fault).alias("ms"),
-        ((F.col("u") + e % 3) % 8).alias("idx"),
-        F.explode(F.sequence(F.lit(0), F.when(e % 20 == 0, F.lit(1)).otherwise(F.lit(0)))).alias("copy"),
-    )
-    sensor = F.when(e % 211 == 0, F.lit(None)).when(e % 223 == 0, F.lit("")).otherwise(
-        F.concat(F.lit("sensor-"), F.col("idx").cast("string"))
-    )
-    return timed.withColumns(
-        {
-            "sensor_id": sensor,
-            "ingest_ms": F.col("ms") + (e % 1200) * 1000 + F.col("copy") * 7000,
-        }
-    )
+def _address(prefix: str, spaced: str) -> str:
+    """Six octets of the user's digest, in one of four notations; some missing, some malformed."""
+    digest = f"digest_{prefix}"
+    return f"""CASE WHEN e % 97 = 0 THEN NULL WHEN e % 89 = 0 THEN 'zz:not-an-address'
+        WHEN e % 4 = 0 THEN {_octets(digest, ":")} WHEN e % 4 = 1 THEN upper({_octets(digest, "-")})
+        WHEN e % 4 = 2 THEN {_octets(digest, ".", 4)} ELSE {_octets(digest, spaced)} END"""
 
 
-def _common() -> dict[str, Column]:
-    e, idx = F.col("e"), F.col("idx")
-    return {
-        "sensor_id": F.col("sensor_id"),
-        "event_time": F.timestamp_millis("ms"),
-        "message_id": _null_every(50, F.concat(F.lit("m"), e.cast("string"))),
-        "capture_file": F.when(e % 4 == 0, F.concat(F.lit("cap-"), (e % 10).cast("string"), F.lit(".pcap"))),
-        "latitude": F.when(e % 401 == 0, F.lit(95.0)).when(
-            e % 17 != 0, F.lit(37.7) + idx.cast("double") * F.lit(0.001)
-        ),
-        "longitude": _null_every(19, F.lit(-122.4) - idx.cast("double") * F.lit(0.002)),
-        "heading": F.when(e % 6 == 0, (e % 360).cast("double")),
-        "azimuth": F.lit(None).cast("double"),
-        "confidence": F.when(e % 307 == 0, F.lit(1.5)).when(
-            e % 23 != 0, ((e * 13) % 101).cast("double") / F.lit(100.0)
-        ),
-        "raw_payload": F.lit(None).cast("string"),
-        "metadata": F.create_map(F.lit("fw"), F.concat(F.lit("v"), (e % 5).cast("string"))),
-    }
-
-
-def _rssi(low: int) -> Column:
-    e = F.col("e")
-    return (
-        F.when(e % 101 == 0, F.lit(50))
-        .when(e % 103 == 0, F.lit(low))
-        .when(e % 25 != 0, F.lit(-30) - (e * 7) % 75)
-        .cast("int")
-    )
+def _rssi(low: int) -> str:
+    return f"""cast(CASE WHEN e % 101 = 0 THEN 50 WHEN e % 103 = 0 THEN {low}
+        WHEN e % 25 <> 0 THEN -30 - (e * 7) % 75 END AS int)"""
+
+
+def _spread(scan: DataFrame) -> DataFrame:
+    """Use every core where the input is one small file; a scan with enough splits is left alone."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
-def _stamped(rows: DataFrame, columns: dict[str, Column], table: str) -> DataFrame:
-    from rfsight.contracts import contract
+def base(spark: SparkSession, sf_dir: str, *digests: str) -> DataFrame:
+    """One row per arrival: e (event id), u (user), is_wifi, ms, ingest_ms, sensor_id, idx, copy.
 
-    names = contract(table).fieldNames()
-    origin = F.concat(F.lit("landing/part-"), (F.col("e") % 16).cast("string"))
-    return rows.select(
-        *[columns[name].alias(name) for name in names],
-        F.timestamp_millis("ingest_ms").alias("ingest_time"),
-        origin.alias("source_path"),
+    ``digests`` adds a hex digest of the user per prefix, computed once per row.
+    """
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+        "event_id AS e", "user_id AS u", "event_type", "ts"
+    )
+    kinds = ", ".join(map(_text, WIFI_EVENTS))
+    arrivals = _spread(events).selectExpr(
+        "e",
+        "u",
+        f"event_type IN ({kinds}) AS is_wifi",
+        f"""{EPOCH_MS} + (unix_micros(cast(ts AS timestamp)) - {EPOCH_MS}000) div 60000
+          + CASE WHEN e % 59 = 0 THEN -864000000 WHEN e % 61 = 0 THEN 172800000 ELSE 0 END AS ms""",
+        "(u + e % 3) % 8 AS idx",
+        "explode(sequence(0, if(e % 20 = 0, 1, 0))) AS copy",
+        *[f"sha2(concat('{p}', u), 256) AS digest_{p}" for p in digests],
+    )
+    return arrivals.selectExpr(
+        "*",
+        """CASE WHEN e % 211 = 0 THEN NULL WHEN e % 223 = 0 THEN '' ELSE concat('sensor-', idx) END
+          AS sensor_id""",
+        "ms + (e % 1200) * 1000 + copy * 7000 AS ingest_ms",
+    )
+
+
+_COMMON = {
+    "sensor_id": "sensor_id",
+    "event_time": "timestamp_millis(ms)",
+    "message_id": "CASE WHEN e % 50 <> 0 THEN concat('m', e) END",
+    "capture_file": "CASE WHEN e % 4 = 0 THEN concat('cap-', e % 10, '.pcap') END",
+    "latitude": """CASE WHEN e % 401 = 0 THEN 95D
+        WHEN e % 17 <> 0 THEN 37.7D + cast(idx AS double) * 0.001D END""",
+    "longitude": "CASE WHEN e % 19 <> 0 THEN -122.4D - cast(idx AS double) * 0.002D END",
+    "heading": "CASE WHEN e % 6 = 0 THEN cast(e % 360 AS double) END",
+    "azimuth": "cast(NULL AS double)",
+    "confidence": """CASE WHEN e % 307 = 0 THEN 1.5D
+        WHEN e % 23 <> 0 THEN cast((e * 13) % 101 AS double) / 100D END""",
+    "raw_payload": "cast(NULL AS string)",
+    "metadata": "map('fw', concat('v', e % 5))",
+}
+_WIFI = _COMMON | {
+    "bssid": _address("w", ":"),
+    "ssid": "CASE WHEN e % 12 = 0 THEN NULL WHEN e % 12 = 1 THEN '' ELSE concat('net-', u % 20) END",
+    "channel": pick(CHANNELS),
+    "frequency_mhz": pick(FREQUENCIES),
+    "band": pick(BANDS),
+    "rssi_dbm": _rssi(-200),
+    "snr_db": "CASE WHEN e % 10 <> 0 THEN cast(e % 40 AS double) / 2D END",
+    "encryption": pick(CIPHERS, "e + u"),
+    "auth_mode": pick(AUTH_MODES),
+    "frame_type": pick(FRAME_TYPES),
+    "vendor_oui": "cast(NULL AS string)",
+    "client_mac": f"CASE WHEN e % 5 = 0 THEN {_address('c', ':')} END",
+    "ap_mac": f"CASE WHEN e % 3 <> 0 THEN {_address('w', ':')} END",
+    "transmitter_mac": _address("w", "-"),
+}
+_BT = _COMMON | {
+    "device_address": _address("b", " "),
+    "address_randomized": pick(REPORTED_RANDOM),
+    "device_name": "CASE WHEN e % 3 = 0 THEN concat('dev-', u) WHEN e % 3 = 1 THEN '' END",
+    "advertising_uuid": "CASE WHEN e % 4 >= 2 THEN '180F' END",
+    "manufacturer_id": pick(MANUFACTURER_IDS),
+    "manufacturer_data": "CASE WHEN e % 2 = 0 THEN lower(hex(e)) END",
+    "service_uuids": """CASE WHEN e % 4 = 1 THEN cast(array() AS array<string>)
+        WHEN e % 4 = 2 THEN array('180F') WHEN e % 4 = 3 THEN array('180F', 'FEAA') END""",
+    "rssi_dbm": _rssi(-120),
+    "tx_power": pick(TX_POWERS),
+    "protocol_subtype": pick(SUBTYPES),
+    "adv_type": pick(ADV_TYPES),
+    "vendor_oui": "cast(NULL AS string)",
+}
+
+
+def _landed(rows: DataFrame, columns: dict[str, str], table: str) -> DataFrame:
+    return rows.selectExpr(
+        *[f"{columns[name]} AS {name}" for name in contract(table).fieldNames()],
+        "timestamp_millis(ingest_ms) AS ingest_time",
+        "concat('landing/part-', e % 16) AS source_path",
         "e",
     )
 
 
 def wifi_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 25 payload columns plus ingest_time, source_path and e."""
-    e = F.col("e")
-    columns = _common() | {
-        "bssid": _address("w", ":"),
-        "ssid": F.when(e % 12 == 0, F.lit(None)).when(e % 12 == 1, F.lit("")).otherwise(
-            F.concat(F.lit("net-"), (F.col("u") % 20).cast("string"))
-        ),
-        "channel": pick(CHANNELS, e),
-        "frequency_mhz": pick(FREQUENCIES, e),
-        "band": pick(BANDS, e),
-        "rssi_dbm": _rssi(-200),
-        "snr_db": _null_every(10, (e % 40).cast("double") / F.lit(2.0)),
-        "encryption": pick(CIPHERS, e + F.col("u")),
-        "auth_mode": pick(AUTH_MODES, e),
-        "frame_type": pick(FRAME_TYPES, e),
-        "vendor_oui": F.lit(None).cast("string"),
-        "client_mac": F.when(e % 5 == 0, _address("c", ":")),
-        "ap_mac": _null_every(3, _address("w", ":")),
-        "transmitter_mac": _address("w", "-"),
-    }
-    return _stamped(base(spark, sf_dir).filter("is_wifi"), columns, "wifi_payload")
+    return _landed(base(spark, sf_dir, "w", "c").filter("is_wifi"), _WIFI, "wifi_payload")
 
 
 def bt_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 23 payload columns plus ingest_time, source_path and e."""
-    e = F.col("e")
-    text = F.lit
-    services = (
-        F.when(e % 4 == 0, F.lit(None))
-        .when(e % 4 == 1, F.array().cast("array<string>"))
-        .when(e % 4 == 2, F.array(text("180F")))
-        .otherwise(F.array(text("180F"), text("FEAA")))
-    )
-    columns = _common() | {
-        "device_address": _address("b", " "),
-        "address_randomized": pick(REPORTED_RANDOM, e),
-        "device_name": F.when(e % 3 == 0, F.concat(text("dev-"), F.col("u").cast("string"))).when(
-            e % 3 == 1, text("")
-        ),
-        "advertising_uuid": F.when(e % 4 >= 2, text("180F")),
-        "manufacturer_id": pick(MANUFACTURER_IDS, e),
-        "manufacturer_data": F.when(e % 2 == 0, F.lower(F.hex(e))),
-        "service_uuids": services,
-        "rssi_dbm": _rssi(-120),
-        "tx_power": pick(TX_POWERS, e),
-        "protocol_subtype": pick(SUBTYPES, e),
-        "adv_type": pick(ADV_TYPES, e),
-        "vendor_oui": F.lit(None).cast("string"),
-    }
-    return _stamped(base(spark, sf_dir).filter("NOT is_wifi"), columns, "bt_payload")
+    return _landed(base(spark, sf_dir, "b").filter("NOT is_wifi"), _BT, "bt_payload")
 
 
 LANDINGS = {"wifi": wifi_landing, "bt": bt_landing}
@@ -205,81 +178,54 @@ LANDINGS = {"wifi": wifi_landing, "bt": bt_landing}
 
 def outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The upload queue: id, protocol, created_at, uploaded_at."""
-    rows = base(spark, sf_dir).filter("copy = 0")
-    return rows.select(
-        F.col("e").alias("id"),
-        F.when(F.col("is_wifi"), F.lit("wifi")).otherwise(F.lit("bt")).alias("protocol"),
-        F.timestamp_millis("ms").alias("created_at"),
-        F.when(F.col("e") % 7 != 0, F.timestamp_millis(F.col("ms") + 60000)).alias("uploaded_at"),
+    return base(spark, sf_dir).filter("copy = 0").selectExpr(
+        "e AS id",
+        "if(is_wifi, 'wifi', 'bt') AS protocol",
+        "timestamp_millis(ms) AS created_at",
+        "CASE WHEN e % 7 <> 0 THEN timestamp_millis(ms + 60000) END AS uploaded_at",
     )
 
 
 def landing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NDJSON text per event: mostly sound, some cut short, some with an unknown or a mistyped field."""
-    e = F.col("e")
-    tail = (
-        F.when(e % 40 == 0, F.lit(""))
-        .when(e % 40 == 1, F.concat(F.lit(',"firmware":"v'), (e % 5).cast("string"), F.lit('"}')))
-        .when(e % 40 == 2, F.lit(',"channel":"high"}'))
-        .otherwise(F.lit("}"))
-    )
-    quoted = F.coalesce(F.concat(F.lit('"'), F.col("sensor_id"), F.lit('"')), F.lit("null"))
-    stamp = F.date_format(F.timestamp_millis("ms"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-    line = F.concat(
-        F.lit('{"sensor_id":'), quoted,
-        F.lit(',"event_time":"'), stamp,
-        F.lit('","message_id":"m'), e.cast("string"),
-        F.lit('","rssi_dbm":'), (F.lit(-30) - (e * 7) % 75).cast("string"),
-        tail,
-    )
-    return base(spark, sf_dir).filter("is_wifi AND copy = 0").select(
-        line.alias("value"),
-        F.concat(F.lit("landing/part-"), (e % 16).cast("string")).alias("source_path"),
-        F.timestamp_millis("ingest_ms").alias("received"),
+    return base(spark, sf_dir).filter("is_wifi AND copy = 0").selectExpr(
+        """concat('{"sensor_id":', coalesce(concat('"', sensor_id, '"'), 'null'), ',"event_time":"',
+          date_format(timestamp_millis(ms), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), '","message_id":"m', e,
+          '","rssi_dbm":', -30 - (e * 7) % 75, CASE e % 40 WHEN 0 THEN ''
+          WHEN 1 THEN concat(',"firmware":"v', e % 5, '"}') WHEN 2 THEN ',"channel":"high"}' ELSE '}' END)
+          AS value""",
+        "concat('landing/part-', e % 16) AS source_path",
+        "timestamp_millis(ingest_ms) AS received",
         "e",
     )
 
 
+SECURITY = [
+    "Encryption key:off",
+    r"Encryption key:on\n IE: IEEE 802.11i/WPA2 Version 1\n Authentication Suites (1) : PSK",
+    r"Encryption key:on\n IE: IEEE 802.11i/WPA2 Version 1\n Authentication Suites (1) : 802.1x",
+    r"Encryption key:on\n IE: WPA3\n Authentication Suites (1) : SAE",
+    r"Encryption key:on\n IE: OWE transition",
+    r"Encryption key:on\n IE: WPA Version 1",
+    r"Encryption key:on\n IE: WEP-104",
+    "Encryption key:on",
+    "",
+]
+SCAN_GHZ = ["2.437", "5.18", "5.955", "5.832", "2.412", "7.2"]
+
+
 def scan_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw scan dump per event, with a header and two access points."""
-    e, u = F.col("e"), F.col("u").cast("string")
-    s = F.lit
-
-    def address(prefix: str) -> Column:
-        digest = F.sha2(F.concat(s(prefix), u), 256)
-        return F.upper(F.concat_ws(":", *[digest.substr(i, 2) for i in range(1, 13, 2)]))
-
-    security = pick(
-        [
-            "Encryption key:off",
-            "Encryption key:on\n IE: IEEE 802.11i/WPA2 Version 1\n Authentication Suites (1) : PSK",
-            "Encryption key:on\n IE: IEEE 802.11i/WPA2 Version 1\n Authentication Suites (1) : 802.1x",
-            "Encryption key:on\n IE: WPA3\n Authentication Suites (1) : SAE",
-            "Encryption key:on\n IE: OWE transition",
-            "Encryption key:on\n IE: WPA Version 1",
-            "Encryption key:on\n IE: WEP-104",
-            "Encryption key:on",
-            "",
-        ],
-        e,
-    )
-    ghz = pick(["2.437", "5.18", "5.955", "5.832", "2.412", "7.2"], e)
-    first = F.concat(
-        s("Cell 01 - Address: "), address("w"), s("\n Channel:"), (e % 13 + 1).cast("string"),
-        s("\n Frequency:"), ghz, s(" GHz (Channel 6)\n Quality="), (e % 70).cast("string"),
-        s("/70  Signal level="), (F.lit(0) - e % 90).cast("string"), s(" dBm  Noise level=-95 dBm\n "),
-        security, s('\n ESSID:"'), F.when(e % 8 == 0, s("")).otherwise(F.concat(s("net-"), u)), s('"\n'),
-    )
-    second = F.concat(
-        F.when(e % 9 == 0, s("Cell 02 - no address here\n")).otherwise(
-            F.concat(s("Cell 02 - Address: "), address("x"), s("\n Encryption key:off\n"))
-        )
-    )
-    return base(spark, sf_dir).filter("is_wifi AND copy = 0").select(
+    """One raw scan dump per event, with a header and two access points (one without an address at times)."""
+    first, second = (f"upper({_octets(f'digest_{p}', ':')})" for p in "wx")
+    return base(spark, sf_dir, "w", "x").filter("is_wifi AND copy = 0").selectExpr(
         "sensor_id",
-        F.timestamp_millis("ms").alias("event_time"),
-        F.lit(37.7).alias("latitude"),
-        F.lit(-122.4).alias("longitude"),
-        F.concat(s("wlan0  Scan completed :\n "), first, s(" "), second).alias("dump"),
+        "timestamp_millis(ms) AS event_time",
+        "37.7D AS latitude",
+        "-122.4D AS longitude",
+        rf"""concat('wlan0  Scan completed :\n Cell 01 - Address: ', {first}, '\n Channel:', e % 13 + 1,
+          '\n Frequency:', {pick(SCAN_GHZ)}, ' GHz (Channel 6)\n Quality=', e % 70, '/70  Signal level=',
+          -(e % 90), ' dBm  Noise level=-95 dBm\n ', {pick(SECURITY)}, '\n ESSID:"',
+          if(e % 8 = 0, '', concat('net-', u)), '"\n ', if(e % 9 = 0, 'Cell 02 - no address here\n',
+          concat('Cell 02 - Address: ', {second}, '\n Encryption key:off\n'))) AS dump""",
         "e",
     )

@@ -39,12 +39,11 @@ def differences(df, con, sql: str) -> list[str]:
         return [f"columns {names} vs {sorted(described)}"]
     out = []
     for field in df.schema.fields:
-        want = KINDS.get(field.dataType.simpleString())
-        have = con.execute(f"SELECT typeof({field.name}) FROM ({sql}) LIMIT 1").fetchall()
-        if have and have[0][0] not in (want, "NULL", '"NULL"'):
-            out.append(f"type {field.name}: {want} vs {have[0][0]}")
+        want, have = KINDS.get(field.dataType.simpleString()), described[field.name]
+        if have not in (want, "NULL", '"NULL"'):
+            out.append(f"type {field.name}: {want} vs {have}")
     order = [list(described).index(n) for n in names]
-    theirs = Counter(tuple(_cell(row[i]) for i in order) for row in con.execute(sql).fetchall())
+    theirs = Counter(tuple(_cell(row[i]) for i in order) for row in cursor.fetchall())
     ours = Counter(tuple(_cell(v) for v in row) for row in df.select(*names).collect())
     if ours != theirs:
         only_ours = list((ours - theirs).elements())
