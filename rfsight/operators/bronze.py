@@ -38,9 +38,9 @@ def drop_late(df: DataFrame, settings: Settings) -> DataFrame:
     return df.filter(F.col("event_time") >= horizon)
 
 
-def to_bronze(stamped: DataFrame, protocol: str, settings: Settings) -> DataFrame:
+def to_bronze(stamped: DataFrame, protocol: str, settings: Settings, observation=None) -> DataFrame:
     """Age filter and bronze expectations over rows that already carry id and stamps."""
-    kept = BRONZE.enforce(drop_late(stamped, settings), settings)
+    kept = BRONZE.enforce(drop_late(stamped, settings), settings, observation)
     return conform(kept, f"{protocol}_bronze")
 
 

@@ -95,11 +95,18 @@ def stamp(rows: DataFrame, protocol: str, settings: Settings) -> DataFrame:
 
 
 def ingest(
-    spark: SparkSession, path: str, protocol: str, settings: Settings, streaming: bool = False, **options
+    spark: SparkSession,
+    path: str,
+    protocol: str,
+    settings: Settings,
+    streaming: bool = False,
+    observation: str | None = None,
+    **options,
 ) -> tuple[DataFrame, DataFrame]:
     """(bronze, quarantine) of a landing folder: two flows over one parsed source."""
     landed = read_landing(spark, path, protocol, settings, streaming, **options)
-    return to_bronze(landed, protocol, settings), to_quarantine(landed, protocol, settings)
+    bronze = to_bronze(landed, protocol, settings, observation)
+    return bronze, to_quarantine(landed, protocol, settings)
 
 
 def read_kafka(spark: SparkSession, servers: str, topic: str, protocol: str, **options) -> DataFrame:

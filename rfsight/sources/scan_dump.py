@@ -35,7 +35,7 @@ EAP_PATTERN = r"(?i)802\.1x|EAP"
 
 def read_dumps(spark: SparkSession, path: str) -> DataFrame:
     """One row per dump file (a scan of one radio, so a few kilobytes)."""
-    files = spark.read.option("wholetext", "true").text(path)
+    files = spark.read.text(path, wholetext=True)
     return files.select(F.col("value").alias("dump"), F.col("_metadata.file_path").alias("source_path"))
 
 

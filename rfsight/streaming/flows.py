@@ -10,16 +10,16 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
 
 from rfsight.config import Settings
 from rfsight.contracts import BT, WIFI
-from rfsight.operators import analytics
+from rfsight.operators import analytics, expectations
 from rfsight.operators.copresence import copresence_events
 from rfsight.operators.silver import to_silver
 from rfsight.operators.timeline import device_timeline, perimeter_alerts
 from rfsight.sources.landing import ingest
 from rfsight.sources.tables import Layout, read_table, stream_table
+from rfsight.streaming.metrics import append_log, finish
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -45,20 +45,15 @@ def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterat
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def finish(*queries: StreamingQuery) -> None:
-    """Wait for triggered queries and raise the first failure."""
-    for query in queries:
-        query.awaitTermination()
-
-
 def run_bronze(spark: SparkSession, layout: Layout, protocol: str, settings: Settings, **options) -> None:
+    name = f"{protocol}_bronze"
     bronze, quarantine = ingest(
-        spark, layout.landing(protocol), protocol, settings, streaming=True, **options
+        spark, layout.landing(protocol), protocol, settings, streaming=True, observation=name, **options
     )
-    finish(
-        stream_table(bronze, layout, f"{protocol}_bronze"),
-        stream_table(quarantine, layout, f"{protocol}_quarantine"),
+    reports = finish(
+        stream_table(bronze, layout, name), stream_table(quarantine, layout, f"{protocol}_quarantine")
     )
+    append_log(spark, layout, reports, expectations.BRONZE, name)
 
 
 def run_silver(
@@ -69,10 +64,12 @@ def run_silver(
     partitions: int | None = None,
     **options,
 ) -> None:
+    name = f"{protocol}_silver"
     with state_settings(spark, partitions):
         bronze = read_table(spark, layout, f"{protocol}_bronze", streaming=True, **options)
-        name = f"{protocol}_silver"
-        finish(stream_table(to_silver(bronze, protocol, settings, observation=name), layout, name))
+        silver = to_silver(bronze, protocol, settings, observation=name)
+        reports = finish(stream_table(silver, layout, name))
+    append_log(spark, layout, reports, expectations.SILVER[protocol], name)
 
 
 def run_timeline(spark: SparkSession, layout: Layout, settings: Settings) -> None:
