@@ -18,6 +18,8 @@ FILE_QUERIES = {
 
 
 def plan(df) -> str:
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    df.sparkSession.conf.set("spark.sql.debug.maxToStringFields", "1000")
     return df._jdf.queryExecution().executedPlan().toString()
 
 
