@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rfsight.config import Settings
 from rfsight.functions.tags import is_randomized
+from rfsight.operators.copresence import copresence_counts
 
 _HOUR_MICROS = 3_600_000_000
 
@@ -117,18 +118,7 @@ def rssi_gradient(timeline: DataFrame, seconds: int = 30) -> DataFrame:
     )
 
 
-def copresence_counts(pairs: DataFrame) -> DataFrame:
-    """Co-presence pairs per device on either side; the pairs are counted as they are joined."""
-    sides = F.array("wifi_device_hash", "bt_device_hash")
-    return (
-        pairs.select(F.explode(sides).alias("device_id_hash"))
-        .filter(F.col("device_id_hash").isNotNull())
-        .groupBy("device_id_hash")
-        .agg(F.count(F.lit(1)).alias("copresence_count"))
-    )
-
-
-def device_features(timeline: DataFrame, pairs: DataFrame, settings: Settings) -> DataFrame:
+def device_features(timeline: DataFrame, settings: Settings) -> DataFrame:
     """Feature row per identified device as of ``settings.now``."""
     day_ago = settings.now - F.expr("INTERVAL 24 HOURS")
     recent = (F.col("event_time") > day_ago) & (F.col("event_time") <= settings.now)
@@ -143,7 +133,7 @@ def device_features(timeline: DataFrame, pairs: DataFrame, settings: Settings) -
             F.count_distinct("sensor_id").alias("unique_sensor_count"),
         )
     )
-    counted = features.join(copresence_counts(pairs), "device_id_hash", "left")
+    counted = features.join(copresence_counts(timeline, settings), "device_id_hash", "left")
     return counted.select(
         "device_id_hash",
         "sighting_count_24h",

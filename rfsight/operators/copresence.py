@@ -8,7 +8,7 @@ exactly one bucket, the exact interval predicate decides, and it also bounds the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rfsight.config import Settings
@@ -92,3 +92,57 @@ def copresence_events(
         },
     )
     return COPRESENCE.enforce(events, settings)
+
+
+def copresence_counts(timeline: DataFrame, settings: Settings, chunk_seconds: int = 3600) -> DataFrame:
+    """Co-presence pairs per device without forming a single pair.
+
+    A sighting at ``t`` has as many partners as the other protocol has sightings up to ``t + w`` less
+    those before ``t - w``. So each row becomes three marks: itself, and a question at either end of
+    its window. Running counts along a sensor answer all questions in one sorted pass, linear in the
+    rows where the pairs may be quadratic. A sensor's path is cut into time chunks; the totals of
+    earlier chunks come from a small table, so a sensor with a third of all rows is many partitions.
+    """
+    reach = settings.copresence_seconds * _MICROS
+    at = F.unix_micros("event_time")
+
+    def mark(when: Column, sign: int) -> Column:
+        return F.struct(when.alias("at"), F.lit(sign).alias("sign"))
+
+    is_wifi = F.col("protocol") == "WIFI"
+    marks = timeline.filter(F.col("sensor_id").isNotNull()).select(
+        "sensor_id",
+        "device_id_hash",
+        is_wifi.alias("is_wifi"),
+        F.inline(F.array(mark(at, 0), mark(at + reach, 1), mark(at - reach - 1, -1))),
+    )
+    here = F.col("sign") == 0
+    marks = marks.filter(here | F.col("device_id_hash").isNotNull()).withColumns(
+        {
+            "chunk": _bucket(F.col("at"), chunk_seconds * _MICROS),
+            "asks": (~here).cast("int"),
+            "wifi": F.when(here & F.col("is_wifi"), 1).otherwise(0).cast("bigint"),
+            "bt": F.when(here & ~F.col("is_wifi"), 1).otherwise(0).cast("bigint"),
+        }
+    )
+    key = ["sensor_id", "chunk"]
+    so_far = Window.partitionBy(*key).orderBy("at", "asks").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("sensor_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (
+        marks.groupBy(*key)
+        .agg(F.sum("wifi").alias("wifi"), F.sum("bt").alias("bt"))
+        .select(
+            *key,
+            F.coalesce(F.sum("wifi").over(earlier), F.lit(0)).alias("wifi_before"),
+            F.coalesce(F.sum("bt").over(earlier), F.lit(0)).alias("bt_before"),
+        )
+    )
+    running = marks.withColumns(
+        {"wifi_so_far": F.sum("wifi").over(so_far), "bt_so_far": F.sum("bt").over(so_far)}
+    )
+    answers = running.filter("sign <> 0").join(totals, key)
+    partners = F.when(
+        F.col("is_wifi"), F.col("bt_so_far") + F.col("bt_before")
+    ).otherwise(F.col("wifi_so_far") + F.col("wifi_before"))
+    counts = answers.groupBy("device_id_hash").agg(F.sum(partners * F.col("sign")).alias("copresence_count"))
+    return counts.filter("copresence_count > 0")

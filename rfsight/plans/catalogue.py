@@ -19,7 +19,7 @@ from rfsight.contracts import BT, WIFI, conform, contract
 from rfsight.functions import address, signal, tags, vocabulary
 from rfsight.functions.identity import event_key, hash_identifier, vendor_oui
 from rfsight.operators import analytics, bronze, clusters, expectations, lookup, outbox, reports
-from rfsight.operators.copresence import copresence_events, copresence_pairs
+from rfsight.operators.copresence import copresence_counts, copresence_events, copresence_pairs
 from rfsight.operators.dedup import dedup_batch, dedup_stream, first_per_window
 from rfsight.operators.timeline import alert_candidates, device_timeline, high_threat
 from rfsight.plans import adapter
@@ -67,9 +67,16 @@ class Views:
     def pairs(self) -> DataFrame:
         return copresence_pairs(self.silver(WIFI), self.silver(BT), self.settings)
 
+    @cached_property
+    def stored_timeline(self) -> DataFrame:
+        """The timeline as a table, for queries that read it more than once."""
+        layout = self.scratch("timeline")
+        tables.write_table(self.timeline, layout, "device_timeline")
+        return tables.read_table(self.spark, layout, "device_timeline")
+
     @property
     def features(self) -> DataFrame:
-        return analytics.device_features(self.timeline, self.pairs, self.settings)
+        return analytics.device_features(self.stored_timeline, self.settings)
 
     @property
     def lines(self) -> DataFrame:
@@ -760,6 +767,15 @@ def _(views):
     return tables.read_table(views.spark, layout, "copresence_events")
 
 
+@query(
+    "copresence_counts",
+    """SELECT device_id_hash, count(*) AS copresence_count FROM (SELECT wifi_device_hash AS device_id_hash FROM pairs
+    UNION ALL SELECT bt_device_hash FROM pairs) WHERE device_id_hash IS NOT NULL GROUP BY device_id_hash""",
+)
+def _(views):
+    return copresence_counts(views.stored_timeline, views.settings)
+
+
 @query(
     "manufacturer_lookup",
     f"""SELECT event_id, s.manufacturer_id, m.name AS manufacturer_name FROM bt_silver s
@@ -798,7 +814,7 @@ def _(views):
     WHERE event_time = first""",
 )
 def _(views):
-    return lookup.novel_device(views.timeline).select("event_id", "device_id_hash", "event_time")
+    return lookup.novel_device(views.stored_timeline).select("event_id", "device_id_hash", "event_time")
 
 
 # ---- gold -------------------------------------------------------------------------------------
@@ -909,7 +925,7 @@ def _(views):
     WINDOW p AS (PARTITION BY device_id_hash ORDER BY event_time, event_id)""",
 )
 def _(views):
-    return analytics.movement_history(views.timeline)
+    return analytics.movement_history(views.stored_timeline)
 
 
 @query("entity_links", "SELECT * FROM links")
@@ -937,7 +953,7 @@ def _(views):
               AS score FROM features) f USING (device_id_hash)) WHERE rank <= 10""",
 )
 def _(views):
-    return analytics.unknown_device_topk(views.timeline, views.features)
+    return analytics.unknown_device_topk(views.stored_timeline, views.features)
 
 
 _AMPLITUDE = "pow(10e0, rssi_dbm / 20e0)"

@@ -39,44 +39,46 @@ def read_lines(
     return lines.select(F.col("value"), F.col("_metadata.file_path").alias("source_path"))
 
 
-def _mistyped(payload: T.StructType, fields: Column) -> Column:
-    """Names of known fields that the line gives a value but the typed row does not have."""
-    return F.array_compact(
-        F.array(
-            *[
-                F.when(F.col(f"_row.{f.name}").isNull() & fields[f.name].isNotNull(), F.lit(f.name))
-                for f in payload.fields
-            ]
-        )
-    )
-
-
 def parse_lines(df: DataFrame, protocol: str, column: str = "value") -> DataFrame:
     """Replace the text ``column`` by the payload columns and ``_rescued_data``.
 
     Clean lines cost one typed parse and one key scan; only suspicious ones are parsed a third time.
+    Each step is a projection of its own, so that no parse is repeated where its result is used twice.
     """
     payload = contract(f"{protocol}_payload")
+    names = payload.fieldNames()
     typed = T.StructType([*payload.fields, T.StructField(_BROKEN, T.StringType())])
-    known = F.array(*[F.lit(name) for name in payload.fieldNames()])
+    known = F.array(*[F.lit(name) for name in names])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
-    parsed = df.withColumn("_row", F.from_json(column, typed, options))
 
-    fields = F.from_json(column, "map<string,string>")
-    mistyped = _mistyped(payload, fields)
+    parsed = df.withColumns(
+        {"_row": F.from_json(column, typed, options), "_keys": F.json_object_keys(column)}
+    )
+    broken = F.col("_keys").isNull() | F.col("_row").isNull()
+    odd = F.col(f"_row.{_BROKEN}").isNotNull() | (F.size(F.array_except("_keys", known)) > 0)
+    suspects = parsed.withColumns({"_cut": broken, "_odd": ~broken & odd})
+    fields = suspects.withColumns(
+        {
+            "_fields": F.when(F.col("_odd"), F.from_json(column, "map<string,string>")),
+            "_empty": F.when(F.col("_odd"), _absent(names)),
+        }
+    )
     misfits = F.map_filter(
-        fields,
-        lambda name, value: ~F.array_contains(known, name) | F.array_contains(mistyped, name),
+        "_fields",
+        lambda name, value: ~F.array_contains(known, name)
+        | (value.isNotNull() & F.array_contains("_empty", name)),
     )
-    keys = F.json_object_keys(column)
-    suspicious = F.col(f"_row.{_BROKEN}").isNotNull() | (F.size(F.array_except(keys, known)) > 0)
-    rescued = (
-        F.when(keys.isNull() | F.col("_row").isNull(), F.col(column))
-        .when(suspicious, F.coalesce(F.when(F.size(misfits) > 0, F.to_json(misfits)), F.col(column)))
-        .alias("_rescued_data")
+    told = fields.withColumn("_misfits", misfits)
+    rescued = F.when(F.col("_cut"), F.col(column)).when(
+        F.col("_odd"), F.when(F.size("_misfits") > 0, F.to_json("_misfits")).otherwise(F.col(column))
     )
     rest = [name for name in df.columns if name != column]
-    return parsed.select(*[F.col(f"_row.{name}") for name in payload.fieldNames()], rescued, *rest)
+    return told.select(*[f"_row.{name}" for name in names], rescued.alias("_rescued_data"), *rest)
+
+
+def _absent(names: list[str]) -> Column:
+    """Names of the payload fields that the typed row leaves NULL."""
+    return F.array_compact(F.array(*[F.when(F.isnull(f"_row.{name}"), F.lit(name)) for name in names]))
 
 
 def read_landing(

@@ -10,7 +10,7 @@ from rfsight.config import Settings
 from rfsight.contracts import ContractError, conform
 from rfsight.operators import analytics, expectations, lookup, outbox
 from rfsight.operators.clusters import entity_clusters
-from rfsight.operators.copresence import copresence_pairs
+from rfsight.operators.copresence import copresence_counts, copresence_pairs
 from rfsight.operators.dedup import dedup_batch
 from rfsight.operators.expectations import DROP, FAIL, WARN, Expectation, ExpectationSet
 
@@ -56,6 +56,26 @@ def test_bucketed_interval_join_equals_brute_force(spark, seed, seconds, salts):
     assert found == expected and max(found.values()) == 1
 
 
+@pytest.mark.parametrize("seed, seconds, chunk", [(1, 30, 3600), (2, 30, 7), (3, 1, 1), (4, 90, 30)])
+def test_counting_pairs_equals_forming_them(spark, seed, seconds, chunk):
+    rng = random.Random(seed)
+    rows = [
+        (f"e{i}", rng.choice(["p", "q", "r", None]), rng.choice(["busy"] * 5 + ["quiet", None]),
+         rng.choice(["WIFI", "BLUETOOTH"]), rng.randrange(-5 * seconds, 9 * seconds) * 1_000_000 + rng.choice([0, 0, 1, -1]))
+        for i in range(250)
+    ]
+    expected = Counter()
+    for _, device, sensor, protocol, us in rows:
+        if device and sensor:
+            expected[device] += sum(
+                1 for r in rows if r[2] == sensor and r[3] != protocol and abs(r[4] - us) <= seconds * 1_000_000
+            )
+    schema = "event_id string, device_id_hash string, sensor_id string, protocol string, us bigint"
+    timeline = _timed(spark.createDataFrame(rows, schema))
+    counts = copresence_counts(timeline, Settings(salt="x", copresence_seconds=seconds), chunk)
+    assert {r.device_id_hash: r.copresence_count for r in counts.collect()} == +expected
+
+
 def test_dedup_keeps_earliest_and_is_stable(spark):
     rows = [("k", 2, "a", 9), ("k", 1, "b", 7), ("k", 1, "a", 8), ("j", 5, "z", 1)]
     df = spark.createDataFrame(rows, "event_id string, ingest_time int, source_path string, v int")
