@@ -56,8 +56,7 @@ def pick(values: list, index: str = "e") -> str:
 
 
 def _octets(digest: str, separator: str, width: int = 2) -> str:
-    parts = ", ".join(f"substr({digest}, {i}, {width})" for i in range(1, 13, width))
-    return f"concat_ws('{separator}', {parts})"
+    return f"regexp_replace(substr({digest}, 1, 12), '({'.' * width})(?=.)', '$1{separator}')"
 
 
 def _address(prefix: str, spaced: str) -> str:
