@@ -10,7 +10,7 @@ without a trace. What does not fit the schema is kept in ``_rescued_data``:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,42 +43,31 @@ def parse_lines(df: DataFrame, protocol: str, column: str = "value") -> DataFram
     """Replace the text ``column`` by the payload columns and ``_rescued_data``.
 
     Clean lines cost one typed parse and one key scan; only suspicious ones are parsed a third time.
-    Each step is a projection of its own, so that no parse is repeated where its result is used twice.
+    The parsed row goes through a one-element ``inline``: filters on its fields stay above it, where
+    they see plain columns, instead of being pushed below and parsing every line again.
     """
     payload = contract(f"{protocol}_payload")
     names = payload.fieldNames()
     typed = T.StructType([*payload.fields, T.StructField(_BROKEN, T.StringType())])
     known = F.array(*[F.lit(name) for name in names])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
-
-    parsed = df.withColumns(
-        {"_row": F.from_json(column, typed, options), "_keys": F.json_object_keys(column)}
+    once = F.struct(
+        F.from_json(column, typed, options).alias("_row"), F.json_object_keys(column).alias("_keys")
     )
-    broken = F.col("_keys").isNull() | F.col("_row").isNull()
+    parsed = df.select("*", F.inline(F.array(once)))
+
+    cut = F.col("_keys").isNull() | F.col("_row").isNull()
     odd = F.col(f"_row.{_BROKEN}").isNotNull() | (F.size(F.array_except("_keys", known)) > 0)
-    suspects = parsed.withColumns({"_cut": broken, "_odd": ~broken & odd})
-    fields = suspects.withColumns(
-        {
-            "_fields": F.when(F.col("_odd"), F.from_json(column, "map<string,string>")),
-            "_empty": F.when(F.col("_odd"), _absent(names)),
-        }
-    )
+    empty = F.array_compact(F.array(*[F.when(F.isnull(f"_row.{name}"), F.lit(name)) for name in names]))
     misfits = F.map_filter(
-        "_fields",
+        F.from_json(column, "map<string,string>"),
         lambda name, value: ~F.array_contains(known, name)
-        | (value.isNotNull() & F.array_contains("_empty", name)),
-    )
-    told = fields.withColumn("_misfits", misfits)
-    rescued = F.when(F.col("_cut"), F.col(column)).when(
-        F.col("_odd"), F.when(F.size("_misfits") > 0, F.to_json("_misfits")).otherwise(F.col(column))
+        | (value.isNotNull() & F.array_contains(empty, name)),
     )
+    told = F.when(odd & ~cut, F.to_json(misfits))
+    rescued = F.when(cut, F.col(column)).when(told == "{}", F.col(column)).otherwise(told)
     rest = [name for name in df.columns if name != column]
-    return told.select(*[f"_row.{name}" for name in names], rescued.alias("_rescued_data"), *rest)
-
-
-def _absent(names: list[str]) -> Column:
-    """Names of the payload fields that the typed row leaves NULL."""
-    return F.array_compact(F.array(*[F.when(F.isnull(f"_row.{name}"), F.lit(name)) for name in names]))
+    return parsed.select(*[f"_row.{name}" for name in names], rescued.alias("_rescued_data"), *rest)
 
 
 def read_landing(
