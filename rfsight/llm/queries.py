@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rfsight.llm import quality
+from rfsight.llm import packing, quality, token_index
+from rfsight.llm.scratch import new_folder
 from rfsight.llm.ship import ship
 
+TOKENIZER = "byte_bpe_50k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -27,7 +30,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
 @query("op1_quality_knn")
 def _(spark, sf_dir):
     docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
     return quality.classify(docs.select("doc_id", "text"), labels).select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op7_token_index")
+def _(spark, sf_dir):
+    folder = new_folder(spark, "token-shards")
+    token_index.write_shards(table(spark, sf_dir, "documents"), folder, tokenizer_file())
+    return token_index.documents(token_index.read_shards(spark, folder))
+
+
+@query("op10_best_fit_packing")
+def _(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
