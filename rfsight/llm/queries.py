@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rfsight.llm import packing, quality, token_index
-from rfsight.llm.scratch import new_folder
+from rfsight.llm import contamination, packing, quality, suffix_dedup, token_index, warc
+from rfsight.llm.scratch import new_folder, stored
 from rfsight.llm.ship import ship
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -52,3 +53,29 @@ def _(spark, sf_dir):
 @query("op10_best_fit_packing")
 def _(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+@query("op3_winnowing")
+def _(spark, sf_dir):
+    found = contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
+@query("op8_arc_to_warc")
+def _(spark, sf_dir):
+    arc, archive = new_folder(spark, "arc"), new_folder(spark, "warc")
+    warc.write_arc(table(spark, sf_dir, "pages"), arc)
+    warc.convert(spark, arc, archive)
+    found = stored(warc.read_warc(spark, archive).withColumn("page_id", warc.page_key()).drop("head"), "records")
+    of = found.filter("record_type = 'response'").select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("page"))
+    shown = ["page_id", "payload_bytes", "payload_digest", "record_type"]
+    plain = found.filter("record_type = 'response'").select(*shown, F.lit(None).cast("long").alias("refers_to"))
+    again = found.filter("record_type = 'revisit'").join(of, "refers_to", "left")
+    return plain.unionByName(again.select(*shown, F.col("page").alias("refers_to")))
+
+
+@query("op9_suffix_dedup")
+def _(spark, sf_dir):
+    found = suffix_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
