@@ -13,7 +13,7 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most about ``most`` bytes of text, or of one row."""
     for batch in batches:
         ends = utf8(batch.column(column))[1]

@@ -33,7 +33,7 @@ from rfsight.llm.scratch import stored
 SPAN, GRAM = 400, 32
 #: Low bits of a hash that give way to its position, so that of equal hashes the first is the least.
 PLACE_BITS = 24
-SEGMENT = 1 << (PLACE_BITS - 1)
+SEGMENT = 1 << 21
 
 
 def window_minima(values: np.ndarray, width: int) -> np.ndarray:
