@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rfsight.llm import contamination, packing, quality, suffix_dedup, token_index, warc
+from rfsight.llm import contamination, ngram_join, packing, quality, suffix_dedup, token_index, warc
 from rfsight.llm.scratch import new_folder, stored
 from rfsight.llm.ship import ship
 
@@ -79,3 +79,8 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     found = suffix_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op2_ngram_join")
+def _(spark, sf_dir):
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
