@@ -6,10 +6,11 @@ bucket of the hash space per group). What is left is compared in tiles: classes
 shingles and lie in the same or neighbouring band of set sizes. A link of 0.75 takes both: some common shingle is
 among the rarest quarter of either set, and sizes differ by a third at most.
 
-Within a tile, bitmaps of hashed shingles bound each overlap from above by bit counts, and only pairs within the
-bound have their sorted arrays intersected. First every member meets one leader of its tile only; tiles whose
-members are then all connected are done, and the others compare all pairs between different components, in blocks,
-so no task and no table ever holds all pairs of a group.
+Many shingles bring the same sets together, so sets that any of them brings together, by way of one leader each,
+are a cluster, and each set is sent to a tile once: a band of a cluster, cut into blocks if it is large. Within a
+tile, bitmaps of hashed shingles bound each overlap from above by bit counts, and only pairs within the bound have
+their sorted arrays intersected. Pairs that links connect already are passed over, and no table holds all pairs of
+a group.
 
 Defined results: words are runs of other than ASCII white space, A-Z as a-z; fewer than five words make one
 shingle; a null, empty or blank text has an empty set and is linked with nothing; repeated rows are linked with
@@ -36,6 +37,8 @@ WORDS = 5
 PERCENT = 75
 #: Shingles in a bucket of the count, about, and members of a block of a tile.
 BUCKET, BLOCK = 4_000_000, 1024
+#: Bytes of a hash that travel; six bits more, or as many as there are buckets, follow from the bucket.
+TRAVEL = 7
 
 _CODES = np.arange(256)
 IS_WORD = ~np.isin(_CODES, [9, 10, 11, 12, 13, 32])
@@ -103,12 +106,12 @@ def _bucket_rows(docs: DataFrame, buckets: int, turn: int) -> DataFrame:
                 continue
             ids, sizes = np.array(list(own), "<i8"), np.array([len(s) for s in own.values()], "<u4")
             tokens = np.concatenate(list(own.values()))
-            at = ((tokens >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+            at = (tokens & np.uint64(buckets - 1)).astype(np.int64)
             order = np.argsort(at, kind="stable")
             of = np.repeat(np.arange(len(ids)), sizes)
             counts = np.bincount(at * len(ids) + of, minlength=buckets * len(ids)).reshape(buckets, -1).astype("<u4")
             bounds = np.searchsorted(at[order], np.arange(buckets + 1))
-            tokens = tokens[order].astype("<u8")
+            tokens = (tokens[order] >> np.uint64(buckets.bit_length() - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :TRAVEL]
             out = []
             for k in np.flatnonzero(np.diff(bounds)):
                 here = np.flatnonzero(counts[k])
@@ -122,6 +125,13 @@ def _bucket_rows(docs: DataFrame, buckets: int, turn: int) -> DataFrame:
 _SHARED = "set_id long, n int, shared int, shingles binary, spread binary"
 
 
+def _travelled(raw: bytes, bucket: int) -> np.ndarray:
+    """Shingle hashes of a bucket as they were before, but for their highest bits."""
+    padded = np.zeros((len(raw) // TRAVEL, 8), np.uint8)
+    padded[:, :TRAVEL] = np.frombuffer(raw, np.uint8).reshape(-1, TRAVEL)
+    return padded.view("<u8").ravel() * np.uint64(64) + np.uint64(bucket % 64)
+
+
 def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Over bucket rows in order of buckets: of each set, the shingles that other sets have too, with in how many."""
 
@@ -166,7 +176,7 @@ def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = np.frombuffer(counts, "<u4")
             held[0].append(np.repeat(np.frombuffer(ids, "<i8"), counts))
             held[1].append(np.repeat(np.frombuffer(sizes, "<u4"), counts))
-            held[2].append(np.frombuffer(shingles, "<u8"))
+            held[2].append(_travelled(shingles, k))
     if held[0]:
         yield solve(held)
 
@@ -195,7 +205,7 @@ def _candidate_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def candidates(docs: DataFrame, total: int, turn: int) -> DataFrame:
     """Sets of which enough shingles occur elsewhere for a link, as a stored table."""
-    buckets = 64 * max(1, -(-total // (64 * BUCKET)))
+    buckets = 64 << max(0, (total // (64 * BUCKET)).bit_length())
     dealt = _bucket_rows(docs, buckets, turn).repartition("bucket").sortWithinPartitions("bucket")
     shared = stored(dealt.mapInArrow(_shared_rows, _SHARED), "shared-shingles")
     enough = shared.groupBy("set_id", "n").agg(F.sum("shared").alias("in_all"))
@@ -240,50 +250,20 @@ def _bits(n: int) -> int:
     return 1 << max(6, int(2 * n - 1).bit_length())
 
 
-def _leader_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of (leader, salt), the leader's own first: (leader, member) of the links."""
-    leader, bits, mine = None, 0, None
-    for batch in batches:
-        found, ids, sizes, sets = [], [], [], []
-
-        def compare(found=found, ids=ids, sizes=sizes, sets=sets) -> None:
-            if not ids:
-                return
-            near = within_bound(mine[2], mine[1], bitmaps(sets, bits), np.array(sizes))
-            for k in np.flatnonzero(near):
-                if overlap(mine[0], sets[k]) >= least_overlap(sizes[k], mine[1]):
-                    found.append((leader[0], ids[k]))
-            ids.clear(), sizes.clear(), sets.clear()
-
-        for head, salt, is_head, set_id, n, shingles in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            tokens = np.frombuffer(shingles, "<u8")
-            if is_head:
-                compare()
-                leader, bits = (head, salt), _bits(n)
-                mine = (tokens, n, bitmaps([tokens], bits)[0])
-            else:
-                ids.append(set_id), sizes.append(n), sets.append(tokens)
-                if len(ids) >= BLOCK:
-                    compare()
-        compare()
-        columns = zip(*found, strict=True) if found else [[], []]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of (tile, pair of blocks): links that connect what links connect, fewer than members.
 
+    Each set in turn meets those after it that are in another component by then. Where a tile has several blocks,
+    pairs within one are met in the group of that block with itself.
+    """
 
-def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of (tile, pair of blocks): links that join components, no more than a tile's members."""
-
-    def solve(members: list[tuple]) -> list[tuple[int, int]]:
-        ids, sizes, blocks, roots, sets = map(list, zip(*members, strict=True))
-        names = {r: k for k, r in enumerate(dict.fromkeys(roots))}
-        comp = np.array([names[r] for r in roots])
-        if len(names) < 2:
-            return []
+    def solve(members: list[tuple], two_blocks: bool) -> list[tuple[int, int]]:
+        ids, sizes, blocks, sets = map(list, zip(*members, strict=True))
+        comp = np.arange(len(ids))
         maps, sizes, blocks, links = bitmaps(sets, _bits(max(sizes))), np.array(sizes), np.array(blocks), []
-        both = len(set(blocks.tolist())) > 1
         for i in range(len(ids) - 1):
             others = np.arange(i + 1, len(ids))
-            others = others[(comp[others] != comp[i]) & ((blocks[others] != blocks[i]) | (not both))]
+            others = others[(comp[i + 1 :] != comp[i]) & ((blocks[i + 1 :] != blocks[i]) | (not two_blocks))]
             if not len(others):
                 continue
             for k in others[within_bound(maps[i], int(sizes[i]), maps[others], sizes[others])]:
@@ -292,73 +272,58 @@ def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     comp[comp == comp[k]] = comp[i]
         return links
 
+    def batch_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        columns = zip(*found, strict=True) if found else [[], []]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
     tile, members = None, []
     for batch in batches:
         found = []
-        for *key, set_id, n, block, root, shingles in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for *key, set_id, n, block, shingles in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if key != tile:
-                found += solve(members) if members else []
+                found += solve(members, tile[2] != tile[3]) if members else []
                 tile, members = key, []
-            members.append((set_id, n, block, root, np.frombuffer(shingles, "<u8")))
-        columns = zip(*found, strict=True) if found else [[], []]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
-    found = solve(members) if members else []
-    columns = zip(*found, strict=True) if found else [[], []]
-    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
-
-
-def leader_links(sets: DataFrame, places: DataFrame) -> DataFrame:
-    """Links of every member to the leader of its tile."""
-    rank = F.struct(F.xxhash64("set_id").alias("rank"), F.col("set_id").alias("id"), F.col("n").alias("size"))
-    tiles = places.groupBy("token", "tile").agg(F.min(F.when(F.col("home"), rank)).alias("leader"), F.count(F.lit(1)).alias("members"))
-    tiles = tiles.filter("members > 1 AND leader IS NOT NULL").select("token", "tile", "leader")
-    pairs = places.join(tiles, ["token", "tile"]).filter("set_id <> leader.id")
-    fits = F.least("n", "leader.size") * 100 >= F.greatest("n", "leader.size") * PERCENT
-    pairs = stored(pairs.filter(fits).select(F.col("leader.id").alias("leader"), "set_id").distinct(), "leader-pairs")
-    # a leader of many members is dealt to several groups, each with a copy of its shingles
-    salts = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / (4 * BLOCK)).cast("int").alias("salts"))
-    shown = ["leader", "salt", "is_head", "set_id", "n", "shingles"]
-    members = pairs.join(salts, "leader").withColumn("salt", F.pmod(F.xxhash64("set_id"), F.col("salts")).cast("int"))
-    members = members.withColumn("is_head", F.lit(False)).join(sets, "set_id").select(*shown)
-    heads = salts.select("leader", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(True).alias("is_head"))
-    heads = heads.join(sets.withColumn("leader", F.col("set_id")), "leader").select(*shown)
-    rows = heads.unionByName(members).repartition("leader", "salt").sortWithinPartitions("leader", "salt", F.desc("is_head"))
-    return rows.mapInArrow(_leader_links, "a long, b long")
-
-
-def remaining_links(sets: DataFrame, places: DataFrame, roots: DataFrame) -> DataFrame:
-    """Links between members of a tile that are in different components so far."""
-    named = places.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-    tiles = named.groupBy("token", "tile").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("members"),
-        F.sum(F.xxhash64("set_id") % (1 << 31)).alias("sum_1"), F.sum(F.xxhash64("set_id", F.lit(1)) % (1 << 31)).alias("sum_2"),
-        F.bit_xor(F.xxhash64("set_id", F.lit(2))).alias("xor"),
-    ).filter("low <> high")
-    # tiles of the same members are one tile
-    tiles = tiles.groupBy("tile", "members", "sum_1", "sum_2", "xor").agg(F.min("token").alias("token"))
-    tiles = tiles.select("token", "tile", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
-    rows = named.join(tiles, ["token", "tile"]).withColumn("block", F.pmod(F.xxhash64("set_id", F.lit(3)), F.col("blocks")).cast("int"))
+            members.append((set_id, n, block, np.frombuffer(shingles, "<u8")))
+        yield batch_of(found)
+    yield batch_of(solve(members, tile[2] != tile[3]) if members else [])
+
+
+def clusters(places: DataFrame) -> DataFrame:
+    """(node, root): candidates connected by common rare shingles, by way of one leader per shingle and band."""
+    rank = F.struct(F.xxhash64("set_id").alias("rank"), F.col("set_id").alias("id"))
+    heads = places.groupBy("token", "tile").agg(F.min(rank).alias("leader"), F.count(F.lit(1)).alias("members"))
+    heads = heads.filter("members > 1").select("token", "tile", F.col("leader.id").alias("leader"))
+    met = places.join(heads, ["token", "tile"]).filter("set_id <> leader")
+    return components(met.select(F.col("set_id").alias("a"), F.col("leader").alias("b")))
+
+
+def tile_links(sets: DataFrame, places: DataFrame, roots: DataFrame) -> DataFrame:
+    """Links within each cluster, enough of them to connect what links connect.
+
+    A tile is a band of a cluster with its own sets and those of the band below; large ones are cut into blocks,
+    and every pair of blocks is a group of rows.
+    """
+    members = places.select("set_id", "tile", "home").distinct().join(roots.withColumnRenamed("node", "set_id"), "set_id")
+    tiles = members.groupBy("root", "tile").agg(F.count(F.lit(1)).alias("members"), F.max("home").alias("any_home"))
+    tiles = tiles.filter("members > 1 AND any_home").select("root", "tile", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    rows = members.join(tiles, ["root", "tile"]).withColumn("block", F.pmod(F.xxhash64("set_id", F.lit(3)), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    rows = rows.select("token", "tile", "set_id", "root", "block", other)
+    rows = rows.select("root", "tile", "set_id", "block", other)
     rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    rows = rows.join(sets.select("set_id", "n", "shingles"), "set_id")
-    keys = ["token", "tile", "low", "high"]
-    rows = rows.select(*keys, "set_id", "n", "block", "root", "shingles").repartition(*keys).sortWithinPartitions(*keys, "set_id")
+    keys = ["root", "tile", "low", "high"]
+    rows = rows.select(*keys, "set_id", "block").join(sets.select("set_id", "n", "shingles"), "set_id")
+    rows = rows.select(*keys, "set_id", "n", "block", "shingles").repartition(*keys).sortWithinPartitions(*keys, "set_id")
     return rows.mapInArrow(_tile_links, "a long, b long")
 
 
 def similar_sets(docs: DataFrame, total: int, turn: int) -> DataFrame:
     """(node, root): sets that are connected by links, and the least number among them."""
     sets = candidates(docs, total, turn)
-    tiles = F.array(F.struct(F.col("band").alias("tile"), F.lit(True).alias("home")), F.struct((F.col("band") + 1).alias("tile"), F.lit(False).alias("home")))
-    places = sets.select("set_id", "n", "band", F.explode("rarest").alias("token")).select("set_id", "n", "token", F.inline(tiles))
-    links = stored(leader_links(sets, places), "leader-links")
-    roots = components(links)
-    more = stored(remaining_links(sets, places, roots), "tile-links")
-    if more.isEmpty():
-        return roots
-    joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return components(joined.unionByName(more))
+    own, above = ((F.col("band") + k).alias("tile") for k in (0, 1))
+    tiles = F.array(F.struct(own, F.lit(True).alias("home")), F.struct(above, F.lit(False).alias("home")))
+    places = sets.select("set_id", "band", F.explode("rarest").alias("token")).select("set_id", "token", F.inline(tiles))
+    links = stored(tile_links(sets, places, clusters(places)), "links")
+    return components(links)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
