@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rfsight.llm import contamination, ngram_join, packing, quality, suffix_dedup, token_index, warc
+from rfsight.llm import contamination, licenses, ngram_join, packing, quality, sharding, spotsigs, suffix_dedup, token_index, warc
 from rfsight.llm.scratch import new_folder, stored
 from rfsight.llm.ship import ship
 
@@ -84,3 +84,25 @@ def _(spark, sf_dir):
 @query("op2_ngram_join")
 def _(spark, sf_dir):
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op4_label_propagation")
+def _(spark, sf_dir):
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+@query("op5_spotsigs")
+def _(spark, sf_dir):
+    found = spotsigs.fingerprints(table(spark, sf_dir, "documents"))
+    own, edited, after = (F.col(c) for c in ("signatures", "edited_signatures", "next_signatures"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        spotsigs.as_text(own).alias("fingerprint"), spotsigs.as_text(edited).alias("edited_fingerprint"),
+        spotsigs.likeness(own, edited).alias("near_edited"), spotsigs.likeness(own, after).alias("near_next"),
+    )
+
+
+@query("op6_license_scan")
+def _(spark, sf_dir):
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.withColumn("licenses", F.array_join("licenses", ","))
