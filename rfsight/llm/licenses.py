@@ -13,6 +13,7 @@ repeated rows and null ids are scanned like any other row.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,14 +45,23 @@ def plain_words(text: str) -> list[str]:
 
 def words(text: Column) -> Column:
     plain = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^0-9a-z]+", " "))
-    return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " "))
+    return F.filter(F.split(plain, " "), lambda w: w != "")
+
+
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, though a lambda inside uses it for every element."""
+    return F.transform(F.array(value), body)[0]
 
 
 def shingles(of: Column) -> Column:
     """64-bit hash of each run of five words, in order."""
-    n = F.size(of) - WORDS + 1
-    starts = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64(*[F.get(of, i + (k - 1)) for k in range(WORDS)]))
+
+    def hashes(w: Column) -> Column:
+        n = F.size(w) - WORDS + 1
+        starts = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.xxhash64(*[F.get(w, i + (k - 1)) for k in range(WORDS)]))
+
+    return bound(of, hashes)
 
 
 def template_table(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
@@ -67,8 +77,19 @@ def template_table(spark: SparkSession, templates: list[tuple[str, str]]) -> Dat
 
 def bands(of: Column) -> Column:
     """Least hash of a set under each of the hash functions, tagged with its number."""
-    least = [F.array_min(F.transform(of, lambda h, k=k: F.xxhash64(h, F.lit(k)))) for k in range(BANDS)]
-    return F.array(*[F.struct(F.lit(k).alias("band"), x.alias("value")) for k, x in enumerate(least)])
+
+    def least(k: int) -> Column:
+        return F.array_min(F.transform(of, lambda h: F.xxhash64(h, F.lit(k))))
+
+    return F.array(*[F.struct(F.lit(k).alias("band"), least(k).alias("value")) for k in range(BANDS)])
+
+
+def windows_near(half: int, own: list[int]) -> Column:
+    """Windows of twice ``half`` shingles of the column ``all`` that have one of ``own``."""
+    starts = F.sequence(F.lit(0), F.size("all") - 1, F.lit(half))
+    window = F.transform(starts, lambda s: F.array_distinct(F.slice("all", s + 1, 2 * half)))
+    near = F.filter(window, lambda w: F.arrays_overlap(w, F.array(*[F.lit(h) for h in own])))
+    return F.transform(near, lambda w: F.struct(F.lit(half).alias("half"), w.alias("window")))
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None) -> DataFrame:
@@ -84,13 +105,8 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None) -> Dat
     rows = stored(rows, "license-shingles")
 
     hits = rows.filter("all IS NOT NULL")
-    windows = []
-    for half in sorted({r["half"] for r in listed}):
-        own = F.array(*[F.lit(h) for h in sorted({h for r in listed if r["half"] == half for h in r["own"]})])
-        starts = F.sequence(F.lit(0), F.size("all") - 1, F.lit(half))
-        window = F.transform(starts, lambda s, half=half: F.array_distinct(F.slice("all", s + 1, 2 * half)))
-        near = F.filter(window, lambda w, own=own: F.arrays_overlap(w, own))
-        windows.append(F.transform(near, lambda w, half=half: F.struct(F.lit(half).alias("half"), w.alias("window"))))
+    halves = sorted({r["half"] for r in listed})
+    windows = [windows_near(half, sorted({h for r in listed if r["half"] == half for h in r["own"]})) for half in halves]
     found = hits.select("row", F.inline(F.concat(*windows))).withColumn("number", F.monotonically_increasing_id())
     found = stored(found, "license-windows")
 

@@ -15,6 +15,7 @@ alone is its own successor.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from math import log
 
 from pyspark.sql import Column, DataFrame
@@ -49,10 +50,21 @@ def _hashed(text: Column) -> Column:
 
 def signatures(text: Column) -> Column:
     """Sorted distinct hashes of the chains of a text."""
-    plain = normalised(text)
-    chains = F.regexp_extract_all(plain, F.lit(SPOT), F.lit(1))
-    hashes = F.transform(chains, lambda c: _hashed(F.regexp_replace(c, _BETWEEN, "")))
-    return F.sort_array(F.array_distinct(F.when(F.size(hashes) > 0, hashes).otherwise(F.array(_hashed(plain)))))
+
+    def of(plain: Column) -> Column:
+        # the text itself stands behind its chains, for when there are none
+        chains = F.concat(F.regexp_extract_all(plain, F.lit(SPOT), F.lit(1)), F.array(plain))
+        return F.transform(chains, lambda c: _hashed(F.regexp_replace(c, _BETWEEN, "")))
+
+    def kept(hashes: Column) -> Column:
+        return F.sort_array(F.array_distinct(F.slice(hashes, 1, F.greatest(F.lit(1), F.size(hashes) - 1))))
+
+    return _bound(_bound(normalised(text), of), kept)
+
+
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it uses it."""
+    return F.transform(F.array(value), body)[0]
 
 
 def as_text(found: Column) -> Column:
