@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rfsight.llm.arrow import BYTE_VALUES, mix, prefix_sums, slice_hashes, slices, utf8, word_bounds
@@ -74,6 +74,11 @@ def winnow(hashes: np.ndarray, width: int = WINDOW - GRAM + 1) -> np.ndarray:
     return np.unique(at)
 
 
+def text_key() -> Column:
+    """Key of a row's text; null and empty texts have the same."""
+    return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+
+
 _ITEM = "item_id string, fingerprint long, digest binary, length int"
 
 
@@ -115,7 +120,7 @@ def _filter(marks: DataFrame) -> np.ndarray:
     return table
 
 
-_DOC = "doc_id long, row long, n_words long, hits array<struct<fingerprint:long,windows:array<struct<start:int,length:int,digest:binary>>>>"
+_DOC = "doc_id long, text_key binary, row long, n_words long, hits array<struct<fingerprint:long,windows:array<struct<start:int,length:int,digest:binary>>>>"
 _HIT = pa.list_(
     pa.struct(
         [
@@ -158,16 +163,17 @@ def document_hits(docs: DataFrame, filter_bits: np.ndarray, short: list[int]) ->
                 if windows:
                     found[i].append({"fingerprint": grams[k].view(np.int64), "windows": windows})
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row"), pa.array(n, pa.int64()), pa.array(found, _HIT)],
-                ["doc_id", "row", "n_words", "hits"],
+                [*(batch.column(c) for c in ("doc_id", "text_key", "row")), pa.array(n, pa.int64()), pa.array(found, _HIT)],
+                ["doc_id", "text_key", "row", "n_words", "hits"],
             )
 
-    numbered = docs.select(F.col("doc_id").cast("long"), F.monotonically_increasing_id().alias("row"), "text")
+    row = F.monotonically_increasing_id().alias("row")
+    numbered = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), row, "text")
     return numbered.mapInArrow(rows, _DOC)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items (ids in order, as strings), contaminated."""
+    """Per document: doc_id, text_key, n_words, n_hit, n_items, items (ids in order, as strings), contaminated."""
     windows = stored(item_windows(benchmark), "item-windows")
     marks = windows.filter("digest IS NULL").select("fingerprint", "length").distinct()
     short = [r["length"] for r in marks.filter(F.col("length") < WINDOW).select("length").distinct().collect()]
@@ -191,10 +197,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         lambda s: s["n"].cast("long"),
     )
     per_row = per_row.select("row", seen.alias("n_hit"), "items")
-    out = found.select("doc_id", "row", "n_words").join(per_row, "row", "left")
+    out = found.select("doc_id", "text_key", "row", "n_words").join(per_row, "row", "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     items = F.coalesce("items", F.array().cast("array<string>"))
     return out.select(
-        "doc_id", "row", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), items.alias("items"),
+        "doc_id", "text_key", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), items.alias("items"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that no benchmark window occurs in."""
+    found = contamination(docs, benchmark).filter("contaminated").select("doc_id", "text_key").distinct()
+    found = stored(found, "contaminated")
+    out = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), text_key().alias("key"))
+    same = out["id"].eqNullSafe(found["doc_id"]) & (out["key"] == found["text_key"])
+    return out.join(found, same, "left_anti").select("row.*")

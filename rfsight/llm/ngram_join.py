@@ -25,7 +25,7 @@ from math import log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rfsight.llm.arrow import BYTE_VALUES, mix, prefix_sums, slice_hashes, slices, utf8, word_bounds
@@ -77,18 +77,26 @@ def least_overlap(n: np.ndarray | int, m: np.ndarray | int = 0) -> np.ndarray |
     return -(-PERCENT * (n + m) // (100 + PERCENT)) if not (isinstance(m, int) and m == 0) else -(-PERCENT * n // 100)
 
 
+def text_key() -> Column:
+    """Key of a row's text; null and empty texts have the same."""
+    return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+
+
 def document_sets(docs: DataFrame, turn: int = 0) -> DataFrame:
-    """doc_id, digest, set_id and n_shingles of each document; a narrow pass."""
-    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("set_id", pa.int64()), ("n_shingles", pa.int64())])
+    """doc_id, text_key, digest, set_id and n_shingles of each document; a narrow pass."""
+    kinds = {"doc_id": pa.int64(), "text_key": pa.binary(), "digest": pa.binary(), "set_id": pa.int64(), "n_shingles": pa.int64()}
+    schema = pa.schema(list(kinds.items()))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             sets = shingle_sets(batch.column("text"))
             keys = [set_key(s, turn) for s in sets]
-            columns = [batch.column("doc_id"), [k[0] for k in keys], [k[1] for k in keys], [len(s) for s in sets]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) if isinstance(c, list) else c for c, f in zip(columns, schema, strict=True)], schema=schema)
+            made = [[k[0] for k in keys], [k[1] for k in keys], [len(s) for s in sets]]
+            made = [pa.array(c, f.type) for c, f in zip(made, list(schema)[2:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), *made], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, "doc_id long, digest binary, set_id long, n_shingles long")
+    keyed = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), "text")
+    return keyed.mapInArrow(rows, "doc_id long, text_key binary, digest binary, set_id long, n_shingles long")
 
 
 def _bucket_rows(docs: DataFrame, buckets: int, turn: int) -> DataFrame:
@@ -327,7 +335,8 @@ def similar_sets(docs: DataFrame, total: int, turn: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of each row: the smallest doc_id that links lead to, itself included."""
+    """doc_id, text_key, n_shingles and component_id of each row: the smallest doc_id that links lead to, itself
+    included."""
     turn = 0
     while True:
         own = stored(document_sets(docs, turn), "sets")
@@ -344,4 +353,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     heads = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = classes.join(heads, "root").select("set_id", "component_id")
     out = own.join(classes, "set_id", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", "text_key", "n_shingles", component.alias("component_id"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, less those that links lead from to a smaller doc_id, and less repetitions
+    of a row's id and text."""
+    found = stored(near_duplicates(docs).select("doc_id", "text_key", "component_id"), "components")
+    out = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), text_key().alias("key"))
+    gone = found.filter("NOT (doc_id <=> component_id)").select("doc_id", "text_key").distinct()
+    kept = out.join(gone, out["id"].eqNullSafe(gone["doc_id"]) & (out["key"] == gone["text_key"]), "left_anti")
+    repeated = found.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if not repeated.isEmpty():
+        kept = kept.dropDuplicates(["id", "key"])
+    return kept.select("row.*")

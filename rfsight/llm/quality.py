@@ -183,3 +183,9 @@ def classify(docs: DataFrame, labels: DataFrame, max_labelled: int = 4096, neigh
     model = fit(docs, labels.filter(~held_out()), max_labelled)
     scored = docs.withColumn("held_out", held_out()).withColumn("score", quality_score(docs, model, "text", neighbours))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, max_labelled: int = 4096, neighbours: int = 11) -> DataFrame:
+    """The rows of ``docs``, all columns, that score 0.5 or more."""
+    model = fit(docs, labels.filter(~held_out()), max_labelled)
+    return docs.filter(quality_score(docs, model, "text", neighbours) >= 0.5)

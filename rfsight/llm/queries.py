@@ -78,12 +78,12 @@ def _(spark, sf_dir):
 @query("op9_suffix_dedup")
 def _(spark, sf_dir):
     found = suffix_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 @query("op2_ngram_join")
 def _(spark, sf_dir):
-    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 @query("op4_label_propagation")

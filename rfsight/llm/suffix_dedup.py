@@ -356,8 +356,7 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, most_members: int = 50_000
 
 
 def without_repeats(docs: DataFrame, span: int = SPAN, most_members: int = 50_000) -> DataFrame:
-    """All columns of ``docs`` plus kept (binary), n_bytes, n_removed and n_spans, which replace columns of these
-    names."""
+    """row (a struct of all columns of ``docs``), kept (binary), n_bytes, n_removed and n_spans of each row."""
     spans = stored(repeated_spans(docs, span, most_members), "spans").filter(F.size("spans") > 0)
 
     @F.arrow_udf("binary")
@@ -371,17 +370,29 @@ def without_repeats(docs: DataFrame, span: int = SPAN, most_members: int = 50_00
             out.append(b"".join([*pieces, raw[at:]]) if pieces else raw)
         return pa.array(out, pa.binary())
 
-    names = docs.columns
-    mine = {"kept", "n_bytes", "n_removed", "n_spans"}
-    keyed = docs.withColumn("_key", text_key()).withColumn("_id_key", _id_key())
-    found = spans.select(F.col("key").alias("_key"), F.col("id_key").alias("_id_key"), F.col("spans").alias("_spans"))
-    joined = keyed.join(found, ["_key", "_id_key"], "left")
+    keyed = docs.select(F.struct("*").alias("row"), F.col("text"), text_key().alias("key"), _id_key().alias("id_key"))
+    joined = keyed.join(spans.select("key", "id_key", "spans"), ["key", "id_key"], "left")
     raw = F.coalesce(F.col("text"), F.lit(""))
-    removed = F.aggregate("_spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
     return joined.select(
-        *[n for n in names if n not in mine],
-        F.when(F.col("_spans").isNull(), raw.cast("binary")).otherwise(cut(F.col("text"), F.col("_spans"))).alias("kept"),
+        "row",
+        F.when(F.col("spans").isNull(), raw.cast("binary")).otherwise(cut(F.col("text"), F.col("spans"))).alias("kept"),
         F.octet_length(raw).cast("long").alias("n_bytes"),
         F.coalesce(removed, F.lit(0).cast("long")).alias("n_removed"),
-        F.coalesce(F.size("_spans"), F.lit(0)).cast("long").alias("n_spans"),
+        F.when(F.col("spans").isNull(), 0).otherwise(F.size("spans")).cast("long").alias("n_spans"),
     )
+
+
+def shortened(docs: DataFrame, span: int = SPAN) -> DataFrame:
+    """``docs`` with the repeated bytes taken out of the text and n_chars counted anew; other columns stay. A null
+    text stays null; a character that loses some of its bytes goes altogether."""
+
+    @F.arrow_udf("string")
+    def decoded(kept: pa.Array) -> pa.Array:
+        return pa.array([raw.as_py().decode(errors="ignore") for raw in kept], pa.string())
+
+    cut = without_repeats(docs, span)
+    text = F.when(F.col("n_removed") == 0, F.col("row.text")).otherwise(decoded(F.col("kept")))
+    out = cut.select("row", text.alias("text"))
+    own = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return out.select(*[own.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
