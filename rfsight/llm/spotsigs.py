@@ -81,7 +81,7 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
 
 
 def _id_key() -> Column:
-    return F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit(""))
 
 
 def successors(docs: DataFrame) -> DataFrame:
@@ -110,13 +110,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited (text), signatures, edited_signatures and next_signatures of each row.
 
     The edited text has the last third of the text replaced by the first as many characters of the next document.
-    Texts are shuffled once, by document; as heads they go to the document before theirs.
+    Texts are shuffled once, by document; as heads they go to the document before theirs. Both joins ask for the
+    same columns, so that one exchange serves them; doc_id comes back from its key.
     """
     digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
-    prints = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), _id_key().alias("id_key"), digest.alias("digest"),
-        F.coalesce("text", F.lit("")).alias("text"), signatures(F.col("text")).alias("signatures"),
-    )
+    text = F.coalesce("text", F.lit("")).alias("text")
+    prints = docs.select(_id_key().alias("id_key"), digest.alias("digest"), text, signatures(F.col("text")).alias("signatures"))
     after = stored(successors(docs), "successors")
     wanted = after.select(
         F.col("next_id_key").alias("id_key"), F.col("next_digest").alias("digest"), F.col("id_key").alias("to_id_key"),
@@ -130,7 +129,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     n_chars = F.length("text")
     edited = F.concat(F.substring("text", F.lit(1), n_chars - F.col("n")), "head")
     rows = prints.join(heads, ["id_key", "digest"]).withColumn("edited", edited)
-    rows = rows.select("doc_id", n_chars.cast("long").alias("n_chars"), "edited", "signatures", "next_signatures")
+    doc_id = F.expr("CAST(nullif(id_key, '') AS long)").alias("doc_id")
+    rows = rows.select(doc_id, n_chars.cast("long").alias("n_chars"), "edited", "signatures", "next_signatures")
     return rows.withColumn("edited_signatures", signatures(F.col("edited")))
 
 
