@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rfsight.llm import contamination, licenses, ngram_join, packing, quality, sharding, spotsigs, suffix_dedup, token_index, warc
+from rfsight.llm import (
+    contamination,
+    licenses,
+    ngram_join,
+    packing,
+    quality,
+    reference,
+    sharding,
+    spotsigs,
+    suffix_dedup,
+    token_index,
+    warc,
+)
 from rfsight.llm.scratch import new_folder, stored
 from rfsight.llm.ship import ship
 
@@ -55,14 +67,14 @@ def _(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
-@query("op3_winnowing")
+@query("op3_winnowing", reference.WINNOWING)
 def _(spark, sf_dir):
     found = contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256")
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
-@query("op8_arc_to_warc")
+@query("op8_arc_to_warc", reference.ARC_TO_WARC)
 def _(spark, sf_dir):
     arc, archive = new_folder(spark, "arc"), new_folder(spark, "warc")
     warc.write_arc(table(spark, sf_dir, "pages"), arc)
@@ -75,13 +87,13 @@ def _(spark, sf_dir):
     return plain.unionByName(again.select(*shown, F.col("page").alias("refers_to")))
 
 
-@query("op9_suffix_dedup")
+@query("op9_suffix_dedup", reference.SUFFIX_DEDUP)
 def _(spark, sf_dir):
     found = suffix_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query("op2_ngram_join")
+@query("op2_ngram_join", reference.NGRAM_JOIN)
 def _(spark, sf_dir):
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
 
