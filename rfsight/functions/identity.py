@@ -35,8 +35,12 @@ def event_key(protocol: str) -> Column:
 
 def hash_identifier(column: str, protocol: str, salt: str) -> Column:
     """Salted SHA-256 of a hardware address, independent of its notation. NULL stays NULL."""
-    bare = F.lower(F.regexp_replace(column, SEPARATORS[protocol], ""))
-    return F.sha2(F.concat(bare, F.lit(salt)), 256)
+    return F.sha2(F.concat(bare_identifier(column, protocol), F.lit(salt)), 256)
+
+
+def bare_identifier(column: str, protocol: str) -> Column:
+    """A hardware address without separators, in lower case: one form for all notations."""
+    return F.lower(F.regexp_replace(column, SEPARATORS[protocol], ""))
 
 
 def vendor_oui(column: str) -> Column:

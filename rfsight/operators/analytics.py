@@ -74,18 +74,38 @@ def repeated_visitors(timeline: DataFrame, more_than: int = 5) -> DataFrame:
     )
 
 
+def plausible_signal() -> Column:
+    """False for a reading outside its radio's range; one impossible value would outweigh all others."""
+    return F.col("rssi_dbm").isNotNull() & ~F.array_contains("dq_flags", "RSSI_OUT_OF_RANGE")
+
+
+def plausible_position() -> Column:
+    return F.col("latitude").between(-90, 90) & F.col("longitude").between(-180, 180)
+
+
 def directional_movement(
-    timeline: DataFrame, seconds: int = 30, more_than: int = 1, min_sensors: int = 1
+    timeline: DataFrame,
+    seconds: int = 30,
+    more_than: int = 1,
+    min_sensors: int = 1,
+    start: str | None = None,
+    end: str | None = None,
 ) -> DataFrame:
-    """Readings of one device within a short window, where there is more than one.
+    """Readings of one identified device within a short window, where there is more than one, between ``start``
+    and ``end`` (both inclusive, times with an offset) if given.
 
     Equal readings are counted before they are gathered (field ``n``), so the array grows with the
     distinct (sensor, signal, position) values of a window and not with its rows; nothing is lost.
     """
     keys = ["device_id_hash", "window_start"]
     reading = ["sensor_id", "rssi_dbm", "latitude", "longitude"]
+    seen = _identified(timeline)
+    if start is not None:
+        seen = seen.filter(F.col("event_time") >= F.expr(f"TIMESTAMP '{start}'"))
+    if end is not None:
+        seen = seen.filter(F.col("event_time") <= F.expr(f"TIMESTAMP '{end}'"))
     counted = (
-        timeline.withColumn("window_start", _window_start(seconds))
+        seen.withColumn("window_start", _window_start(seconds))
         .groupBy(*keys, *reading)
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -103,7 +123,7 @@ def directional_movement(
 
 def rssi_gradient(timeline: DataFrame, seconds: int = 30) -> DataFrame:
     """Per device and window: the sensor with the strongest signal, and the spread over sensors."""
-    heard = _identified(timeline).filter(F.col("rssi_dbm").isNotNull())
+    heard = _identified(timeline).filter(plausible_signal())
     per_sensor = (
         heard.withColumn("window_start", _window_start(seconds))
         .groupBy("device_id_hash", "window_start", "sensor_id")
@@ -119,16 +139,17 @@ def rssi_gradient(timeline: DataFrame, seconds: int = 30) -> DataFrame:
 
 
 def device_features(timeline: DataFrame, settings: Settings) -> DataFrame:
-    """Feature row per identified device as of ``settings.now``."""
+    """Feature row per identified device as of ``settings.now``; nothing later is looked at."""
     day_ago = settings.now - F.expr("INTERVAL 24 HOURS")
-    recent = (F.col("event_time") > day_ago) & (F.col("event_time") <= settings.now)
+    timeline = timeline.filter(F.col("event_time") <= settings.now)
+    recent = F.col("event_time") > day_ago
     features = (
         _identified(timeline)
         .groupBy("device_id_hash")
         .agg(
             F.count_if(recent).alias("sighting_count_24h"),
             F.min("event_time").alias("first_seen_ever"),
-            F.max("rssi_dbm").alias("max_rssi_ever"),
+            F.max(F.when(plausible_signal(), F.col("rssi_dbm"))).alias("max_rssi_ever"),
             F.max(is_randomized()).alias("randomized_address"),
             F.count_distinct("sensor_id").alias("unique_sensor_count"),
         )
@@ -250,9 +271,7 @@ def unknown_device_topk(timeline: DataFrame, features: DataFrame, k: int = 10) -
 
 def sensor_fusion(timeline: DataFrame, seconds: int = 30) -> DataFrame:
     """Position of a device per window: sensor positions weighted by received amplitude."""
-    usable = _identified(timeline).filter(
-        "rssi_dbm IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL"
-    )
+    usable = _identified(timeline).filter(plausible_signal() & plausible_position())
     weighted = usable.withColumns(
         {
             "window_start": _window_start(seconds),

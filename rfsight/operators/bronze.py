@@ -12,8 +12,9 @@ from rfsight.operators.expectations import BRONZE
 
 
 def day_of(timestamp: str | Column) -> Column:
-    """Partition key: the UTC day as text."""
-    return F.to_date(timestamp).cast("string")
+    """Partition key: the UTC day as text, whatever the session's time zone."""
+    days = F.floor(F.unix_micros(timestamp) / F.lit(86_400_000_000)).cast("int")
+    return F.date_from_unix_date(days).cast("string")
 
 
 def with_event_id(df: DataFrame, protocol: str) -> DataFrame:
@@ -40,7 +41,7 @@ def drop_late(df: DataFrame, settings: Settings) -> DataFrame:
 
 def to_bronze(stamped: DataFrame, protocol: str, settings: Settings, observation=None) -> DataFrame:
     """Age filter and bronze expectations over rows that already carry id and stamps."""
-    kept = BRONZE.enforce(drop_late(stamped, settings), settings, observation)
+    kept = BRONZE[protocol].enforce(drop_late(stamped, settings), settings, observation)
     return conform(kept, f"{protocol}_bronze")
 
 

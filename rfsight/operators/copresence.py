@@ -73,13 +73,13 @@ def copresence_pairs(
     return wifi.join(bt, on & near).withColumnRenamed("wifi_sensor_id", "sensor_id").drop(*helpers)
 
 
-def copresence_events(
+def copresence_rows(
     wifi_silver: DataFrame, bt_silver: DataFrame, settings: Settings, salts: int = 1
 ) -> DataFrame:
-    """Pairs with an id, their time window and the mean confidence as score."""
+    """Pairs with an id, their time window and the mean confidence as score, before any rule."""
     start = F.least("wifi_event_time", "bt_event_time")
     sureness = [F.coalesce(F.col(f"{p}_confidence"), F.lit(0.5)) for p in ("wifi", "bt")]
-    events = project(
+    return project(
         copresence_pairs(wifi_silver, bt_silver, settings, salts),
         "copresence_events",
         {
@@ -91,7 +91,12 @@ def copresence_events(
             "ingest_time": settings.now,
         },
     )
-    return COPRESENCE.enforce(events, settings)
+
+
+def copresence_events(
+    wifi_silver: DataFrame, bt_silver: DataFrame, settings: Settings, salts: int = 1, observation=None
+) -> DataFrame:
+    return COPRESENCE.enforce(copresence_rows(wifi_silver, bt_silver, settings, salts), settings, observation)
 
 
 def copresence_counts(timeline: DataFrame, settings: Settings, chunk_seconds: int = 3600) -> DataFrame:

@@ -118,14 +118,12 @@ _SILVER_DROPS = [
 _CONFIDENCE = Expectation("confidence_valid", "confidence IS NULL OR confidence BETWEEN 0 AND 1")
 _PAIRED = Expectation("coordinates_paired", "(latitude IS NULL) = (longitude IS NULL)")
 
-BRONZE = ExpectationSet.of(
-    "observations_bronze",
-    [
-        Expectation("valid_sensor_id", _HAS_SENSOR),
-        Expectation("valid_event_time", _HAS_TIME),
-        Expectation("event_not_future", "event_time <= {now} + INTERVAL {future_minutes} MINUTES", DROP),
-    ],
-)
+_BRONZE_RULES = [
+    Expectation("valid_sensor_id", _HAS_SENSOR),
+    Expectation("valid_event_time", _HAS_TIME),
+    Expectation("event_not_future", "event_time <= {now} + INTERVAL {future_minutes} MINUTES", DROP),
+]
+BRONZE = {p: ExpectationSet.of(f"{p}_bronze", _BRONZE_RULES) for p in ("wifi", "bt")}
 SILVER = {
     "wifi": ExpectationSet.of(
         "wifi_silver",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rfsight.config import Settings
-from rfsight.functions.identity import hash_identifier
+from rfsight.functions.identity import bare_identifier, hash_identifier
 
 # --- fixed values: Bluetooth company ids -------------------------------------------------------
 MANUFACTURERS = {
@@ -56,10 +56,21 @@ def identifier_lookup(bronze: DataFrame, column: str, protocol: str, settings: S
     return pairs.distinct()
 
 
-def reidentify(df: DataFrame, lookup: DataFrame, hash_column: str) -> DataFrame:
-    """Attach raw addresses to hashed rows; a hash seen in several notations yields one row each."""
-    pairs = lookup.withColumnRenamed("identifier_hash", hash_column)
-    return df.join(pairs, hash_column, "left")
+def address_book(wifi_bronze: DataFrame, bt_bronze: DataFrame, settings: Settings) -> DataFrame:
+    """(protocol, identifier_hash, raw_identifier) of both protocols, one row per hash: the address in its bare
+    form, which all its notations have in common. Restricted, as :func:`identifier_lookup`."""
+
+    def of(bronze: DataFrame, column: str, protocol: str, name: str) -> DataFrame:
+        hashed = hash_identifier(column, protocol, settings.salt_for(protocol)).alias("identifier_hash")
+        bare = bare_identifier(column, protocol).alias("raw_identifier")
+        return bronze.filter(F.col(column).isNotNull()).select(F.lit(name).alias("protocol"), hashed, bare).distinct()
+
+    return of(wifi_bronze, "bssid", "wifi", "WIFI").unionByName(of(bt_bronze, "device_address", "bt", "BLUETOOTH"))
+
+
+def reidentify(df: DataFrame, book: DataFrame, hash_column: str) -> DataFrame:
+    """Attach the raw address to hashed rows that carry their protocol; as many rows come out as go in."""
+    return df.join(book.withColumnRenamed("identifier_hash", hash_column), ["protocol", hash_column], "left")
 
 
 def novel_device(timeline: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rfsight.config import Settings
+from rfsight.operators.bronze import day_of
 from rfsight.operators.expectations import ExpectationSet
 
 
@@ -45,8 +46,7 @@ def quarantine_ratio(
 ) -> DataFrame:
     """Quarantined share of bronze volume per ingest day."""
     held = quarantine.groupBy("event_date").agg(F.count(F.lit(1)).alias("quarantined"))
-    day = F.to_date("ingest_time").cast("string")
-    total = bronze.groupBy(day.alias("event_date")).agg(F.count(F.lit(1)).alias("bronze_rows"))
+    total = bronze.groupBy(day_of("ingest_time").alias("event_date")).agg(F.count(F.lit(1)).alias("bronze_rows"))
     both = total.join(held, "event_date", "full")
     pct = F.try_divide(F.col("quarantined") * F.lit(100.0), F.col("bronze_rows"))
     return (

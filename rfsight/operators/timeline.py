@@ -12,8 +12,8 @@ from rfsight.functions.identity import digest
 from rfsight.operators.expectations import ALERTS, TIMELINE
 
 
-def device_timeline(wifi_silver: DataFrame, bt_silver: DataFrame, settings: Settings) -> DataFrame:
-    """UNION ALL of both silver tables: no shuffle, and no deduplication across protocols."""
+def timeline_rows(wifi_silver: DataFrame, bt_silver: DataFrame) -> DataFrame:
+    """UNION ALL of both silver tables, before any rule: no shuffle, and no deduplication across protocols."""
     nothing = F.lit(None).cast("string")
     wifi = project(
         wifi_silver,
@@ -35,7 +35,13 @@ def device_timeline(wifi_silver: DataFrame, bt_silver: DataFrame, settings: Sett
             "protocol_detail": F.col("protocol_subtype"),
         },
     )
-    return TIMELINE.enforce(wifi.unionByName(bt), settings)
+    return wifi.unionByName(bt)
+
+
+def device_timeline(
+    wifi_silver: DataFrame, bt_silver: DataFrame, settings: Settings, observation=None
+) -> DataFrame:
+    return TIMELINE.enforce(timeline_rows(wifi_silver, bt_silver), settings, observation)
 
 
 def alert_candidates(timeline: DataFrame, settings: Settings) -> DataFrame:
@@ -57,16 +63,20 @@ def threat_score(settings: Settings) -> Column:
     return F.round(proximity * certainty * weight, 3)
 
 
-def perimeter_alerts(timeline: DataFrame, settings: Settings) -> DataFrame:
+def alert_rows(timeline: DataFrame, settings: Settings) -> DataFrame:
+    """Scored alerts before any rule."""
     reasoned = alert_candidates(timeline, settings).withColumn("alert_reasons", tags.alert_reasons())
-    scored = reasoned.filter(F.size("alert_reasons") > 0).withColumns(
+    return reasoned.filter(F.size("alert_reasons") > 0).withColumns(
         {
             "threat_score": threat_score(settings),
             "alert_id": digest("event_id", F.lit("ALERT")),
             "ingest_time": settings.now,
         }
     )
-    return conform(ALERTS.enforce(scored, settings), "perimeter_alerts")
+
+
+def perimeter_alerts(timeline: DataFrame, settings: Settings, observation=None) -> DataFrame:
+    return conform(ALERTS.enforce(alert_rows(timeline, settings), settings, observation), "perimeter_alerts")
 
 
 def high_threat(alerts: DataFrame, above: float = 0.9) -> DataFrame:

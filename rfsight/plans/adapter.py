@@ -72,12 +72,6 @@ def _rssi(low: int) -> str:
         WHEN e % 25 <> 0 THEN -30 - (e * 7) % 75 END AS int)"""
 
 
-def _spread(scan: DataFrame) -> DataFrame:
-    """Use every core where the input is one small file; a scan with enough splits is left alone."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def base(spark: SparkSession, sf_dir: str, *digests: str) -> DataFrame:
     """One row per arrival: e (event id), u (user), is_wifi, ms, ingest_ms, sensor_id, idx, copy.
 
@@ -87,7 +81,7 @@ def base(spark: SparkSession, sf_dir: str, *digests: str) -> DataFrame:
         "event_id AS e", "user_id AS u", "event_type", "ts"
     )
     kinds = ", ".join(map(_text, WIFI_EVENTS))
-    arrivals = _spread(events).selectExpr(
+    arrivals = events.selectExpr(
         "e",
         "u",
         f"event_type IN ({kinds}) AS is_wifi",

@@ -7,8 +7,8 @@ Queries that exercise files or streams write the adapter's rows to the shared fo
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
-from functools import cached_property
+from dataclasses import dataclass, replace
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,14 +19,15 @@ from rfsight.contracts import BT, WIFI, conform, contract
 from rfsight.functions import address, signal, tags, vocabulary
 from rfsight.functions.identity import event_key, hash_identifier, vendor_oui
 from rfsight.operators import analytics, bronze, clusters, expectations, lookup, outbox, reports
-from rfsight.operators.copresence import copresence_counts, copresence_events, copresence_pairs
+from rfsight.operators.copresence import copresence_counts, copresence_events, copresence_pairs, copresence_rows
 from rfsight.operators.dedup import dedup_batch, dedup_stream, first_per_window
-from rfsight.operators.timeline import alert_candidates, device_timeline, high_threat
+from rfsight.operators.silver import NORMALIZERS
+from rfsight.operators.timeline import alert_candidates, alert_rows, device_timeline, high_threat, timeline_rows
 from rfsight.plans import adapter
 from rfsight.plans import oracle as o
 from rfsight.plans.medallion import Medallion, backfill, with_stamps
 from rfsight.sources import landing, scan_dump, tables
-from rfsight.streaming import flows
+from rfsight.streaming import flows, metrics
 
 
 @dataclass(frozen=True)
@@ -85,9 +86,18 @@ class Views:
     @property
     def quarantine(self) -> DataFrame:
         """Rescued rows stamped with the time the adapter received them."""
+        return bronze.to_quarantine(self._parsed_lines, WIFI, self.settings)
+
+    @property
+    def parsed_bronze(self) -> DataFrame:
+        """Bronze rows of the same lines."""
+        rows = landing.stamp(self._parsed_lines, WIFI, self.settings).withColumn("ingest_time", F.col("received"))
+        return bronze.to_bronze(rows, WIFI, self.settings)
+
+    @property
+    def _parsed_lines(self) -> DataFrame:
         rows = landing.parse_lines(self.lines, WIFI).withColumn("ingest_time", F.col("received"))
-        stamped = rows.withColumn("event_date", bronze.day_of("event_time"))
-        return bronze.to_quarantine(stamped, WIFI, self.settings)
+        return rows.withColumn("event_date", bronze.day_of("event_time"))
 
     @property
     def outbox(self) -> DataFrame:
@@ -550,7 +560,7 @@ def _(views):
 
 @query("future_filter", f"SELECT e, event_time FROM bt_landed WHERE event_time <= {o.NOW + 300_000_000}")
 def _(views):
-    return expectations.BRONZE.enforce(views.landed(BT), views.settings).select("e", "event_time")
+    return expectations.BRONZE[BT].enforce(views.landed(BT), views.settings).select("e", "event_time")
 
 
 _BROKEN_SQL = """concat_ws(',', CASE WHEN NOT (rssi_dbm IS NULL OR rssi_dbm BETWEEN -100 AND 0)
@@ -602,12 +612,15 @@ _DROPS_SQL = [
 _CONF_SQL = ("confidence_valid", "warn", "(confidence IS NULL OR confidence BETWEEN 0 AND 1)")
 _PAIR_SQL = ("coordinates_paired", "warn", "((latitude IS NULL) = (longitude IS NULL))")
 _RULES_SQL = {
-    "bronze": _rules_sql("observations_bronze", "wifi_landed", [
-        ("valid_sensor_id", "warn", "length(sensor_id) > 0"),
-        ("valid_event_time", "warn", "event_time IS NOT NULL"),
-        ("event_not_future", "drop", f"event_time <= {o.NOW + 300_000_000}"),
-    ]),
-    WIFI: _rules_sql("wifi_silver", "wifi_bronze", [
+    "bronze": " UNION ALL ".join(
+        _rules_sql(f"{p}_bronze", f"(SELECT * FROM {p}_landed WHERE event_time >= {o.NOW - 7 * o.DAY})", [
+            ("valid_sensor_id", "warn", "length(sensor_id) > 0"),
+            ("valid_event_time", "warn", "event_time IS NOT NULL"),
+            ("event_not_future", "drop", f"event_time <= {o.NOW + 300_000_000}"),
+        ])
+        for p in (WIFI, BT)
+    ),
+    WIFI: _rules_sql("wifi_silver", "wifi_unique", [
         *_DROPS_SQL,
         ("rssi_plausible", "warn", "(rssi_dbm IS NULL OR rssi_dbm BETWEEN -100 AND 0)"),
         _CONF_SQL,
@@ -615,7 +628,7 @@ _RULES_SQL = {
         ("valid_latitude", "warn", "(latitude IS NULL OR latitude BETWEEN -90 AND 90)"),
         ("valid_longitude", "warn", "(longitude IS NULL OR longitude BETWEEN -180 AND 180)"),
     ]),
-    BT: _rules_sql("bt_silver", "bt_bronze", [
+    BT: _rules_sql("bt_silver", "bt_unique", [
         *_DROPS_SQL,
         ("rssi_plausible", "warn", "(rssi_dbm IS NULL OR rssi_dbm BETWEEN -110 AND 20)"),
         _CONF_SQL,
@@ -635,36 +648,65 @@ _RULES_SQL = {
 }
 
 
-def _normal(views: Views, protocol: str) -> DataFrame:
-    """Normalised bronze rows before any silver rule has run."""
-    from rfsight.operators.silver import NORMALIZERS
+def _checks(views: Views, *tables_named: str) -> list[tuple[expectations.ExpectationSet, DataFrame]]:
+    """Each table's rules with the rows that its flow runs them over: what is not late, what is unique, and gold rows
+    before their own drops."""
+    own = views.settings
+    checks = {}
+    for p in (WIFI, BT):
+        checks[f"{p}_bronze"] = (expectations.BRONZE[p], bronze.drop_late(views.medallion.landed(p), own))
+        checks[f"{p}_silver"] = (expectations.SILVER[p], NORMALIZERS[p](dedup_batch(views.bronze(p)), own))
+    silver = views.silver(WIFI), views.silver(BT)
+    checks["device_timeline"] = (expectations.TIMELINE, timeline_rows(*silver))
+    checks["copresence_events"] = (expectations.COPRESENCE, copresence_rows(*silver, own))
+    checks["perimeter_alerts"] = (expectations.ALERTS, alert_rows(views.timeline, own))
+    return [checks[name] for name in (tables_named or checks)]
 
-    return NORMALIZERS[protocol](views.bronze(protocol), views.settings)
+
+def _report(views: Views, *tables_named: str) -> DataFrame:
+    lines = [rules.report(rows, views.settings) for rules, rows in _checks(views, *tables_named)]
+    return reduce(DataFrame.unionByName, lines)
 
 
 @query("rules_bronze", _RULES_SQL["bronze"])
 def _(views):
-    return expectations.BRONZE.report(views.landed(WIFI), views.settings)
+    return _report(views, "wifi_bronze", "bt_bronze")
 
 
 @query("rules_silver_wifi", _RULES_SQL[WIFI])
 def _(views):
-    return expectations.SILVER[WIFI].report(_normal(views, WIFI), views.settings)
+    return _report(views, "wifi_silver")
 
 
 @query("rules_silver_bt", _RULES_SQL[BT])
 def _(views):
-    return expectations.SILVER[BT].report(_normal(views, BT), views.settings)
+    return _report(views, "bt_silver")
 
 
 @query("rules_gold", " UNION ALL ".join(_RULES_SQL[k] for k in ("timeline", "pairs", "alerts")))
 def _(views):
-    lines = [
-        expectations.TIMELINE.report(views.timeline, views.settings),
-        expectations.COPRESENCE.report(views.copresence, views.settings),
-        expectations.ALERTS.report(views.alerts, views.settings),
-    ]
-    return lines[0].unionByName(lines[1]).unionByName(lines[2])
+    return _report(views, "device_timeline", "copresence_events", "perimeter_alerts")
+
+
+def _streamed(views: Views) -> tables.Layout:
+    """One trigger of the streaming medallion over landing files of both protocols."""
+    layout = views.scratch("medallion")
+    for protocol in (WIFI, BT):
+        payload = views.landed(protocol).select(*contract(f"{protocol}_payload").fieldNames())
+        landing.export_ndjson(payload, layout.landing(protocol), by=None)
+    flows.run_pipeline(views.spark, layout, views.settings)
+    return layout
+
+
+@query("pipeline_stream", f"SELECT {_ALERT_SQL} FROM alerts")
+def _(views):
+    return tables.read_table(views.spark, _streamed(views), "perimeter_alerts")
+
+
+@query("expectation_log", " UNION ALL ".join(_RULES_SQL.values()))
+def _(views):
+    log = metrics.read_log(views.spark, _streamed(views))
+    return log.groupBy("table_name", "expectation", "action").agg(F.sum("failed").alias("failed"), F.sum("passed").alias("passed"))
 
 
 @query(
@@ -716,7 +758,7 @@ def _(views):
 )
 def _(views):
     """Two triggers on one checkpoint: rows in time, then the late ones and a replay of the first."""
-    rows = expectations.BRONZE.enforce(views.medallion.landed(BT), views.settings)
+    rows = expectations.BRONZE[BT].enforce(views.medallion.landed(BT), views.settings)
     fresh = bronze.drop_late(rows, views.settings)
     layout = views.scratch("late")
     for arrival in (fresh, rows):
@@ -797,14 +839,13 @@ def _(views):
 
 @query(
     "reidentified_alerts",
-    f"""SELECT alert_id, device_id_hash, raw_identifier FROM alerts LEFT JOIN (SELECT DISTINCT
-    {o.MAC_HASH("bssid")} AS h, bssid AS raw_identifier FROM wifi_bronze WHERE bssid IS NOT NULL) i
-    ON device_id_hash = h""",
+    """SELECT alert_id, a.protocol, device_id_hash, raw AS raw_identifier FROM alerts a
+    LEFT JOIN book ON device_id_hash = h AND a.protocol = book.protocol""",
 )
 def _(views):
-    pairs = lookup.identifier_lookup(views.bronze(WIFI), "bssid", WIFI, views.settings)
-    named = lookup.reidentify(views.alerts, pairs, "device_id_hash")
-    return named.select("alert_id", "device_id_hash", "raw_identifier")
+    book = lookup.address_book(views.bronze(WIFI), views.bronze(BT), views.settings)
+    named = lookup.reidentify(views.alerts, book, "device_id_hash")
+    return named.select("alert_id", "protocol", "device_id_hash", "raw_identifier")
 
 
 @query(
@@ -879,8 +920,8 @@ def _(views):
     sum(n)::BIGINT AS reading_count, count(DISTINCT sensor_id)::INTEGER AS sensor_count FROM (
       SELECT device_id_hash, event_time - event_time % 30000000 AS window_start, sensor_id, count(*) AS n,
         concat_ws('/', sensor_id, rssi_dbm, latitude, longitude, count(*)) AS reading
-      FROM timeline GROUP BY device_id_hash, event_time - event_time % 30000000, sensor_id, rssi_dbm, latitude,
-        longitude)
+      FROM timeline WHERE device_id_hash IS NOT NULL
+      GROUP BY device_id_hash, event_time - event_time % 30000000, sensor_id, rssi_dbm, latitude, longitude)
     GROUP BY device_id_hash, window_start HAVING sum(n) > 1""",
 )
 def _(views):
@@ -896,7 +937,8 @@ def _(views):
       AS strongest_sensor, max(best) AS strongest_rssi_dbm, max(best) - min(worst) AS rssi_spread_db,
       count(*) AS sensor_count FROM (SELECT device_id_hash, event_time - event_time % 30000000 AS window_start,
         sensor_id, max(rssi_dbm) AS best, min(rssi_dbm) AS worst FROM timeline
-        WHERE device_id_hash IS NOT NULL AND rssi_dbm IS NOT NULL GROUP BY ALL)
+        WHERE device_id_hash IS NOT NULL AND rssi_dbm IS NOT NULL
+          AND NOT list_contains(dq_flags, 'RSSI_OUT_OF_RANGE') GROUP BY ALL)
     GROUP BY device_id_hash, window_start""",
 )
 def _(views):
@@ -908,6 +950,13 @@ def _(views):
     return views.features
 
 
+@query("device_features_early", o.features(1_704_078_000_000_000))
+def _(views):
+    """As of three o'clock, inside the data."""
+    early = replace(views.settings, as_of="2024-01-01T03:00:00Z")
+    return analytics.device_features(views.stored_timeline, early)
+
+
 @query(
     "sighting_frequency",
     """SELECT device_id_hash, protocol, event_time - event_time % 3600000000 AS hour_start,
@@ -965,8 +1014,8 @@ _AMPLITUDE = "pow(10e0, rssi_dbm / 20e0)"
     count(DISTINCT sensor_id) AS sensor_count, count(*) AS reading_count, max(rssi_dbm) AS strongest_rssi_dbm,
     {o.HALF_UP(f"sum(latitude * {_AMPLITUDE}) / sum({_AMPLITUDE})", 6)} AS latitude,
     {o.HALF_UP(f"sum(longitude * {_AMPLITUDE}) / sum({_AMPLITUDE})", 6)} AS longitude
-    FROM timeline WHERE device_id_hash IS NOT NULL AND rssi_dbm IS NOT NULL AND latitude IS NOT NULL
-      AND longitude IS NOT NULL GROUP BY device_id_hash, event_time - event_time % 30000000""",
+    FROM timeline WHERE device_id_hash IS NOT NULL AND rssi_dbm IS NOT NULL AND latitude BETWEEN -90 AND 90
+      AND longitude BETWEEN -180 AND 180 AND NOT list_contains(dq_flags, 'RSSI_OUT_OF_RANGE') GROUP BY device_id_hash, event_time - event_time % 30000000""",
 )
 def _(views):
     return analytics.sensor_fusion(views.timeline)
@@ -979,17 +1028,11 @@ def _(views):
     "dq_failure_rate",
     f"""SELECT table_name, expectation, action, failed AS failed_records, passed AS passed_records,
     {o.HALF_UP("failed * 100e0 / (failed + passed)", 2)} AS failure_pct
-    FROM ({" UNION ALL ".join(_RULES_SQL[k] for k in ("bronze", WIFI, BT, "timeline"))})
+    FROM ({" UNION ALL ".join(_RULES_SQL.values())})
     ORDER BY failure_pct DESC, table_name, expectation""",
 )
 def _(views):
-    checks = [
-        (expectations.BRONZE, views.landed(WIFI)),
-        (expectations.SILVER[WIFI], _normal(views, WIFI)),
-        (expectations.SILVER[BT], _normal(views, BT)),
-        (expectations.TIMELINE, views.timeline),
-    ]
-    return reports.dq_failure_rate(checks, views.settings)
+    return reports.dq_failure_rate(_checks(views), views.settings)
 
 
 _INGEST_DAY = o.DAY_OF("ingest_ms * 1000")
@@ -1009,12 +1052,13 @@ def _(views):
     f"""SELECT event_date, bronze_rows, quarantined, ratio_pct, ratio_pct > 1 AS alert, ratio_pct < 0.5 AS within_slo
     FROM (SELECT *, CASE WHEN bronze_rows > 0 THEN {o.HALF_UP("quarantined * 100e0 / bronze_rows", 3)} END AS ratio_pct
       FROM (SELECT event_date, coalesce(b, 0) AS bronze_rows, coalesce(q, 0) AS quarantined FROM
-        (SELECT {o.DAY_OF("ingest_time")} AS event_date, count(*) AS b FROM wifi_bronze GROUP BY 1)
+        (SELECT {_INGEST_DAY} AS event_date, count(*) AS b FROM rescued WHERE fault <> 0
+          AND ms * 1000 BETWEEN {o.NOW - 7 * o.DAY} AND {o.NOW + 300_000_000} GROUP BY 1)
         FULL JOIN (SELECT {_INGEST_DAY} AS event_date, count(*) AS q FROM rescued WHERE _rescued_data IS NOT NULL
           GROUP BY 1) USING (event_date)))""",
 )
 def _(views):
-    return reports.quarantine_ratio(views.quarantine, views.bronze(WIFI))
+    return reports.quarantine_ratio(views.quarantine, views.parsed_bronze)
 
 
 @query(

@@ -7,9 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rfsight.config import Settings
+from rfsight.config import Settings, pin_session
 from rfsight.contracts import BT, WIFI
-from rfsight.operators.bronze import to_bronze, to_quarantine, with_event_id
+from rfsight.operators.bronze import day_of, to_bronze, to_quarantine, with_event_id
 from rfsight.operators.copresence import copresence_events
 from rfsight.operators.silver import to_silver
 from rfsight.operators.timeline import device_timeline, perimeter_alerts
@@ -49,19 +49,23 @@ def with_stamps(payload: DataFrame, protocol: str, settings: Settings) -> DataFr
     return with_event_id(payload, protocol).withColumns(
         {
             "_rescued_data": F.lit(None).cast("string"),
-            "event_date": F.to_date("event_time").cast("string"),
+            "event_date": day_of("event_time"),
             "pipeline_id": F.lit(settings.run_id),
         }
     )
 
 
 def backfill(spark: SparkSession, layout: Layout, settings: Settings) -> None:
-    """Rebuild every table from the landing folders, however old their rows are.
+    """Build every table from the landing folders, however old their rows are, in a layout without streams.
+
+    A layout that has streamed is left alone (the writer refuses): use ``flows.replay``, which makes a new
+    generation of tables and checkpoints.
 
     A stream would drop history behind its watermark, so this is a batch: widen ``bronze_late_days``
     and ``late_drop_days`` in ``settings`` to the age of the data. Each layer reads the table written
     before it, so no layer is computed twice and a failed run can start again from the last one.
     """
+    pin_session(spark)
     for protocol in (WIFI, BT):
         landed = read_landing(spark, layout.landing(protocol), protocol, settings)
         write_table(to_bronze(landed, protocol, settings), layout, f"{protocol}_bronze", "overwrite")

@@ -146,6 +146,29 @@ def _silver(protocol: str, body: str) -> str:
           AND event_time >= {_NOW - 7 * _DAY}"""
 
 
+def _unique(protocol: str) -> str:
+    return f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ingest_time, source_path) AS rn
+        FROM {protocol}_bronze) WHERE rn = 1"""
+
+
+def features(now: int) -> str:
+    """Feature rows as of a time: nothing after it counts."""
+    return f"""SELECT t.device_id_hash, count(*) FILTER (event_time > {now - _DAY}) AS sighting_count_24h,
+        min(event_time) AS first_seen_ever, min(event_time) > {now - _DAY} AS is_new,
+        max(rssi_dbm) FILTER (NOT list_contains(dq_flags, 'RSSI_OUT_OF_RANGE')) AS max_rssi_ever,
+        coalesce(any_value(c.n), 0) AS copresence_count,
+        bool_or(list_contains(dq_flags, 'RANDOMIZED_MAC') OR list_contains(dq_flags, 'RANDOMIZED_ADDRESS'))
+          AS randomized_address, count(DISTINCT sensor_id) AS unique_sensor_count
+        FROM timeline t LEFT JOIN (SELECT h, count(*) AS n FROM (
+          SELECT wifi_device_hash AS h FROM pairs WHERE window_end <= {now}
+          UNION ALL SELECT bt_device_hash FROM pairs WHERE window_end <= {now}) GROUP BY h) c ON t.device_id_hash = c.h
+        WHERE t.device_id_hash IS NOT NULL AND event_time <= {now} GROUP BY t.device_id_hash"""
+
+
+def bare(column: str, pattern: str) -> str:
+    return f"lower(regexp_replace({column}, '{pattern}', '', 'g'))"
+
+
 def _bronze(protocol: str, key: str) -> str:
     return f"""SELECT *, {key} AS event_id, {_day("event_time")} AS event_date, '{a.RUN_ID}' AS pipeline_id
         FROM {protocol}_landed
@@ -198,6 +221,8 @@ CTES: dict[str, str] = {
         NULL::VARCHAR AS vendor_oui FROM base WHERE NOT is_wifi""",
     "wifi_bronze": _bronze("wifi", EVENT_ID_WIFI),
     "bt_bronze": _bronze("bt", EVENT_ID_BT),
+    "wifi_unique": _unique("wifi"),
+    "bt_unique": _unique("bt"),
     "wifi_silver": _silver(
         "wifi",
         f"""{_HEAD}, {_mac("bssid")} AS bssid_hash, ssid, channel, frequency_mhz, {BAND} AS band, rssi_dbm, snr_db,
@@ -237,15 +262,10 @@ CTES: dict[str, str] = {
         {half_up("sum(round(copresence_score * 1000)::BIGINT)::DOUBLE / count(*) / 1000e0", 6)} AS mean_score,
         count(DISTINCT sensor_id) AS sensor_count, min(window_start) AS first_seen, max(window_end) AS last_seen
         FROM pairs WHERE wifi_device_hash IS NOT NULL AND bt_device_hash IS NOT NULL GROUP BY ALL""",
-    "features": f"""SELECT t.device_id_hash,
-        count(*) FILTER (event_time > {_NOW - _DAY} AND event_time <= {_NOW}) AS sighting_count_24h,
-        min(event_time) AS first_seen_ever, min(event_time) > {_NOW - _DAY} AS is_new,
-        max(rssi_dbm) AS max_rssi_ever, coalesce(any_value(c.n), 0) AS copresence_count,
-        bool_or(list_contains(dq_flags, 'RANDOMIZED_MAC') OR list_contains(dq_flags, 'RANDOMIZED_ADDRESS'))
-          AS randomized_address, count(DISTINCT sensor_id) AS unique_sensor_count
-        FROM timeline t LEFT JOIN (SELECT h, count(*) AS n FROM (SELECT wifi_device_hash AS h FROM pairs
-          UNION ALL SELECT bt_device_hash FROM pairs) GROUP BY h) c ON t.device_id_hash = c.h
-        WHERE t.device_id_hash IS NOT NULL GROUP BY t.device_id_hash""",
+    "features": features(_NOW),
+    "book": f"""SELECT DISTINCT 'WIFI' AS protocol, {_mac("bssid")} AS h, {bare("bssid", "[:.-]")} AS raw
+        FROM wifi_bronze WHERE bssid IS NOT NULL UNION ALL SELECT DISTINCT 'BLUETOOTH', {_addr("device_address")},
+        {bare("device_address", "[:. -]")} FROM bt_bronze WHERE device_address IS NOT NULL""",
     "outbox": """SELECT e AS id, CASE WHEN is_wifi THEN 'wifi' ELSE 'bt' END AS protocol, ms * 1000 AS created_at,
         CASE WHEN e % 7 <> 0 THEN (ms + 60000) * 1000 END AS uploaded_at FROM base WHERE copy = 0""",
     "lines": """SELECT e, sensor_id, ms, ingest_ms, 'landing/part-' || (e % 16) AS source_path,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,11 +77,15 @@ def parse_scan_dump(dumps: DataFrame) -> DataFrame:
     again after a lost executor yields the same rows.
     """
     cells = scan_cells(dumps).withColumns({name: _found(name) for name in PATTERNS})
-    named = cells.filter(F.col("address").isNotNull()).withColumns(
-        {"bssid": F.lower("address"), "ghz": F.col("ghz").cast("double")}
-    )
+    numbers = {name: F.col(name).try_cast("int") for name in ("channel", "signal", "noise", "quality", "quality_scale")}
+    ghz = F.col("ghz").try_cast("double")
+    numbers["ghz"] = F.when(ghz.between(0, 1000), ghz)
+    # a cell with a number that isn't one is skipped, and costs no other cell
+    sound = [F.col(name).isNull() | value.isNotNull() for name, value in numbers.items()]
+    cells = cells.filter(F.col("address").isNotNull() & reduce(and_, sound))
+    named = cells.withColumns(numbers | {"bssid": F.lower("address")})
     ghz = F.when(F.col("ghz") != 0, F.col("ghz"))
-    level, noise = F.col("signal").cast("int"), F.col("noise").cast("int")
+    level, noise = F.col("signal"), F.col("noise")
     cipher, auth = scan_encryption()
     absent = F.lit(None)
     derived = {

@@ -15,15 +15,24 @@ from rfsight.contracts import PARTITIONS, contract
 
 @dataclass(frozen=True)
 class Layout:
-    """Where tables and checkpoints live below one root."""
+    """Where tables and checkpoints live below one root, in one of its generations."""
 
     root: str
+    generation: str = ""
+
+    @property
+    def base(self) -> str:
+        return f"{self.root}/generations/{self.generation}" if self.generation else self.root
+
+    def fresh(self) -> Layout:
+        """An unused generation over the same landing folders."""
+        return Layout(self.root, uuid.uuid4().hex)
 
     def table(self, name: str) -> str:
-        return f"{self.root}/tables/{name}"
+        return f"{self.base}/tables/{name}"
 
     def checkpoint(self, name: str) -> str:
-        return f"{self.root}/checkpoints/{name}"
+        return f"{self.base}/checkpoints/{name}"
 
     def landing(self, protocol: str) -> str:
         return f"{self.root}/landing/{protocol}"
@@ -32,14 +41,17 @@ class Layout:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` as the cluster names it.
 
-    Only where the session names none (a local test) is a temporary folder made and set.
+    Only a local session that names none, as in a test, gets a temporary folder; on a cluster every executor would
+    write to a disk of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if not named:
-        current = spark.sparkContext.getCheckpointDir()
-        named = current or tempfile.mkdtemp(prefix="rfsight-")
+        named = spark.sparkContext.getCheckpointDir()
+        if not named and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        named = named or tempfile.mkdtemp(prefix="rfsight-")
         spark.conf.set("spark.checkpoint.dir", named)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
@@ -51,6 +63,34 @@ def scratch_layout(spark: SparkSession, label: str) -> Layout:
     return Layout(f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def is_streamed(spark: SparkSession, layout: Layout, name: str) -> bool:
+    """Whether a stream has written the table; batch writes would then be lost to readers, or destroy it."""
+    return _exists(spark, f"{layout.table(name)}/_spark_metadata")
+
+
+_PUBLISHED = "generation string, published timestamp"
+
+
+def publish(spark: SparkSession, layout: Layout) -> None:
+    """Make a generation the current one. The list is only ever appended to, so readers see the old one or the new."""
+    line = spark.createDataFrame([(layout.generation,)], "generation string")
+    line = line.withColumn("published", F.current_timestamp())
+    line.coalesce(1).write.mode("append").parquet(f"{layout.root}/published")
+
+
+def current_layout(spark: SparkSession, root: str) -> Layout:
+    """The layout of the generation published last, or of the root itself."""
+    if not _exists(spark, f"{root}/published"):
+        return Layout(root)
+    lines = spark.read.schema(_PUBLISHED).parquet(f"{root}/published")
+    return Layout(root, lines.agg(F.max_by("generation", "published")).first()[0])
+
+
 def read_table(
     spark: SparkSession, layout: Layout, name: str, streaming: bool = False, **options
 ) -> DataFrame:
@@ -63,6 +103,8 @@ def read_table(
 def write_table(df: DataFrame, layout: Layout, name: str, mode: str = "append") -> None:
     """Batch sink. Rebalancing by the partition columns avoids one small file per task and day,
     and splits a day that is far larger than the rest."""
+    if is_streamed(df.sparkSession, layout, name):
+        raise ValueError(f"{layout.table(name)} is written by a stream; replay into a new generation instead")
     keys = PARTITIONS[name]
     placed = df.hint("rebalance", *[F.col(k) for k in keys])
     placed.write.mode(mode).partitionBy(*keys).parquet(layout.table(name))

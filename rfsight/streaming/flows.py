@@ -11,14 +11,14 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rfsight.config import Settings
+from rfsight.config import Settings, pin_session
 from rfsight.contracts import BT, WIFI
 from rfsight.operators import analytics, expectations
 from rfsight.operators.copresence import copresence_events
 from rfsight.operators.silver import to_silver
 from rfsight.operators.timeline import device_timeline, perimeter_alerts
 from rfsight.sources.landing import ingest
-from rfsight.sources.tables import Layout, read_table, stream_table
+from rfsight.sources.tables import Layout, publish, read_table, stream_table
 from rfsight.streaming.metrics import append_log, finish
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -53,7 +53,7 @@ def run_bronze(spark: SparkSession, layout: Layout, protocol: str, settings: Set
     reports = finish(
         stream_table(bronze, layout, name), stream_table(quarantine, layout, f"{protocol}_quarantine")
     )
-    append_log(spark, layout, reports, expectations.BRONZE, name)
+    append_log(spark, layout, reports, expectations.BRONZE[protocol], name)
 
 
 def run_silver(
@@ -74,20 +74,26 @@ def run_silver(
 
 def run_timeline(spark: SparkSession, layout: Layout, settings: Settings) -> None:
     wifi, bt = (read_table(spark, layout, f"{p}_silver", streaming=True) for p in (WIFI, BT))
-    finish(stream_table(device_timeline(wifi, bt, settings), layout, "device_timeline"))
+    name = "device_timeline"
+    reports = finish(stream_table(device_timeline(wifi, bt, settings, name), layout, name))
+    append_log(spark, layout, reports, expectations.TIMELINE, name)
 
 
 def run_alerts(spark: SparkSession, layout: Layout, settings: Settings) -> None:
     timeline = read_table(spark, layout, "device_timeline", streaming=True)
-    finish(stream_table(perimeter_alerts(timeline, settings), layout, "perimeter_alerts"))
+    name = "perimeter_alerts"
+    reports = finish(stream_table(perimeter_alerts(timeline, settings, name), layout, name))
+    append_log(spark, layout, reports, expectations.ALERTS, name)
 
 
 def run_copresence(
-    spark: SparkSession, layout: Layout, settings: Settings, partitions: int | None = None
+    spark: SparkSession, layout: Layout, settings: Settings, partitions: int | None = None, salts: int = 1
 ) -> None:
+    name = "copresence_events"
     with state_settings(spark, partitions):
         wifi, bt = (read_table(spark, layout, f"{p}_silver", streaming=True) for p in (WIFI, BT))
-        finish(stream_table(copresence_events(wifi, bt, settings), layout, "copresence_events"))
+        reports = finish(stream_table(copresence_events(wifi, bt, settings, salts, name), layout, name))
+    append_log(spark, layout, reports, expectations.COPRESENCE, name)
 
 
 def run_sighting_windows(spark: SparkSession, layout: Layout) -> None:
@@ -117,6 +123,7 @@ def run_pipeline(
     spark: SparkSession, layout: Layout, settings: Settings, partitions: int | None = None, **options
 ) -> None:
     """One trigger of everything: bronze and silver of both protocols, then gold."""
+    pin_session(spark)
     for protocol in (WIFI, BT):
         run_bronze(spark, layout, protocol, settings, **options)
         run_silver(spark, layout, protocol, settings, partitions)
@@ -124,3 +131,17 @@ def run_pipeline(
     run_copresence(spark, layout, settings, partitions)
     run_alerts(spark, layout, settings)
     run_sighting_windows(spark, layout)
+
+
+def replay(spark: SparkSession, layout: Layout, settings: Settings, partitions: int | None = None) -> Layout:
+    """Rebuild everything from the landing folders as a new generation, and make it the current one.
+
+    Tables and checkpoints of a generation belong together, so a streamed table is never overwritten: the new ones
+    are streamed from the first file on, in one micro-batch each, where no row can be late. Widen
+    ``bronze_late_days`` and ``late_drop_days`` in ``settings`` to the age of the data. Readers and later triggers
+    use ``current_layout``; the old generation stays until it is deleted.
+    """
+    fresh = layout.fresh()
+    run_pipeline(spark, fresh, settings, partitions)
+    publish(spark, fresh)
+    return fresh

@@ -221,3 +221,51 @@ def test_scan_dump_files(spark, tmp_path, settings):
     )
     assert (first.encryption, first.auth_mode, first.ssid, first.vendor_oui) == ("WPA2", "PSK", "home", "aa:bb:cc")
     assert (second.encryption, second.auth_mode, second.ssid, second.rssi_dbm) == ("OPEN", None, None, None)
+
+
+def test_replay_then_further_triggers(spark, tmp_path):
+    """Stream, replay into a new generation, take one more file: as a batch over all files, and all readable."""
+    cfg = Settings(salt="pepper", as_of="2024-06-01T12:10:00Z", run_id="test")
+    layout = Layout(str(tmp_path / "live"))
+    for name, span in (("a", range(0, 20)), ("b", range(10, 30))):
+        for protocol, row in (("wifi", wifi), ("bt", bt)):
+            rows = [row(message_id=f"{protocol}{i}", event_time=at(i * 9), rssi_dbm=-45) for i in span]
+            write_lines(tmp_path / "live" / "landing" / protocol, name, rows)
+    assert tables.current_layout(spark, layout.root) == layout
+    flows.run_pipeline(spark, layout, cfg, partitions=2)
+    with pytest.raises(ValueError, match="written by a stream"):
+        backfill(spark, layout, cfg)
+    fresh = flows.replay(spark, layout, cfg, partitions=2)
+    assert tables.current_layout(spark, layout.root) == fresh != layout
+    write_lines(tmp_path / "live" / "landing" / "wifi", "c", [wifi(message_id="new", event_time=at(100), rssi_dbm=-45)])
+    flows.run_pipeline(spark, fresh, cfg, partitions=2)
+    batch = Layout(str(tmp_path / "batch"))
+    for protocol in ("wifi", "bt"):
+        spark.read.text(layout.landing(protocol)).write.text(batch.landing(protocol))
+    backfill(spark, batch, cfg)
+    for name in ("wifi_bronze", "wifi_silver", "bt_silver", "device_timeline", "copresence_events", "perimeter_alerts"):
+        assert _rows(spark, fresh, name) == _rows(spark, batch, name), name
+    assert len(_rows(spark, layout, "wifi_silver")) == 30 and len(_rows(spark, fresh, "wifi_silver")) == 31
+    log = metrics.read_log(spark, fresh).groupBy("table_name").agg(F.sum("passed").alias("n")).collect()
+    assert {"device_timeline", "copresence_events", "perimeter_alerts"} <= {r["table_name"] for r in log}
+
+
+def test_a_malformed_cell_costs_no_other(spark):
+    cell = "Cell 0{} - Address: AA:BB:CC:DD:EE:0{}\n Channel:6\n Frequency:{} GHz\n Quality=50/70  Signal level=-40 dBm\n"
+    dump = cell.format(1, 1, "2.4.37") + cell.format(2, 2, "2.437") + cell.format(3, 3, "9" * 400)
+    dump += cell.format(4, 4, "5.18").replace("-40", "-99999999999999")
+    rows = spark.createDataFrame([("s", dump)], "sensor_id string, dump string")
+    rows = rows.selectExpr("sensor_id", "TIMESTAMP '2024-06-01T00:00:00Z' AS event_time", "1D AS latitude", "2D AS longitude", "dump")
+    found = scan_dump.parse_scan_dump(rows).select("bssid", "frequency_mhz", "rssi_dbm").collect()
+    assert [tuple(r) for r in found] == [("aa:bb:cc:dd:ee:02", 2437, -40)]
+
+
+def test_days_are_utc_in_any_session_zone(spark):
+    from rfsight.operators.bronze import day_of
+
+    rows = spark.createDataFrame([("2024-06-01T02:00:00Z",), ("1969-12-31T23:00:00Z",)], "t string").selectExpr("to_timestamp(t) AS t")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        assert [r[0] for r in rows.select(day_of("t")).collect()] == ["2024-06-01", "1969-12-31"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
