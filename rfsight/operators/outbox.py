@@ -44,6 +44,11 @@ def purge_uploaded(outbox: DataFrame, settings: Settings, retain_days: int = 3)
     return outbox.filter(~F.coalesce(gone, F.lit(False)))
 
 
+def retain_table(rows: DataFrame, name: str, settings: Settings) -> DataFrame:
+    """Rows of a named table within its own retention."""
+    return retain(rows, settings, RETENTION_DAYS[name])
+
+
 def retain(table: DataFrame, settings: Settings, days: int) -> DataFrame:
     """Rows of the last ``days`` days. The bound is text on the partition column, so old days are
     pruned from the listing and never read."""

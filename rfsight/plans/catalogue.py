@@ -150,6 +150,17 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[show(f) for f in df.schema.fields])
 
 
+def each_sql(template: str) -> str:
+    """SQL of a query over both protocols: ``@`` stands for the protocol, which comes out as a column too."""
+    return " UNION ALL ".join(f"SELECT '{p}' AS protocol, * FROM ({template.replace('@', p)})" for p in (WIFI, BT))
+
+
+def each(build: Callable[[str], DataFrame]) -> DataFrame:
+    """Rows of both protocols, with the protocol as first column."""
+    wifi, bt = (build(p).select(F.lit(p).alias("protocol"), "*") for p in (WIFI, BT))
+    return wifi.unionByName(bt)
+
+
 def _shown(table: str, rename: dict[str, str] | None = None, skip: tuple[str, ...] = ()) -> str:
     """SQL select list for a contract, in the form :func:`plain` gives."""
     parts = []
@@ -194,12 +205,15 @@ def _(views):
 
 @query(
     "ingest_metadata",
-    f"""SELECT e, {o.NOW} AS ingest_time, {o.DAY_OF("event_time")} AS event_date, source_path,
-    '{adapter.RUN_ID}' AS pipeline_id FROM bt_landed""",
+    each_sql(f"""SELECT e, {o.NOW} AS ingest_time, {o.DAY_OF("event_time")} AS event_date, source_path,
+    '{adapter.RUN_ID}' AS pipeline_id FROM @_landed"""),
 )
 def _(views):
-    stamped = bronze.with_ingest_metadata(views.landed(BT), views.settings, F.col("source_path"))
-    return stamped.select("e", "ingest_time", "event_date", "source_path", "pipeline_id")
+    def stamped(p: str) -> DataFrame:
+        rows = bronze.with_ingest_metadata(views.landed(p), views.settings, F.col("source_path"))
+        return rows.select("e", "ingest_time", "event_date", "source_path", "pipeline_id")
+
+    return each(stamped)
 
 
 _LINE_SQL = """CASE WHEN fault <> 0 THEN nullif(sensor_id, NULL) END AS sensor_id,
@@ -558,9 +572,9 @@ def _(views):
     return bronze.drop_late(views.landed(WIFI), views.settings).select("e", "event_time")
 
 
-@query("future_filter", f"SELECT e, event_time FROM bt_landed WHERE event_time <= {o.NOW + 300_000_000}")
+@query("future_filter", each_sql(f"SELECT e, event_time FROM @_landed WHERE event_time <= {o.NOW + 300_000_000}"))
 def _(views):
-    return expectations.BRONZE[BT].enforce(views.landed(BT), views.settings).select("e", "event_time")
+    return each(lambda p: expectations.BRONZE[p].enforce(views.landed(p), views.settings).select("e", "event_time"))
 
 
 _BROKEN_SQL = """concat_ws(',', CASE WHEN NOT (rssi_dbm IS NULL OR rssi_dbm BETWEEN -100 AND 0)
@@ -577,13 +591,16 @@ def _(views):
 
 @query(
     "expect_drop",
-    f"""SELECT event_id, sensor_id FROM bt_bronze WHERE length(event_id) = 64 AND length(sensor_id) > 0
-    AND event_time IS NOT NULL AND event_time >= {o.NOW - 7 * o.DAY}""",
+    each_sql(f"""SELECT event_id, sensor_id FROM @_bronze WHERE length(event_id) = 64 AND length(sensor_id) > 0
+    AND event_time IS NOT NULL AND event_time >= {o.NOW - 7 * o.DAY}"""),
 )
 def _(views):
-    drops = [r for r in expectations.SILVER[BT].rules if r.action == expectations.DROP]
-    rules = expectations.ExpectationSet.of("bt_bronze", drops)
-    return rules.enforce(views.bronze(BT), views.settings).select("event_id", "sensor_id")
+    def kept(p: str) -> DataFrame:
+        drops = [r for r in expectations.SILVER[p].rules if r.action == expectations.DROP]
+        rules = expectations.ExpectationSet.of(f"{p}_bronze", drops)
+        return rules.enforce(views.bronze(p), views.settings).select("event_id", "sensor_id")
+
+    return each(kept)
 
 
 @query("expect_fail", "SELECT event_id, protocol FROM timeline")
@@ -721,12 +738,13 @@ def _(views):
 # ---- duplicates and late data -----------------------------------------------------------------
 
 _DEDUP_SQL = """SELECT event_id, ingest_time, source_path, message_id FROM (SELECT *, row_number() OVER (
-    PARTITION BY event_id ORDER BY ingest_time, source_path) AS rn FROM wifi_bronze) WHERE rn = 1"""
+    PARTITION BY event_id ORDER BY ingest_time, source_path) AS rn FROM @_bronze) WHERE rn = 1"""
 
 
-@query("dedup_events", _DEDUP_SQL)
+@query("dedup_events", each_sql(_DEDUP_SQL))
 def _(views):
-    return dedup_batch(views.bronze(WIFI)).select("event_id", "ingest_time", "source_path", "message_id")
+    shown = ["event_id", "ingest_time", "source_path", "message_id"]
+    return each(lambda p: dedup_batch(views.bronze(p)).select(*shown))
 
 
 def _dedup_trigger(views: Views, layout: tables.Layout, name: str, delay: str) -> None:
@@ -830,11 +848,13 @@ def _(views):
 
 @query(
     "identifier_lookup",
-    f"""SELECT DISTINCT {o.MAC_HASH("bssid")} AS identifier_hash, bssid AS raw_identifier FROM wifi_bronze
-    WHERE bssid IS NOT NULL""",
+    f"""SELECT DISTINCT 'wifi' AS protocol, {o.MAC_HASH("bssid")} AS identifier_hash, bssid AS raw_identifier
+    FROM wifi_bronze WHERE bssid IS NOT NULL UNION ALL SELECT DISTINCT 'bt', {o.ADDR_HASH("device_address")},
+    device_address FROM bt_bronze WHERE device_address IS NOT NULL""",
 )
 def _(views):
-    return lookup.identifier_lookup(views.bronze(WIFI), "bssid", WIFI, views.settings)
+    columns = {WIFI: "bssid", BT: "device_address"}
+    return each(lambda p: lookup.identifier_lookup(views.bronze(p), columns[p], p, views.settings))
 
 
 @query(
@@ -1063,12 +1083,12 @@ def _(views):
 
 @query(
     "ingest_lag",
-    f"""SELECT sensor_id, count(*) AS row_count, max(lag) AS max_lag_seconds,
+    each_sql(f"""SELECT sensor_id, count(*) AS row_count, max(lag) AS max_lag_seconds,
     {o.HALF_UP("quantile_cont(lag::DOUBLE, 0.95)", 3)} AS p95_lag_seconds, max(lag) > 900 AS alert
-    FROM (SELECT sensor_id, (ingest_time - event_time) // 1000000 AS lag FROM wifi_bronze) GROUP BY sensor_id""",
+    FROM (SELECT sensor_id, (ingest_time - event_time) // 1000000 AS lag FROM @_bronze) GROUP BY sensor_id"""),
 )
 def _(views):
-    return reports.ingest_lag(views.bronze(WIFI))
+    return each(lambda p: reports.ingest_lag(views.bronze(p)))
 
 
 @query(
@@ -1085,14 +1105,14 @@ def _(views):
 
 @query(
     "sensor_health",
-    f"""SELECT sensor_id, event_date, count(*) AS row_count, max(event_time) AS last_seen,
+    each_sql(f"""SELECT sensor_id, event_date, count(*) AS row_count, max(event_time) AS last_seen,
     {", ".join(o.HALF_UP(f"count(*) FILTER ({c} IS NULL)::DOUBLE / count(*)", 4) + f" AS {c}_null_rate"
                for c in ("rssi_dbm", "latitude", "confidence"))},
     greatest(max(event_time - ingest_time), 0) / 1000000e0 AS clock_skew_seconds
-    FROM bt_bronze GROUP BY sensor_id, event_date""",
+    FROM @_bronze GROUP BY sensor_id, event_date"""),
 )
 def _(views):
-    return reports.sensor_health(views.bronze(BT))
+    return each(lambda p: reports.sensor_health(views.bronze(p)))
 
 
 @query(
@@ -1138,9 +1158,29 @@ def _(views):
 
 @query(
     "retention_filter",
-    f"""SELECT e, event_date FROM (SELECT e, {o.DAY_OF("event_time")} AS event_date FROM wifi_landed)
-    WHERE event_date >= '2023-12-27'""",
+    each_sql(f"""SELECT e, event_date FROM (SELECT e, {o.DAY_OF("event_time")} AS event_date FROM @_landed)
+    WHERE event_date >= '2023-12-27'"""),
 )
 def _(views):
-    rows = views.medallion.landed(WIFI)
-    return outbox.retain(rows, views.settings, days=5).select("e", "event_date")
+    return each(lambda p: outbox.retain(views.medallion.landed(p), views.settings, days=5).select("e", "event_date"))
+
+
+@query(
+    "table_retention",
+    " UNION ALL ".join(f"""SELECT '{table}' AS table_name, event_date, count(*) AS row_count FROM {source}
+    WHERE event_date >= strftime(make_timestamp({o.NOW - days * o.DAY}), '%Y-%m-%d') GROUP BY event_date"""
+    for table, source, days in (
+        ("wifi_bronze", "wifi_bronze", 90), ("bt_bronze", "bt_bronze", 90), ("wifi_silver", "wifi_silver", 365),
+        ("bt_silver", "bt_silver", 365), ("device_timeline", "timeline", 365), ("perimeter_alerts", "alerts", 730),
+    )),
+)
+def _(views):
+    """Rows per table and day that each table's own retention keeps."""
+    held = {f"{p}_{layer}": getattr(views, layer)(p) for p in (WIFI, BT) for layer in ("bronze", "silver")}
+    held |= {"device_timeline": views.timeline, "perimeter_alerts": views.alerts}
+
+    def kept(name: str) -> DataFrame:
+        days = outbox.retain_table(held[name], name, views.settings).groupBy("event_date")
+        return days.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "*")
+
+    return reduce(DataFrame.unionByName, [kept(name) for name in outbox.RETENTION_DAYS])

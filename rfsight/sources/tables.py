@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -59,8 +61,26 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_layout(spark: SparkSession, label: str) -> Layout:
-    """A fresh layout in the shared folder, unique per call."""
-    return Layout(f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}")
+    """A fresh layout in the shared folder, unique per call; it goes when the driver ends."""
+    layout = Layout(f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}")
+    if not _SCRATCH:
+        atexit.register(_remove_scratch)
+    _SCRATCH.append((spark, layout.root))
+    return layout
+
+
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
+def remove(spark: SparkSession, root: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(root)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _remove_scratch() -> None:
+    for spark, root in _SCRATCH:
+        with contextlib.suppress(Exception):  # the session may have ended before
+            remove(spark, root)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -28,12 +28,12 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
     """Session options for queries started inside: state on disk, and a state partition count.
 
-    State partitions are fixed for the life of a checkpoint. The default follows the cores of the
-    cluster rather than a constant.
+    State partitions are fixed for the life of a checkpoint, so they follow a setting, never the number of cores
+    that a cluster happens to have at the first start: ``partitions``, else the session's shuffle partitions.
     """
     wanted = {
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-        "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism),
+        "spark.sql.shuffle.partitions": str(partitions or spark.conf.get("spark.sql.shuffle.partitions")),
     }
     before = {key: spark.conf.get(key, None) for key in wanted}
     for key, value in wanted.items():
@@ -72,31 +72,31 @@ def run_silver(
     append_log(spark, layout, reports, expectations.SILVER[protocol], name)
 
 
-def run_timeline(spark: SparkSession, layout: Layout, settings: Settings) -> None:
-    wifi, bt = (read_table(spark, layout, f"{p}_silver", streaming=True) for p in (WIFI, BT))
+def run_timeline(spark: SparkSession, layout: Layout, settings: Settings, **options) -> None:
+    wifi, bt = (read_table(spark, layout, f"{p}_silver", streaming=True, **options) for p in (WIFI, BT))
     name = "device_timeline"
     reports = finish(stream_table(device_timeline(wifi, bt, settings, name), layout, name))
     append_log(spark, layout, reports, expectations.TIMELINE, name)
 
 
-def run_alerts(spark: SparkSession, layout: Layout, settings: Settings) -> None:
-    timeline = read_table(spark, layout, "device_timeline", streaming=True)
+def run_alerts(spark: SparkSession, layout: Layout, settings: Settings, **options) -> None:
+    timeline = read_table(spark, layout, "device_timeline", streaming=True, **options)
     name = "perimeter_alerts"
     reports = finish(stream_table(perimeter_alerts(timeline, settings, name), layout, name))
     append_log(spark, layout, reports, expectations.ALERTS, name)
 
 
 def run_copresence(
-    spark: SparkSession, layout: Layout, settings: Settings, partitions: int | None = None, salts: int = 1
+    spark: SparkSession, layout: Layout, settings: Settings, partitions: int | None = None, salts: int = 1, **options
 ) -> None:
     name = "copresence_events"
     with state_settings(spark, partitions):
-        wifi, bt = (read_table(spark, layout, f"{p}_silver", streaming=True) for p in (WIFI, BT))
+        wifi, bt = (read_table(spark, layout, f"{p}_silver", streaming=True, **options) for p in (WIFI, BT))
         reports = finish(stream_table(copresence_events(wifi, bt, settings, salts, name), layout, name))
     append_log(spark, layout, reports, expectations.COPRESENCE, name)
 
 
-def run_sighting_windows(spark: SparkSession, layout: Layout) -> None:
+def run_sighting_windows(spark: SparkSession, layout: Layout, **options) -> None:
     """Latest state per device and day without a MERGE: each micro-batch writes its partial
     aggregate into a folder named by its batch id. A replayed batch overwrites its own folder, so
     nothing is counted twice, and readers merge the partials."""
@@ -105,7 +105,7 @@ def run_sighting_windows(spark: SparkSession, layout: Layout) -> None:
     def store(batch: DataFrame, batch_id: int) -> None:
         analytics.sighting_windows(batch).write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
-    timeline = read_table(spark, layout, "device_timeline", streaming=True)
+    timeline = read_table(spark, layout, "device_timeline", streaming=True, **options)
     finish(
         timeline.writeStream.queryName("sighting_windows")
         .option("checkpointLocation", layout.checkpoint("sighting_windows"))
@@ -120,17 +120,29 @@ def read_sighting_windows(spark: SparkSession, layout: Layout) -> DataFrame:
 
 
 def run_pipeline(
-    spark: SparkSession, layout: Layout, settings: Settings, partitions: int | None = None, **options
+    spark: SparkSession,
+    layout: Layout,
+    settings: Settings,
+    partitions: int | None = None,
+    salts: int = 1,
+    bounds: dict | None = None,
+    **options,
 ) -> None:
-    """One trigger of everything: bronze and silver of both protocols, then gold."""
+    """One trigger of everything: bronze and silver of both protocols, then gold.
+
+    ``options`` go to the readers of landing files and ``bounds``, such as ``maxFilesPerTrigger`` or
+    ``maxBytesPerTrigger``, to the readers of tables, so no layer takes a backlog in one micro-batch. ``salts``
+    splits crowded co-presence cells.
+    """
+    bounds = bounds or {}
     pin_session(spark)
     for protocol in (WIFI, BT):
         run_bronze(spark, layout, protocol, settings, **options)
-        run_silver(spark, layout, protocol, settings, partitions)
-    run_timeline(spark, layout, settings)
-    run_copresence(spark, layout, settings, partitions)
-    run_alerts(spark, layout, settings)
-    run_sighting_windows(spark, layout)
+        run_silver(spark, layout, protocol, settings, partitions, **bounds)
+    run_timeline(spark, layout, settings, **bounds)
+    run_copresence(spark, layout, settings, partitions, salts, **bounds)
+    run_alerts(spark, layout, settings, **bounds)
+    run_sighting_windows(spark, layout, **bounds)
 
 
 def replay(spark: SparkSession, layout: Layout, settings: Settings, partitions: int | None = None) -> Layout:
