@@ -2,52 +2,32 @@
 
 from __future__ import annotations
 
-import atexit
-import contextlib
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rfsight.sources.tables import scratch_layout
+from rfsight.sources.tables import remove, scratch_layout
 
-_LEFT: list[tuple[SparkSession, str]] = []
+_ROOTS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows as a table: written once, then read. This cuts the lineage, survives lost executors and
     gives true sizes to the planner. The table goes with :func:`drop`, or when the driver ends."""
-    spark = df.sparkSession
-    root = scratch_layout(spark, label).root
-    if not _LEFT:
-        atexit.register(_drop_all)
-    _LEFT.append((spark, root))
+    root = new_folder(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(root)
-    return spark.read.schema(df.schema).parquet(root)
+    out = df.sparkSession.read.schema(df.schema).parquet(root)
+    _ROOTS[out] = root
+    return out
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """An unused shared folder for files that an operator writes itself."""
-    root = scratch_layout(spark, label).root
-    if not _LEFT:
-        atexit.register(_drop_all)
-    _LEFT.append((spark, root))
-    return root
+    return scratch_layout(spark, label).root
 
 
 def drop(*tables: DataFrame) -> None:
     """Delete stored tables that nothing reads any more."""
     for df in tables:
-        for spark, root in list(_LEFT):
-            if any(root in f for f in df.inputFiles()[:1]):
-                _delete(spark, root)
-                _LEFT.remove((spark, root))
-
-
-def _delete(spark: SparkSession, root: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def _drop_all() -> None:
-    for spark, root in _LEFT:
-        with contextlib.suppress(Exception):  # the session may have ended before
-            _delete(spark, root)
+        if root := _ROOTS.pop(df, None):
+            remove(df.sparkSession, root)
