@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +15,14 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def give_back() -> None:
+    """Return freed memory to the system; a Python worker outlives its task and would keep it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most about ``most`` bytes of text, or of one row."""
     for batch in batches:
         ends = utf8(batch.column(column))[1]
@@ -23,6 +32,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20)
             stop = min(max(stop, start + 1), batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop
+        give_back()
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -137,7 +137,7 @@ class Encoder:
     """Encodes Arrow columns of texts."""
 
     #: Words kept at most; each takes some 40 bytes.
-    MOST = 1_500_000
+    MOST = 1_000_000
 
     def __init__(self, path: str, end_id: int | None = None) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -40,7 +40,7 @@ def pieces(docs: DataFrame, tokenizer: str, most: int = 1024, end_id: int = 2) -
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer, end_id).encode
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             ids, offsets = encode(batch.column("text"))
             out = []
             for doc_id, a, b in zip(batch.column("doc_id").to_pylist(), offsets[:-1], offsets[1:], strict=True):

@@ -355,44 +355,48 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, most_members: int = 50_000
     return marks.select("key", "id_key", "n_bytes").distinct().join(of_text, "key")
 
 
+def _with_spans(docs: DataFrame, span: int, most_members: int) -> DataFrame:
+    """row (a struct of all columns of ``docs``), text, n_bytes and the spans to remove, null if there are none."""
+    spans = stored(repeated_spans(docs, span, most_members), "spans").filter(F.size("spans") > 0)
+    keyed = docs.select(F.struct("*").alias("row"), F.col("text"), text_key().alias("key"), _id_key().alias("id_key"))
+    joined = keyed.join(spans.select("key", "id_key", "spans"), ["key", "id_key"], "left")
+    return joined.select("row", "text", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), "spans")
+
+
+def _cut(text: str | None, spans: list[dict]) -> bytes:
+    raw, pieces, at = (text or "").encode(), [], 0
+    for run in spans:
+        pieces.append(raw[at : run["start"]])
+        at = run["stop"]
+    return b"".join([*pieces, raw[at:]])
+
+
 def without_repeats(docs: DataFrame, span: int = SPAN, most_members: int = 50_000) -> DataFrame:
     """row (a struct of all columns of ``docs``), kept (binary), n_bytes, n_removed and n_spans of each row."""
-    spans = stored(repeated_spans(docs, span, most_members), "spans").filter(F.size("spans") > 0)
 
     @F.arrow_udf("binary")
     def cut(texts: pa.Array, runs: pa.Array) -> pa.Array:
-        out = []
-        for text, own in zip(texts, runs, strict=True):
-            raw, pieces, at = (text.as_py() or "").encode(), [], 0
-            for run in own.as_py() or []:
-                pieces.append(raw[at : run["start"]])
-                at = run["stop"]
-            out.append(b"".join([*pieces, raw[at:]]) if pieces else raw)
-        return pa.array(out, pa.binary())
+        return pa.array([_cut(t.as_py(), own.as_py() or []) for t, own in zip(texts, runs, strict=True)], pa.binary())
 
-    keyed = docs.select(F.struct("*").alias("row"), F.col("text"), text_key().alias("key"), _id_key().alias("id_key"))
-    joined = keyed.join(spans.select("key", "id_key", "spans"), ["key", "id_key"], "left")
-    raw = F.coalesce(F.col("text"), F.lit(""))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
-    return joined.select(
+    return _with_spans(docs, span, most_members).select(
         "row",
-        F.when(F.col("spans").isNull(), raw.cast("binary")).otherwise(cut(F.col("text"), F.col("spans"))).alias("kept"),
-        F.octet_length(raw).cast("long").alias("n_bytes"),
+        cut(F.col("text"), F.col("spans")).alias("kept"),
+        "n_bytes",
         F.coalesce(removed, F.lit(0).cast("long")).alias("n_removed"),
         F.when(F.col("spans").isNull(), 0).otherwise(F.size("spans")).cast("long").alias("n_spans"),
     )
 
 
-def shortened(docs: DataFrame, span: int = SPAN) -> DataFrame:
+def shortened(docs: DataFrame, span: int = SPAN, most_members: int = 50_000) -> DataFrame:
     """``docs`` with the repeated bytes taken out of the text and n_chars counted anew; other columns stay. A null
     text stays null; a character that loses some of its bytes goes altogether."""
 
     @F.arrow_udf("string")
-    def decoded(kept: pa.Array) -> pa.Array:
-        return pa.array([raw.as_py().decode(errors="ignore") for raw in kept], pa.string())
+    def cut(texts: pa.Array, runs: pa.Array) -> pa.Array:
+        rows = zip(texts, runs, strict=True)
+        return pa.array([_cut(t.as_py(), own.as_py()).decode(errors="ignore") if own.is_valid else t.as_py() for t, own in rows], pa.string())
 
-    cut = without_repeats(docs, span)
-    text = F.when(F.col("n_removed") == 0, F.col("row.text")).otherwise(decoded(F.col("kept")))
-    out = cut.select("row", text.alias("text"))
+    rows = _with_spans(docs, span, most_members).select("row", cut(F.col("text"), F.col("spans")).alias("text"))
     own = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
-    return out.select(*[own.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
+    return rows.select(*[own.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

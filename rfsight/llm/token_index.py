@@ -159,7 +159,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
             + [("id_bytes", pa.int32()), ("first_key", pa.int64()), ("last_key", pa.int64())]
             + [(n, pa.binary()) for n in ("keys", "seeds", "fingerprints", "places", "payload")]
         )
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             found, offsets = encode.encode(batch.column("text"))
             for key, a, b in zip(batch.column("doc_id").to_pylist(), offsets[:-1], offsets[1:], strict=True):
                 # rows with equal ids stay in one shard, where their numbers tell them apart
