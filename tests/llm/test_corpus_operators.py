@@ -262,6 +262,30 @@ def test_sharding(spark, docs, copies):
         assert len(hot) <= math.ceil(copies / min(sizes)) + 1
 
 
+@pytest.mark.parametrize("linked", [1800, 2000])
+def test_sharding_cuts_few_groups_when_most_rows_have_copies(spark, linked):
+    rng, texts = random.Random(9), []
+    while len(texts) < linked - 12:
+        texts += [f"group {len(texts)}"] * rng.randint(2, 12)
+    texts += ["the last"] * (linked - len(texts))
+    texts += [f"single {k}" for k in range(2000 - linked)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found, sizes = defaultdict(set), Counter()
+    for r in sharding.shard(frame).collect():
+        found[texts[r["doc_id"]]].add(r["shard"])
+        sizes[r["shard"]] += 1
+    assert set(sizes.values()) == {125}
+    cut = sum(len(shards) > 1 for shards in found.values())
+    assert cut == 0 if linked < 2000 else cut < 16
+
+
+def test_rows_change_places_between_full_shards():
+    assert sharding.circulation({(0, 1): 5, (1, 0): 3}, [0, 0]) == {(0, 1): 3, (1, 0): 3}
+    assert sharding.circulation({(0, 1): 5, (1, 2): 4, (2, 0): 9}, [0, 0, 0]) == {(0, 1): 4, (1, 2): 4, (2, 0): 4}
+    assert sharding.circulation({(0, 1): 5, (1, 2): 4}, [0, 0, 2]) == {(0, 1): 2, (1, 2): 2}
+    assert sharding.circulation({(0, 1): 5, (1, 2): 4}, [0, 0, 0]) == {}
+
+
 def test_sharding_of_nothing(empty):
     assert sharding.shard(empty).count() == 0
 
