@@ -130,13 +130,20 @@ def vote(points: np.ndarray, model: Model, k: int, block: int = 512) -> np.ndarr
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_labelled: int) -> DataFrame:
-    """(text, quality) of at most ``max_labelled`` labelled documents, drawn by a hash of the id.
+    """(doc_id, digest, text, quality) of at most ``max_labelled`` different texts of labelled documents, drawn by hash.
 
-    The bound is that of the fit alone; it also bounds the broadcast side of the join.
+    The bound is that of the fit alone; it also bounds the broadcast sides of the joins. Ids are drawn first. Repeated
+    rows count once; where the drawn ids have several texts, each keeps one before any has a second.
     """
     known = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id")
     drawn = known.agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    return docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "quality")
+    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    rows = rows.withColumn("digest", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    keys = rows.select("doc_id", "digest").distinct()
+    first = keys.groupBy("doc_id").agg(F.min("digest").alias("first"))
+    keys = keys.join(F.broadcast(first), "doc_id").orderBy(F.col("digest") != F.col("first"), F.xxhash64("doc_id", "digest"), "doc_id", "digest")
+    kept = F.broadcast(keys.select("doc_id", "digest").limit(max_labelled))
+    return rows.join(kept, ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"]).select("doc_id", "digest", "text", "quality")
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 4096, axes: int = 64) -> Model:
@@ -147,11 +154,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 4096, axes: int
             rows = features(batch.column("text"))
             packed = pa.array([row.tobytes() for row in rows], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("quality").cast(pa.float64()), packed], ["doc_id", "quality", "terms"]
+                [batch.column("doc_id"), batch.column("digest"), batch.column("quality").cast(pa.float64()), packed],
+                ["doc_id", "digest", "quality", "terms"],
             )
 
     rows = training_rows(docs, labels, max_labelled)
-    rows = rows.mapInArrow(terms, "doc_id long, quality double, terms binary").toArrow().sort_by("doc_id")
+    rows = rows.mapInArrow(terms, "doc_id long, digest string, quality double, terms binary").toArrow()
+    rows = rows.sort_by([("doc_id", "ascending"), ("digest", "ascending")])
     found = np.frombuffer(b"".join(rows["terms"].to_pylist()), np.float32).reshape(-1, WIDTH)
     return fit_arrays(found, rows["quality"].to_numpy(), axes)
 

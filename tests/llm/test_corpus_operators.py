@@ -101,6 +101,17 @@ def test_held_out_labels_do_not_matter(spark):
     assert [r["score"] for r in one] == [r["score"] for r in two]
 
 
+def test_repeated_rows_are_learned_from_once(spark):
+    rows = [(1, "the same")] * 300 + [(2, f"text {k}") for k in range(50)] + [(k, f"of {k}") for k in range(3, 9)] + [(9, None), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 10)], "doc_id long, quality int")
+    for bound in (9, 12):
+        found = [(r["doc_id"], r["text"] or "") for r in quality.training_rows(docs, labels, bound).collect()]
+        assert len(found) == len(set(found)) == bound and {d for d, _ in found} == set(range(1, 10))
+    assert len(quality.fit(docs, labels, 12).points) == 12
+    assert quality.training_rows(docs, labels, 4096).count() == 58
+
+
 def test_quality_without_labels_or_rows(spark, docs, empty):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert {r["score"] for r in quality.classify(docs, labels).collect()} == {0.5}
