@@ -2,7 +2,8 @@
 
 Bounded-space online best-fit: pieces arrive longest first, a bitset keyed by free space finds the open sequence
 that they fill best, and when too many are open the fullest closes. Partitions hold a fixed number of tokens
-each, so their number grows with the corpus and what a task keeps does not; each leaves one sequence part empty.
+each, so their number grows with the corpus and what a task keeps does not; each leaves one sequence part empty. The
+default of ``open_bins`` is above the sequences of a partition: no sequence closes early, and the bound is a safeguard.
 
 Defined results: a null text is an empty one, which is its end id alone; repeated rows and null ids are packed
 like any other row; an empty table packs into nothing.
