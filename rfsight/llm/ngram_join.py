@@ -163,7 +163,7 @@ def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.argsort(ids, kind="stable")
         tokens, ids, sizes, spread = tokens[order].astype("<u8"), ids[order], sizes[order], spread[order].astype("<u4")
         first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])) if len(ids) else np.zeros(0, np.int64)
-        ends = np.append(first[1:], len(ids)).astype(np.int64)
+        ends = np.append(first, len(ids))[1:].astype(np.int64)
         raw, often = tokens.tobytes(), spread.tobytes()
         spans = list(zip(first.tolist(), ends.tolist(), strict=True))
         return pa.RecordBatch.from_arrays(

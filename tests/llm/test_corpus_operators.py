@@ -175,6 +175,15 @@ def test_one_of_each(docs, empty):
     assert ngram_join.near_duplicates(empty).count() == 0 and ngram_join.one_of_each(empty).count() == 0
 
 
+def test_ngram_join_where_nothing_is_shared(spark):
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(1200)]
+    apart = [(k, " ".join(words[40 * k : 40 * k + 40])) for k in range(30)]
+    for rows in (apart[:1], apart[:2], apart, [*apart, (99, apart[4][1] + " more")]):
+        found = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert _sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == _sorted(_joined(rows))
+
+
 def test_bit_counts_bound_overlaps():
     rng = np.random.default_rng(5)
     for bits in (64, 256):
