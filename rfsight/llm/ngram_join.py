@@ -117,13 +117,18 @@ def _bucket_rows(docs: DataFrame, buckets: int, turn: int) -> DataFrame:
             at = (tokens & np.uint64(buckets - 1)).astype(np.int64)
             order = np.argsort(at, kind="stable")
             of = np.repeat(np.arange(len(ids)), sizes)
-            counts = np.bincount(at * len(ids) + of, minlength=buckets * len(ids)).reshape(buckets, -1).astype("<u4")
-            bounds = np.searchsorted(at[order], np.arange(buckets + 1))
             tokens = (tokens[order] >> np.uint64(buckets.bit_length() - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :TRAVEL]
+            # runs of one set in one bucket; they are as many as there are, whatever the number of buckets
+            at, of = at[order], of[order]
+            run = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (of[1:] != of[:-1])))
+            counts = np.diff(np.append(run, len(at))).astype("<u4")
+            first = np.append(np.flatnonzero(np.append(True, at[run][1:] != at[run][:-1])), len(run))
+            ends = np.append(run, len(at))
             out = []
-            for k in np.flatnonzero(np.diff(bounds)):
-                here = np.flatnonzero(counts[k])
-                out.append((int(k), ids[here].tobytes(), sizes[here].tobytes(), counts[k][here].tobytes(), tokens[bounds[k] : bounds[k + 1]].tobytes()))
+            for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+                here = of[run[a:b]]
+                shown = (x.tobytes() for x in (ids[here], sizes[here], counts[a:b], tokens[ends[a] : ends[b]]))
+                out.append((int(at[run[a]]), *shown))
             columns = list(zip(*out, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], ["bucket", *names])
 

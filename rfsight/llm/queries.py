@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from rfsight.llm import (
     contamination,
+    conversations,
     licenses,
+    mixing,
     ngram_join,
     packing,
     quality,
     reference,
     sharding,
+    spelling,
     spotsigs,
     suffix_dedup,
     token_index,
@@ -118,3 +121,19 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     found = licenses.scan(table(spark, sf_dir, "documents"))
     return found.withColumn("licenses", F.array_join("licenses", ","))
+
+
+@query("op11_source_mix", reference.SOURCE_MIX)
+def _(spark, sf_dir):
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op12_conversation_repair")
+def _(spark, sf_dir):
+    return conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
+@query("op13_spelling_variants")
+def _(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))

@@ -61,3 +61,24 @@ cut AS (SELECT doc_id, count(*) AS runs, sum(b - a) AS gone, max(b) AS last,
 SELECT doc_id, n::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(runs, 0)::BIGINT AS n_spans,
     sha256(unhex(coalesce(before || substr(x, (2 * last + 1)::BIGINT), x))) AS kept_sha256
 FROM d LEFT JOIN cut USING (doc_id)"""
+
+SOURCE_MIX = r"""WITH own AS (SELECT doc_id, source, md5(coalesce(text, '')) AS digest,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+doc AS (SELECT doc_id, source, digest, len(ws)::BIGINT AS size, -ln((('0x' || substr(md5(concat_ws(':',
+    coalesce(doc_id::VARCHAR, ''), digest)), 1, 12))::BIGINT::DOUBLE + 0.5e0) / 281474976710656e0)
+    / CASE WHEN len(ws) = 0 THEN 1e0 ELSE greatest(0.25e0, len(list_distinct(ws))::DOUBLE / len(ws)) END AS key FROM own),
+src AS (SELECT *, list_extract([3, 1, 2], (place % 3 + 1)::INTEGER)::BIGINT AS w FROM (SELECT source, sum(size)::BIGINT AS s,
+    row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM doc GROUP BY source)),
+level AS (SELECT arg_min(words_per_weight, row) AS l FROM (SELECT *, (1.5e0 * (SELECT sum(s) FROM src)::DOUBLE - full_before)
+    / (all_weights - weight_before)::DOUBLE AS words_per_weight FROM (SELECT *, row_number() OVER o AS row, sum(w) OVER () AS all_weights,
+    coalesce(sum(2 * s) OVER b, 0) AS full_before, coalesce(sum(w) OVER b, 0) AS weight_before FROM src
+    WINDOW o AS (ORDER BY 2e0 * s / w, place), b AS (ORDER BY 2e0 * s / w, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)))
+    WHERE 2 * s > w * words_per_weight),
+aim AS (SELECT source, s, least((2 * s)::DOUBLE, w * coalesce(l, 1e300)) AS target FROM src CROSS JOIN level),
+plan AS (SELECT *, (b // s)::BIGINT AS epochs, b % s AS rest FROM (SELECT source, nullif(s, 0) AS s, target,
+    floor(target + 0.5e0)::BIGINT AS b FROM aim)),
+mixed AS (SELECT doc_id, size, coalesce(s, 0) AS source_size, target, epochs, rest, coalesce(sum(size) OVER (PARTITION BY doc.source
+    ORDER BY key, doc_id, digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM doc JOIN plan ON doc.source IS NOT DISTINCT FROM plan.source)
+SELECT doc_id, size, source_size, target,
+    coalesce(epochs * size + greatest(0, least(size, rest - before)), 0)::BIGINT AS taken FROM mixed"""
