@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings, by suffix sorting.
+"""Removal of repeated strings, of bytes or of words, by suffix sorting.
 
 Every string of ``span`` bytes holds an anchor: the least of its 32-byte hashes, of equal ones the first. Equal
 strings have equal anchors at equal places, so only anchors that occur twice matter, and they are a small part of
@@ -11,6 +11,9 @@ Equal texts are one text with a count; if it has ``span`` bytes all of it goes.
 occurrences of different surroundings isn't sorted in one task: its strings are compared by digests in a
 distributed count instead, with the same result.
 
+Strings of words are strings of bytes too: each word stands as a hash of eight bytes, so white space and the length of
+words do not matter, and runs found are cut down to whole words.
+
 Defined results: a null text is empty; texts below ``span`` bytes stay as they are; matches never cross documents; strings are judged on the input, so all copies go; null ids and repeated
 rows are documents like any other. Where text is wanted again, characters cut in two are dropped.
 """
@@ -18,22 +21,61 @@ rows are documents like any other. Where text is wanted again, characters cut in
 from __future__ import annotations
 
 import hashlib
+import re
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rfsight.llm.arrow import BYTE_VALUES, prefix_sums, slice_hashes, slices, utf8
+from rfsight.llm.arrow import BYTE_VALUES, prefix_sums, slice_hashes, slices, utf8, word_bounds
 from rfsight.llm.scratch import stored
 
 SPAN, GRAM = 400, 32
 #: Low bits of a hash that give way to its position, so that of equal hashes the first is the least.
 PLACE_BITS = 24
 SEGMENT = 1 << 21
+#: A passage that a pipeline takes out, in words.
+PASSAGE = 51
+
+_IS_WORD = ~np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+@dataclass(frozen=True)
+class Units:
+    """What strings are made of: bytes of the text, or words as hashes of ``width`` bytes."""
+
+    width: int
+
+    def coded(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes, offsets) of the strings that stand for the rows of a text column."""
+        data, offsets = utf8(column)
+        if self.width == 1:
+            return data, offsets
+        starts, stops, rows = word_bounds(data, offsets, _IS_WORD)
+        return slice_hashes(prefix_sums(BYTE_VALUES[data]), starts, stops).astype("<u8").view(np.uint8), rows * self.width
+
+    def inside(self, start: int, stop: int) -> tuple[int, int]:
+        """The whole units of a run."""
+        return -(-start // self.width) * self.width, stop // self.width * self.width
+
+    def cut(self, text: str | None, spans: list[dict]) -> bytes:
+        """A text without runs of its string; a word goes with the white space behind it."""
+        raw, pieces, at = (text or "").encode(), [], 0
+        ends = [] if self.width == 1 else [*(m.start() for m in _WORD.finditer(raw)), len(raw)]
+        for run in spans:
+            start, stop = (run[k] if self.width == 1 else ends[run[k] // self.width] for k in ("start", "stop"))
+            pieces.append(raw[at:start])
+            at = stop
+        return b"".join([*pieces, raw[at:]])
+
+
+BYTES, WORDS = Units(1), Units(8)
 
 
 def window_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -221,13 +263,13 @@ def _arrow_rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 _MARK = pa.struct([("mark", pa.int64()), ("places", pa.list_(pa.int32()))])
 
 
-def text_marks(docs: DataFrame, span: int) -> DataFrame:
+def text_marks(docs: DataFrame, span: int, units: Units = BYTES) -> DataFrame:
     """key, id_key, n_bytes and anchors of each document; a narrow pass."""
     schema = pa.schema([("key", pa.binary()), ("id_key", pa.string()), ("n_bytes", pa.int64()), ("marks", pa.list_(_MARK))])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            data, offsets = utf8(batch.column("text"))
+            data, offsets = units.coded(batch.column("text"))
             places, hashes = anchors(data, offsets, span)
             bounds = np.searchsorted(places, offsets)
             out = []
@@ -251,7 +293,7 @@ _MATCH = "key binary, start int, stop int"
 _MATCHES = pa.schema([("key", pa.binary()), ("start", pa.int32()), ("stop", pa.int32())])
 
 
-def _surroundings(span: int, crowded: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _surroundings(span: int, crowded: bool, units: Units) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Task function: what stands around each shared anchor, or for crowded groups the strings that hold it."""
     kinds = [("mark", pa.int64()), ("left", pa.binary()), ("right", pa.binary()), ("key", pa.binary()), ("places", pa.list_(pa.int32()))]
     schema = pa.schema([("digest", pa.binary()), ("key", pa.binary()), ("start", pa.int32())] if crowded else kinds)
@@ -259,10 +301,12 @@ def _surroundings(span: int, crowded: bool) -> Callable[[Iterator[pa.RecordBatch
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
             out: list[tuple] = []
-            for key, text, marks in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "marks")), strict=True):
-                raw = text.encode()
+            data, offsets = units.coded(batch.column("text"))
+            for i, (key, marks) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("key", "marks")), strict=True)):
+                raw = data[offsets[i] : offsets[i + 1]].tobytes()
                 if crowded:
                     starts = {s for m in marks for p in m["places"] for s in range(max(0, p + GRAM - span), min(p, len(raw) - span) + 1)}
+                    starts = {s for s in starts if s % units.width == 0}
                     out += [(hashlib.blake2b(raw[s : s + span], digest_size=16).digest(), key, s) for s in starts]
                     continue
                 for m in marks:
@@ -278,7 +322,7 @@ def _surroundings(span: int, crowded: bool) -> Callable[[Iterator[pa.RecordBatch
     return rows
 
 
-def _group_matches(span: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _group_matches(span: int, units: Units) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Task function over surroundings sorted by anchor: marked (key, start, stop)."""
 
     def solve(group: dict[tuple[bytes, bytes], list[tuple[bytes, list[int]]]]) -> Iterator[tuple[bytes, int, int]]:
@@ -290,7 +334,9 @@ def _group_matches(span: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
                 matches = [(len(left), len(right))]
             for before, after in matches:
                 for key, p in occurrences:
-                    yield key, p - before, p + after
+                    start, stop = units.inside(p - before, p + after)
+                    if stop - start >= span:
+                        yield key, start, stop
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mark, group, out = None, defaultdict(list), []
@@ -309,9 +355,21 @@ def _group_matches(span: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return rows
 
 
-def repeated_spans(docs: DataFrame, span: int = SPAN, most_members: int = 50_000) -> DataFrame:
-    """(key, id_key, n_bytes, spans) of each different (text, id): the maximal runs of bytes that repeat."""
-    marks = stored(text_marks(docs, span), "anchors")
+def merged_runs(matches: DataFrame) -> DataFrame:
+    """key and spans: runs of overlapping or touching matches, in order. One sorted pass over a text's matches."""
+    longest = matches.groupBy("key", "start").agg(F.max("stop").alias("stop"))
+    order = Window.partitionBy("key").orderBy("start")
+    reached = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    marked = longest.withColumn("apart", F.when(reached >= F.col("start"), 0).otherwise(1))
+    numbered = marked.withColumn("run", F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = numbered.groupBy("key", "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    return runs.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"))
+
+
+def repeated_spans(docs: DataFrame, span: int = SPAN, most_members: int = 50_000, units: Units = BYTES) -> DataFrame:
+    """(key, id_key, n_bytes, spans) of each different (text, id): the maximal runs that repeat, as bytes of the
+    string that stands for the text."""
+    marks = stored(text_marks(docs, span, units), "anchors")
     texts = marks.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.min("id_key").alias("first"), F.first("n_bytes").alias("n_bytes"))
     # one document of each text speaks for it
     chosen = marks.join(texts.select("key", F.col("first").alias("id_key")), ["key", "id_key"], "left_semi").dropDuplicates(["key"])
@@ -325,29 +383,17 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, most_members: int = 50_000
     def around(crowded: bool) -> DataFrame:
         wanted = keyed.join(per_text.filter(F.col("crowded") == crowded).drop("crowded"), ["key", "id_key"])
         kind = "digest binary, key binary, start int" if crowded else "mark long, left binary, right binary, key binary, places array<int>"
-        return wanted.select("key", "text", "marks").mapInArrow(_surroundings(span, crowded), kind)
+        return wanted.select("key", "text", "marks").mapInArrow(_surroundings(span, crowded, units), kind)
 
     groups = around(False).repartition("mark").sortWithinPartitions("mark")
-    matches = groups.mapInArrow(_group_matches(span), _MATCH)
+    matches = groups.mapInArrow(_group_matches(span, units), _MATCH)
     if not per_text.filter("crowded").isEmpty():
         strings = stored(around(True).distinct(), "crowded-strings")
         again = strings.groupBy("digest").count().filter("count > 1")
         found = strings.join(again, "digest", "left_semi")
         matches = matches.unionByName(found.select("key", "start", (F.col("start") + span).alias("stop")))
-    runs = matches.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans"))
+    runs = merged_runs(matches)
     none = F.array().cast("array<struct<start:int,stop:int>>")
-    merged = F.aggregate(
-        "spans",
-        none,
-        lambda done, x: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["stop"] >= x["start"]),
-            F.concat(
-                F.slice(done, 1, F.size(done) - 1),
-                F.array(F.struct(F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["stop"], x["stop"]).alias("stop"))),
-            ),
-        ).otherwise(F.concat(done, F.array(x))),
-    )
-    runs = runs.select("key", merged.alias("spans"))
     everything = F.array(F.struct(F.lit(0).alias("start"), F.col("n_bytes").cast("int").alias("stop")))
     of_text = texts.join(runs, "key", "left")
     spans = F.when((F.col("copies") > 1) & (F.col("n_bytes") >= span), everything).otherwise(F.coalesce("spans", none))
@@ -355,28 +401,20 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, most_members: int = 50_000
     return marks.select("key", "id_key", "n_bytes").distinct().join(of_text, "key")
 
 
-def _with_spans(docs: DataFrame, span: int, most_members: int) -> DataFrame:
+def _with_spans(docs: DataFrame, span: int, most_members: int, units: Units = BYTES) -> DataFrame:
     """row (a struct of all columns of ``docs``), text, n_bytes and the spans to remove, null if there are none."""
-    spans = stored(repeated_spans(docs, span, most_members), "spans").filter(F.size("spans") > 0)
+    spans = stored(repeated_spans(docs, span, most_members, units), "spans").filter(F.size("spans") > 0)
     keyed = docs.select(F.struct("*").alias("row"), F.col("text"), text_key().alias("key"), _id_key().alias("id_key"))
     joined = keyed.join(spans.select("key", "id_key", "spans"), ["key", "id_key"], "left")
     return joined.select("row", "text", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), "spans")
 
 
-def _cut(text: str | None, spans: list[dict]) -> bytes:
-    raw, pieces, at = (text or "").encode(), [], 0
-    for run in spans:
-        pieces.append(raw[at : run["start"]])
-        at = run["stop"]
-    return b"".join([*pieces, raw[at:]])
-
-
 def without_repeats(docs: DataFrame, span: int = SPAN, most_members: int = 50_000) -> DataFrame:
     """row (a struct of all columns of ``docs``), kept (binary), n_bytes, n_removed and n_spans of each row."""
 
     @F.arrow_udf("binary")
     def cut(texts: pa.Array, runs: pa.Array) -> pa.Array:
-        return pa.array([_cut(t.as_py(), own.as_py() or []) for t, own in zip(texts, runs, strict=True)], pa.binary())
+        return pa.array([BYTES.cut(t.as_py(), own.as_py() or []) for t, own in zip(texts, runs, strict=True)], pa.binary())
 
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
     return _with_spans(docs, span, most_members).select(
@@ -388,15 +426,20 @@ def without_repeats(docs: DataFrame, span: int = SPAN, most_members: int = 50_00
     )
 
 
-def shortened(docs: DataFrame, span: int = SPAN, most_members: int = 50_000) -> DataFrame:
-    """``docs`` with the repeated bytes taken out of the text and n_chars counted anew; other columns stay. A null
-    text stays null; a character that loses some of its bytes goes altogether."""
+def shortened(docs: DataFrame, span: int = SPAN, most_members: int = 50_000, units: Units = BYTES) -> DataFrame:
+    """``docs`` with what repeats taken out of the text and n_chars counted anew; other columns stay. A null text
+    stays null; a character that loses some of its bytes goes altogether."""
 
     @F.arrow_udf("string")
     def cut(texts: pa.Array, runs: pa.Array) -> pa.Array:
         rows = zip(texts, runs, strict=True)
-        return pa.array([_cut(t.as_py(), own.as_py()).decode(errors="ignore") if own.is_valid else t.as_py() for t, own in rows], pa.string())
+        return pa.array([units.cut(t.as_py(), own.as_py()).decode(errors="ignore") if own.is_valid else t.as_py() for t, own in rows], pa.string())
 
-    rows = _with_spans(docs, span, most_members).select("row", cut(F.col("text"), F.col("spans")).alias("text"))
+    rows = _with_spans(docs, span, most_members, units).select("row", cut(F.col("text"), F.col("spans")).alias("text"))
     own = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
     return rows.select(*[own.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
+
+
+def without_passages(docs: DataFrame, words: int = PASSAGE) -> DataFrame:
+    """``docs`` without passages of at least so many words that occur more than once, whatever their white space."""
+    return shortened(docs, span=words * WORDS.width, units=WORDS)

@@ -529,6 +529,36 @@ def test_shortened_texts(docs, empty):
     assert _sorted((r["doc_id"], r["text"], r["n_chars"]) for r in found.collect()) == _sorted(wanted)
 
 
+def _passages_cut(rows, words):
+    """Texts without passages of so many words that occur anywhere else, by counting them all."""
+    found = [list(re.finditer(r"[^\x20\x09-\x0D]+", t or "")) for _, t in rows]
+    strings = [[m.group() for m in own] for own in found]
+    seen = Counter(tuple(w[k : k + words]) for w in strings for k in range(len(w) - words + 1))
+    out = []
+    for (d, t), own, w in zip(rows, found, strings, strict=True):
+        gone = {p for k in range(len(w) - words + 1) if seen[tuple(w[k : k + words])] > 1 for p in range(k, k + words)}
+        ends = [m.start() for m in own] + [len(t or "")]
+        kept = (t or "")[: ends[0]] + "".join(t[ends[k] : ends[k + 1]] for k in range(len(w)) if k not in gone)
+        out.append((d, t if not gone else kept))
+    return out
+
+
+@pytest.mark.parametrize("words", [8, 51])
+def test_repeated_passages(docs, words):
+    found = suffix_dedup.without_passages(docs, words)
+    assert _sorted((r["doc_id"], r["text"]) for r in found.collect()) == _sorted(_passages_cut(ROWS, words))
+
+
+def test_thousands_of_spans_in_one_text(spark):
+    rng = random.Random(12)
+    line = _sentence(rng, 14)
+    text = "".join(f"{line} {hashlib.md5(str(k).encode()).hexdigest()} " for k in range(4000))
+    found = suffix_dedup.without_repeats(spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string"), span=60)
+    got = [(r["row"]["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in found.collect()]
+    assert _sorted(got) == _sorted(_cut([(1, text), (2, "short")], 60))
+    assert max(r[3] for r in got) > 1000
+
+
 def _common(a, b):
     n = 0
     while n < min(len(a), len(b)) and a[n] == b[n]:
