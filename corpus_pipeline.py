@@ -27,9 +27,9 @@ def ngram_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the 400-byte strings that occur more than once in what came in."""
+    """All documents, without the passages of over 50 words that occur more than once in what came in."""
     ship(spark)
-    return suffix_dedup.shortened(docs)
+    return suffix_dedup.without_passages(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
