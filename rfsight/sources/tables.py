@@ -7,12 +7,14 @@ import contextlib
 import tempfile
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rfsight.contracts import PARTITIONS, contract
+from rfsight.sources.days import Days, Snapshot
 
 
 @dataclass(frozen=True)
@@ -33,6 +35,10 @@ class Layout:
     def table(self, name: str) -> str:
         return f"{self.base}/tables/{name}"
 
+    def days(self, name: str) -> str:
+        """Compacted days and history of a table, beside the files that its stream has written."""
+        return f"{self.base}/days/{name}"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.base}/checkpoints/{name}"
 
@@ -111,13 +117,68 @@ def current_layout(spark: SparkSession, root: str) -> Layout:
     return Layout(root, lines.agg(F.max_by("generation", "published")).first()[0])
 
 
+def _raw(spark: SparkSession, layout: Layout, name: str, streaming: bool = False, **options) -> DataFrame:
+    reader = spark.readStream if streaming else spark.read
+    return reader.options(**options).schema(contract(name)).parquet(layout.table(name))
+
+
+def _modified() -> Column:
+    return F.unix_micros("_metadata.file_modification_time")
+
+
+def _after(micros: int) -> Column:
+    """Files modified after an instant. Compared as a time, which lets the scan leave whole files out."""
+    return F.col("_metadata.file_modification_time") > F.timestamp_micros(F.lit(micros))
+
+
+def _parts(raw: DataFrame, snapshot: Snapshot, until: int | None = None) -> list[DataFrame]:
+    """What a snapshot leaves to a table's own files: days it does not name, and what came later to those it names.
+    The two are scans of their own, as each leaves files out by folder or by time."""
+    own = raw if until is None else raw.filter(~_after(until))
+    named = F.col("event_date").isin(snapshot.days)
+    return [own.filter(~named), own.filter(named & _after(snapshot.cut))]
+
+
 def read_table(
     spark: SparkSession, layout: Layout, name: str, streaming: bool = False, **options
 ) -> DataFrame:
-    """A table by name with its contract as schema, as batch or as an append-only stream."""
-    reader = spark.readStream if streaming else spark.read
-    rows = reader.options(**options).schema(contract(name)).parquet(layout.table(name))
-    return rows.select(*contract(name).fieldNames())
+    """A table by name with its contract as schema, as batch or as an append-only stream.
+
+    A batch takes compacted days and history in place of the files they stand for. A stream reads what streams have
+    written; :func:`stream_days` is for one that is to see all."""
+    if streaming:
+        return _raw(spark, layout, name, True, **options).select(*contract(name).fieldNames())
+    return _rows_of(spark, layout, name, Days(spark, layout.days(name)).snapshot(), **options)
+
+
+def _rows_of(
+    spark: SparkSession, layout: Layout, name: str, snapshot: Snapshot, until: int | None = None, **options
+) -> DataFrame:
+    columns = contract(name).fieldNames()
+    if not snapshot.versions:
+        raw = _raw(spark, layout, name, **options)
+        return (raw if until is None else raw.filter(~_after(until))).select(*columns)
+    parts = [Days(spark, layout.days(name)).read(snapshot, contract(name), **options)]
+    if _exists(spark, layout.table(name)):
+        parts += [p.select(*columns) for p in _parts(_raw(spark, layout, name, **options), snapshot, until)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def stream_days(spark: SparkSession, layout: Layout, name: str, consumer: str, **options) -> DataFrame:
+    """The whole table as a stream for a new consumer: compacted days and history first, then the stream's files.
+
+    The snapshot is pinned when the consumer first asks, beside its checkpoint: a day compacted later is still read
+    from the files that the consumer has begun with, so no row comes twice.
+    """
+    days, pinned = Days(spark, layout.days(name)), Days(spark, f"{layout.checkpoint(consumer)}-days-{name}")
+    snapshot = pinned.snapshot()
+    if not snapshot.versions:
+        snapshot = pinned.publish(days.snapshot())
+    if not snapshot.versions:
+        return read_table(spark, layout, name, streaming=True, **options)
+    columns = contract(name).fieldNames()
+    parts = [p.select(*columns) for p in _parts(_raw(spark, layout, name, True, **options), snapshot)]
+    return reduce(DataFrame.unionByName, [days.read(snapshot, contract(name), streaming=True, **options), *parts])
 
 
 def write_table(df: DataFrame, layout: Layout, name: str, mode: str = "append") -> None:
@@ -157,3 +218,50 @@ def compact(
     )
     clustered.write.mode("errorifexists").partitionBy(*PARTITIONS[name]).parquet(target)
     return spark.read.schema(contract(name)).parquet(target)
+
+
+def compact_days(
+    spark: SparkSession, layout: Layout, name: str, before: str, order: tuple[str, ...] = ("sensor_id", "event_time")
+) -> Snapshot:
+    """Put the days before ``before`` into few files clustered by sensor, and let readers take these instead.
+
+    Days whose files have not changed since the last run keep their version; a day that got more is written anew from
+    its version and what came later. Data is written first and then named by a new snapshot, which readers follow from
+    one moment to the next; the table's own files stay for streams that have begun with them. To be run between
+    triggers, as files are told apart by the time they were written; :func:`uncovered` tells if one slipped through.
+    """
+    days = Days(spark, layout.days(name))
+    snapshot = days.snapshot()
+    raw = _raw(spark, layout, name).filter(F.col("event_date") < before)
+    changed = reduce(DataFrame.unionByName, [p.select("event_date", _modified().alias("at")) for p in _parts(raw, snapshot)])
+    changed = {r["event_date"]: r["at"] for r in changed.groupBy("event_date").agg(F.max("at").alias("at")).collect()}
+    if not changed:
+        return snapshot
+    cut, version = max(snapshot.cut, *changed.values()), f"c{snapshot.step + 1}"
+    rows = _rows_of(spark, layout, name, snapshot, until=cut).filter(F.col("event_date").isin(sorted(changed)))
+    keys = PARTITIONS[name]
+    placed = rows.hint("rebalance", *[F.col(k) for k in keys], F.col(order[0])).sortWithinPartitions(*keys, *order)
+    days.write(placed, version, tuple(k for k in keys if k != "event_date"))
+    # Days already named have no file between the old cut and the new one, or they would be among the changed.
+    return days.publish(Snapshot(snapshot.step + 1, snapshot.versions | dict.fromkeys(changed, (version,)), cut))
+
+
+def put_history(df: DataFrame, layout: Layout, name: str) -> Snapshot:
+    """Store rows as a table's history, in front of what a stream will write. Only for a table without any."""
+    days = Days(df.sparkSession, layout.days(name))
+    if days.snapshot().versions:
+        raise ValueError(f"{layout.days(name)} has a history already")
+    keys = PARTITIONS[name]
+    days.write(df.hint("rebalance", *[F.col(k) for k in keys]), "history", tuple(k for k in keys if k != "event_date"))
+    return days.publish(Snapshot(0, dict.fromkeys(days.days_of("history"), ("history",)), 0))
+
+
+def uncovered(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    """Compacted days whose own files up to the cut have another number of rows than their version: none, unless a
+    trigger ran into a compaction. Counts come from file footers."""
+    days = Days(spark, layout.days(name))
+    snapshot = days.snapshot()
+    own = _raw(spark, layout, name).filter(F.col("event_date").isin(snapshot.days) & ~_after(snapshot.cut))
+    own = own.groupBy("event_date").agg(F.count(F.lit(1)).alias("own_rows"))
+    kept = days.read(snapshot, contract(name)).groupBy("event_date").agg(F.count(F.lit(1)).alias("stored_rows"))
+    return own.join(kept, "event_date", "full").filter(~F.col("own_rows").eqNullSafe(F.col("stored_rows")))
