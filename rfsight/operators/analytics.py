@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rfsight.config import Settings
 from rfsight.functions.tags import is_randomized
@@ -24,6 +25,23 @@ def _identified(df: DataFrame) -> DataFrame:
     return df.filter(F.col("device_id_hash").isNotNull())
 
 
+#: What :func:`sighting_windows` gives, as it is stored.
+WINDOW_STATE = T.StructType([
+    T.StructField("device_id_hash", T.StringType()),
+    T.StructField("protocol", T.StringType()),
+    T.StructField("event_date", T.StringType()),
+    T.StructField("first_seen", T.TimestampType()),
+    T.StructField("last_seen", T.TimestampType()),
+    T.StructField("sighting_count", T.LongType()),
+    T.StructField("latest", T.StructType([
+        T.StructField("event_time", T.TimestampType()),
+        T.StructField("event_id", T.StringType()),
+        T.StructField("sensor_id", T.StringType()),
+        T.StructField("rssi_dbm", T.IntegerType()),
+    ])),
+])
+
+
 def sighting_windows(timeline: DataFrame) -> DataFrame:
     """First and last sighting per device, protocol and day, with the latest sensor and signal."""
     moment = F.struct("event_time", "event_id", "sensor_id", "rssi_dbm")

@@ -323,6 +323,53 @@ def _(views):
     )
 
 
+def arrivals(df: DataFrame, parts: int, key: str = "event_id") -> list[DataFrame]:
+    """The rows in several arrivals, by a hash of ``key``."""
+    placed = F.pmod(F.xxhash64(key, F.lit(1)), F.lit(parts))
+    return [df.filter(placed == k) for k in range(parts)]
+
+
+_BRONZE_READ = ["event_id", "event_date", "event_time", "ingest_time", "source_path", "message_id", "rssi_dbm"]
+
+
+@query("compacted_days", each_sql(f"SELECT {', '.join(_BRONZE_READ)} FROM @_bronze"))
+def _(views):
+    """Bronze in several arrivals, compacted after the third and again after the fourth; the fifth comes later."""
+
+    def compacted(p: str) -> DataFrame:
+        layout, name = views.scratch("compacted"), f"{p}_bronze"
+        for k, part in enumerate(arrivals(views.bronze(p), 5)):
+            tables.write_table(part, layout, name)
+            if k in (2, 3):
+                tables.compact_days(views.spark, layout, name, "2024-02-01")
+        return tables.read_table(views.spark, layout, name).select(*_BRONZE_READ)
+
+    return each(compacted)
+
+
+@query("compacted_stream", each_sql(f"SELECT {', '.join(_BRONZE_READ)} FROM @_bronze"))
+def _(views):
+    """A new stream over a table with compacted days, in two triggers, with a compaction between them."""
+
+    def streamed(p: str) -> DataFrame:
+        layout, name = views.scratch("follow"), f"{p}_bronze"
+        parts = arrivals(views.bronze(p), 4)
+        for arrived in (parts[:3], parts[3:]):
+            for part in arrived:
+                tables.write_table(part, layout, name)
+            tables.compact_days(views.spark, layout, name, "2024-02-01")
+            rows = tables.stream_days(views.spark, layout, name, "reader").select(*_BRONZE_READ)
+            flows.finish(
+                rows.writeStream.format("parquet")
+                .option("checkpointLocation", layout.checkpoint("reader"))
+                .trigger(availableNow=True)
+                .start(layout.table("seen"))
+            )
+        return views.spark.read.schema(rows.schema).parquet(layout.table("seen"))
+
+    return each(streamed)
+
+
 # ---- projections ------------------------------------------------------------------------------
 
 
@@ -917,9 +964,11 @@ def _(views):
 
 @query("sighting_windows_stream", _WINDOWS_SQL)
 def _(views):
+    """Six triggers, so that days are folded on the way."""
     layout = views.scratch("windows")
-    tables.write_table(views.timeline, layout, "device_timeline")
-    flows.run_sighting_windows(views.spark, layout)
+    for part in arrivals(views.stored_timeline, 6):
+        tables.write_table(part, layout, "device_timeline")
+        flows.run_sighting_windows(views.spark, layout)
     return analytics.flatten_latest(flows.read_sighting_windows(views.spark, layout))
 
 

@@ -9,6 +9,7 @@ retention keeps.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -100,6 +101,25 @@ class Days:
         stored = self.spark.read.schema("event_date string, version string").parquet(self.data)
         return sorted(r[0] for r in stored.filter(F.col("version") == version).select("event_date").distinct().collect())
 
+    def upsert(
+        self, partial: DataFrame, batch_id: int, merge: Callable[[DataFrame], DataFrame], fold_after: int
+    ) -> Snapshot:
+        """Add a micro-batch's partial aggregate to the days it touches; ``merge`` makes one state of several.
+
+        The state before is the snapshot of an earlier batch, whatever a first try of this batch has left.
+        """
+        before, schema = self.snapshot(before=batch_id), partial.schema
+        own = f"b{batch_id}"
+        self.write(partial, own)
+        touched = self.days_of(own)
+        versions = before.versions | {day: (*before.versions.get(day, ()), own) for day in touched}
+        crowded = [day for day in touched if len(versions[day]) > fold_after]
+        if crowded:
+            folded = f"f{batch_id}"
+            self.write(merge(self.read(Snapshot(batch_id, versions), schema, crowded)), folded)
+            versions |= dict.fromkeys(crowded, (folded,))
+        return self.publish(Snapshot(batch_id, versions), "overwrite")
+
     def counts(self, snapshot: Snapshot) -> Column:
         """Whether a stored row is of a version that counts; on folder names alone, so others are not read."""
         names = [f"{day}/{v}" for day in snapshot.days for v in snapshot.versions[day]]

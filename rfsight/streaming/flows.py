@@ -17,6 +17,7 @@ from rfsight.operators import analytics, expectations
 from rfsight.operators.copresence import copresence_events
 from rfsight.operators.silver import to_silver
 from rfsight.operators.timeline import device_timeline, perimeter_alerts
+from rfsight.sources.days import Days
 from rfsight.sources.landing import ingest
 from rfsight.sources.tables import Layout, publish, read_table, stream_table
 from rfsight.streaming.metrics import append_log, finish
@@ -96,14 +97,22 @@ def run_copresence(
     append_log(spark, layout, reports, expectations.COPRESENCE, name)
 
 
-def run_sighting_windows(spark: SparkSession, layout: Layout, **options) -> None:
-    """Latest state per device and day without a MERGE: each micro-batch writes its partial
-    aggregate into a folder named by its batch id. A replayed batch overwrites its own folder, so
-    nothing is counted twice, and readers merge the partials."""
-    target = layout.table("sighting_windows")
+#: Versions of a day that readers merge before a batch folds them into one.
+FOLD_AFTER = 4
+
+
+def run_sighting_windows(spark: SparkSession, layout: Layout, fold_after: int = FOLD_AFTER, **options) -> None:
+    """Latest state per device and day, by days and without a MERGE.
+
+    A micro-batch adds its partial aggregate as a version of the days it touches; a day of more than ``fold_after``
+    versions is folded into one. Then a snapshot names what counts. A batch run again starts from the snapshot before
+    it and replaces its own versions, so nothing is counted twice; other days are neither read nor written.
+    """
+    days = Days(spark, layout.days("sighting_windows"))
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        analytics.sighting_windows(batch).write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        partial = analytics.sighting_windows(batch)
+        days.upsert(partial, batch_id, analytics.merge_sighting_windows, fold_after)
 
     timeline = read_table(spark, layout, "device_timeline", streaming=True, **options)
     finish(
@@ -115,8 +124,11 @@ def run_sighting_windows(spark: SparkSession, layout: Layout, **options) -> None
     )
 
 
-def read_sighting_windows(spark: SparkSession, layout: Layout) -> DataFrame:
-    return analytics.merge_sighting_windows(spark.read.parquet(layout.table("sighting_windows")))
+def read_sighting_windows(spark: SparkSession, layout: Layout, days: list[str] | None = None) -> DataFrame:
+    """The latest state of all days, or of some."""
+    stored = Days(spark, layout.days("sighting_windows"))
+    partials = stored.read(stored.snapshot(), analytics.WINDOW_STATE, days)
+    return analytics.merge_sighting_windows(partials)
 
 
 def run_pipeline(

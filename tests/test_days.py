@@ -89,3 +89,47 @@ def test_a_slipped_file_is_told(spark, tmp_path, cfg):
     flows.run_bronze(spark, layout, "bt", cfg)
     Days(spark, layout.days("bt_bronze")).publish(Snapshot(snapshot.step + 1, snapshot.versions, 1 << 60))
     assert [tuple(r) for r in tables.uncovered(spark, layout, "bt_bronze").collect()] == [("2024-06-01", 2, 1)]
+
+
+def _windows(df):
+    return sorted(map(str, analytics.flatten_latest(df).collect()))
+
+
+def test_sighting_windows_over_many_triggers(spark, tmp_path, cfg):
+    """State equals one aggregation after every trigger; versions are bounded, and days not touched stay as they are."""
+    layout = Layout(str(tmp_path))
+    root = tmp_path / "days" / "sighting_windows"
+    for k in range(7):
+        day = 1 if k < 3 else 2
+        rows = [wifi(message_id=f"{k}-{i}", event_time=_day(day, 60 * k + i), bssid=f"02:00:00:00:00:0{i % 3}") for i in range(6)]
+        write_lines(tmp_path / "landing" / "wifi", f"f{k}", rows)
+        write_lines(tmp_path / "landing" / "bt", f"f{k}", [bt(message_id=f"b{k}", event_time=_day(day, 60 * k))])
+        for protocol in ("wifi", "bt"):
+            flows.run_bronze(spark, layout, protocol, cfg)
+            flows.run_silver(spark, layout, protocol, cfg, 2)
+        flows.run_timeline(spark, layout, cfg)
+        flows.run_sighting_windows(spark, layout, fold_after=2)
+        timeline = tables.read_table(spark, layout, "device_timeline")
+        assert _windows(flows.read_sighting_windows(spark, layout)) == _windows(analytics.sighting_windows(timeline))
+        if k == 2:
+            first_day = sorted(p.name for p in (root / "data" / "event_date=2024-06-01").iterdir())
+    only = flows.read_sighting_windows(spark, layout, ["2024-06-02"])
+    assert {r["event_date"] for r in only.collect()} == {"2024-06-02"}
+    assert len(list((root / "data" / "event_date=2024-06-02").glob("version=*"))) <= 5
+    assert len(list((root / "pointers").glob("step=*"))) == 2
+    left = sorted(p.name for p in (root / "data" / "event_date=2024-06-01").iterdir())
+    assert left and set(left) <= set(first_day)
+
+
+def test_a_batch_run_again_counts_once(spark, tmp_path):
+    rows = spark.createDataFrame([("d", "WIFI", f"2024-06-0{k}", k) for k in (1, 1, 2)], "device_id_hash string, protocol string, event_date string, n long")
+    partial = rows.groupBy("device_id_hash", "protocol", "event_date").agg(F.sum("n").alias("n"))
+
+    def merge(df):
+        return df.groupBy("device_id_hash", "protocol", "event_date").agg(F.sum("n").alias("n"))
+
+    days = Days(spark, str(tmp_path))
+    for batch_id in (0, 1, 1, 2, 2):
+        days.upsert(partial, batch_id, merge, fold_after=2)
+    found = merge(days.read(days.snapshot(), partial.schema)).collect()
+    assert sorted((r["event_date"], r["n"]) for r in found) == [("2024-06-01", 6), ("2024-06-02", 6)]

@@ -13,7 +13,7 @@ from rfsight.sources.tables import Layout
 SF_DIR = "/root/testdata/sf0.001"
 FILE_QUERIES = {
     "landing_scan", "landing_scan_bt", "silver_scan", "partitioned_sink", "ndjson_export", "backfill_batch",
-    "compact_partition", "dedup_stream", "late_data", "copresence_stream", "sighting_windows_stream", "entity_clusters",
+    "compact_partition", "compacted_days", "compacted_stream", "dedup_stream", "late_data", "copresence_stream", "sighting_windows_stream", "entity_clusters",
 }
 
 
