@@ -51,7 +51,7 @@ def copresence_pairs(
     width = max(2 * reach, _MICROS)
     wifi = _side(wifi_silver, "wifi", "bssid_hash", ["latitude", "longitude"])
     bt = _side(bt_silver, "bt", "device_address_hash", [])
-    if wifi_silver.isStreaming:
+    if wifi_silver.isStreaming and bt_silver.isStreaming:
         wifi = wifi.withWatermark("wifi_event_time", settings.join_watermark)
         bt = bt.withWatermark("bt_event_time", settings.join_watermark)
 
@@ -94,9 +94,20 @@ def copresence_rows(
 
 
 def copresence_events(
-    wifi_silver: DataFrame, bt_silver: DataFrame, settings: Settings, salts: int = 1, observation=None
+    wifi_silver: DataFrame,
+    bt_silver: DataFrame,
+    settings: Settings,
+    salts: int = 1,
+    observation=None,
+    before: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
-    return COPRESENCE.enforce(copresence_rows(wifi_silver, bt_silver, settings, salts), settings, observation)
+    """Pairs under their rules. ``before`` are Wi-Fi and Bluetooth rows of a history whose own pairs are built
+    already: new rows meet those too, and history needs no state."""
+    rows = copresence_rows(wifi_silver, bt_silver, settings, salts)
+    if before is not None:
+        for sides in ((wifi_silver, before[1]), (before[0], bt_silver)):
+            rows = rows.unionByName(copresence_rows(*sides, settings, salts))
+    return COPRESENCE.enforce(rows, settings, observation)
 
 
 def copresence_counts(timeline: DataFrame, settings: Settings, chunk_seconds: int = 3600) -> DataFrame:

@@ -773,6 +773,37 @@ def _(views):
     return log.groupBy("table_name", "expectation", "action").agg(F.sum("failed").alias("failed"), F.sum("passed").alias("passed"))
 
 
+def _handed_over(views: Views) -> tables.Layout:
+    """History as a batch, then two triggers of the streams behind it. Each delivery repeats the end of the last."""
+    layout, hour = views.scratch("handover"), 3_600_000_000
+    start = adapter.EPOCH_MS * 1000
+    for k, (first, last) in enumerate(((-1000, 4), (3, 8), (7.5, 1000))):
+        at = F.unix_micros("event_time")
+        for protocol in (WIFI, BT):
+            payload = views.landed(protocol).select(*contract(f"{protocol}_payload").fieldNames())
+            delivered = payload.filter((at >= start + int(first * hour)) & (at < start + int(last * hour)))
+            landing.export_ndjson(delivered, f"{layout.landing(protocol)}/{k}", by=None)
+        if k == 0:
+            layout = flows.hand_over(views.spark, layout, views.settings, settle_seconds=0)
+        else:
+            flows.run_pipeline(views.spark, layout, views.settings)
+    return layout
+
+
+@query("handover_alerts", f"SELECT {_ALERT_SQL} FROM alerts")
+def _(views):
+    return tables.read_table(views.spark, _handed_over(views), "perimeter_alerts")
+
+
+@query(
+    "handover_copresence",
+    f"""SELECT {_shown("copresence_events", {"ingest_time": str(o.NOW), "event_date": o.DAY_OF("window_start")})}
+    FROM pairs""",
+)
+def _(views):
+    return tables.read_table(views.spark, _handed_over(views), "copresence_events")
+
+
 @query(
     "alert_gate",
     "SELECT event_id, rssi_dbm, confidence FROM timeline WHERE rssi_dbm >= -65 AND confidence >= 0.7e0",

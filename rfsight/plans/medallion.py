@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from rfsight.operators.copresence import copresence_events
 from rfsight.operators.silver import to_silver
 from rfsight.operators.timeline import device_timeline, perimeter_alerts
 from rfsight.sources.landing import read_landing
-from rfsight.sources.tables import Layout, read_table, write_table
+from rfsight.sources.tables import Layout, history, put_history, read_table, write_table
 
 
 @dataclass(frozen=True)
@@ -75,11 +77,26 @@ def backfill(spark: SparkSession, layout: Layout, settings: Settings) -> None:
 
 def rebuild(spark: SparkSession, layout: Layout, settings: Settings) -> None:
     """Replay silver and gold from the bronze tables."""
+    _build(settings, partial(read_table, spark, layout), lambda df, name: write_table(df, layout, name, "overwrite"))
+
+
+def build_history(spark: SparkSession, layout: Layout, settings: Settings, until: dict[str, int]) -> None:
+    """Build the history of every table, as a batch over the landing files up to a time per protocol."""
+    pin_session(spark)
+    for protocol in (WIFI, BT):
+        landed = read_landing(spark, layout.landing(protocol), protocol, settings, until=until[protocol])
+        put_history(to_bronze(landed, protocol, settings), layout, f"{protocol}_bronze")
+        put_history(to_quarantine(landed, protocol, settings), layout, f"{protocol}_quarantine")
+    _build(settings, partial(history, spark, layout), lambda df, name: put_history(df, layout, name))
+
+
+def _build(
+    settings: Settings, read: Callable[[str], DataFrame], write: Callable[[DataFrame, str], None]
+) -> None:
+    """Silver and gold from bronze. Each layer reads the table written before it."""
     for protocol in (WIFI, BT):
-        bronze = read_table(spark, layout, f"{protocol}_bronze")
-        write_table(to_silver(bronze, protocol, settings), layout, f"{protocol}_silver", "overwrite")
-    wifi, bt = (read_table(spark, layout, f"{p}_silver") for p in (WIFI, BT))
-    write_table(device_timeline(wifi, bt, settings), layout, "device_timeline", "overwrite")
-    write_table(copresence_events(wifi, bt, settings), layout, "copresence_events", "overwrite")
-    timeline = read_table(spark, layout, "device_timeline")
-    write_table(perimeter_alerts(timeline, settings), layout, "perimeter_alerts", "overwrite")
+        write(to_silver(read(f"{protocol}_bronze"), protocol, settings), f"{protocol}_silver")
+    wifi, bt = (read(f"{p}_silver") for p in (WIFI, BT))
+    write(device_timeline(wifi, bt, settings), "device_timeline")
+    write(copresence_events(wifi, bt, settings), "copresence_events")
+    write(perimeter_alerts(read("device_timeline"), settings), "perimeter_alerts")

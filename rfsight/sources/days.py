@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Snapshots that stay.
-KEPT = 2
+#: Snapshots that stay, and the step of none. A history has step -1, so that micro-batches come after it.
+KEPT, NONE, HISTORY = 2, -2, -1
 _POINTERS = "event_date string, versions array<string>, cut bigint"
 
 
@@ -26,7 +26,7 @@ class Snapshot:
     """Versions by day, and the modification time (epoch microseconds) up to which another folder's files are in
     them, where there is another folder."""
 
-    step: int = -1
+    step: int = NONE
     versions: dict[str, tuple[str, ...]] = field(default_factory=dict)
     cut: int = 0
 
@@ -77,10 +77,10 @@ class Days:
 
     def _clean(self, last: Snapshot) -> None:
         kept = [last]
-        while len(kept) < KEPT and kept[-1].step >= 0:
+        while len(kept) < KEPT and kept[-1].step > NONE:
             kept.append(self.snapshot(before=kept[-1].step))
         old = self.snapshot(before=kept[-1].step)
-        while old.step >= 0:
+        while old.step > NONE:
             for day, versions in old.versions.items():
                 named = {v for s in kept for v in s.versions.get(day, ())}
                 for version in set(versions) - named:
@@ -101,6 +101,11 @@ class Days:
         stored = self.spark.read.schema("event_date string, version string").parquet(self.data)
         return sorted(r[0] for r in stored.filter(F.col("version") == version).select("event_date").distinct().collect())
 
+    def begin(self, rows: DataFrame) -> Snapshot:
+        """Store the state that micro-batches will add to."""
+        self.write(rows, "history")
+        return self.publish(Snapshot(HISTORY, dict.fromkeys(self.days_of("history"), ("history",))))
+
     def upsert(
         self, partial: DataFrame, batch_id: int, merge: Callable[[DataFrame], DataFrame], fold_after: int
     ) -> Snapshot:

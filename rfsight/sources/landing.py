@@ -26,9 +26,19 @@ _BROKEN = "_broken_line"
 
 
 def read_lines(
-    spark: SparkSession, path: str, protocol: str, streaming: bool = False, **options
+    spark: SparkSession,
+    path: str,
+    protocol: str,
+    streaming: bool = False,
+    since: int | None = None,
+    until: int | None = None,
+    **options,
 ) -> DataFrame:
-    """Lines of every file under ``path`` with their file path. Batch and stream share this reader."""
+    """Lines of every file under ``path`` with their file path. Batch and stream share this reader.
+
+    ``since`` and ``until`` are modification times in epoch microseconds, the first left out and the last taken; files
+    outside are not opened.
+    """
     if not streaming:
         reader = spark.read.options(**options)
     else:
@@ -36,6 +46,11 @@ def read_lines(
             options.setdefault("maxFilesPerTrigger", FILES_PER_TRIGGER[protocol])
         reader = spark.readStream.options(**options)
     lines = reader.option("recursiveFileLookup", "true").text(path)
+    modified = F.col("_metadata.file_modification_time")
+    if since is not None:
+        lines = lines.filter(modified > F.timestamp_micros(F.lit(since)))
+    if until is not None:
+        lines = lines.filter(modified <= F.timestamp_micros(F.lit(until)))
     return lines.select(F.col("value"), F.col("_metadata.file_path").alias("source_path"))
 
 

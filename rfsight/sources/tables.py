@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rfsight.contracts import PARTITIONS, contract
-from rfsight.sources.days import Days, Snapshot
+from rfsight.sources.days import HISTORY, Days, Snapshot
 
 
 @dataclass(frozen=True)
@@ -36,9 +36,13 @@ class Layout:
         return f"{self.base}/tables/{name}"
 
     def days(self, name: str) -> str:
-        """Compacted days and history of a table, beside the files that its stream has written."""
+        """Compacted days of a table, beside the files that its stream has written."""
         return f"{self.base}/days/{name}"
 
+    def history(self, name: str) -> str:
+        """Rows that a batch has put in front of what a stream writes."""
+        return f"{self.base}/history/{name}"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.base}/checkpoints/{name}"
 
@@ -99,6 +103,38 @@ def is_streamed(spark: SparkSession, layout: Layout, name: str) -> bool:
     return _exists(spark, f"{layout.table(name)}/_spark_metadata")
 
 
+def newest_file(spark: SparkSession, path: str, settle_seconds: int = 0) -> int:
+    """Modification time (epoch microseconds) of the newest file that is older than ``settle_seconds``; 0 if none.
+    Listed, not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("modificationTime")
+    settled = F.current_timestamp() - F.make_dt_interval(secs=F.lit(settle_seconds))
+    newest = files.filter(F.col("modificationTime") <= settled).agg(F.max(F.unix_micros("modificationTime"))).first()[0]
+    return newest or 0
+
+
+_BOUNDARY = "protocol string, until bigint"
+
+
+def write_boundary(spark: SparkSession, layout: Layout, until: dict[str, int]) -> None:
+    """Note up to which landing files a generation was built as a batch, by protocol."""
+    lines = spark.createDataFrame(list(until.items()), _BOUNDARY)
+    lines.coalesce(1).write.mode("errorifexists").parquet(f"{layout.base}/boundary")
+
+
+def boundary(spark: SparkSession, layout: Layout) -> dict[str, int]:
+    """The times of :func:`write_boundary`; empty where all was streamed."""
+    if not _exists(spark, f"{layout.base}/boundary"):
+        return {}
+    return {r["protocol"]: r["until"] for r in spark.read.schema(_BOUNDARY).parquet(f"{layout.base}/boundary").collect()}
+
+
+def history(spark: SparkSession, layout: Layout, name: str, streaming: bool = False, **options) -> DataFrame:
+    """What a batch has put in front of a table's stream."""
+    reader = spark.readStream if streaming else spark.read
+    rows = reader.options(**options).schema(contract(name)).parquet(layout.history(name))
+    return rows.select(*contract(name).fieldNames())
+
+
 _PUBLISHED = "generation string, published timestamp"
 
 
@@ -144,11 +180,16 @@ def read_table(
 ) -> DataFrame:
     """A table by name with its contract as schema, as batch or as an append-only stream.
 
-    A batch takes compacted days and history in place of the files they stand for. A stream reads what streams have
-    written; :func:`stream_days` is for one that is to see all."""
+    A batch takes compacted days in place of the files they stand for, and history before them. A stream reads what
+    streams have written; :func:`stream_days` is for one that is to see all."""
     if streaming:
         return _raw(spark, layout, name, True, **options).select(*contract(name).fieldNames())
-    return _rows_of(spark, layout, name, Days(spark, layout.days(name)).snapshot(), **options)
+    if not _exists(spark, layout.history(name)):
+        return _rows_of(spark, layout, name, Days(spark, layout.days(name)).snapshot(), **options)
+    rows = history(spark, layout, name, **options)
+    if _exists(spark, layout.table(name)):
+        rows = rows.unionByName(_rows_of(spark, layout, name, Days(spark, layout.days(name)).snapshot(), **options))
+    return rows
 
 
 def _rows_of(
@@ -158,10 +199,8 @@ def _rows_of(
     if not snapshot.versions:
         raw = _raw(spark, layout, name, **options)
         return (raw if until is None else raw.filter(~_after(until))).select(*columns)
-    parts = [Days(spark, layout.days(name)).read(snapshot, contract(name), **options)]
-    if _exists(spark, layout.table(name)):
-        parts += [p.select(*columns) for p in _parts(_raw(spark, layout, name, **options), snapshot, until)]
-    return reduce(DataFrame.unionByName, parts)
+    parts = [p.select(*columns) for p in _parts(_raw(spark, layout, name, **options), snapshot, until)]
+    return reduce(DataFrame.unionByName, [Days(spark, layout.days(name)).read(snapshot, contract(name), **options), *parts])
 
 
 def stream_days(spark: SparkSession, layout: Layout, name: str, consumer: str, **options) -> DataFrame:
@@ -174,11 +213,14 @@ def stream_days(spark: SparkSession, layout: Layout, name: str, consumer: str, *
     snapshot = pinned.snapshot()
     if not snapshot.versions:
         snapshot = pinned.publish(days.snapshot())
-    if not snapshot.versions:
-        return read_table(spark, layout, name, streaming=True, **options)
-    columns = contract(name).fieldNames()
-    parts = [p.select(*columns) for p in _parts(_raw(spark, layout, name, True, **options), snapshot)]
-    return reduce(DataFrame.unionByName, [days.read(snapshot, contract(name), streaming=True, **options), *parts])
+    raw, columns = _raw(spark, layout, name, True, **options), contract(name).fieldNames()
+    parts = [history(spark, layout, name, True, **options)] if _exists(spark, layout.history(name)) else []
+    if snapshot.versions:
+        parts.append(days.read(snapshot, contract(name), streaming=True, **options))
+        parts += [p.select(*columns) for p in _parts(raw, snapshot)]
+    else:
+        parts.append(raw.select(*columns))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def write_table(df: DataFrame, layout: Layout, name: str, mode: str = "append") -> None:
@@ -186,9 +228,17 @@ def write_table(df: DataFrame, layout: Layout, name: str, mode: str = "append")
     and splits a day that is far larger than the rest."""
     if is_streamed(df.sparkSession, layout, name):
         raise ValueError(f"{layout.table(name)} is written by a stream; replay into a new generation instead")
+    _write(df, name, layout.table(name), mode)
+
+
+def _write(df: DataFrame, name: str, path: str, mode: str) -> None:
     keys = PARTITIONS[name]
-    placed = df.hint("rebalance", *[F.col(k) for k in keys])
-    placed.write.mode(mode).partitionBy(*keys).parquet(layout.table(name))
+    df.hint("rebalance", *[F.col(k) for k in keys]).write.mode(mode).partitionBy(*keys).parquet(path)
+
+
+def put_history(df: DataFrame, layout: Layout, name: str) -> None:
+    """Store rows in front of what a stream will write to a table. They count once the generation is published."""
+    _write(df, name, layout.history(name), "overwrite")
 
 
 def stream_table(df: DataFrame, layout: Layout, name: str, **options) -> StreamingQuery:
@@ -237,23 +287,14 @@ def compact_days(
     changed = {r["event_date"]: r["at"] for r in changed.groupBy("event_date").agg(F.max("at").alias("at")).collect()}
     if not changed:
         return snapshot
-    cut, version = max(snapshot.cut, *changed.values()), f"c{snapshot.step + 1}"
+    step = max(snapshot.step, HISTORY) + 1
+    cut, version = max(snapshot.cut, *changed.values()), f"c{step}"
     rows = _rows_of(spark, layout, name, snapshot, until=cut).filter(F.col("event_date").isin(sorted(changed)))
     keys = PARTITIONS[name]
     placed = rows.hint("rebalance", *[F.col(k) for k in keys], F.col(order[0])).sortWithinPartitions(*keys, *order)
     days.write(placed, version, tuple(k for k in keys if k != "event_date"))
     # Days already named have no file between the old cut and the new one, or they would be among the changed.
-    return days.publish(Snapshot(snapshot.step + 1, snapshot.versions | dict.fromkeys(changed, (version,)), cut))
-
-
-def put_history(df: DataFrame, layout: Layout, name: str) -> Snapshot:
-    """Store rows as a table's history, in front of what a stream will write. Only for a table without any."""
-    days = Days(df.sparkSession, layout.days(name))
-    if days.snapshot().versions:
-        raise ValueError(f"{layout.days(name)} has a history already")
-    keys = PARTITIONS[name]
-    days.write(df.hint("rebalance", *[F.col(k) for k in keys]), "history", tuple(k for k in keys if k != "event_date"))
-    return days.publish(Snapshot(0, dict.fromkeys(days.days_of("history"), ("history",)), 0))
+    return days.publish(Snapshot(step, snapshot.versions | dict.fromkeys(changed, (version,)), cut))
 
 
 def uncovered(spark: SparkSession, layout: Layout, name: str) -> DataFrame:

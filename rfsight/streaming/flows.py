@@ -10,16 +10,28 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rfsight.config import Settings, pin_session
 from rfsight.contracts import BT, WIFI
 from rfsight.operators import analytics, expectations
+from rfsight.operators.bronze import day_of
 from rfsight.operators.copresence import copresence_events
 from rfsight.operators.silver import to_silver
 from rfsight.operators.timeline import device_timeline, perimeter_alerts
+from rfsight.plans.medallion import build_history
 from rfsight.sources.days import Days
 from rfsight.sources.landing import ingest
-from rfsight.sources.tables import Layout, publish, read_table, stream_table
+from rfsight.sources.tables import (
+    Layout,
+    boundary,
+    history,
+    newest_file,
+    publish,
+    read_table,
+    stream_table,
+    write_boundary,
+)
 from rfsight.streaming.metrics import append_log, finish
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -47,9 +59,11 @@ def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterat
 
 
 def run_bronze(spark: SparkSession, layout: Layout, protocol: str, settings: Settings, **options) -> None:
+    """A generation built by :func:`hand_over` takes only files that came after its history."""
     name = f"{protocol}_bronze"
+    since = boundary(spark, layout).get(protocol)
     bronze, quarantine = ingest(
-        spark, layout.landing(protocol), protocol, settings, streaming=True, observation=name, **options
+        spark, layout.landing(protocol), protocol, settings, streaming=True, observation=name, since=since, **options
     )
     reports = finish(
         stream_table(bronze, layout, name), stream_table(quarantine, layout, f"{protocol}_quarantine")
@@ -68,11 +82,20 @@ def run_silver(
     name = f"{protocol}_silver"
     with state_settings(spark, partitions):
         bronze = read_table(spark, layout, f"{protocol}_bronze", streaming=True, **options)
-        silver = to_silver(bronze, protocol, settings, observation=name)
+        silver = to_silver(bronze, protocol, settings, name, _recent(spark, layout, f"{protocol}_bronze", settings))
         reports = finish(stream_table(silver, layout, name))
     append_log(spark, layout, reports, expectations.SILVER[protocol], name)
 
 
+def _recent(spark: SparkSession, layout: Layout, name: str, settings: Settings) -> DataFrame | None:
+    """History of the days that new rows may still be of, none in a generation without history. As time goes on, no
+    day is left and nothing is read."""
+    if not boundary(spark, layout):
+        return None
+    horizon = settings.now - F.expr(f"INTERVAL {max(settings.bronze_late_days, settings.late_drop_days) + 1} DAYS")
+    return history(spark, layout, name).filter(F.col("event_date") >= day_of(horizon))
+
+
 def run_timeline(spark: SparkSession, layout: Layout, settings: Settings, **options) -> None:
     wifi, bt = (read_table(spark, layout, f"{p}_silver", streaming=True, **options) for p in (WIFI, BT))
     name = "device_timeline"
@@ -93,7 +116,9 @@ def run_copresence(
     name = "copresence_events"
     with state_settings(spark, partitions):
         wifi, bt = (read_table(spark, layout, f"{p}_silver", streaming=True, **options) for p in (WIFI, BT))
-        reports = finish(stream_table(copresence_events(wifi, bt, settings, salts, name), layout, name))
+        before = [_recent(spark, layout, f"{p}_silver", settings) for p in (WIFI, BT)]
+        events = copresence_events(wifi, bt, settings, salts, name, None if None in before else tuple(before))
+        reports = finish(stream_table(events, layout, name))
     append_log(spark, layout, reports, expectations.COPRESENCE, name)
 
 
@@ -169,3 +194,22 @@ def replay(spark: SparkSession, layout: Layout, settings: Settings, partitions:
     run_pipeline(spark, fresh, settings, partitions)
     publish(spark, fresh)
     return fresh
+
+
+def hand_over(spark: SparkSession, layout: Layout, settings: Settings, settle_seconds: int = 2) -> Layout:
+    """Rebuild everything as a new generation, history as a batch and what comes later as streams.
+
+    The boundary is the newest landing file that has settled. Files up to it are one batch, however old their rows
+    are; it needs no state and no watermark. Streams of the generation begin behind the boundary with empty state:
+    copies of history rows are found by a join with the history's ids, and co-presence partners in its silver tables,
+    both for the days alone that can still get rows. So batch and later triggers make the tables that one batch over
+    all files would make. Where :func:`replay` streams history itself, this costs one pass of it.
+    """
+    fresh = layout.fresh()
+    until = {p: newest_file(spark, layout.landing(p), settle_seconds) for p in (WIFI, BT)}
+    build_history(spark, fresh, settings, until)
+    windows = analytics.sighting_windows(history(spark, fresh, "device_timeline"))
+    Days(spark, fresh.days("sighting_windows")).begin(windows)
+    write_boundary(spark, fresh, until)
+    publish(spark, fresh)
+    return fresh

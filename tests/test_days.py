@@ -121,6 +121,65 @@ def test_sighting_windows_over_many_triggers(spark, tmp_path, cfg):
     assert left and set(left) <= set(first_day)
 
 
+def _json(spark, layout, name):
+    df = tables.read_table(spark, layout, name).drop("source_path")
+    return sorted(r[0] for r in df.select(F.to_json(F.struct("*"))).collect())
+
+
+@pytest.fixture(scope="module")
+def handed(spark, tmp_path_factory):
+    """Two old files as history; copies of their rows, partners and new devices in three triggers behind them."""
+    cfg = Settings(salt="pepper", as_of="2024-06-01T12:10:00Z", run_id="test")
+    root = tmp_path_factory.mktemp("handed")
+    layout = Layout(str(root))
+
+    def arrive(name, span):
+        for protocol, row in (("wifi", wifi), ("bt", bt)):
+            rows = [row(message_id=f"{protocol}{i}", event_time=at(i * 9), rssi_dbm=-45) for i in span]
+            write_lines(root / "landing" / protocol, name, rows)
+
+    arrive("a", range(0, 20))
+    arrive("b", range(15, 30))
+    fresh = flows.hand_over(spark, layout, cfg, settle_seconds=0)
+    for name, span in (("c", range(25, 40)), ("d", range(38, 44)), ("e", range(2, 50))):
+        arrive(name, span)
+        flows.run_pipeline(spark, fresh, cfg, partitions=2)
+    batch = Layout(str(tmp_path_factory.mktemp("whole")))
+    for protocol in ("wifi", "bt"):
+        spark.read.text(layout.landing(protocol)).write.text(batch.landing(protocol))
+    backfill(spark, batch, cfg)
+    return fresh, batch
+
+
+@pytest.mark.parametrize("name", ["wifi_bronze", "wifi_silver", "bt_silver", "device_timeline", "copresence_events", "perimeter_alerts"])
+def test_history_and_streams_behind_it_are_one_batch(spark, handed, name):
+    fresh, batch = handed
+    assert tables.current_layout(spark, fresh.root) == fresh
+    assert _json(spark, fresh, name) == _json(spark, batch, name)
+
+
+def test_handed_over_windows_and_state(spark, handed):
+    fresh, batch = handed
+    timeline = tables.read_table(spark, batch, "device_timeline")
+    assert _windows(flows.read_sighting_windows(spark, fresh)) == _windows(analytics.sighting_windows(timeline))
+    # streams know nothing of the rows of history: neither in their tables nor in their state
+    streamed = spark.read.parquet(fresh.table("wifi_silver"))
+    assert set(_ids(streamed)) == {f"wifi{i}" for i in range(30, 50)}
+    with flows.state_settings(spark, 2):
+        state = spark.read.format("statestore").load(fresh.checkpoint("wifi_silver"))
+        assert state.count() == 20
+
+
+def test_history_of_an_empty_landing(spark, tmp_path, cfg):
+    for protocol in ("wifi", "bt"):
+        (tmp_path / "landing" / protocol).mkdir(parents=True)
+    fresh = flows.hand_over(spark, Layout(str(tmp_path)), cfg)
+    write_lines(tmp_path / "landing" / "wifi", "a", [wifi(message_id="1", event_time=_day(4, 0))])
+    write_lines(tmp_path / "landing" / "bt", "a", [bt(message_id="1", event_time=_day(4, 3))])
+    flows.run_pipeline(spark, fresh, cfg, partitions=2)
+    assert tables.read_table(spark, fresh, "copresence_events").count() == 1
+
+
 def test_a_batch_run_again_counts_once(spark, tmp_path):
     rows = spark.createDataFrame([("d", "WIFI", f"2024-06-0{k}", k) for k in (1, 1, 2)], "device_id_hash string, protocol string, event_date string, n long")
     partial = rows.groupBy("device_id_hash", "protocol", "event_date").agg(F.sum("n").alias("n"))
