@@ -179,13 +179,18 @@ def outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def landing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: A numeric field of each protocol that some lines give as text.
+MISTYPED = {"wifi": "channel", "bt": "manufacturer_id"}
+
+
+def landing_lines(spark: SparkSession, sf_dir: str, protocol: str) -> DataFrame:
     """NDJSON text per event: mostly sound, some cut short, some with an unknown or a mistyped field."""
-    return base(spark, sf_dir).filter("is_wifi AND copy = 0").selectExpr(
-        """concat('{"sensor_id":', coalesce(concat('"', sensor_id, '"'), 'null'), ',"event_time":"',
+    own = "is_wifi" if protocol == "wifi" else "NOT is_wifi"
+    return base(spark, sf_dir).filter(f"{own} AND copy = 0").selectExpr(
+        f"""concat('{{"sensor_id":', coalesce(concat('"', sensor_id, '"'), 'null'), ',"event_time":"',
           date_format(timestamp_millis(ms), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), '","message_id":"m', e,
           '","rssi_dbm":', -30 - (e * 7) % 75, CASE e % 40 WHEN 0 THEN ''
-          WHEN 1 THEN concat(',"firmware":"v', e % 5, '"}') WHEN 2 THEN ',"channel":"high"}' ELSE '}' END)
+          WHEN 1 THEN concat(',"firmware":"v', e % 5, '"}}') WHEN 2 THEN ',"{MISTYPED[protocol]}":"high"}}' ELSE '}}' END)
           AS value""",
         "concat('landing/part-', e % 16) AS source_path",
         "timestamp_millis(ingest_ms) AS received",

@@ -79,24 +79,20 @@ class Views:
     def features(self) -> DataFrame:
         return analytics.device_features(self.stored_timeline, self.settings)
 
-    @property
-    def lines(self) -> DataFrame:
-        return adapter.landing_lines(self.spark, self.sf_dir)
+    def lines(self, protocol: str) -> DataFrame:
+        return adapter.landing_lines(self.spark, self.sf_dir, protocol)
 
-    @property
-    def quarantine(self) -> DataFrame:
+    def quarantine(self, protocol: str) -> DataFrame:
         """Rescued rows stamped with the time the adapter received them."""
-        return bronze.to_quarantine(self._parsed_lines, WIFI, self.settings)
+        return bronze.to_quarantine(self._parsed_lines(protocol), protocol, self.settings)
 
-    @property
-    def parsed_bronze(self) -> DataFrame:
+    def parsed_bronze(self, protocol: str) -> DataFrame:
         """Bronze rows of the same lines."""
-        rows = landing.stamp(self._parsed_lines, WIFI, self.settings).withColumn("ingest_time", F.col("received"))
-        return bronze.to_bronze(rows, WIFI, self.settings)
+        rows = landing.stamp(self._parsed_lines(protocol), protocol, self.settings)
+        return bronze.to_bronze(rows.withColumn("ingest_time", F.col("received")), protocol, self.settings)
 
-    @property
-    def _parsed_lines(self) -> DataFrame:
-        rows = landing.parse_lines(self.lines, WIFI).withColumn("ingest_time", F.col("received"))
+    def _parsed_lines(self, protocol: str) -> DataFrame:
+        rows = landing.parse_lines(self.lines(protocol), protocol).withColumn("ingest_time", F.col("received"))
         return rows.withColumn("event_date", bronze.day_of("event_time"))
 
     @property
@@ -218,34 +214,47 @@ def _(views):
 
 _LINE_SQL = """CASE WHEN fault <> 0 THEN nullif(sensor_id, NULL) END AS sensor_id,
     CASE WHEN fault <> 0 THEN ms * 1000 END AS event_time, CASE WHEN fault <> 0 THEN message_id END AS message_id,
-    CASE WHEN fault <> 0 THEN rssi_dbm END AS rssi_dbm, NULL::INTEGER AS channel, _rescued_data, source_path"""
+    CASE WHEN fault <> 0 THEN rssi_dbm END AS rssi_dbm, NULL::INTEGER AS mistyped, _rescued_data, source_path"""
 
 
-@query("rescued_rows", f"SELECT e, {_LINE_SQL} FROM rescued")
+def _line_columns(protocol: str) -> list:
+    mistyped = F.col(adapter.MISTYPED[protocol]).alias("mistyped")
+    return ["sensor_id", "event_time", "message_id", "rssi_dbm", mistyped, "_rescued_data", "source_path"]
+
+
+@query("rescued_rows", each_sql(f"SELECT e, {_LINE_SQL} FROM @_rescued"))
 def _(views):
-    rows = landing.parse_lines(views.lines, WIFI)
-    return rows.select(
-        "e", "sensor_id", "event_time", "message_id", "rssi_dbm", "channel", "_rescued_data", "source_path"
-    )
+    return each(lambda p: landing.parse_lines(views.lines(p), p).select("e", *_line_columns(p)))
 
 
 @query(
     "quarantine",
-    f"""SELECT _rescued_data, CASE WHEN fault <> 0 THEN sensor_id END AS sensor_id,
+    each_sql(f"""SELECT _rescued_data, CASE WHEN fault <> 0 THEN sensor_id END AS sensor_id,
     CASE WHEN fault <> 0 THEN ms * 1000 END AS event_time, {o.NOW} AS ingest_time,
-    '2024-01-01' AS event_date, source_path FROM rescued WHERE _rescued_data IS NOT NULL""",
+    '2024-01-01' AS event_date, source_path FROM @_rescued WHERE _rescued_data IS NOT NULL"""),
 )
 def _(views):
-    landed = landing.stamp(landing.parse_lines(views.lines, WIFI), WIFI, views.settings)
-    return bronze.to_quarantine(landed, WIFI, views.settings)
+    def held(p: str) -> DataFrame:
+        landed = landing.stamp(landing.parse_lines(views.lines(p), p), p, views.settings)
+        return bronze.to_quarantine(landed, p, views.settings)
+
+    return each(held)
+
+
+def _silver_scan(views: Views, protocol: str) -> DataFrame:
+    layout, name = views.scratch("silver"), f"{protocol}_silver"
+    tables.write_table(views.silver(protocol), layout, name)
+    return tables.read_table(views.spark, layout, name).filter(F.col("event_date") == "2024-01-01")
 
 
 @query("silver_scan", f"SELECT {_shown('wifi_silver')} FROM wifi_silver WHERE event_date = '2024-01-01'")
 def _(views):
-    layout = views.scratch("silver")
-    tables.write_table(views.silver(WIFI), layout, "wifi_silver")
-    stored = tables.read_table(views.spark, layout, "wifi_silver")
-    return stored.filter(F.col("event_date") == "2024-01-01")
+    return _silver_scan(views, WIFI)
+
+
+@query("silver_scan_bt", f"SELECT {_shown('bt_silver')} FROM bt_silver WHERE event_date = '2024-01-01'")
+def _(views):
+    return _silver_scan(views, BT)
 
 
 def _write_silver(views: Views) -> tables.Layout:
@@ -262,33 +271,49 @@ def _(views):
     return tables.read_table(views.spark, layout, "device_timeline")
 
 
+def _export(views: Views, protocol: str, shown: list[str]) -> DataFrame:
+    layout, schema = views.scratch("export"), contract(f"{protocol}_payload")
+    payload = views.landed(protocol).select(*schema.fieldNames())
+    landing.export_ndjson(payload, layout.landing(protocol), by="sensor_id", max_records=1000)
+    return views.spark.read.schema(schema).json(layout.landing(protocol)).select(*shown)
+
+
+_EXPORTED = {
+    WIFI: ["sensor_id", "event_time", "message_id", "bssid", "rssi_dbm", "confidence", "metadata"],
+    BT: ["sensor_id", "event_time", "message_id", "device_address", "tx_power", "service_uuids", "confidence"],
+}
+
+
+@query("ndjson_export", f"SELECT {', '.join(_EXPORTED[WIFI])} FROM wifi_landed")
+def _(views):
+    return _export(views, WIFI, _EXPORTED[WIFI])
+
+
 @query(
-    "ndjson_export",
-    "SELECT sensor_id, event_time, message_id, bssid, rssi_dbm, confidence, metadata FROM wifi_landed",
+    "ndjson_export_bt",
+    "SELECT sensor_id, event_time, message_id, device_address, tx_power, "
+    "array_to_string(service_uuids, ',') AS service_uuids, confidence FROM bt_landed",
 )
 def _(views):
-    layout = views.scratch("export")
-    payload = views.landed(WIFI).select(*contract("wifi_payload").fieldNames())
-    landing.export_ndjson(payload, layout.landing(WIFI), by="sensor_id", max_records=1000)
-    files = views.spark.read.schema(contract("wifi_payload")).json(layout.landing(WIFI))
-    return files.select(
-        "sensor_id", "event_time", "message_id", "bssid", "rssi_dbm", "confidence", "metadata"
-    )
+    return _export(views, BT, _EXPORTED[BT])
 
 
-@query("kafka_value_parse", f"SELECT {_LINE_SQL.replace('source_path', 'topic_path AS source_path')} FROM "
-       "(SELECT *, 'wifi/' || (e % 4) || '/' || e AS topic_path FROM rescued)")
+@query(
+    "kafka_value_parse",
+    each_sql(f"SELECT {_LINE_SQL.replace('source_path', 'topic_path AS source_path')} FROM "
+             "(SELECT *, '@/' || (e % 4) || '/' || e AS topic_path FROM @_rescued)"),
+)
 def _(views):
-    messages = views.lines.select(
-        F.col("value").cast("binary").alias("value"),
-        F.lit("wifi").alias("topic"),
-        (F.col("e") % 4).cast("int").alias("partition"),
-        F.col("e").alias("offset"),
-    )
-    rows = landing.parse_messages(messages, WIFI)
-    return rows.select(
-        "sensor_id", "event_time", "message_id", "rssi_dbm", "channel", "_rescued_data", "source_path"
-    )
+    def parsed(p: str) -> DataFrame:
+        messages = views.lines(p).select(
+            F.col("value").cast("binary").alias("value"),
+            F.lit(p).alias("topic"),
+            (F.col("e") % 4).cast("int").alias("partition"),
+            F.col("e").alias("offset"),
+        )
+        return landing.parse_messages(messages, p).select(*_line_columns(p))
+
+    return each(parsed)
 
 
 _ALERT_SQL = _shown("perimeter_alerts", {"alert_reasons": "reasons", "ingest_time": str(o.NOW)})
@@ -310,17 +335,25 @@ CATALOGUE["backfill_batch"] = Query(
     CATALOGUE["backfill_batch"].sql.replace(str(o.NOW - 7 * o.DAY), str(o.NOW - 30 * o.DAY)),
 )
 
-_WIFI_BRONZE_SQL = _shown("wifi_bronze", {"_rescued_data": "NULL::VARCHAR"})
+_BRONZE_SQL = {p: _shown(f"{p}_bronze", {"_rescued_data": "NULL::VARCHAR"}) for p in (WIFI, BT)}
+
 
+def _compacted(views: Views, protocol: str) -> DataFrame:
+    layout, name = views.scratch("compact"), f"{protocol}_bronze"
+    tables.write_table(views.bronze(protocol), layout, name)
+    target = layout.table(f"{name}_compacted")
+    day = tables.compact(views.spark, layout, name, "2024-01-01", target)
+    return day.select(*contract(name).fieldNames())
 
-@query("compact_partition", f"SELECT {_WIFI_BRONZE_SQL} FROM wifi_bronze WHERE event_date = '2024-01-01'")
+
+@query("compact_partition", f"SELECT {_BRONZE_SQL[WIFI]} FROM wifi_bronze WHERE event_date = '2024-01-01'")
 def _(views):
-    layout = views.scratch("compact")
-    tables.write_table(views.bronze(WIFI), layout, "wifi_bronze")
-    target = layout.table("wifi_bronze_compacted")
-    return tables.compact(views.spark, layout, "wifi_bronze", "2024-01-01", target).select(
-        *contract("wifi_bronze").fieldNames()
-    )
+    return _compacted(views, WIFI)
+
+
+@query("compact_partition_bt", f"SELECT {_BRONZE_SQL[BT]} FROM bt_bronze WHERE event_date = '2024-01-01'")
+def _(views):
+    return _compacted(views, BT)
 
 
 def arrivals(df: DataFrame, parts: int, key: str = "event_id") -> list[DataFrame]:
@@ -508,10 +541,19 @@ def _(views):
     return views.silver(BT)
 
 
-@query("schema_conform", f"SELECT {_WIFI_BRONZE_SQL} FROM wifi_bronze")
+def _conformed(views: Views, protocol: str) -> DataFrame:
+    shuffled = views.bronze(protocol).withColumn("extra", F.lit(1))
+    return conform(shuffled.select(*sorted(shuffled.columns)), f"{protocol}_bronze")
+
+
+@query("schema_conform", f"SELECT {_BRONZE_SQL[WIFI]} FROM wifi_bronze")
 def _(views):
-    shuffled = views.bronze(WIFI).withColumn("extra", F.lit(1))
-    return conform(shuffled.select(*sorted(shuffled.columns)), "wifi_bronze")
+    return _conformed(views, WIFI)
+
+
+@query("schema_conform_bt", f"SELECT {_BRONZE_SQL[BT]} FROM bt_bronze")
+def _(views):
+    return _conformed(views, BT)
 
 
 @query(
@@ -624,16 +666,34 @@ def _(views):
     return each(lambda p: expectations.BRONZE[p].enforce(views.landed(p), views.settings).select("e", "event_time"))
 
 
-_BROKEN_SQL = """concat_ws(',', CASE WHEN NOT (rssi_dbm IS NULL OR rssi_dbm BETWEEN -100 AND 0)
-    THEN 'rssi_plausible' END, CASE WHEN NOT (confidence IS NULL OR confidence BETWEEN 0 AND 1)
-    THEN 'confidence_valid' END, CASE WHEN (latitude IS NULL) <> (longitude IS NULL) THEN 'coordinates_paired' END,
-    CASE WHEN NOT (latitude IS NULL OR latitude BETWEEN -90 AND 90) THEN 'valid_latitude' END)"""
+def _broken_sql(rules: list[tuple[str, str]]) -> str:
+    return "concat_ws(',', " + ", ".join(f"CASE WHEN NOT ({ok}) THEN '{name}' END" for name, ok in rules) + ")"
+
 
+_BOTH_WARN = [
+    ("confidence_valid", "confidence IS NULL OR confidence BETWEEN 0 AND 1"),
+    ("coordinates_paired", "(latitude IS NULL) = (longitude IS NULL)"),
+]
+_WARN_SQL = {
+    WIFI: [
+        ("rssi_plausible", "rssi_dbm IS NULL OR rssi_dbm BETWEEN -100 AND 0"), *_BOTH_WARN,
+        ("valid_latitude", "latitude IS NULL OR latitude BETWEEN -90 AND 90"),
+    ],
+    BT: [("rssi_plausible", "rssi_dbm IS NULL OR rssi_dbm BETWEEN -110 AND 20"), *_BOTH_WARN],
+}
 
-@query("expect_warn", f"SELECT event_id, {_BROKEN_SQL} AS violations FROM wifi_silver")
+
+@query(
+    "expect_warn",
+    " UNION ALL ".join(
+        f"SELECT '{p}' AS protocol, event_id, {_broken_sql(_WARN_SQL[p])} AS violations FROM {p}_silver" for p in (WIFI, BT)
+    ),
+)
 def _(views):
-    rules = expectations.SILVER[WIFI]
-    return rules.violations(views.silver(WIFI), views.settings).select("event_id", "violations")
+    def violations(p: str) -> DataFrame:
+        return expectations.SILVER[p].violations(views.silver(p), views.settings).select("event_id", "violations")
+
+    return each(violations)
 
 
 @query(
@@ -838,30 +898,42 @@ def _dedup_trigger(views: Views, layout: tables.Layout, name: str, delay: str) -
         )
 
 
-@query("dedup_stream", "SELECT DISTINCT event_id, event_time, message_id, rssi_dbm FROM wifi_bronze")
+def _unique(views: Views, layout: tables.Layout, protocol: str) -> DataFrame:
+    return views.spark.read.schema(contract(f"{protocol}_bronze")).parquet(layout.table("unique"))
+
+
+@query("dedup_stream", each_sql("SELECT DISTINCT event_id, event_time, message_id, rssi_dbm FROM @_bronze"))
 def _(views):
-    layout = views.scratch("dedup")
-    tables.write_table(views.bronze(WIFI), layout, "wifi_bronze")
-    _dedup_trigger(views, layout, "wifi_bronze", views.settings.wifi_watermark)
-    unique = views.spark.read.schema(contract("wifi_bronze")).parquet(layout.table("unique"))
-    return unique.select("event_id", "event_time", "message_id", "rssi_dbm")
+    def unique(p: str) -> DataFrame:
+        layout = views.scratch("dedup")
+        tables.write_table(views.bronze(p), layout, f"{p}_bronze")
+        _dedup_trigger(views, layout, f"{p}_bronze", views.settings.watermark_for(p))
+        return _unique(views, layout, p).select("event_id", "event_time", "message_id", "rssi_dbm")
+
+    return each(unique)
 
 
 @query(
     "late_data",
-    f"""SELECT DISTINCT {o.EVENT_ID_BT} AS event_id, event_time FROM bt_landed
-    WHERE event_time >= {o.NOW - 7 * o.DAY} AND event_time <= {o.NOW + 300_000_000}""",
+    " UNION ALL ".join(
+        f"""SELECT DISTINCT '{p}' AS protocol, {event_id} AS event_id, event_time FROM {p}_landed
+        WHERE event_time >= {o.NOW - 7 * o.DAY} AND event_time <= {o.NOW + 300_000_000}"""
+        for p, event_id in ((WIFI, o.EVENT_ID_WIFI), (BT, o.EVENT_ID_BT))
+    ),
 )
 def _(views):
     """Two triggers on one checkpoint: rows in time, then the late ones and a replay of the first."""
-    rows = expectations.BRONZE[BT].enforce(views.medallion.landed(BT), views.settings)
-    fresh = bronze.drop_late(rows, views.settings)
-    layout = views.scratch("late")
-    for arrival in (fresh, rows):
-        tables.write_table(conform(arrival, "bt_bronze"), layout, "bt_bronze")
-        _dedup_trigger(views, layout, "bt_bronze", views.settings.bt_watermark)
-    unique = views.spark.read.schema(contract("bt_bronze")).parquet(layout.table("unique"))
-    return unique.select("event_id", "event_time")
+
+    def kept(p: str) -> DataFrame:
+        rows = expectations.BRONZE[p].enforce(views.medallion.landed(p), views.settings)
+        fresh = bronze.drop_late(rows, views.settings)
+        layout = views.scratch("late")
+        for arrival in (fresh, rows):
+            tables.write_table(conform(arrival, f"{p}_bronze"), layout, f"{p}_bronze")
+            _dedup_trigger(views, layout, f"{p}_bronze", views.settings.watermark_for(p))
+        return _unique(views, layout, p).select("event_id", "event_time")
+
+    return each(kept)
 
 
 @query(
@@ -1140,25 +1212,25 @@ _INGEST_DAY = o.DAY_OF("ingest_ms * 1000")
 
 @query(
     "quarantine_counts",
-    f"""SELECT {_INGEST_DAY} AS event_date, (ingest_ms - ingest_ms % 3600000) * 1000 AS ingest_hour,
-    count(*) AS quarantine_count, count(*) > 10 AS alert FROM rescued WHERE _rescued_data IS NOT NULL GROUP BY ALL""",
+    each_sql(f"""SELECT {_INGEST_DAY} AS event_date, (ingest_ms - ingest_ms % 3600000) * 1000 AS ingest_hour,
+    count(*) AS quarantine_count, count(*) > 10 AS alert FROM @_rescued WHERE _rescued_data IS NOT NULL GROUP BY ALL"""),
 )
 def _(views):
-    return reports.quarantine_counts(views.quarantine, alert_above=10)
+    return each(lambda p: reports.quarantine_counts(views.quarantine(p), alert_above=10))
 
 
 @query(
     "quarantine_ratio",
-    f"""SELECT event_date, bronze_rows, quarantined, ratio_pct, ratio_pct > 1 AS alert, ratio_pct < 0.5 AS within_slo
+    each_sql(f"""SELECT event_date, bronze_rows, quarantined, ratio_pct, ratio_pct > 1 AS alert, ratio_pct < 0.5 AS within_slo
     FROM (SELECT *, CASE WHEN bronze_rows > 0 THEN {o.HALF_UP("quarantined * 100e0 / bronze_rows", 3)} END AS ratio_pct
       FROM (SELECT event_date, coalesce(b, 0) AS bronze_rows, coalesce(q, 0) AS quarantined FROM
-        (SELECT {_INGEST_DAY} AS event_date, count(*) AS b FROM rescued WHERE fault <> 0
+        (SELECT {_INGEST_DAY} AS event_date, count(*) AS b FROM @_rescued WHERE fault <> 0
           AND ms * 1000 BETWEEN {o.NOW - 7 * o.DAY} AND {o.NOW + 300_000_000} GROUP BY 1)
-        FULL JOIN (SELECT {_INGEST_DAY} AS event_date, count(*) AS q FROM rescued WHERE _rescued_data IS NOT NULL
-          GROUP BY 1) USING (event_date)))""",
+        FULL JOIN (SELECT {_INGEST_DAY} AS event_date, count(*) AS q FROM @_rescued WHERE _rescued_data IS NOT NULL
+          GROUP BY 1) USING (event_date)))"""),
 )
 def _(views):
-    return reports.quarantine_ratio(views.quarantine, views.parsed_bronze)
+    return each(lambda p: reports.quarantine_ratio(views.quarantine(p), views.parsed_bronze(p)))
 
 
 @query(

@@ -268,22 +268,24 @@ CTES: dict[str, str] = {
         {bare("device_address", "[:. -]")} FROM bt_bronze WHERE device_address IS NOT NULL""",
     "outbox": """SELECT e AS id, CASE WHEN is_wifi THEN 'wifi' ELSE 'bt' END AS protocol, ms * 1000 AS created_at,
         CASE WHEN e % 7 <> 0 THEN (ms + 60000) * 1000 END AS uploaded_at FROM base WHERE copy = 0""",
-    "lines": """SELECT e, sensor_id, ms, ingest_ms, 'landing/part-' || (e % 16) AS source_path,
-        'm' || e AS message_id, (-30 - (e * 7) % 75)::INTEGER AS rssi_dbm, (e % 40) AS fault,
-        '{"sensor_id":' || coalesce('"' || sensor_id || '"', 'null') || ',"event_time":"'
-          || strftime(make_timestamp(ms * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') || '","message_id":"m' || e
-          || '","rssi_dbm":' || (-30 - (e * 7) % 75) || CASE WHEN e % 40 = 0 THEN '' WHEN e % 40 = 1
-            THEN ',"firmware":"v' || (e % 5) || '"}' WHEN e % 40 = 2 THEN ',"channel":"high"}' ELSE '}' END
-          AS line
-        FROM base WHERE is_wifi AND copy = 0""",
-    "rescued": """SELECT *, CASE fault WHEN 0 THEN line WHEN 1 THEN '{"firmware":"v' || (e % 5) || '"}'
-        WHEN 2 THEN '{"channel":"high"}' END AS _rescued_data FROM lines""",
     "strong": """SELECT wifi_device_hash AS a, bt_device_hash AS b FROM links WHERE pair_count >= 3
         UNION SELECT bt_device_hash, wifi_device_hash FROM links WHERE pair_count >= 3""",
     "reach": """SELECT a, b FROM strong
         UNION SELECT reach.a, strong.b FROM reach JOIN strong ON reach.b = strong.a""",
 }
 
+for _p, _own in (("wifi", "is_wifi"), ("bt", "NOT is_wifi")):
+    CTES[f"{_p}_lines"] = f"""SELECT e, sensor_id, ms, ingest_ms, 'landing/part-' || (e % 16) AS source_path,
+        'm' || e AS message_id, (-30 - (e * 7) % 75)::INTEGER AS rssi_dbm, (e % 40) AS fault,
+        '{{"sensor_id":' || coalesce('"' || sensor_id || '"', 'null') || ',"event_time":"'
+          || strftime(make_timestamp(ms * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') || '","message_id":"m' || e
+          || '","rssi_dbm":' || (-30 - (e * 7) % 75) || CASE WHEN e % 40 = 0 THEN '' WHEN e % 40 = 1
+            THEN ',"firmware":"v' || (e % 5) || '"}}' WHEN e % 40 = 2 THEN ',"{a.MISTYPED[_p]}":"high"}}' ELSE '}}' END
+          AS line
+        FROM base WHERE {_own} AND copy = 0"""
+    CTES[f"{_p}_rescued"] = f"""SELECT *, CASE fault WHEN 0 THEN line WHEN 1 THEN '{{"firmware":"v' || (e % 5) || '"}}'
+        WHEN 2 THEN '{{"{a.MISTYPED[_p]}":"high"}}' END AS _rescued_data FROM {_p}_lines"""
+
 
 def sql(select: str) -> str:
     """Put the tables ``select`` needs, directly or through others, in front of it."""

@@ -13,7 +13,8 @@ from rfsight.sources.tables import Layout
 SF_DIR = "/root/testdata/sf0.001"
 FILE_QUERIES = {
     "landing_scan", "landing_scan_bt", "silver_scan", "partitioned_sink", "ndjson_export", "backfill_batch",
-    "compact_partition", "compacted_days", "compacted_stream", "handover_alerts",
+    "compact_partition", "compact_partition_bt", "silver_scan_bt", "ndjson_export_bt",
+    "compacted_days", "compacted_stream", "handover_alerts",
     "handover_copresence", "dedup_stream", "late_data", "copresence_stream", "sighting_windows_stream", "entity_clusters",
 }
 
