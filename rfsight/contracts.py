@@ -56,12 +56,15 @@ _DDL = {
 }
 for _p in (WIFI, BT):
     _DDL[f"{_p}_bronze"] = f"{_DDL[f'{_p}_payload']}, _rescued_data string, {_STAMPS}"
+    _DDL[f"{_p}_late"] = f"{_DDL[f'{_p}_bronze']}, layer string"
 
 PARTITIONS = {
     "wifi_bronze": ["event_date"],
     "bt_bronze": ["event_date"],
     "wifi_quarantine": ["event_date"],
     "bt_quarantine": ["event_date"],
+    "wifi_late": ["event_date"],
+    "bt_late": ["event_date"],
     "wifi_silver": ["event_date"],
     "bt_silver": ["event_date"],
     "device_timeline": ["event_date", "protocol"],

@@ -29,9 +29,9 @@ def dedup_batch(
     return df.withColumn("_copy", F.row_number().over(earliest)).filter("_copy = 1").drop("_copy")
 
 
-def dedup(df: DataFrame, delay: str) -> DataFrame:
+def dedup(df: DataFrame, delay: str, time: str = "event_time") -> DataFrame:
     """The streaming form on a stream, the exact form on a batch."""
-    return dedup_stream(df, delay) if df.isStreaming else dedup_batch(df)
+    return dedup_stream(df, delay, time=time) if df.isStreaming else dedup_batch(df)
 
 
 def first_per_window(

@@ -56,13 +56,19 @@ NORMALIZERS = {"wifi": normalize_wifi, "bt": normalize_bt}
 
 
 def to_silver(
-    bronze: DataFrame, protocol: str, settings: Settings, observation=None, known: DataFrame | None = None
+    bronze: DataFrame,
+    protocol: str,
+    settings: Settings,
+    observation=None,
+    known: DataFrame | None = None,
+    clock: str = "event_time",
 ) -> DataFrame:
     """Deduplicate, normalise, then enforce the silver expectations. ``known`` are bronze rows of a history that is
-    built already: copies of them are duplicates too. An id tells its day, so the day is part of the key."""
+    built already: copies of them are duplicates too. An id tells its day, so the day is part of the key. ``clock`` is
+    the time that a stream's watermark follows."""
     if known is not None:
         day_and_id = ["event_date", "event_id"]
         bronze = bronze.join(known.select(*day_and_id), day_and_id, "left_anti").select(bronze.columns)
-    unique = dedup(bronze, settings.watermark_for(protocol))
+    unique = dedup(bronze, settings.watermark_for(protocol), clock)
     normal = NORMALIZERS[protocol](unique, settings)
     return SILVER[protocol].enforce(normal, settings, observation)

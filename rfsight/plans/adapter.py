@@ -193,6 +193,7 @@ def landing_lines(spark: SparkSession, sf_dir: str, protocol: str) -> DataFrame:
           WHEN 1 THEN concat(',"firmware":"v', e % 5, '"}}') WHEN 2 THEN ',"{MISTYPED[protocol]}":"high"}}' ELSE '}}' END)
           AS value""",
         "concat('landing/part-', e % 16) AS source_path",
+        "timestamp_millis(ms) AS sent",
         "timestamp_millis(ingest_ms) AS received",
         "e",
     )

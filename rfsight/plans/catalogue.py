@@ -27,6 +27,7 @@ from rfsight.plans import adapter
 from rfsight.plans import oracle as o
 from rfsight.plans.medallion import Medallion, backfill, with_stamps
 from rfsight.sources import landing, scan_dump, tables
+from rfsight.streaming import arrivals as landed
 from rfsight.streaming import flows, metrics
 
 
@@ -936,6 +937,167 @@ def _(views):
     return each(kept)
 
 
+_ARRIVAL_SQL = f"""greatest(0, least(2, CASE WHEN e % 9 = 0 THEN 2 ELSE (ms - {adapter.EPOCH_MS}) // 14400000 END))"""
+_DELAYS = {WIFI: 7_200_000_000, BT: 3_600_000_000}
+_ARRIVED_SQL = {
+    p: f"""(SELECT *, max(CASE WHEN eligible THEN event_time END) OVER (ORDER BY arrival
+        RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM (SELECT *, ms * 1000 AS event_time,
+        fault <> 0 AND ms * 1000 BETWEEN {o.NOW - 7 * o.DAY} AND {o.NOW + 300_000_000} AS eligible,
+        {_ARRIVAL_SQL} AS arrival FROM {p}_rescued))"""
+    for p in (WIFI, BT)
+}
+
+
+def _arrived(views: Views, protocol: str) -> tables.Layout:
+    """Three triggers over lines with faults: a third of the time each, with one row in nine only at the end."""
+    layout = views.scratch("arrivals")
+    lines = views.lines(protocol).withColumn("ms", F.unix_millis("sent"))
+    for k in range(3):
+        delivered = lines.filter(F.expr(_ARRIVAL_SQL.replace("//", "div")) == k).select("value")
+        delivered.write.text(f"{layout.landing(protocol)}/{k}")
+        landed.run_arrivals(views.spark, layout, protocol, views.settings)
+        landed.run_timely_silver(views.spark, layout, protocol, views.settings)
+    return layout
+
+
+@query(
+    "arrival_sinks",
+    each_sql(f"""SELECT 'bronze' AS sink, message_id, nullif(sensor_id, NULL) AS sensor_id, ms * 1000 AS event_time, _rescued_data
+    FROM @_rescued WHERE fault <> 0 AND ms * 1000 BETWEEN {o.NOW - 7 * o.DAY} AND {o.NOW + 300_000_000}
+    UNION ALL SELECT 'quarantine', NULL, CASE WHEN fault <> 0 THEN sensor_id END, CASE WHEN fault <> 0 THEN ms * 1000 END,
+    _rescued_data FROM @_rescued WHERE _rescued_data IS NOT NULL"""),
+)
+def _(views):
+    def sinks(p: str) -> DataFrame:
+        layout = _arrived(views, p)
+        shown = ["sensor_id", "event_time", "_rescued_data"]
+        kept = tables.read_table(views.spark, layout, f"{p}_bronze").select(F.lit("bronze").alias("sink"), "message_id", *shown)
+        held = tables.read_table(views.spark, layout, f"{p}_quarantine")
+        return kept.unionByName(held.select(F.lit("quarantine").alias("sink"), F.lit(None).cast("string").alias("message_id"), *shown))
+
+    return each(sinks)
+
+
+@query(
+    "late_rows",
+    " UNION ALL ".join(
+        f"""SELECT '{p}' AS protocol, message_id, event_time, layer FROM (SELECT *, CASE WHEN fault = 0 THEN NULL
+        WHEN event_time < {o.NOW - 7 * o.DAY} THEN 'bronze' WHEN event_time <= reached - {_DELAYS[p]} THEN 'watermark' END
+        AS layer FROM {_ARRIVED_SQL[p]}) WHERE layer IS NOT NULL"""
+        for p in (WIFI, BT)
+    ),
+)
+def _(views):
+    def late(p: str) -> DataFrame:
+        stored = tables.read_table(views.spark, _arrived(views, p), f"{p}_late")
+        return stored.select("message_id", "event_time", "layer")
+
+    return each(late)
+
+
+@query(
+    "timely_silver",
+    " UNION ALL ".join(
+        f"""SELECT '{p}' AS protocol, message_id, sensor_id, event_time FROM {_ARRIVED_SQL[p]}
+        WHERE eligible AND length(sensor_id) > 0 AND NOT coalesce(event_time <= reached - {_DELAYS[p]}, false)"""
+        for p in (WIFI, BT)
+    ),
+)
+def _(views):
+    """What is not late, all of it: kept and late rows are what has arrived."""
+
+    def silver(p: str) -> DataFrame:
+        stored = tables.read_table(views.spark, _arrived(views, p), f"{p}_silver")
+        return stored.select("message_id", "sensor_id", "event_time")
+
+    return each(silver)
+
+
+_SLICE_SQL = f"greatest(0, least(2, (event_time - {adapter.EPOCH_MS}000) // 14400000000))"
+
+
+def in_time(df: DataFrame, k: int) -> DataFrame:
+    """A third of the time, of three in order."""
+    micros = F.unix_micros("event_time") - F.lit(adapter.EPOCH_MS * 1000)
+    return df.filter(F.greatest(F.lit(0), F.least(F.lit(2), F.floor(micros / F.lit(14_400_000_000)))) == k)
+
+
+@query(
+    "dedup_state",
+    " UNION ALL ".join(
+        f"""SELECT '{p}' AS protocol, arrival, count(DISTINCT event_id) FILTER (slice <= arrival
+          AND event_time > reached - 2 * {_DELAYS[p]}) AS state_rows FROM (SELECT *, {_SLICE_SQL} AS slice FROM {p}_bronze),
+        (SELECT unnest(range(0, 3)) AS arrival), (SELECT s, max(m) OVER (ORDER BY s) AS reached FROM
+          (SELECT {_SLICE_SQL} AS s, max(event_time) AS m FROM {p}_bronze GROUP BY 1)) WHERE s = arrival GROUP BY arrival"""
+        for p in (WIFI, BT)
+    ),
+)
+def _(views):
+    """Ids that the deduplication still holds after each of three triggers, read from its state: those that the
+    watermark has not passed."""
+
+    def held(p: str) -> DataFrame:
+        layout, out = views.scratch("state"), []
+        for k in range(3):
+            tables.write_table(in_time(views.bronze(p), k), layout, f"{p}_bronze")
+            _dedup_trigger(views, layout, f"{p}_bronze", views.settings.watermark_for(p))
+            rows = flows.state_rows(views.spark, layout, "unique").agg(F.count(F.lit(1)).alias("state_rows")).first()[0]
+            out.append((k, rows))
+        return views.spark.createDataFrame(out, "arrival long, state_rows long")
+
+    return each(held)
+
+
+@query("copresence_triggers", "SELECT wifi_event_id, bt_event_id, sensor_id FROM pairs")
+def _(views):
+    """Co-presence over three triggers: pairs meet through the state of the join."""
+    layout = views.scratch("triggers")
+    for k in range(3):
+        for protocol in (WIFI, BT):
+            tables.write_table(in_time(views.silver(protocol), k), layout, f"{protocol}_silver")
+        flows.run_copresence(views.spark, layout, views.settings)
+    events = tables.read_table(views.spark, layout, "copresence_events")
+    return events.select("wifi_event_id", "bt_event_id", "sensor_id")
+
+
+@query(
+    "sighting_frequency_stream",
+    """SELECT device_id_hash, protocol, event_time - event_time % 3600000000 AS hour_start, count(*) AS sighting_count
+    FROM timeline WHERE event_time - event_time % 3600000000 + 3600000000 <= (SELECT max(event_time) FROM timeline) - 7200000000
+    GROUP BY ALL""",
+)
+def _(views):
+    """Hours that three triggers have closed."""
+    layout = views.scratch("frequency")
+    for k in range(3):
+        tables.write_table(in_time(views.stored_timeline, k), layout, "device_timeline")
+        flows.run_sighting_frequency(views.spark, layout, views.settings)
+    schema = "device_id_hash string, protocol string, hour_start timestamp, sighting_count long"
+    return views.spark.read.schema(schema).parquet(layout.table("sighting_frequency"))
+
+
+@query(
+    "quarantine_alarms_stream",
+    each_sql("""SELECT (ingest_ms - ingest_ms % 3600000) * 1000 AS hour_start, count(*) AS quarantine_count, count(*) > 10 AS alert
+    FROM @_rescued WHERE _rescued_data IS NOT NULL AND ingest_ms - ingest_ms % 3600000 + 3600000
+      <= (SELECT max(ingest_ms) FROM @_rescued WHERE _rescued_data IS NOT NULL) GROUP BY 1"""),
+)
+def _(views):
+    """Alarms of the closed hours, over three triggers in the order of receipt."""
+
+    def alarms(p: str) -> DataFrame:
+        layout, held = views.scratch("alarms"), views.quarantine(p)
+        micros = F.unix_micros("ingest_time") - F.lit(adapter.EPOCH_MS * 1000)
+        third = F.greatest(F.lit(0), F.least(F.lit(2), F.floor(micros / F.lit(14_400_000_000))))
+        for k in range(3):
+            tables.write_table(held.filter(third == k), layout, f"{p}_quarantine")
+            flows.run_quarantine_counts(views.spark, layout, p, alert_above=10)
+        schema = "hour_start timestamp, quarantine_count long, alert boolean"
+        return views.spark.read.schema(schema).parquet(layout.table(f"{p}_quarantine_counts"))
+
+    return each(alarms)
+
+
 @query(
     "first_per_window",
     """SELECT event_id, sensor_id, device_address, event_time, scan_start FROM (SELECT *, row_number() OVER (

@@ -93,14 +93,14 @@ def _remove_scratch() -> None:
             remove(spark, root)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
 def is_streamed(spark: SparkSession, layout: Layout, name: str) -> bool:
     """Whether a stream has written the table; batch writes would then be lost to readers, or destroy it."""
-    return _exists(spark, f"{layout.table(name)}/_spark_metadata")
+    return exists(spark, f"{layout.table(name)}/_spark_metadata")
 
 
 def newest_file(spark: SparkSession, path: str, settle_seconds: int = 0) -> int:
@@ -123,7 +123,7 @@ def write_boundary(spark: SparkSession, layout: Layout, until: dict[str, int]) -
 
 def boundary(spark: SparkSession, layout: Layout) -> dict[str, int]:
     """The times of :func:`write_boundary`; empty where all was streamed."""
-    if not _exists(spark, f"{layout.base}/boundary"):
+    if not exists(spark, f"{layout.base}/boundary"):
         return {}
     return {r["protocol"]: r["until"] for r in spark.read.schema(_BOUNDARY).parquet(f"{layout.base}/boundary").collect()}
 
@@ -147,7 +147,7 @@ def publish(spark: SparkSession, layout: Layout) -> None:
 
 def current_layout(spark: SparkSession, root: str) -> Layout:
     """The layout of the generation published last, or of the root itself."""
-    if not _exists(spark, f"{root}/published"):
+    if not exists(spark, f"{root}/published"):
         return Layout(root)
     lines = spark.read.schema(_PUBLISHED).parquet(f"{root}/published")
     return Layout(root, lines.agg(F.max_by("generation", "published")).first()[0])
@@ -184,10 +184,10 @@ def read_table(
     streams have written; :func:`stream_days` is for one that is to see all."""
     if streaming:
         return _raw(spark, layout, name, True, **options).select(*contract(name).fieldNames())
-    if not _exists(spark, layout.history(name)):
+    if not exists(spark, layout.history(name)):
         return _rows_of(spark, layout, name, Days(spark, layout.days(name)).snapshot(), **options)
     rows = history(spark, layout, name, **options)
-    if _exists(spark, layout.table(name)):
+    if exists(spark, layout.table(name)):
         rows = rows.unionByName(_rows_of(spark, layout, name, Days(spark, layout.days(name)).snapshot(), **options))
     return rows
 
@@ -214,7 +214,7 @@ def stream_days(spark: SparkSession, layout: Layout, name: str, consumer: str, *
     if not snapshot.versions:
         snapshot = pinned.publish(days.snapshot())
     raw, columns = _raw(spark, layout, name, True, **options), contract(name).fieldNames()
-    parts = [history(spark, layout, name, True, **options)] if _exists(spark, layout.history(name)) else []
+    parts = [history(spark, layout, name, True, **options)] if exists(spark, layout.history(name)) else []
     if snapshot.versions:
         parts.append(days.read(snapshot, contract(name), streaming=True, **options))
         parts += [p.select(*columns) for p in _parts(raw, snapshot)]

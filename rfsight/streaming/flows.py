@@ -82,12 +82,12 @@ def run_silver(
     name = f"{protocol}_silver"
     with state_settings(spark, partitions):
         bronze = read_table(spark, layout, f"{protocol}_bronze", streaming=True, **options)
-        silver = to_silver(bronze, protocol, settings, name, _recent(spark, layout, f"{protocol}_bronze", settings))
+        silver = to_silver(bronze, protocol, settings, name, recent_history(spark, layout, f"{protocol}_bronze", settings))
         reports = finish(stream_table(silver, layout, name))
     append_log(spark, layout, reports, expectations.SILVER[protocol], name)
 
 
-def _recent(spark: SparkSession, layout: Layout, name: str, settings: Settings) -> DataFrame | None:
+def recent_history(spark: SparkSession, layout: Layout, name: str, settings: Settings) -> DataFrame | None:
     """History of the days that new rows may still be of, none in a generation without history. As time goes on, no
     day is left and nothing is read."""
     if not boundary(spark, layout):
@@ -116,7 +116,7 @@ def run_copresence(
     name = "copresence_events"
     with state_settings(spark, partitions):
         wifi, bt = (read_table(spark, layout, f"{p}_silver", streaming=True, **options) for p in (WIFI, BT))
-        before = [_recent(spark, layout, f"{p}_silver", settings) for p in (WIFI, BT)]
+        before = [recent_history(spark, layout, f"{p}_silver", settings) for p in (WIFI, BT)]
         events = copresence_events(wifi, bt, settings, salts, name, None if None in before else tuple(before))
         reports = finish(stream_table(events, layout, name))
     append_log(spark, layout, reports, expectations.COPRESENCE, name)
@@ -213,3 +213,51 @@ def hand_over(spark: SparkSession, layout: Layout, settings: Settings, settle_se
     write_boundary(spark, fresh, until)
     publish(spark, fresh)
     return fresh
+
+
+def state_rows(spark: SparkSession, layout: Layout, name: str, partitions: int | None = None, **options) -> DataFrame:
+    """What a stateful query holds after its last batch, by Spark's own state reader. ``joinSide`` tells which side
+    of a join, ``batchId`` an earlier batch."""
+    with state_settings(spark, partitions):
+        return spark.read.format("statestore").options(**options).load(layout.checkpoint(name))
+
+
+def hourly_counts(rows: DataFrame, keys: list[str], time: str, delay: str, count: str) -> DataFrame:
+    """Rows per keys and hour. On a stream an hour comes out once, when the watermark has passed its end, and its
+    state goes; on a batch all hours come out."""
+    hours = rows.withWatermark(time, delay) if rows.isStreaming else rows
+    counted = hours.groupBy(*keys, F.window(time, "1 hour").alias("hour")).agg(F.count(F.lit(1)).alias(count))
+    return counted.select(*keys, F.col("hour.start").alias("hour_start"), count)
+
+
+def _append(rows: DataFrame, layout: Layout, name: str) -> None:
+    finish(
+        rows.writeStream.queryName(name)
+        .format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", layout.checkpoint(name))
+        .trigger(availableNow=True)
+        .start(layout.table(name))
+    )
+
+
+def run_sighting_frequency(
+    spark: SparkSession, layout: Layout, settings: Settings, partitions: int | None = None, **options
+) -> None:
+    """Sightings per device, protocol and closed hour, appended to ``sighting_frequency``."""
+    with state_settings(spark, partitions):
+        timeline = read_table(spark, layout, "device_timeline", streaming=True, **options)
+        keys = ["device_id_hash", "protocol"]
+        counts = hourly_counts(timeline, keys, "event_time", settings.join_watermark, "sighting_count")
+        _append(counts, layout, "sighting_frequency")
+
+
+def run_quarantine_counts(
+    spark: SparkSession, layout: Layout, protocol: str, alert_above: int = 100, partitions: int | None = None, **options
+) -> None:
+    """Quarantined rows per closed ingest hour with the alarm, appended to ``<protocol>_quarantine_counts``. Rows come
+    in the order they are received, so an hour is closed as soon as a later one begins."""
+    with state_settings(spark, partitions):
+        held = read_table(spark, layout, f"{protocol}_quarantine", streaming=True, **options)
+        counts = hourly_counts(held, [], "ingest_time", "0 seconds", "quarantine_count")
+        _append(counts.withColumn("alert", F.col("quarantine_count") > alert_above), layout, f"{protocol}_quarantine_counts")

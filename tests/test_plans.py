@@ -15,6 +15,8 @@ FILE_QUERIES = {
     "landing_scan", "landing_scan_bt", "silver_scan", "partitioned_sink", "ndjson_export", "backfill_batch",
     "compact_partition", "compact_partition_bt", "silver_scan_bt", "ndjson_export_bt",
     "compacted_days", "compacted_stream", "handover_alerts",
+    "arrival_sinks", "late_rows", "timely_silver", "dedup_state", "copresence_triggers", "sighting_frequency_stream",
+    "quarantine_alarms_stream",
     "handover_copresence", "dedup_stream", "late_data", "copresence_stream", "sighting_windows_stream", "entity_clusters",
 }
 
