@@ -193,32 +193,42 @@ def sighting_frequency(timeline: DataFrame) -> DataFrame:
     )
 
 
-def movement_history(timeline: DataFrame, chunk_hours: int = 1) -> DataFrame:
-    """Ordered path per device: previous sensor, whether it moved, seconds until its next sighting.
+#: A row of a path with its neighbours inside its chunk, as it is stored.
+_STOP = T.StructType([
+    T.StructField("event_time", T.TimestampType()),
+    T.StructField("event_id", T.StringType()),
+    T.StructField("sensor_id", T.StringType()),
+])
+STEP = ["event_id", "device_id_hash", "protocol", "sensor_id", "event_time", "event_date"]
+PATH_PIECE = T.StructType([
+    *[T.StructField(c, T.TimestampType() if c == "event_time" else T.StringType()) for c in STEP],
+    T.StructField("chunk", T.LongType()),
+    T.StructField("stop", _STOP),
+    T.StructField("before", _STOP),
+    T.StructField("after", _STOP),
+])
 
-    A window over a whole device would sort a busy device in one task. The path is cut into time
-    chunks, neighbours are found inside each chunk, and the first and last row of a chunk take theirs
-    from a small table of chunk ends. Rows and chunk ends meet on (device, chunk), the key the rows
-    are already partitioned by.
-    """
-    order = ["event_time", "event_id"]
+
+def path_pieces(steps: DataFrame, chunk_hours: int = 1) -> DataFrame:
+    """Rows of paths (:data:`STEP`) with their neighbours inside their time chunk; chunk ends stay open."""
     width = F.lit(chunk_hours * _HOUR_MICROS)
-    rows = _identified(timeline).select(
-        "event_id", "device_id_hash", "protocol", "sensor_id", "event_time"
-    )
-    rows = rows.withColumns(
+    rows = steps.select(*STEP).withColumns(
         {
             "chunk": F.unix_micros("event_time") - F.pmod(F.unix_micros("event_time"), width),
             "stop": F.struct("event_time", "event_id", "sensor_id"),
         }
     )
-    keys = ["device_id_hash", "chunk"]
-    inside = Window.partitionBy(*keys).orderBy(*order)
-    rows = rows.withColumns({"before": F.lag("stop").over(inside), "after": F.lead("stop").over(inside)})
+    inside = Window.partitionBy("device_id_hash", "chunk").orderBy("event_time", "event_id")
+    return rows.withColumns({"before": F.lag("stop").over(inside), "after": F.lead("stop").over(inside)})
 
+
+def stitched(pieces: DataFrame) -> DataFrame:
+    """Whole paths: open ends of a chunk take their neighbours from a small table of the first and last row of each.
+    Rows and chunk ends meet on (device, chunk)."""
+    keys = ["device_id_hash", "chunk"]
     chunks = Window.partitionBy("device_id_hash").orderBy("chunk")
     ends = (
-        rows.groupBy(*keys)
+        pieces.groupBy(*keys)
         .agg(F.min("stop").alias("first"), F.max("stop").alias("last"))
         .select(
             *keys,
@@ -226,7 +236,7 @@ def movement_history(timeline: DataFrame, chunk_hours: int = 1) -> DataFrame:
             F.lead("first").over(chunks).alias("chunk_after"),
         )
     )
-    joined = rows.join(ends, keys)
+    joined = pieces.join(ends, keys)
     previous = F.coalesce("before", "chunk_before")
     following = F.coalesce("after", "chunk_after")
     dwell = (F.unix_micros(following["event_time"]) - F.unix_micros("event_time")) / F.lit(1_000_000)
@@ -242,6 +252,15 @@ def movement_history(timeline: DataFrame, chunk_hours: int = 1) -> DataFrame:
     )
 
 
+def movement_history(timeline: DataFrame, chunk_hours: int = 1) -> DataFrame:
+    """Ordered path per device: previous sensor, whether it moved, seconds until its next sighting.
+
+    A window over a whole device would sort a busy device in one task. The path is cut into time chunks, neighbours
+    are found inside each chunk, and the chunks are stitched at their ends.
+    """
+    return stitched(path_pieces(_identified(timeline), chunk_hours))
+
+
 def entity_links(copresence: DataFrame) -> DataFrame:
     """Edges between Wi-Fi and Bluetooth identifiers with their evidence.
 

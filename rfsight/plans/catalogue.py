@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +21,7 @@ from rfsight.functions.identity import event_key, hash_identifier, vendor_oui
 from rfsight.operators import analytics, bronze, clusters, expectations, lookup, outbox, reports
 from rfsight.operators.copresence import copresence_counts, copresence_events, copresence_pairs, copresence_rows
 from rfsight.operators.dedup import dedup_batch, dedup_stream, first_per_window
-from rfsight.operators.silver import NORMALIZERS
+from rfsight.operators.silver import NORMALIZERS, to_silver
 from rfsight.operators.timeline import alert_candidates, alert_rows, device_timeline, high_threat, timeline_rows
 from rfsight.plans import adapter
 from rfsight.plans import oracle as o
@@ -793,6 +793,28 @@ def _report(views: Views, *tables_named: str) -> DataFrame:
     return reduce(DataFrame.unionByName, lines)
 
 
+def _counted(views: Views) -> DataFrame:
+    """Lines of all rules with each table built once: bronze and silver counts are taken while silver is written, gold
+    counts from the silver tables."""
+    layout, lines, own = views.scratch("counted"), [], views.settings
+    for p in (WIFI, BT):
+        seen = {name: Observation(name) for name in (f"{p}_bronze", f"{p}_silver")}
+        rows = bronze.to_bronze(views.medallion.landed(p), p, own, seen[f"{p}_bronze"])
+        tables.write_table(to_silver(rows, p, own, seen[f"{p}_silver"]), layout, f"{p}_silver")
+        for rules in (expectations.BRONZE[p], expectations.SILVER[p]):
+            counts = seen[rules.table].get
+            lines += [(rules.table, r.name, r.action, counts[r.name], counts["rows_seen"] - counts[r.name]) for r in rules.rules]
+    schema = "table_name string, expectation string, action string, failed long, passed long"
+    wifi, bt = (tables.read_table(views.spark, layout, f"{p}_silver") for p in (WIFI, BT))
+    gold = [
+        (expectations.TIMELINE, timeline_rows(wifi, bt)),
+        (expectations.COPRESENCE, copresence_rows(wifi, bt, own)),
+        (expectations.ALERTS, alert_rows(device_timeline(wifi, bt, own), own)),
+    ]
+    first = views.spark.createDataFrame(lines, schema)
+    return reduce(DataFrame.unionByName, [rules.report(rows, own).select(*first.columns) for rules, rows in gold], first)
+
+
 @query("rules_bronze", _RULES_SQL["bronze"])
 def _(views):
     return _report(views, "wifi_bronze", "bt_bronze")
@@ -1300,17 +1322,28 @@ def _(views):
     return analytics.sighting_frequency(views.timeline)
 
 
-@query(
-    "movement_history",
-    """SELECT event_id, device_id_hash, protocol, sensor_id, event_time, lag(sensor_id) OVER p AS previous_sensor_id,
+_MOVEMENT_SQL = """SELECT event_id, device_id_hash, protocol, sensor_id, event_time, lag(sensor_id) OVER p AS previous_sensor_id,
     sensor_id <> lag(sensor_id) OVER p AS moved, (lead(event_time) OVER p - event_time) / 1000000e0 AS dwell_seconds
     FROM timeline WHERE device_id_hash IS NOT NULL
-    WINDOW p AS (PARTITION BY device_id_hash ORDER BY event_time, event_id)""",
-)
+    WINDOW p AS (PARTITION BY device_id_hash ORDER BY event_time, event_id)"""
+
+
+@query("movement_history", _MOVEMENT_SQL)
 def _(views):
     return analytics.movement_history(views.stored_timeline)
 
 
+@query("movement_history_stream", _MOVEMENT_SQL)
+def _(views):
+    """Four triggers; the last one brings a share of the rows of the first three."""
+    layout, timeline = views.scratch("movement"), views.stored_timeline
+    late = F.pmod(F.xxhash64("event_id", F.lit(1)), F.lit(8)) == 0
+    for part in [*(in_time(timeline, k).filter(~late) for k in range(3)), timeline.filter(late)]:
+        tables.write_table(part, layout, "device_timeline")
+        flows.run_movement(views.spark, layout)
+    return flows.read_movement(views.spark, layout)
+
+
 @query("entity_links", "SELECT * FROM links")
 def _(views):
     return analytics.entity_links(views.copresence)
@@ -1324,6 +1357,19 @@ def _(views):
     return clusters.entity_clusters(analytics.entity_links(views.copresence), min_pairs=3)
 
 
+@query(
+    "entity_clusters_stream",
+    "SELECT a AS device_id_hash, least(a, min(b)) AS cluster_id FROM reach GROUP BY a",
+)
+def _(views):
+    """Three triggers; links gather their pairs over them, and clusters merge."""
+    layout, events = views.scratch("merged"), views.copresence
+    for part in arrivals(events, 3, "copresence_id"):
+        tables.write_table(part, layout, "copresence_events")
+        flows.run_clusters(views.spark, layout, min_pairs=3)
+    return flows.read_clusters(views.spark, layout)
+
+
 @query(
     "unknown_device_topk",
     """SELECT sensor_id, rank, device_id_hash, unknown_score, sighting_count FROM (
@@ -1366,7 +1412,7 @@ def _(views):
     ORDER BY failure_pct DESC, table_name, expectation""",
 )
 def _(views):
-    return reports.dq_failure_rate(_checks(views), views.settings)
+    return reports.failure_pct(_counted(views))
 
 
 _INGEST_DAY = o.DAY_OF("ingest_ms * 1000")

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,8 +85,7 @@ class Days:
             for day, versions in old.versions.items():
                 named = {v for s in kept for v in s.versions.get(day, ())}
                 for version in set(versions) - named:
-                    fs, at = self._fs(f"{self.data}/event_date={day}/version={version}")
-                    fs.delete(at, True)
+                    self._drop(day, version)
             fs, at = self._fs(f"{self.root}/pointers/step={old.step}")
             fs.delete(at, True)
             old = self.snapshot(before=old.step)
@@ -123,7 +123,30 @@ class Days:
             folded = f"f{batch_id}"
             self.write(merge(self.read(Snapshot(batch_id, versions), schema, crowded)), folded)
             versions |= dict.fromkeys(crowded, (folded,))
-        return self.publish(Snapshot(batch_id, versions), "overwrite")
+        published = self.publish(Snapshot(batch_id, versions), "overwrite")
+        for day in crowded:  # in the fold, and named by no snapshot
+            self._drop(day, own)
+        return published
+
+    def replace(self, rows: DataFrame, batch_id: int, make: Callable[[DataFrame], DataFrame]) -> Snapshot:
+        """Make the days that ``rows`` touch anew: ``make`` gets what is stored of them and ``rows``, in the columns
+        of ``rows``. Other days are neither read nor written."""
+        before, own, whole = self.snapshot(before=batch_id), f"b{batch_id}", f"r{batch_id}"
+        arrived = Days(self.spark, f"{self.root}/arrived")
+        arrived.write(rows, own)
+        touched = arrived.days_of(own)
+        parts = [arrived.read(Snapshot(batch_id, dict.fromkeys(touched, (own,))), rows.schema)]
+        if known := {day: before.versions[day] for day in touched if day in before.versions}:
+            parts.append(self.read(Snapshot(batch_id, known), rows.schema))
+        self.write(make(reduce(DataFrame.unionByName, parts)), whole)
+        published = self.publish(Snapshot(batch_id, before.versions | dict.fromkeys(touched, (whole,))), "overwrite")
+        for day in touched:
+            arrived._drop(day, own)
+        return published
+
+    def _drop(self, day: str, version: str) -> None:
+        fs, at = self._fs(f"{self.data}/event_date={day}/version={version}")
+        fs.delete(at, True)
 
     def counts(self, snapshot: Snapshot) -> Column:
         """Whether a stored row is of a version that counts; on folder names alone, so others are not read."""

@@ -6,21 +6,23 @@ them in turn. Each table has its own checkpoint; a run that dies resumes where i
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rfsight.config import Settings, pin_session
 from rfsight.contracts import BT, WIFI
 from rfsight.operators import analytics, expectations
 from rfsight.operators.bronze import day_of
+from rfsight.operators.clusters import LABELS, merge_clusters
 from rfsight.operators.copresence import copresence_events
 from rfsight.operators.silver import to_silver
 from rfsight.operators.timeline import device_timeline, perimeter_alerts
 from rfsight.plans.medallion import build_history
-from rfsight.sources.days import Days
+from rfsight.sources.days import Days, Snapshot
 from rfsight.sources.landing import ingest
 from rfsight.sources.tables import (
     Layout,
@@ -139,14 +141,7 @@ def run_sighting_windows(spark: SparkSession, layout: Layout, fold_after: int =
         partial = analytics.sighting_windows(batch)
         days.upsert(partial, batch_id, analytics.merge_sighting_windows, fold_after)
 
-    timeline = read_table(spark, layout, "device_timeline", streaming=True, **options)
-    finish(
-        timeline.writeStream.queryName("sighting_windows")
-        .option("checkpointLocation", layout.checkpoint("sighting_windows"))
-        .trigger(availableNow=True)
-        .foreachBatch(store)
-        .start()
-    )
+    _each_batch(read_table(spark, layout, "device_timeline", streaming=True, **options), layout, "sighting_windows", store)
 
 
 def read_sighting_windows(spark: SparkSession, layout: Layout, days: list[str] | None = None) -> DataFrame:
@@ -156,6 +151,83 @@ def read_sighting_windows(spark: SparkSession, layout: Layout, days: list[str] |
     return analytics.merge_sighting_windows(partials)
 
 
+def _each_batch(rows: DataFrame, layout: Layout, name: str, store: Callable[[DataFrame, int], object]) -> None:
+    finish(
+        rows.writeStream.queryName(name)
+        .option("checkpointLocation", layout.checkpoint(name))
+        .trigger(availableNow=True)
+        .foreachBatch(store)
+        .start()
+    )
+
+
+def run_movement(spark: SparkSession, layout: Layout, **options) -> None:
+    """Paths by day: a micro-batch makes the days it touches anew, with neighbours inside time chunks. Chunk ends stay
+    open and are stitched by :func:`read_movement`, so a row that comes late finds its place."""
+    days = Days(spark, layout.days("movement_history"))
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        steps = batch.filter(F.col("device_id_hash").isNotNull()).select(*analytics.STEP)
+        days.replace(steps, batch_id, analytics.path_pieces)
+
+    _each_batch(read_table(spark, layout, "device_timeline", streaming=True, **options), layout, "movement_history", store)
+
+
+def read_movement(spark: SparkSession, layout: Layout) -> DataFrame:
+    days = Days(spark, layout.days("movement_history"))
+    return analytics.stitched(days.read(days.snapshot(), analytics.PATH_PIECE))
+
+
+_ALL = "all"
+
+
+def run_clusters(
+    spark: SparkSession, layout: Layout, min_pairs: int = 1, fold_after: int = FOLD_AFTER, **options
+) -> None:
+    """Entity clusters that grow with each micro-batch of co-presence events.
+
+    Pairs are counted by day. Links that reach ``min_pairs`` with this batch are merged into the clusters before it:
+    read are the counts of the batch's own pairs and the clusters, contracted is the graph between clusters that new
+    links touch, written are the clusters. A link never falls below the number again, so clusters only merge.
+    """
+    counts, labels = (Days(spark, layout.days(name)) for name in ("link_counts", "entity_clusters"))
+    ends = ["wifi_device_hash", "bt_device_hash"]
+
+    def merged_counts(partials: DataFrame) -> DataFrame:
+        return partials.groupBy(*ends, "event_date").agg(F.sum("pair_count").alias("pair_count"))
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        both = batch.filter(" AND ".join(f"{end} IS NOT NULL" for end in ends))
+        partial = both.groupBy(*ends, "event_date").agg(F.count(F.lit(1)).alias("pair_count"))
+        now = counts.upsert(partial, batch_id, merged_counts, fold_after)
+        if not now.versions:
+            return
+        own = partial.groupBy(*ends).agg(F.sum("pair_count").alias("own"))
+        total = counts.read(now, partial.schema).join(own.select(*ends), ends, "left_semi")
+        total = total.groupBy(*ends).agg(F.sum("pair_count").alias("total")).join(own, ends)
+        strong = total.filter((F.col("total") >= min_pairs) & (F.col("total") - F.col("own") < min_pairs))
+        after = merge_clusters(_labels(spark, labels, labels.snapshot(before=batch_id)), strong)
+        version = f"b{batch_id}"
+        labels.write(after.withColumn("event_date", F.lit(_ALL)), version)
+        if labels.days_of(version):
+            labels.publish(Snapshot(batch_id, {_ALL: (version,)}), "overwrite")
+
+    events = read_table(spark, layout, "copresence_events", streaming=True, **options)
+    _each_batch(events, layout, "entity_clusters", store)
+
+
+def _labels(spark: SparkSession, labels: Days, snapshot: Snapshot) -> DataFrame:
+    if not snapshot.versions:
+        return spark.createDataFrame([], LABELS)
+    return labels.read(snapshot, T.StructType.fromDDL(f"{LABELS}, event_date string")).drop("event_date")
+
+
+def read_clusters(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The clusters after the last micro-batch."""
+    labels = Days(spark, layout.days("entity_clusters"))
+    return _labels(spark, labels, labels.snapshot())
+
+
 def run_pipeline(
     spark: SparkSession,
     layout: Layout,

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from rows import at, bt, wifi, write_lines
 
 from rfsight.config import Settings
-from rfsight.operators import analytics
+from rfsight.operators import analytics, clusters
 from rfsight.plans.medallion import backfill
 from rfsight.sources import landing, tables
 from rfsight.sources.days import Days, Snapshot
@@ -192,3 +192,63 @@ def test_a_batch_run_again_counts_once(spark, tmp_path):
         days.upsert(partial, batch_id, merge, fold_after=2)
     found = merge(days.read(days.snapshot(), partial.schema)).collect()
     assert sorted((r["event_date"], r["n"]) for r in found) == [("2024-06-01", 6), ("2024-06-02", 6)]
+
+
+def _timeline(spark, rows):
+    """(device, seconds, sensor, day) as timeline rows."""
+    data = [(f"{d}-{s}-{day}", sensor, _day(day, s), f"2024-06-0{day}", "WIFI", d) for d, s, sensor, day in rows]
+    df = spark.createDataFrame(data, "event_id string, sensor_id string, t string, event_date string, protocol string, device_id_hash string")
+    df = df.withColumn("event_time", F.to_timestamp("t")).drop("t")
+    empty = spark.createDataFrame([], tables.contract("device_timeline"))
+    return empty.unionByName(df, allowMissingColumns=True)
+
+
+def test_movement_in_batches_is_one_run(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    batches = [
+        [("d", 0, "a", 1), ("d", 4000, "b", 1), ("e", 10, "a", 1), (None, 5, "a", 1)],
+        [("d", 100, "b", 2), ("f", 1, "c", 2)],
+        [("d", 2000, "c", 1), ("e", 5000, "b", 3)],  # one row in the middle of a day that is stored
+        [("d", 7000, "a", 2), ("f", 2, "a", 2)],
+    ]
+    done = []
+    for k, rows in enumerate(batches):
+        tables.write_table(_timeline(spark, rows), layout, "device_timeline")
+        flows.run_movement(spark, layout)
+        done += rows
+        whole = analytics.movement_history(_timeline(spark, done))
+        assert sorted(map(str, flows.read_movement(spark, layout).collect())) == sorted(map(str, whole.collect())), k
+    stored = tmp_path / "days" / "movement_history" / "data"
+    assert len(list((stored / "event_date=2024-06-03").glob("version=*"))) == 1
+    assert all(len(list(day.glob("version=*"))) <= 2 for day in stored.glob("event_date=*"))
+    assert not list((tmp_path / "days" / "movement_history" / "arrived" / "data").glob("event_date=*/version=*"))
+
+
+def _pairs(spark, rows):
+    data = [(f"{w}-{b}-{k}", w, b, f"2024-06-0{1 + k % 3}") for k, (w, b) in enumerate(rows)]
+    df = spark.createDataFrame(data, "copresence_id string, wifi_device_hash string, bt_device_hash string, event_date string")
+    return spark.createDataFrame([], tables.contract("copresence_events")).unionByName(df, allowMissingColumns=True)
+
+
+def test_clusters_grow_with_their_links(spark, tmp_path):
+    """Every prefix of the batches gives the clusters of a full run over it: chains join from both ends, links gather
+    their pairs over batches, and a batch may bring nothing."""
+    layout = Layout(str(tmp_path))
+    batches = [
+        [("w1", "b1"), ("w1", "b1"), ("w2", "b2"), ("w9", "b9")],
+        [("w2", "b2"), ("w3", "b3"), ("w3", "b3"), (None, "b1")],
+        [("w9", None)],
+        [("w2", "b1"), ("w2", "b1"), ("w3", "b2"), ("w4", "b4")],
+        [("w3", "b2"), ("w4", "b4"), ("w4", "b0"), ("w4", "b0"), ("w1", "b1")],
+        [("w1", "b4"), ("w1", "b4")],
+    ]
+    done = []
+    for k, rows in enumerate(batches):
+        tables.write_table(_pairs(spark, rows), layout, "copresence_events")
+        flows.run_clusters(spark, layout, min_pairs=2, fold_after=2)
+        done += rows
+        events = _pairs(spark, done).withColumn("copresence_score", F.lit(0.5))
+        whole = clusters.entity_clusters(analytics.entity_links(events), min_pairs=2)
+        found = flows.read_clusters(spark, layout)
+        assert sorted(map(tuple, found.select("device_id_hash", "cluster_id").collect())) == sorted(map(tuple, whole.collect())), k
+    assert {r["cluster_id"] for r in found.collect()} == {"b0"}

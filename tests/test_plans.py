@@ -17,7 +17,8 @@ FILE_QUERIES = {
     "compacted_days", "compacted_stream", "handover_alerts",
     "arrival_sinks", "late_rows", "timely_silver", "dedup_state", "copresence_triggers", "sighting_frequency_stream",
     "quarantine_alarms_stream",
-    "handover_copresence", "dedup_stream", "late_data", "copresence_stream", "sighting_windows_stream", "entity_clusters",
+    "handover_copresence", "movement_history_stream",
+    "entity_clusters_stream", "dq_failure_rate", "dedup_stream", "late_data", "copresence_stream", "sighting_windows_stream", "entity_clusters",
 }
 
 
