@@ -7,8 +7,9 @@ spoils one pivot at most. Of two words within one edit, take the one whose prefi
 gram of the other word, and within the other's prefix. So pivots are looked up among prefixes, and no pair is missed.
 
 Position limits: the edit lies wholly before or wholly behind the unspoilt pivot. So the words agree either in all that
-stands before the pivot, and its place, or in all that stands behind it, and its distance from the end. A digest
-of the pivot and that side is the key of the join, which leaves few candidates; an exact distance verifies them.
+stands before the pivot, and its place, or in all that stands behind it, and its distance from the end. The pivot
+with that side, and a few letters of the other side that one edit can't touch at both ends, are the key of the join.
+This leaves few candidates; an exact distance verifies them.
 
 Each word follows its much more frequent neighbour; such steps go up in frequency by the factor at least, so a chain
 is short, and pointers are doubled along it.
@@ -22,6 +23,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Iterator
 from hashlib import blake2b
+from math import inf
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,6 +39,11 @@ DAMAGE = 199
 RUN = "[A-Za-zÀ-ÿ]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 GRAM, EDITS = 2, 1
+#: Lengths of the rest for which 0, 1, ... of its letters are in the key: at least twice as many, and any two lengths
+#: that one edit makes of each other have one in common.
+RESTS = [(0, 2), (2, 5), (5, 8), (8, inf)]
+#: Letters that stand in a key as they are.
+SPELT = 32
 
 
 # ---- words ------------------------------------------------------------------------------------
@@ -85,23 +92,36 @@ def pivots(prefix: list[tuple[str, int]], often: dict[str, int]) -> list[tuple[s
     return best[-1][EDITS + 1][1]
 
 
-def _beginnings(text: str, lengths: list[int]) -> dict[int, bytes]:
-    """Digest of the first so many letters, for each length, in one pass."""
+def _beginnings(text: str, lengths: list[int]) -> dict[int, str]:
+    """The first so many letters, for each length; beyond ``SPELT`` a digest of them, all in one pass."""
     digest, done, out = blake2b(digest_size=8), 0, {}
     for length in sorted(lengths):
-        digest.update(text[done:length].encode())
-        out[length], done = digest.digest(), length
+        if length <= SPELT:
+            out[length] = text[:length]
+        else:
+            digest.update(text[done:length].encode())
+            out[length], done = digest.hexdigest(), length
     return out
 
 
-def keys(word: str, prefix: list[tuple[str, int]]) -> list[tuple[bytes, tuple[str, int]]]:
-    """(join key, gram): digests of the gram with all that stands before it, and with all behind it."""
+def keys(word: str, prefix: list[tuple[str, int]]) -> list[tuple[str, tuple[str, int]]]:
+    """(join key, gram): the gram with all that stands before it, or with all behind it, and a few letters of the
+    rest. The one edit is in the rest, so its first letters agree or its last ones do, where it is long enough."""
+    n, out = len(word), []
     ahead = _beginnings(word, [at + GRAM for _, at in prefix])
-    behind = _beginnings(word[::-1], [len(word) - at for _, at in prefix])
-    return [pair for g in prefix for pair in ((b"<" + ahead[g[1] + GRAM], g), (b">" + behind[len(word) - g[1]], g))]
+    behind = _beginnings(word[::-1], [n - at for _, at in prefix])
+    for g in prefix:
+        at, end = g[1], g[1] + GRAM
+        for side, low, high in ((f"<{ahead[end]}", end, n), (f">{behind[n - at]}", 0, at)):
+            for letters, (least, most) in enumerate(RESTS):
+                if least <= high - low <= most:
+                    if letters:
+                        out.append((f"{side}^{word[low : low + letters]}", g))
+                    out.append((f"{side}${word[high - letters : high]}", g))
+    return out
 
 
-_INDEX = "word string, n long, key binary, pivot boolean"
+_INDEX = "word string, n long, key string, pivot boolean"
 
 
 def _indexed(rows: list[tuple[str, int, list]]) -> pa.RecordBatch:
@@ -112,7 +132,7 @@ def _indexed(rows: list[tuple[str, int, list]]) -> pa.RecordBatch:
         chosen = set(pivots(prefix, often))
         out += [(word, n, key, gram in chosen) for key, gram in keys(word, prefix)]
     columns = zip(*out, strict=True) if out else [[]] * 4
-    kinds = [pa.string(), pa.int64(), pa.binary(), pa.bool_()]
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.bool_()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["word", "n", "key", "pivot"])
 
 
