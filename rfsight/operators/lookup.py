@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rfsight.config import Settings
@@ -89,3 +89,56 @@ def unseen_in(timeline: DataFrame, history: DataFrame) -> DataFrame:
     devices = history.select("device_id_hash").filter(F.col("device_id_hash").isNotNull()).distinct()
     known = timeline.filter(F.col("device_id_hash").isNotNull())
     return known.join(devices, "device_id_hash", "left_anti").select(timeline.columns)
+
+
+# ---- first sightings over batches -------------------------------------------------------------
+
+#: Bits of the filter of known devices, and hashes per device. It lies in rows of 32768 bits each; a filter that fills
+#: up lets more devices through to the join and loses none.
+FILTER_BITS, FILTER_HASHES = 1 << 28, 3
+
+
+def _marks(device: str = "device_id_hash") -> Column:
+    """(bucket, bit) of each of a device's hashes."""
+    places = [F.pmod(F.xxhash64(F.col(device), F.lit(k)), F.lit(FILTER_BITS)) for k in range(FILTER_HASHES)]
+    return F.array(*[F.struct(F.bitmap_bucket_number(p).alias("bucket"), F.bitmap_bit_position(p).alias("bit")) for p in places])
+
+
+def known_bits(devices: DataFrame) -> DataFrame:
+    """(bucket, bits) of the filter with these devices in it."""
+    marks = devices.select(F.inline(_marks()))
+    return marks.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+
+
+def merge_bits(partials: DataFrame) -> DataFrame:
+    return partials.groupBy("bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def perhaps_known(devices: DataFrame, bits: DataFrame) -> DataFrame:
+    """Devices that the filter has, and a few that it only seems to have; never one less."""
+    marks = devices.select("device_id_hash", F.inline(_marks()))
+    byte = F.conv(F.hex(F.substring("bits", (F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.call_function("getbit", byte, (F.col("bit") % 8).cast("int")) == 1
+    hits = marks.join(bits, "bucket").filter(is_set).groupBy("device_id_hash").agg(F.count(F.lit(1)).alias("hits"))
+    return hits.filter(F.col("hits") == FILTER_HASHES).select("device_id_hash")
+
+
+def first_seen(timeline: DataFrame) -> DataFrame:
+    """(device_id_hash, first_seen) of identified devices."""
+    known = timeline.filter(F.col("device_id_hash").isNotNull())
+    return known.groupBy("device_id_hash").agg(F.min("event_time").alias("first_seen"))
+
+
+def merge_first_seen(partials: DataFrame) -> DataFrame:
+    return partials.groupBy("device_id_hash").agg(F.min("first_seen").alias("first_seen"))
+
+
+def novel_candidates(timeline: DataFrame, before: DataFrame, perhaps: DataFrame) -> DataFrame:
+    """Rows at their device's first time in a batch, unless ``before`` (partial first times) has an earlier one. Only
+    devices that ``perhaps`` are known are looked up. Rows of a table are novel when they are candidates and no later batch has
+    brought an earlier sighting."""
+    first = first_seen(timeline).withColumnRenamed("first_seen", "event_time")
+    old = merge_first_seen(before.join(perhaps, "device_id_hash", "left_semi"))
+    old = old.withColumnRenamed("first_seen", "known_since")
+    first = first.join(old, "device_id_hash", "left").filter("known_since IS NULL OR event_time <= known_since")
+    return timeline.join(first.drop("known_since"), ["device_id_hash", "event_time"], "left_semi").select(timeline.columns)

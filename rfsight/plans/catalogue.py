@@ -1044,6 +1044,12 @@ def in_time(df: DataFrame, k: int) -> DataFrame:
     return df.filter(F.greatest(F.lit(0), F.least(F.lit(2), F.floor(micros / F.lit(14_400_000_000)))) == k)
 
 
+def _with_late_share(timeline: DataFrame) -> list[DataFrame]:
+    """Three arrivals in order of time, and a fourth with an eighth of the rows of all times."""
+    late = F.pmod(F.xxhash64("event_id", F.lit(1)), F.lit(8)) == 0
+    return [*(in_time(timeline, k).filter(~late) for k in range(3)), timeline.filter(late)]
+
+
 @query(
     "dedup_state",
     " UNION ALL ".join(
@@ -1202,16 +1208,27 @@ def _(views):
     return named.select("alert_id", "protocol", "device_id_hash", "raw_identifier")
 
 
-@query(
-    "novel_device",
-    """SELECT event_id, device_id_hash, event_time FROM (SELECT *, min(event_time) OVER
+_NOVEL_SQL = """SELECT event_id, device_id_hash, event_time FROM (SELECT *, min(event_time) OVER
     (PARTITION BY device_id_hash) AS first FROM timeline WHERE device_id_hash IS NOT NULL)
-    WHERE event_time = first""",
-)
+    WHERE event_time = first"""
+
+
+@query("novel_device", _NOVEL_SQL)
 def _(views):
     return lookup.novel_device(views.stored_timeline).select("event_id", "device_id_hash", "event_time")
 
 
+@query("novel_device_stream", _NOVEL_SQL)
+def _(views):
+    """Four triggers; the last one brings a share of the rows of the first three."""
+    layout = views.scratch("novel")
+    for part in _with_late_share(views.stored_timeline):
+        tables.write_table(part, layout, "device_timeline")
+        flows.run_novel_devices(views.spark, layout)
+    novel = flows.read_novel_devices(views.spark, layout)
+    return novel.select("event_id", "device_id_hash", "event_time")
+
+
 # ---- gold -------------------------------------------------------------------------------------
 
 
@@ -1336,9 +1353,8 @@ def _(views):
 @query("movement_history_stream", _MOVEMENT_SQL)
 def _(views):
     """Four triggers; the last one brings a share of the rows of the first three."""
-    layout, timeline = views.scratch("movement"), views.stored_timeline
-    late = F.pmod(F.xxhash64("event_id", F.lit(1)), F.lit(8)) == 0
-    for part in [*(in_time(timeline, k).filter(~late) for k in range(3)), timeline.filter(late)]:
+    layout = views.scratch("movement")
+    for part in _with_late_share(views.stored_timeline):
         tables.write_table(part, layout, "device_timeline")
         flows.run_movement(views.spark, layout)
     return flows.read_movement(views.spark, layout)

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rfsight.config import Settings, pin_session
-from rfsight.contracts import BT, WIFI
-from rfsight.operators import analytics, expectations
+from rfsight.contracts import BT, WIFI, contract
+from rfsight.operators import analytics, expectations, lookup
 from rfsight.operators.bronze import day_of
 from rfsight.operators.clusters import LABELS, merge_clusters
 from rfsight.operators.copresence import copresence_events
@@ -179,6 +179,43 @@ def read_movement(spark: SparkSession, layout: Layout) -> DataFrame:
 
 
 _ALL = "all"
+_FIRST_SEEN = "device_id_hash string, first_seen timestamp"
+_BITS = "bucket bigint, bits binary"
+
+
+def run_novel_devices(spark: SparkSession, layout: Layout, fold_after: int = FOLD_AFTER, **options) -> None:
+    """First sightings of devices, over micro-batches in any order of time.
+
+    A batch looks up the devices that a filter of known ones lets through, writes the rows that may be first into a
+    folder of its number, and adds its devices to the table of first times and to the filter.
+    """
+    seen, bits = (Days(spark, layout.days(name)) for name in ("first_seen", "first_seen_filter"))
+
+    def whole(merge: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+        return lambda partials: merge(partials).withColumn("event_date", F.lit(_ALL))
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        devices = lookup.first_seen(batch)
+        before = _stored(spark, seen, seen.snapshot(before=batch_id), _FIRST_SEEN)
+        filled = lookup.merge_bits(_stored(spark, bits, bits.snapshot(before=batch_id), _BITS))
+        rows = lookup.novel_candidates(batch, before, lookup.perhaps_known(devices, filled))
+        rows.write.mode("overwrite").parquet(f"{layout.table('novel_devices')}/batch_id={batch_id}")
+        seen.upsert(devices.withColumn("event_date", F.lit(_ALL)), batch_id, whole(lookup.merge_first_seen), fold_after)
+        marks = lookup.known_bits(devices).withColumn("event_date", F.lit(_ALL))
+        bits.upsert(marks, batch_id, whole(lookup.merge_bits), fold_after)
+
+    timeline = read_table(spark, layout, "device_timeline", streaming=True, **options)
+    _each_batch(timeline, layout, "novel_devices", store)
+
+
+def read_novel_devices(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Sightings with no earlier one of the same device, in all that has arrived."""
+    seen = Days(spark, layout.days("first_seen"))
+    first = lookup.merge_first_seen(_stored(spark, seen, seen.snapshot(), _FIRST_SEEN))
+    first = first.withColumnRenamed("first_seen", "event_time")
+    rows = spark.read.schema(contract("device_timeline")).parquet(layout.table("novel_devices"))
+    rows = rows.select(*contract("device_timeline").fieldNames())
+    return rows.join(first, ["device_id_hash", "event_time"], "left_semi").select(rows.columns)
 
 
 def run_clusters(
@@ -206,7 +243,7 @@ def run_clusters(
         total = counts.read(now, partial.schema).join(own.select(*ends), ends, "left_semi")
         total = total.groupBy(*ends).agg(F.sum("pair_count").alias("total")).join(own, ends)
         strong = total.filter((F.col("total") >= min_pairs) & (F.col("total") - F.col("own") < min_pairs))
-        after = merge_clusters(_labels(spark, labels, labels.snapshot(before=batch_id)), strong)
+        after = merge_clusters(_stored(spark, labels, labels.snapshot(before=batch_id), LABELS), strong)
         version = f"b{batch_id}"
         labels.write(after.withColumn("event_date", F.lit(_ALL)), version)
         if labels.days_of(version):
@@ -216,16 +253,17 @@ def run_clusters(
     _each_batch(events, layout, "entity_clusters", store)
 
 
-def _labels(spark: SparkSession, labels: Days, snapshot: Snapshot) -> DataFrame:
+def _stored(spark: SparkSession, days: Days, snapshot: Snapshot, columns: str) -> DataFrame:
+    """A table that is not cut into days."""
     if not snapshot.versions:
-        return spark.createDataFrame([], LABELS)
-    return labels.read(snapshot, T.StructType.fromDDL(f"{LABELS}, event_date string")).drop("event_date")
+        return spark.createDataFrame([], columns)
+    return days.read(snapshot, T.StructType.fromDDL(f"{columns}, event_date string")).drop("event_date")
 
 
 def read_clusters(spark: SparkSession, layout: Layout) -> DataFrame:
     """The clusters after the last micro-batch."""
     labels = Days(spark, layout.days("entity_clusters"))
-    return _labels(spark, labels, labels.snapshot())
+    return _stored(spark, labels, labels.snapshot(), LABELS)
 
 
 def run_pipeline(

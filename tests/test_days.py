@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from rows import at, bt, wifi, write_lines
 
 from rfsight.config import Settings
-from rfsight.operators import analytics, clusters
+from rfsight.operators import analytics, clusters, lookup
 from rfsight.plans.medallion import backfill
 from rfsight.sources import landing, tables
 from rfsight.sources.days import Days, Snapshot
@@ -252,3 +252,30 @@ def test_clusters_grow_with_their_links(spark, tmp_path):
         found = flows.read_clusters(spark, layout)
         assert sorted(map(tuple, found.select("device_id_hash", "cluster_id").collect())) == sorted(map(tuple, whole.collect())), k
     assert {r["cluster_id"] for r in found.collect()} == {"b0"}
+
+
+def test_novel_devices_in_any_order(spark, tmp_path):
+    layout, done = Layout(str(tmp_path)), []
+    batches = [
+        [("d", 10, "a", 2), ("d", 11, "a", 2), ("e", 5, "a", 2), (None, 1, "a", 1)],
+        [("d", 12, "b", 2), ("f", 1, "c", 2), ("f", 1, "d", 2)],
+        [("d", 3, "c", 1), ("e", 5, "z", 2), ("g", 1, "a", 3)],  # an earlier one, and one at the same time
+        [("d", 3, "x", 1), ("g", 0, "a", 3)],
+    ]
+    for k, rows in enumerate(batches):
+        tables.write_table(_timeline(spark, [(d, s + k / 1000 if s == 1 and d == "f" else s, x, day) for d, s, x, day in rows]).withColumn("event_id", F.concat_ws("-", "event_id", F.lit(k), "sensor_id")), layout, "device_timeline")
+        flows.run_novel_devices(spark, layout, fold_after=2)
+        whole = lookup.novel_device(tables.read_table(spark, layout, "device_timeline"))
+        found = flows.read_novel_devices(spark, layout)
+        assert sorted(r["event_id"] for r in found.collect()) == sorted(r["event_id"] for r in whole.collect()), k
+        done.append(found.count())
+    assert done == [2, 4, 6, 7]
+
+
+def test_the_filter_loses_no_device(spark):
+    names = [f"dev{k}" for k in range(3000)]
+    known, others = (spark.createDataFrame([(n,) for n in part], "device_id_hash string") for part in (names[:1500], names[1500:]))
+    halves = [lookup.known_bits(known.filter(F.crc32("device_id_hash") % 2 == k)) for k in (0, 1)]
+    bits = lookup.merge_bits(halves[0].unionByName(halves[1]))
+    found = {r[0] for r in lookup.perhaps_known(known.unionByName(others), bits).collect()}
+    assert found >= set(names[:1500]) and len(found) < 1550
