@@ -185,6 +185,61 @@ def device_features(timeline: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
+#: What a day adds to the features of a device on a sensor; co-presence pairs stand in rows without a sensor.
+FEATURE_DAY = (
+    "device_id_hash string, sensor_id string, event_date string, first_seen timestamp, max_rssi int, "
+    "randomized boolean, copresence_count bigint"
+)
+
+
+def feature_day(name: str, day: DataFrame, before: DataFrame, settings: Settings) -> DataFrame:
+    """Partial features of the rows of the day ``name``, or of its rows up to some time. ``before`` are the rows just before it, as
+    far back as co-presence reaches: a pair belongs to the day of its later sighting, so the pairs among ``before``
+    are counted and taken off."""
+    keys = ["device_id_hash", "sensor_id", "event_date"]
+    seen = _identified(day).groupBy(*keys).agg(
+        F.min("event_time").alias("first_seen"),
+        F.max(F.when(plausible_signal(), F.col("rssi_dbm"))).alias("max_rssi"),
+        F.max(is_randomized()).alias("randomized"),
+    )
+    pairs = copresence_counts(before.unionByName(day), settings)
+    earlier = copresence_counts(before, settings).withColumn("copresence_count", -F.col("copresence_count"))
+    pairs = pairs.unionByName(earlier).groupBy("device_id_hash").agg(F.sum("copresence_count").alias("copresence_count"))
+    pairs = pairs.filter("copresence_count <> 0").withColumn("event_date", F.lit(name))
+    return seen.unionByName(pairs, allowMissingColumns=True)
+
+
+def features_of_days(partials: DataFrame, recent: DataFrame, settings: Settings) -> DataFrame:
+    """Device features as :func:`device_features` gives them, from partial features of days and the rows of the last
+    24 hours. Sensors are counted by grouping twice, so a device's sensors are never gathered."""
+    per_sensor = partials.groupBy("device_id_hash", "sensor_id").agg(
+        F.min("first_seen").alias("first_seen"),
+        F.max("max_rssi").alias("max_rssi"),
+        F.max("randomized").alias("randomized"),
+        F.sum("copresence_count").alias("copresence_count"),
+    )
+    whole = per_sensor.groupBy("device_id_hash").agg(
+        F.min("first_seen").alias("first_seen_ever"),
+        F.max("max_rssi").alias("max_rssi_ever"),
+        F.max("randomized").alias("randomized_address"),
+        F.count("sensor_id").alias("unique_sensor_count"),
+        F.coalesce(F.sum("copresence_count"), F.lit(0)).alias("copresence_count"),
+    )
+    day_ago = settings.now - F.expr("INTERVAL 24 HOURS")
+    late = _identified(recent).filter((F.col("event_time") <= settings.now) & (F.col("event_time") > day_ago))
+    counts = late.groupBy("device_id_hash").agg(F.count(F.lit(1)).alias("n"))
+    return whole.join(counts, "device_id_hash", "left").select(
+        "device_id_hash",
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("sighting_count_24h"),
+        "first_seen_ever",
+        (F.col("first_seen_ever") > day_ago).alias("is_new"),
+        "max_rssi_ever",
+        "copresence_count",
+        "randomized_address",
+        "unique_sensor_count",
+    )
+
+
 def sighting_frequency(timeline: DataFrame) -> DataFrame:
     """Sightings per device, protocol and hour."""
     hourly = timeline.withColumn("hour_start", F.date_trunc("hour", "event_time"))

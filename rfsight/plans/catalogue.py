@@ -1330,6 +1330,15 @@ def _(views):
     return analytics.device_features(views.stored_timeline, early)
 
 
+@query("device_features_daily", o.features(1_704_175_200_000_000))
+def _(views):
+    """As of six o'clock of the next day, from partial features of the day before."""
+    layout, later = views.scratch("features"), replace(views.settings, as_of="2024-01-02T06:00:00Z")
+    tables.write_table(views.timeline, layout, "device_timeline")
+    flows.build_feature_days(views.spark, layout, later, "2024-01-02")
+    return flows.read_device_features(views.spark, layout, later)
+
+
 @query(
     "sighting_frequency",
     """SELECT device_id_hash, protocol, event_time - event_time % 3600000000 AS hour_start,

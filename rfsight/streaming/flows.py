@@ -22,7 +22,7 @@ from rfsight.operators.copresence import copresence_events
 from rfsight.operators.silver import to_silver
 from rfsight.operators.timeline import device_timeline, perimeter_alerts
 from rfsight.plans.medallion import build_history
-from rfsight.sources.days import Days, Snapshot
+from rfsight.sources.days import HISTORY, Days, Snapshot
 from rfsight.sources.landing import ingest
 from rfsight.sources.tables import (
     Layout,
@@ -178,6 +178,54 @@ def read_movement(spark: SparkSession, layout: Layout) -> DataFrame:
     return analytics.stitched(days.read(days.snapshot(), analytics.PATH_PIECE))
 
 
+def _day_and_before(spark: SparkSession, layout: Layout, day: str, settings: Settings) -> tuple[DataFrame, DataFrame]:
+    """Timeline rows of a day, and those of the day before that co-presence reaches back to; two partitions."""
+    timeline = read_table(spark, layout, "device_timeline")
+    reach = F.expr(f"TIMESTAMP '{day}T00:00:00Z' - INTERVAL {settings.copresence_seconds} SECONDS")
+    eve = F.date_sub(F.lit(day).cast("date"), 1).cast("string")
+    before = timeline.filter((F.col("event_date") == eve) & (F.col("event_time") >= reach))
+    return timeline.filter(F.col("event_date") == day), before
+
+
+def build_feature_days(
+    spark: SparkSession, layout: Layout, settings: Settings, before: str, days: list[str] | None = None
+) -> list[str]:
+    """Partial device features of the timeline's days before ``before`` that come after the last one built, or of
+    ``days``, for days that got rows late (with the day after each, whose first pairs may be new). Other days are not
+    read."""
+    stored = Days(spark, layout.days("device_features"))
+    snapshot = stored.snapshot()
+    if days is None:
+        own = F.col("event_date") < before
+        if snapshot.versions:
+            own &= F.col("event_date") > snapshot.days[-1]
+        rows = read_table(spark, layout, "device_timeline").filter(own).select("event_date").distinct()
+        days = sorted(r[0] for r in rows.collect())
+    version = f"v{max(snapshot.step, HISTORY) + 1}"
+    for day in days:
+        stored.write(analytics.feature_day(day, *_day_and_before(spark, layout, day, settings), settings), version)
+    if days:
+        stored.publish(Snapshot(max(snapshot.step, HISTORY) + 1, snapshot.versions | dict.fromkeys(days, (version,))))
+    return days
+
+
+def read_device_features(spark: SparkSession, layout: Layout, settings: Settings) -> DataFrame:
+    """Device features as of ``settings.now``: from the partial features of earlier days, and the timeline of that day
+    and the one before. Earlier days must have been built."""
+    today = spark.range(1).select(day_of(settings.now)).first()[0]
+    stored = Days(spark, layout.days("device_features"))
+    schema = T.StructType.fromDDL(analytics.FEATURE_DAY)
+    snapshot = stored.snapshot()
+    rows, before = _day_and_before(spark, layout, today, settings)
+    partials = analytics.feature_day(today, rows.filter(F.col("event_time") <= settings.now), before, settings)
+    earlier = [day for day in snapshot.days if day < today]
+    if earlier:
+        partials = stored.read(snapshot, schema, earlier).unionByName(partials)
+    eve = day_of(settings.now - F.expr("INTERVAL 24 HOURS"))
+    recent = read_table(spark, layout, "device_timeline").filter(F.col("event_date").between(eve, today))
+    return analytics.features_of_days(partials, recent, settings)
+
+
 _ALL = "all"
 _FIRST_SEEN = "device_id_hash string, first_seen timestamp"
 _BITS = "bucket bigint, bits binary"

@@ -279,3 +279,34 @@ def test_the_filter_loses_no_device(spark):
     bits = lookup.merge_bits(halves[0].unionByName(halves[1]))
     found = {r[0] for r in lookup.perhaps_known(known.unionByName(others), bits).collect()}
     assert found >= set(names[:1500]) and len(found) < 1550
+
+
+def test_features_of_days_equal_the_scan(spark, tmp_path):
+    """Pairs across midnight, a device on several sensors and days, a day without rows, and a day built again."""
+    layout = Layout(str(tmp_path))
+    midnight = 12 * 3600
+    rows = [("d", midnight - 10, "a", 1), ("e", 100, "b", 1), ("d", 3000, "b", 1), ("d", 7, "a", 2), ("d", 9, "c", 4), ("f", 20, "a", 4)]
+    wifi_rows = _timeline(spark, [r for r in rows if r[1] != midnight - 10])
+    noon = "2024-06-0{}T{}Z"
+    more = [("d", noon.format(1, "23:59:50"), "a", "WIFI"), ("x", noon.format(2, "00:00:05"), "a", "BLUETOOTH"), ("x", noon.format(2, "00:00:30"), "a", "BLUETOOTH"), ("y", noon.format(4, "12:00:30"), "a", "BLUETOOTH")]
+    near = spark.createDataFrame([(f"n{k}", s, t, t[:10], p, d) for k, (d, t, s, p) in enumerate(more)], "event_id string, sensor_id string, t string, event_date string, protocol string, device_id_hash string")
+    near = near.withColumn("event_time", F.to_timestamp("t")).drop("t")
+    timeline = wifi_rows.unionByName(near, allowMissingColumns=True).withColumn("rssi_dbm", F.length("device_id_hash") - 50).withColumn("dq_flags", F.array().cast("array<string>"))
+    tables.write_table(timeline.filter("NOT (device_id_hash = 'x' AND event_id = 'n1')"), layout, "device_timeline")
+
+    def both(as_of):
+        cfg = Settings(salt="pepper", as_of=as_of)
+        stored = tables.read_table(spark, layout, "device_timeline")
+        return [sorted(map(str, df.collect())) for df in (flows.read_device_features(spark, layout, cfg), analytics.device_features(stored, cfg))]
+
+    cfg = Settings(salt="pepper", as_of="2024-06-05T00:00:00Z")
+    assert flows.build_feature_days(spark, layout, cfg, "2024-06-04") == ["2024-06-01", "2024-06-02"]
+    assert flows.build_feature_days(spark, layout, cfg, "2024-06-05") == ["2024-06-04"]
+    assert flows.build_feature_days(spark, layout, cfg, "2024-06-05") == []
+    for as_of in ("2024-06-01T18:00:00Z", "2024-06-02T00:00:06Z", "2024-06-02T13:00:00Z", "2024-06-03T10:00:00Z", "2024-06-04T12:00:30Z", "2024-06-09T00:00:00Z"):
+        found, wanted = both(as_of)
+        assert found == wanted, as_of
+    tables.write_table(timeline.filter("device_id_hash = 'x' AND event_id = 'n1'"), layout, "device_timeline")
+    assert flows.build_feature_days(spark, layout, cfg, "2024-06-05", ["2024-06-02"]) == ["2024-06-02"]
+    found, wanted = both("2024-06-09T00:00:00Z")
+    assert found == wanted

@@ -17,7 +17,7 @@ FILE_QUERIES = {
     "compacted_days", "compacted_stream", "handover_alerts",
     "arrival_sinks", "late_rows", "timely_silver", "dedup_state", "copresence_triggers", "sighting_frequency_stream",
     "quarantine_alarms_stream",
-    "handover_copresence", "novel_device_stream", "movement_history_stream",
+    "handover_copresence", "device_features_daily", "novel_device_stream", "movement_history_stream",
     "entity_clusters_stream", "dq_failure_rate", "dedup_stream", "late_data", "copresence_stream", "sighting_windows_stream", "entity_clusters",
 }
 
