@@ -7,6 +7,7 @@ Queries that exercise files or streams write the adapter's rows to the shared fo
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import cached_property, reduce
 
@@ -793,17 +794,26 @@ def _report(views: Views, *tables_named: str) -> DataFrame:
     return reduce(DataFrame.unionByName, lines)
 
 
+#: Silver columns that the number of gold rows, or a gold rule, depends on.
+_COUNTED = ["event_id", "sensor_id", "event_time", "event_date", "rssi_dbm", "confidence"]
+_DEVICE = {WIFI: ["bssid_hash"], BT: ["device_address_hash"]}
+
+
 def _counted(views: Views) -> DataFrame:
     """Lines of all rules with each table built once: bronze and silver counts are taken while silver is written, gold
     counts from the silver tables."""
-    layout, lines, own = views.scratch("counted"), [], views.settings
-    for p in (WIFI, BT):
+    layout, own, landed_rows = views.scratch("counted"), views.settings, views.medallion
+
+    def built(p: str) -> list[tuple]:
         seen = {name: Observation(name) for name in (f"{p}_bronze", f"{p}_silver")}
-        rows = bronze.to_bronze(views.medallion.landed(p), p, own, seen[f"{p}_bronze"])
-        tables.write_table(to_silver(rows, p, own, seen[f"{p}_silver"]), layout, f"{p}_silver")
-        for rules in (expectations.BRONZE[p], expectations.SILVER[p]):
-            counts = seen[rules.table].get
-            lines += [(rules.table, r.name, r.action, counts[r.name], counts["rows_seen"] - counts[r.name]) for r in rules.rules]
+        rows = bronze.to_bronze(landed_rows.landed(p), p, own, seen[f"{p}_bronze"])
+        silver = to_silver(rows, p, own, seen[f"{p}_silver"])
+        tables.write_table(silver.select(*_COUNTED, *_DEVICE[p]), layout, f"{p}_silver")
+        rules = [(r.table, rule, seen[r.table].get) for r in (expectations.BRONZE[p], expectations.SILVER[p]) for rule in r.rules]
+        return [(table, rule.name, rule.action, n[rule.name], n["rows_seen"] - n[rule.name]) for table, rule, n in rules]
+
+    with ThreadPoolExecutor(2) as pool:  # the two jobs share the cluster
+        lines = [line for part in pool.map(built, (WIFI, BT)) for line in part]
     schema = "table_name string, expectation string, action string, failed long, passed long"
     wifi, bt = (tables.read_table(views.spark, layout, f"{p}_silver") for p in (WIFI, BT))
     gold = [
