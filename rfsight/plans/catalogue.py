@@ -866,8 +866,23 @@ def _(views):
     return log.groupBy("table_name", "expectation", "action").agg(F.sum("failed").alias("failed"), F.sum("passed").alias("passed"))
 
 
+_RUNS: dict[tuple[str, str, str], tables.Layout] = {}
+
+
+def shared_run(views: Views, label: str, run: Callable[[], tables.Layout]) -> tables.Layout:
+    """The tables of a run of several triggers, made once per application for all queries that look at them."""
+    key = (views.spark.sparkContext.applicationId, views.sf_dir, label)
+    if key not in _RUNS:
+        _RUNS[key] = run()
+    return _RUNS[key]
+
+
 def _handed_over(views: Views) -> tables.Layout:
     """History as a batch, then two triggers of the streams behind it. Each delivery repeats the end of the last."""
+    return shared_run(views, "handover", lambda: _hand_over(views))
+
+
+def _hand_over(views: Views) -> tables.Layout:
     layout, hour = views.scratch("handover"), 3_600_000_000
     start = adapter.EPOCH_MS * 1000
     for k, (first, last) in enumerate(((-1000, 4), (3, 8), (7.5, 1000))):
@@ -982,6 +997,10 @@ _ARRIVED_SQL = {
 
 def _arrived(views: Views, protocol: str) -> tables.Layout:
     """Three triggers over lines with faults: a third of the time each, with one row in nine only at the end."""
+    return shared_run(views, f"arrivals-{protocol}", lambda: _arrive(views, protocol))
+
+
+def _arrive(views: Views, protocol: str) -> tables.Layout:
     layout = views.scratch("arrivals")
     lines = views.lines(protocol).withColumn("ms", F.unix_millis("sent"))
     for k in range(3):
