@@ -20,7 +20,7 @@ from rfsight.contracts import BT, WIFI, conform, contract
 from rfsight.functions import address, signal, tags, vocabulary
 from rfsight.functions.identity import event_key, hash_identifier, vendor_oui
 from rfsight.operators import analytics, bronze, clusters, expectations, lookup, outbox, reports
-from rfsight.operators.copresence import copresence_counts, copresence_events, copresence_pairs, copresence_rows
+from rfsight.operators.copresence import copresence_counts, copresence_pairs, copresence_rows
 from rfsight.operators.dedup import dedup_batch, dedup_stream, first_per_window
 from rfsight.operators.silver import NORMALIZERS, to_silver
 from rfsight.operators.timeline import alert_candidates, alert_rows, device_timeline, high_threat, timeline_rows
