@@ -6,8 +6,8 @@ The fingerprint is the set of a text's signatures as sorted 32-bit hashes. Sets
 where only likenesses from some bound on are wanted, sets are partitioned by length, partitions further apart are
 never compared, and sets must share one of their rarest signatures.
 
-Defined results: a text without a spot, the empty and the null text among them, has one signature made of its whole
-normalised text; equal texts have equal fingerprints. Documents are ordered by descending id, null ids last, equal
+Defined results: a text without a spot, the empty and the null text among them, has one signature made of its content
+words; equal texts have equal fingerprints. Documents are ordered by descending id, null ids last, equal
 ids by descending digest of their texts; repeated rows have one place in this order and equal results; a document
 alone is its own successor.
 """
@@ -31,11 +31,11 @@ ANCHORS = (
     "das der die ein eine ist mit und von zu "
     "con del el es las los para por que y"
 ).split()
-_ANCHOR = "(?:" + "|".join(map(re.escape, ANCHORS)) + ")"
-_GAP = f"(?: {_ANCHOR}(?= ))*+"
-#: An anchor; ahead of it, past further anchors, two content words.
-SPOT = f" {_ANCHOR}(?={_GAP} ([^ ]++{_GAP} [^ ]++) )"
-_BETWEEN = f" {_ANCHOR}(?= )"
+#: A run of anchors. All of them open the same chain, so a run becomes one mark, which no normalised word holds.
+RUN = "(?: (?:" + "|".join(map(re.escape, ANCHORS)) + ")(?= ))++"
+MARK = " #"
+#: A mark; ahead of it two content words, with a mark between them or not. No more than two words are looked at.
+SPOT = f"{MARK}(?= ([^ #]++(?:{MARK})?+ [^ #]++) )"
 
 
 def normalised(text: Column) -> Column:
@@ -49,17 +49,17 @@ def _hashed(text: Column) -> Column:
 
 
 def signatures(text: Column) -> Column:
-    """Sorted distinct hashes of the chains of a text."""
+    """Sorted distinct hashes of the chains of a text. Linear in the text, also where common words run on."""
 
-    def of(plain: Column) -> Column:
+    def of(marked: Column) -> Column:
         # the text itself stands behind its chains, for when there are none
-        chains = F.concat(F.regexp_extract_all(plain, F.lit(SPOT), F.lit(1)), F.array(plain))
-        return F.transform(chains, lambda c: _hashed(F.regexp_replace(c, _BETWEEN, "")))
+        chains = F.concat(F.regexp_extract_all(marked, F.lit(SPOT), F.lit(1)), F.array(marked))
+        return F.transform(chains, lambda c: _hashed(F.replace(c, F.lit(MARK), F.lit(""))))
 
     def kept(hashes: Column) -> Column:
         return F.sort_array(F.array_distinct(F.slice(hashes, 1, F.greatest(F.lit(1), F.size(hashes) - 1))))
 
-    return _bound(_bound(normalised(text), of), kept)
+    return _bound(_bound(F.regexp_replace(normalised(text), RUN, MARK), of), kept)
 
 
 def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
