@@ -5,6 +5,9 @@ that they fill best, and when too many are open the fullest closes. Partitions h
 each, so their number grows with the corpus and what a task keeps does not; each leaves one sequence part empty. The
 default of ``open_bins`` is above the sequences of a partition: no sequence closes early, and the bound is a safeguard.
 
+Pieces are dealt to partitions by a number of their own, so rows that are repeated, however often, and a text of any
+length spread like others.
+
 Defined results: a null text is an empty one, which is its end id alone; repeated rows and null ids are packed
 like any other row; an empty table packs into nothing.
 """
@@ -26,6 +29,8 @@ from rfsight.llm.encode import encoder
 from rfsight.llm.scratch import stored
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+NUMBERED = f"{PIECES}, number long"
+NUMBERED_NAMES = ["doc_id", "piece", "start", "length", "ids_crc32", "number"]
 #: Sequences that a partition fills, about.
 SEQUENCES_PER_TASK = 4096
 
@@ -37,22 +42,26 @@ def cut(n_ids: int, most: int) -> list[tuple[int, int]]:
 
 
 def pieces(docs: DataFrame, tokenizer: str, most: int = 1024, end_id: int = 2) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32) of every document; a narrow pass over the texts."""
+    """(doc_id, piece, start, length, ids_crc32, number) of every document; a narrow pass over the texts.
+
+    ``number`` tells all pieces apart: the task and the place among its pieces. Store the table before it is dealt by
+    the number, so that a task that runs again finds the numbers that the others have seen.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, end_id).encode
+        encode, number = encoder(tokenizer, end_id).encode, TaskContext.get().partitionId() << 40
         for batch in slices(batches, "text", 2 << 20):
             ids, offsets = encode(batch.column("text"))
             out = []
             for doc_id, a, b in zip(batch.column("doc_id").to_pylist(), offsets[:-1], offsets[1:], strict=True):
                 for k, (start, length) in enumerate(cut(int(b - a), most)):
-                    out.append((doc_id, k, start, length, crc32(ids[a + start : a + start + length].tobytes())))
-            columns = zip(*out, strict=True) if out else [[]] * 5
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+                    out.append((doc_id, k, start, length, crc32(ids[a + start : a + start + length].tobytes()), number))
+                    number += 1
+            columns = zip(*out, strict=True) if out else [[]] * 6
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], NUMBERED_NAMES)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, NUMBERED)
 
 
 class Bins:
@@ -98,14 +107,14 @@ def pack(found: DataFrame, most: int = 1024, open_bins: int = 16_384) -> DataFra
         bins, base = Bins(most, open_bins), TaskContext.get().partitionId() << 40
         for batch in batches:
             placed = [bins.place(n) for n in batch.column("length").to_pylist()]
-            numbers = np.array(placed, np.int64).reshape(-1, 2)
+            places = np.array(placed, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(numbers[:, 0] + base), pa.array(numbers[:, 1])],
-                [*batch.schema.names, "sequence_id", "offset"],
+                [*batch.columns[:-1], pa.array(places[:, 0] + base), pa.array(places[:, 1])],
+                [*batch.schema.names[:-1], "sequence_id", "offset"],
             )
 
-    dealt = found.repartition(parts, "doc_id", "piece", "ids_crc32")
-    ordered = dealt.sortWithinPartitions(F.desc("length"), "doc_id", "piece", "ids_crc32")
+    dealt = found.select(*NUMBERED_NAMES).repartition(parts, "number")
+    ordered = dealt.sortWithinPartitions(F.desc("length"), "number")
     return ordered.mapInArrow(rows, f"{PIECES}, sequence_id long, offset long")
 
 
