@@ -17,8 +17,10 @@ import base64
 import gzip
 import hashlib
 import io
+import re
 import uuid
 from collections.abc import Iterator
+from urllib.parse import urlparse
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -143,18 +145,32 @@ def _ddl(columns: dict[str, str]) -> str:
     return ", ".join(f"{name} {kind}" for name, kind in columns.items())
 
 
+#: What Spark puts into the name of a file to tell one write from another.
+_WRITE_ID = re.compile(r"-[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}(?=-c[0-9]+\.)")
+
+
+def archive_name(path: str, folder: str) -> str:
+    """A file by its place below the folder that was read, whatever lies above; without the id of the write, if
+    Spark wrote it. The same archive in another folder, or written again, has the same names."""
+    root = urlparse(folder).path.rstrip("/") + "/"
+    _, found, below = path.partition(root)
+    return _WRITE_ID.sub("", below if found else path.rpartition("/")[2])
+
+
 def read_arc(spark: SparkSession, folder: str, blocks: bool = True) -> DataFrame:
-    """A row per ARC record with what WARC wants to know of it; ``blocks`` adds the block and its digest."""
+    """A row per ARC record with what WARC wants to know of it; ``blocks`` adds the block and its digest. A record's id
+    follows from its archive (see :func:`archive_name`), its number there, its address, date and payload."""
     columns = _PARSED | ({"block_digest": "string", "block": "binary"} if blocks else {})
     schema = _schema(columns)
 
     def parsed(files: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in files:
             for file, content in zip(*batch.columns, strict=True):
+                archive = archive_name(str(file), folder)
                 for number, (fields, block) in enumerate(arc_records(content.as_py())):
                     head, payload = split_http(block)
                     digest = base32_sha1(payload)
-                    name = f"{file}#{number} {fields['URL']} {fields['Archive-date']} {digest}"
+                    name = f"{archive}#{number} {fields['URL']} {fields['Archive-date']} {digest}"
                     row = {
                         "file": str(file), "number": number, "uri": fields["URL"], "ip": fields["IP-address"],
                         "record_id": f"<urn:uuid:{uuid.UUID(bytes=hashlib.md5(name.encode()).digest())}>",
