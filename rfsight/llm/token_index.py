@@ -6,8 +6,12 @@ keys has a displacement that sends its keys to slots of their own; a slot holds
 unknown keys (all but one in 2**32), and the place of the ids. Spark commits the files, so a lost executor costs
 a task.
 
+The key of the k-th row with an id is (id, k). An id that many rows share spreads over tasks and shards like others: a
+shard numbers the rows of an id from 0, and how many of its first id lie in shards before it (:func:`head_turns`)
+is counted from the shards' ends, a few numbers each.
+
 Defined results: a null text is empty and yields its end id; null ids sort first; rows with equal ids are in
-order of their texts, and the key of the k-th of them is (id, k); an empty table gives no shard.
+order of digests of their texts, and equal rows in any order; an empty table gives no shard.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from rfsight.llm.arrow import BASE, mix, slices
 from rfsight.llm.encode import encoder
 
 SHARD = """part int, chunk int, n_docs long, n_tokens long, id_bytes int, first_key long, last_key long,
-    keys binary, seeds binary, fingerprints binary, places binary, payload binary"""
+    head_key long, n_head long, tail_key long, n_tail long, keys binary, seeds binary, fingerprints binary, places binary, payload binary"""
 KEYS_PER_BUCKET = 3
 _BEFORE = (Window.unboundedPreceding, -1)
 NULL_KEY = np.uint64(0x5851F42D4C957F2D)
@@ -130,9 +134,12 @@ def shard_row(part: int, chunk: int, keys: list[int | None], ids: list[np.ndarra
     prints = np.empty(len(keys), np.uint32)
     prints[slots] = fingerprint(hashes)
     real = numbers[known]
+    ends = np.flatnonzero((numbers[1:] != numbers[:-1]) | (known[1:] != known[:-1]))
     return {
         "part": part, "chunk": chunk, "n_docs": len(keys), "n_tokens": int(lengths.sum()), "id_bytes": id_bytes,
         "first_key": int(real.min()) if len(real) else None, "last_key": int(real.max()) if len(real) else None,
+        "head_key": keys[0], "n_head": int(ends[0]) + 1 if len(ends) else len(keys),
+        "tail_key": keys[-1], "n_tail": len(keys) - 1 - int(ends[-1]) if len(ends) else len(keys),
         "keys": np.packbits(known).tobytes() + numbers.astype("<i8").tobytes(),
         "seeds": seeds.astype("<i8").tobytes(), "fingerprints": prints.astype("<u4").tobytes(),
         "places": places.astype("<i8").tobytes(),
@@ -157,13 +164,13 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
             [(n, pa.int32()) for n in ("part", "chunk")]
             + [(n, pa.int64()) for n in ("n_docs", "n_tokens")]
             + [("id_bytes", pa.int32()), ("first_key", pa.int64()), ("last_key", pa.int64())]
+            + [(n, pa.int64()) for n in ("head_key", "n_head", "tail_key", "n_tail")]
             + [(n, pa.binary()) for n in ("keys", "seeds", "fingerprints", "places", "payload")]
         )
         for batch in slices(batches, "text", 2 << 20):
             found, offsets = encode.encode(batch.column("text"))
             for key, a, b in zip(batch.column("doc_id").to_pylist(), offsets[:-1], offsets[1:], strict=True):
-                # rows with equal ids stay in one shard, where their numbers tell them apart
-                if held >= chunk_tokens and key != keys[-1]:
+                if held >= chunk_tokens:
                     yield pa.RecordBatch.from_pylist([shard_row(part, chunk, keys, ids, encode.id_bytes)], schema)
                     chunk, keys, ids, held = chunk + 1, [], [], 0
                 keys.append(key)
@@ -172,9 +179,11 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
         if keys:
             yield pa.RecordBatch.from_pylist([shard_row(part, chunk, keys, ids, encode.id_bytes)], schema)
 
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id")
-    ordered = ordered.sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(rows, SHARD).write.option("compression", "zstd").parquet(folder)
+    # rows of one id are told apart by their texts, equal rows by their places in the input
+    digest, number = F.xxhash64(F.coalesce("text", F.lit(""))), F.monotonically_increasing_id()
+    ordered = docs.select(F.col("doc_id").cast("long"), "text", digest.alias("digest"), number.alias("number"))
+    ordered = ordered.repartitionByRange("doc_id", "digest", "number").sortWithinPartitions("doc_id", "digest", "number")
+    ordered.select("doc_id", "text").mapInArrow(rows, SHARD).write.option("compression", "zstd").parquet(folder)
 
 
 def read_shards(spark: SparkSession, folder: str) -> DataFrame:
@@ -216,18 +225,36 @@ def documents(shards: DataFrame) -> DataFrame:
     return placed.select("doc_id", (F.col("shard_start") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def lookup(shards: DataFrame, keys: list[int]) -> DataFrame:
-    """(doc_id, ids) of the given documents; only shards whose range of keys holds one of them are read."""
+def head_turns(shards: DataFrame) -> DataFrame:
+    """(part, chunk, head_turn): rows of a shard's first id in the shards before it. Only ends of shards are read, and a
+    window holds the shards that one id lies in."""
+    ends = F.array(
+        F.struct(F.col("head_key").alias("key"), F.col("n_head").alias("n"), F.lit(True).alias("head")),
+        F.struct(F.col("tail_key").alias("key"), F.col("n_tail").alias("n"), F.lit(False).alias("head")),
+    )
+    ends = F.filter(ends, lambda e: e["head"] | ~e["key"].eqNullSafe(F.col("head_key")))
+    rows = shards.select("part", "chunk", F.inline(ends))
+    before = F.sum("n").over(Window.partitionBy("key").orderBy("part", "chunk").rowsBetween(*_BEFORE))
+    return rows.select("part", "chunk", "head", F.coalesce(before, F.lit(0)).alias("head_turn")).filter("head").drop("head")
+
+
+def lookup(shards: DataFrame, keys: list[int], turn: int = 0) -> DataFrame:
+    """(doc_id, ids) of the ``turn``-th row (from 0) of each of the given ids, where there is one; only shards whose
+    range of ids holds one of them are read."""
     wanted = np.array(sorted(set(keys)), np.int64)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                shard = Shard.of(batch.slice(k, 1).to_pylist()[0])
-                hashes = key_hashes(wanted, np.ones(len(wanted), bool), np.zeros(len(wanted), np.int64))
-                found = [(int(key), shard.ids[a : a + n].tolist()) for key, (a, n) in zip(wanted, shard.find(hashes), strict=True) if a >= 0]
+                row = batch.slice(k, 1).to_pylist()[0]
+                shard, turns = Shard.of(row), np.full(len(wanted), turn, np.int64)
+                if row["head_key"] is not None:
+                    turns[wanted == row["head_key"]] -= row["head_turn"]
+                here = wanted[turns >= 0]
+                hashes = key_hashes(here, np.ones(len(here), bool), turns[turns >= 0])
+                found = [(int(key), shard.ids[a : a + n].tolist()) for key, (a, n) in zip(here, shard.find(hashes), strict=True) if a >= 0]
                 ids = pa.array([x[1] for x in found], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), ids], ["doc_id", "ids"])
 
     near = F.exists(F.array(*[F.lit(int(k)) for k in wanted]), lambda k: k.between(F.col("first_key"), F.col("last_key")))
-    return shards.filter(near).mapInArrow(rows, "doc_id long, ids array<long>")
+    return shards.filter(near).join(head_turns(shards), ["part", "chunk"]).mapInArrow(rows, "doc_id long, ids array<long>")
