@@ -7,6 +7,8 @@ import hashlib
 import math
 import random
 import re
+import shutil
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -343,6 +345,48 @@ def test_signatures_follow_common_words(spark):
     assert found[0] == found[1] and len(found[0]) == 2 and len(found[2]) == len(found[3]) == 1 and found[2] != found[3]
 
 
+def _chains(text):
+    """Signatures of a text by walking over its words: pairs of content words behind each run of common ones."""
+    plain = re.sub(r"[^0-9a-z\x80-\U0010FFFF]+", " ", (text or "").lower()).split()
+    common = set(spotsigs.ANCHORS)
+    content = [w for w in plain if w not in common]
+    chains, before = set(), 0
+    for w in plain:
+        if w in common and before + 2 <= len(content):
+            chains.add(" ".join(content[before : before + 2]))
+        before += w not in common
+    return chains
+
+
+def test_signatures_are_those_of_a_walk_over_the_words(spark):
+    rng = random.Random(12)
+    words = [*spotsigs.ANCHORS[:9], "cat", "dog", "über", "12", "thé", "theory", "a1"]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 30))) for _ in range(300)]
+    texts += [re.sub(" ", lambda _: rng.choice([" ", ", ", "\n", " # "]), t.title()) for t in texts[:50]]
+    texts += ["the", "the of", "cat the", "the cat", "the cat dog", "cat dog", "# the # cat # dog"]
+    chains = {c for t in texts for c in _chains(t)}
+    hashes = spark.createDataFrame([(c,) for c in sorted(chains)], "c string").select("c", spotsigs._hashed(F.col("c")))
+    number = dict(map(tuple, hashes.collect()))
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select("t", spotsigs.signatures(F.col("t"))).collect()
+    bare = 0
+    for text, own in found:
+        if wanted := _chains(text):
+            assert own == sorted({number[c] for c in wanted}), text
+        else:
+            bare += 1
+            assert len(own) == 1
+    assert bare > 5 and len(found) > 300
+
+
+@pytest.mark.parametrize("text", ["the " * 200_000, "the of cat " * 100_000, "cat " + "and the " * 100_000 + "dog", "cat " * 200_000])
+def test_signatures_take_linear_time(spark, text):
+    frame = spark.createDataFrame([(text,)], "t string").select(spotsigs.signatures(F.col("t")))
+    frame.collect()
+    start = time.monotonic()
+    frame.collect()
+    assert time.monotonic() - start < 5
+
+
 def test_similar_sets_of_signatures(docs):
     members, pairs = spotsigs.similar(docs, 0.6)
     sets = {}
@@ -397,17 +441,51 @@ def test_encoder_equals_the_library():
             assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == [_ids(t) for t in part]
 
 
+def _runs_on(rows):
+    """Documents lie one behind the other, in ascending order of ids, null ids first."""
+    at, last = 0, None
+    for r in sorted(rows, key=lambda r: r["start"]):
+        assert r["start"] == at and (last is None or (r["doc_id"] is not None and r["doc_id"] >= last))
+        at, last = at + r["n_tokens"], r["doc_id"]
+
+
+@pytest.mark.parametrize("hot", [7, None])
+def test_token_index_splits_an_id_that_many_rows_share(spark, hot):
+    texts = [f"text {k % 50}" for k in range(3000)]
+    table = [(3, "three"), (9, "nine"), (9, "another nine"), *[(hot, t) for t in texts]]
+    folder = new_folder(spark, "tokens")
+    frame = spark.createDataFrame(table, "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so small a table would be one task's
+    try:
+        token_index.write_shards(frame, folder, tokenizer_file(), chunk_tokens=2000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    shards = token_index.read_shards(spark, folder)
+    sizes = [r["n_tokens"] for r in shards.select("n_tokens").collect()]
+    assert max(sizes) < 2100 and shards.select("part").distinct().count() > 1
+    rows = token_index.documents(shards).collect()
+    _runs_on(rows)
+    sums = {t: zlib.crc32(np.array(_ids(t), "<u4").tobytes()) for t in {t for _, t in table}}
+    assert _sorted((r["doc_id"], r["ids_crc32"]) for r in rows) == _sorted((d, sums[t]) for d, t in table)
+    assert [r["doc_id"] for r in token_index.lookup(shards, [3, 9, 11], 1).collect()] == [9]
+    assert sorted(r["doc_id"] for r in token_index.lookup(shards, [3, 9, 11]).collect()) == [3, 9]
+    if hot is not None:
+        of_turn = [token_index.lookup(shards, [hot], k).collect() for k in (0, 1499, 2999, 3000)]
+        assert [len(x) for x in of_turn] == [1, 1, 1, 0]
+        by_start = [r["ids_crc32"] for r in sorted(rows, key=lambda r: r["start"]) if r["doc_id"] == hot]
+        for k, x in zip((0, 1499, 2999), of_turn, strict=False):
+            assert zlib.crc32(np.array(x[0]["ids"], "<u4").tobytes()) == by_start[k]
+
+
 def test_token_index(spark, docs, empty):
     folder = new_folder(spark, "tokens")
     token_index.write_shards(docs, folder, tokenizer_file(), chunk_tokens=700)
     shards = token_index.read_shards(spark, folder)
     assert shards.count() > 3
-    order, wanted, start = sorted(ROWS, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode())), [], 0
-    for doc, text in order:
-        ids = _ids(text)
-        wanted.append((doc, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
-        start += len(ids)
-    assert _sorted(tuple(r) for r in token_index.documents(shards).collect()) == _sorted(wanted)
+    rows = token_index.documents(shards).collect()
+    _runs_on(rows)
+    wanted = [(d, len(_ids(t)), zlib.crc32(np.array(_ids(t), "<u4").tobytes())) for d, t in ROWS]
+    assert _sorted((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in rows) == _sorted(wanted)
     some = {d: t for d, t in ROWS if d in (-5, 22, 100)}
     found = {r["doc_id"]: list(r["ids"]) for r in token_index.lookup(shards, [*some, 10**9]).collect()}
     assert found == {d: _ids(t) for d, t in some.items()}
@@ -440,6 +518,20 @@ def test_packing(docs, empty):
     assert packing.pack_documents(empty, tokenizer_file()).count() == 0
 
 
+def test_packing_spreads_a_row_that_is_repeated(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SEQUENCES_PER_TASK", 16)
+    for doc_id in (4, None):
+        frame = spark.createDataFrame([(doc_id, "one row of all"), (1, "x")], "doc_id long, text string")
+        frame = frame.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(20_000))))
+        found = packing.pack_documents(frame, tokenizer_file())
+        parts = found.groupBy(F.shiftright("sequence_id", 40).alias("part")).agg(F.count("*").alias("n"), F.sum("length").alias("tokens"), F.countDistinct("sequence_id").alias("seqs")).collect()
+        assert sum(r["n"] for r in parts) == 40_000 and len(parts) > 4
+        assert max(r["n"] for r in parts) < 2 * min(r["n"] for r in parts)
+        assert all(r["seqs"] == math.ceil(r["tokens"] / 1024) or r["seqs"] < r["tokens"] / 1000 + 1 for r in parts)
+        places = found.groupBy("sequence_id").agg(F.sum("length").alias("s"), F.max(F.col("offset") + F.col("length")).alias("e"), F.countDistinct("offset").alias("o"), F.count("*").alias("n"))
+        assert places.filter("s <> e OR s > 1024 OR o <> n").count() == 0
+
+
 def test_best_fit_closes_the_fullest():
     bins = packing.Bins(10, 2)
     assert [bins.place(n) for n in (6, 7, 3, 8, 4, 9)] == [(0, 0), (1, 0), (1, 7), (2, 0), (0, 6), (3, 0)]
@@ -477,6 +569,28 @@ def test_arc_to_warc(spark):
     assert {r["date"] for r in found} == {"2024-01-01T00:00:00Z"}
 
 
+def test_record_ids_follow_from_the_archive_not_its_folder(spark):
+    frame = spark.range(40).selectExpr("id % 30 AS page_id", "'http://a' AS url", "concat('page ', id % 7) AS html")
+    first, second, moved = (new_folder(spark, f"arc-{k}") for k in range(3))
+    warc.write_arc(frame, first)
+    warc.write_arc(frame, second)
+    shutil.copytree(first, moved)
+
+    def ids(folder):
+        return sorted(r[0] for r in warc.read_arc(spark, folder, blocks=False).select("record_id").collect())
+
+    assert ids(first) == ids(second) == ids(moved) and len(set(ids(first))) == 40
+    assert warc.archive_name("file:/x/y/2024/a.arc.gz", "/x/y") == "2024/a.arc.gz"
+    assert warc.archive_name("s3a://b/x/a.arc.gz", "s3a://b/*") == "a.arc.gz"
+
+
+def test_arc_empty_table(spark):
+    arc, out = new_folder(spark, "arc"), new_folder(spark, "warc")
+    warc.write_arc(spark.createDataFrame([], "page_id long, url string, html string"), arc)
+    warc.convert(spark, arc, out)
+    assert warc.read_warc(spark, out).count() == 0
+
+
 def test_arc_versions_and_errors():
     block = b"HTTP/1.0 200 OK\r\n\r\nhello"
     one = b"filedesc://x 0.0.0.0 19990101000000 text/plain 20\n1 0 Org\nURL IP ...\n\n"
