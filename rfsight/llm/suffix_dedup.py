@@ -7,9 +7,13 @@ of the anchor: multikey quicksort to a shallow depth, then blind tries for what
 prefixes gives, for each occurrence, how far its best partners agree with it on both sides; where that makes
 ``span`` bytes, they are marked.
 
-Equal texts are one text with a count; if it has ``span`` bytes all of it goes. A group beyond ``most_members``
-occurrences of different surroundings isn't sorted in one task: its strings are compared by digests in a
-distributed count instead, with the same result.
+Equal texts are one text with a count; if it has ``span`` bytes all of it goes. The group of an anchor is sorted in
+one task while it has at most ``most_members`` occurrences. A larger one is partitioned by the bytes next to the
+anchor first, as a multikey quicksort does, but as rows of a table: of two occurrences that agree on r bytes to the
+right, and so on ``span`` - r to the left at least, r lies between two of a few cuts, lo <= r < hi, and both have the
+same lo bytes on the right and the same ``span`` - hi + 1 on the left. Occurrences with such bytes in common are a
+part, only parts of two or more go on, and a part that is still too large is cut again between lo and hi. Where hi is
+lo + 1 the bytes in common are a whole string, so all of the part match and nothing is left to sort.
 
 Strings of words are strings of bytes too: each word stands as a hash of eight bytes, so white space and the length of
 words do not matter, and runs found are cut down to whole words.
@@ -33,12 +37,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rfsight.llm.arrow import BYTE_VALUES, prefix_sums, slice_hashes, slices, utf8, word_bounds
-from rfsight.llm.scratch import stored
+from rfsight.llm.scratch import drop, stored
 
 SPAN, GRAM = 400, 32
 #: Low bits of a hash that give way to its position, so that of equal hashes the first is the least.
 PLACE_BITS = 24
 SEGMENT = 1 << 21
+#: Occurrences of an anchor, or of a part of its group, that one task sorts at most.
+MOST_MEMBERS = 20_000
 #: A passage that a pipeline takes out, in words.
 PASSAGE = 51
 
@@ -293,10 +299,13 @@ _MATCH = "key binary, start int, stop int"
 _MATCHES = pa.schema([("key", pa.binary()), ("start", pa.int32()), ("stop", pa.int32())])
 
 
-def _surroundings(span: int, crowded: bool, units: Units) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Task function: what stands around each shared anchor, or for crowded groups the strings that hold it."""
-    kinds = [("mark", pa.int64()), ("left", pa.binary()), ("right", pa.binary()), ("key", pa.binary()), ("places", pa.list_(pa.int32()))]
-    schema = pa.schema([("digest", pa.binary()), ("key", pa.binary()), ("start", pa.int32())] if crowded else kinds)
+_SIDES = pa.schema(
+    [("mark", pa.int64()), ("left", pa.binary()), ("right", pa.binary()), ("key", pa.binary()), ("places", pa.list_(pa.int32()))]
+)
+
+
+def _surroundings(span: int, units: Units) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Task function: what stands around each shared anchor; the bytes before it are read backwards."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
@@ -304,26 +313,21 @@ def _surroundings(span: int, crowded: bool, units: Units) -> Callable[[Iterator[
             data, offsets = units.coded(batch.column("text"))
             for i, (key, marks) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("key", "marks")), strict=True)):
                 raw = data[offsets[i] : offsets[i + 1]].tobytes()
-                if crowded:
-                    starts = {s for m in marks for p in m["places"] for s in range(max(0, p + GRAM - span), min(p, len(raw) - span) + 1)}
-                    starts = {s for s in starts if s % units.width == 0}
-                    out += [(hashlib.blake2b(raw[s : s + span], digest_size=16).digest(), key, s) for s in starts]
-                    continue
                 for m in marks:
                     same: dict[tuple[bytes, bytes], list[int]] = defaultdict(list)
                     for p in m["places"]:
                         same[raw[max(0, p + GRAM - span) : p][::-1], raw[p : p + span]].append(p)
                     out += [(m["mark"], a, b, key, places) for (a, b), places in same.items()]
                 if len(out) > 8000:
-                    yield _arrow_rows(out, schema)
+                    yield _arrow_rows(out, _SIDES)
                     out = []
-            yield _arrow_rows(out, schema)
+            yield _arrow_rows(out, _SIDES)
 
     return rows
 
 
 def _group_matches(span: int, units: Units) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Task function over surroundings sorted by anchor: marked (key, start, stop)."""
+    """Task function over surroundings sorted by anchor, or by part: marked (key, start, stop)."""
 
     def solve(group: dict[tuple[bytes, bytes], list[tuple[bytes, list[int]]]]) -> Iterator[tuple[bytes, int, int]]:
         sides = list(group)
@@ -355,6 +359,82 @@ def _group_matches(span: int, units: Units) -> Callable[[Iterator[pa.RecordBatch
     return rows
 
 
+#: Parts that an interval between two cuts is cut into.
+CUTS = 8
+
+
+def _cuts(lo: int, hi: int) -> list[tuple[int, int]]:
+    """Intervals that make up lo <= r < hi."""
+    step = -(-(hi - lo) // CUTS)
+    return [(a, min(a + step, hi)) for a in range(lo, hi, step)]
+
+
+def _parts(span: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Task function over (mark, side, left, right, cuts): the part that an occurrence is in for each interval of
+    bytes on the right, if it has the bytes."""
+    schema = pa.schema([("part", pa.binary()), ("lo", pa.int32()), ("hi", pa.int32()), ("mark", pa.int64()), ("side", pa.binary())])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for mark, side, left, right, cuts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for outer in cuts:
+                    for lo, hi in _cuts(outer["lo"], outer["hi"]):
+                        before = span - hi + 1
+                        if len(right) >= lo and len(left) >= before:
+                            name = b"%d %d %d " % (mark, lo, hi) + right[:lo] + left[:before]
+                            out.append((hashlib.blake2b(name, digest_size=16).digest(), lo, hi, mark, side))
+                if len(out) > 20_000:
+                    yield _arrow_rows(out, schema)
+                    out = []
+            yield _arrow_rows(out, schema)
+
+    return rows
+
+
+def _crowded_matches(around: DataFrame, span: int, most_members: int, units: Units) -> list[DataFrame]:
+    """Matches of the groups in ``around``, whatever their size, as stored tables of (key, start, stop).
+
+    Surroundings that occur twice match as far as they reach; one row of each different surroundings stands for it
+    in the parts."""
+    side = F.unhex(F.md5(F.concat(F.md5("left"), F.md5("right")).cast("binary")))
+    around = stored(around.withColumn("side", side), "crowded-sides")
+    seen = around.groupBy("mark", "side").agg(F.sum(F.size("places")).alias("n"))
+    seen = stored(seen.filter("n > 1").select("mark", "side"), "crowded-again")
+    again = around.join(seen, ["mark", "side"], "left_semi")
+    again = again.select("key", F.explode("places").alias("at"), F.length("left").alias("before"), F.length("right").alias("after"))
+    again = again.select("key", (F.col("at") - F.col("before")).alias("start"), (F.col("at") + F.col("after")).alias("stop"))
+    found = [stored(_whole(again, span, units), "crowded-equal")]
+    sides = stored(around.dropDuplicates(["mark", "side"]), "crowded-different")
+    whole = F.array(F.struct(F.lit(GRAM).alias("lo"), F.lit(span + 1).alias("hi")))
+    cut = sides.withColumn("cuts", whole)
+    while True:
+        parts = cut.select("mark", "side", "left", "right", "cuts").mapInArrow(_parts(span), "part binary, lo int, hi int, mark long, side binary")
+        parts = stored(parts, "parts")
+        shared = parts.join(parts.groupBy("part").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "part")
+        shared = stored(shared, "shared-parts")
+        drop(parts)
+        single = F.col("hi") - F.col("lo") == 1
+        settled = shared.filter(single).join(sides, ["mark", "side"]).select("key", "lo", F.explode("places").alias("at"))
+        settled = settled.select("key", (F.col("at") + F.col("lo") - span).alias("start"), (F.col("at") + F.col("lo")).alias("stop"))
+        small = shared.filter(~single & (F.col("n") <= most_members)).select("part", "mark", "side").join(sides, ["mark", "side"])
+        small = small.select("part", "left", "right", "key", "places").repartition("part").sortWithinPartitions("part")
+        small = small.mapInArrow(_group_matches(span, units), _MATCH)
+        found.append(stored(_whole(settled, span, units).unionByName(small), "crowded-matches"))
+        large = shared.filter(~single & (F.col("n") > most_members)).groupBy("mark", "side")
+        large = stored(large.agg(F.collect_list(F.struct("lo", "hi")).alias("cuts")), "large-parts")
+        if large.isEmpty():
+            return found
+        cut = sides.join(large, ["mark", "side"])
+
+
+def _whole(matches: DataFrame, span: int, units: Units) -> DataFrame:
+    """Matches cut down to whole units, if these still make ``span`` bytes."""
+    start = (F.ceil(F.col("start") / units.width) * units.width).cast("int")
+    stop = (F.floor(F.col("stop") / units.width) * units.width).cast("int")
+    return matches.select("key", start.alias("start"), stop.alias("stop")).filter(F.col("stop") - F.col("start") >= span)
+
+
 def merged_runs(matches: DataFrame) -> DataFrame:
     """key and spans: runs of overlapping or touching matches, in order. One sorted pass over a text's matches."""
     longest = matches.groupBy("key", "start").agg(F.max("stop").alias("stop"))
@@ -366,7 +446,7 @@ def merged_runs(matches: DataFrame) -> DataFrame:
     return runs.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"))
 
 
-def repeated_spans(docs: DataFrame, span: int = SPAN, most_members: int = 50_000, units: Units = BYTES) -> DataFrame:
+def repeated_spans(docs: DataFrame, span: int = SPAN, most_members: int = MOST_MEMBERS, units: Units = BYTES) -> DataFrame:
     """(key, id_key, n_bytes, spans) of each different (text, id): the maximal runs that repeat, as bytes of the
     string that stands for the text."""
     marks = stored(text_marks(docs, span, units), "anchors")
@@ -382,16 +462,14 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, most_members: int = 50_000
 
     def around(crowded: bool) -> DataFrame:
         wanted = keyed.join(per_text.filter(F.col("crowded") == crowded).drop("crowded"), ["key", "id_key"])
-        kind = "digest binary, key binary, start int" if crowded else "mark long, left binary, right binary, key binary, places array<int>"
-        return wanted.select("key", "text", "marks").mapInArrow(_surroundings(span, crowded, units), kind)
+        kind = "mark long, left binary, right binary, key binary, places array<int>"
+        return wanted.select("key", "text", "marks").mapInArrow(_surroundings(span, units), kind)
 
     groups = around(False).repartition("mark").sortWithinPartitions("mark")
     matches = groups.mapInArrow(_group_matches(span, units), _MATCH)
     if not per_text.filter("crowded").isEmpty():
-        strings = stored(around(True).distinct(), "crowded-strings")
-        again = strings.groupBy("digest").count().filter("count > 1")
-        found = strings.join(again, "digest", "left_semi")
-        matches = matches.unionByName(found.select("key", "start", (F.col("start") + span).alias("stop")))
+        for found in _crowded_matches(around(True), span, most_members, units):
+            matches = matches.unionByName(found)
     runs = merged_runs(matches)
     none = F.array().cast("array<struct<start:int,stop:int>>")
     everything = F.array(F.struct(F.lit(0).alias("start"), F.col("n_bytes").cast("int").alias("stop")))
@@ -409,7 +487,7 @@ def _with_spans(docs: DataFrame, span: int, most_members: int, units: Units = BY
     return joined.select("row", "text", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), "spans")
 
 
-def without_repeats(docs: DataFrame, span: int = SPAN, most_members: int = 50_000) -> DataFrame:
+def without_repeats(docs: DataFrame, span: int = SPAN, most_members: int = MOST_MEMBERS) -> DataFrame:
     """row (a struct of all columns of ``docs``), kept (binary), n_bytes, n_removed and n_spans of each row."""
 
     @F.arrow_udf("binary")
@@ -426,7 +504,7 @@ def without_repeats(docs: DataFrame, span: int = SPAN, most_members: int = 50_00
     )
 
 
-def shortened(docs: DataFrame, span: int = SPAN, most_members: int = 50_000, units: Units = BYTES) -> DataFrame:
+def shortened(docs: DataFrame, span: int = SPAN, most_members: int = MOST_MEMBERS, units: Units = BYTES) -> DataFrame:
     """``docs`` with what repeats taken out of the text and n_chars counted anew; other columns stay. A null text
     stays null; a character that loses some of its bytes goes altogether."""
 
