@@ -7,10 +7,14 @@ shingles and lie in the same or neighbouring band of set sizes. A link of 0.75 t
 among the rarest quarter of either set, and sizes differ by a third at most.
 
 Many shingles bring the same sets together, so sets that any of them brings together, by way of one leader each,
-are a cluster, and each set is sent to a tile once: a band of a cluster, cut into blocks if it is large. Within a
-tile, bitmaps of hashed shingles bound each overlap from above by bit counts, and only pairs within the bound have
-their sorted arrays intersected. Pairs that links connect already are passed over, and no table holds all pairs of
-a group.
+are a cluster, and each set is sent to a tile once: a band of a cluster. Within a tile, bitmaps of hashed shingles
+bound each overlap from above by bit counts, and only pairs within the bound have their sorted arrays intersected.
+Pairs that links connect already are passed over, and no table holds all pairs of a group.
+
+A tile of more than ``BLOCK`` sets is dealt in two rounds. First each block of it meets itself and a few leaders,
+the same in all blocks, so near copies of one text are connected after that. Then sets are dealt anew by what
+connects them: a component large enough has blocks of its own, and two blocks of one component do not meet. Only
+sets that are still apart from it do, so a tile of n near copies takes about n rows rather than n times its blocks.
 
 Defined results: words are runs of other than ASCII white space, A-Z as a-z; fewer than five words make one
 shingle; a null, empty or blank text has an empty set and is linked with nothing; repeated rows are linked with
@@ -25,7 +29,7 @@ from math import log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rfsight.llm.arrow import BYTE_VALUES, mix, prefix_sums, slice_hashes, slices, utf8, word_bounds
@@ -37,6 +41,8 @@ WORDS = 5
 PERCENT = 75
 #: Shingles in a bucket of the count, about, and members of a block of a tile.
 BUCKET, BLOCK = 4_000_000, 1024
+#: Sets of a large tile that all its blocks meet first.
+LEADERS = 32
 #: Bytes of a hash that travel; six bits more, or as many as there are buckets, follow from the bucket.
 TRAVEL = 7
 
@@ -263,16 +269,19 @@ def _bits(n: int) -> int:
     return 1 << max(6, int(2 * n - 1).bit_length())
 
 
+_MEETING = ["root", "tile", "low", "high"]
+
+
 def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in order of (tile, pair of blocks): links that connect what links connect, fewer than members.
 
-    Each set in turn meets those after it that are in another component by then. Where a tile has several blocks,
-    pairs within one are met in the group of that block with itself.
+    Each set in turn meets those after it that are in another component by then; sets may be connected to begin with.
+    Where two blocks meet, pairs within one are passed over.
     """
 
     def solve(members: list[tuple], two_blocks: bool) -> list[tuple[int, int]]:
-        ids, sizes, blocks, sets = map(list, zip(*members, strict=True))
-        comp = np.arange(len(ids))
+        ids, sizes, blocks, known, sets = map(list, zip(*members, strict=True))
+        comp = np.unique(np.array(known, np.int64), return_inverse=True)[1]
         maps, sizes, blocks, links = bitmaps(sets, _bits(max(sizes))), np.array(sizes), np.array(blocks), []
         for i in range(len(ids) - 1):
             others = np.arange(i + 1, len(ids))
@@ -292,11 +301,11 @@ def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tile, members = None, []
     for batch in batches:
         found = []
-        for *key, set_id, n, block, shingles in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for *key, set_id, n, block, known, shingles in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if key != tile:
                 found += solve(members, tile[2] != tile[3]) if members else []
                 tile, members = key, []
-            members.append((set_id, n, block, np.frombuffer(shingles, "<u8")))
+            members.append((set_id, n, block, known, np.frombuffer(shingles, "<u8")))
         yield batch_of(found)
     yield batch_of(solve(members, tile[2] != tile[3]) if members else [])
 
@@ -310,23 +319,70 @@ def clusters(places: DataFrame) -> DataFrame:
     return components(met.select(F.col("set_id").alias("a"), F.col("leader").alias("b")))
 
 
+def _meetings(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links among sets that meet; ``rows`` are root, tile, low, high, turn, set_id, block and known, a number that
+    connected sets share."""
+    rows = rows.join(sets.select("set_id", "n", "shingles"), "set_id")
+    rows = rows.repartition(*_MEETING).sortWithinPartitions(*_MEETING, "turn", "set_id")
+    return rows.select(*_MEETING, "set_id", "n", "block", "known", "shingles").mapInArrow(_tile_links, "a long, b long")
+
+
+def first_meetings(members: DataFrame) -> DataFrame:
+    """Each block of a large tile with itself, behind the leaders of the tile."""
+    place = F.row_number().over(Window.partitionBy("root", "tile").orderBy(F.xxhash64("set_id", F.lit(5)), "set_id"))
+    leaders = members.withColumn("place", place).filter(F.col("place") <= LEADERS)
+    leaders = leaders.select("root", "tile", "set_id", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("turn"))
+    block = F.pmod(F.xxhash64("set_id", F.lit(3)), F.col("blocks")).cast("int").alias("block")
+    rows = members.select("root", "tile", "set_id", block, F.lit(1).alias("turn")).unionByName(leaders)
+    rows = rows.groupBy("root", "tile", "block", "set_id").agg(F.min("turn").alias("turn"))
+    return rows.select("root", "tile", F.col("block").alias("low"), F.col("block").alias("high"), "turn", "set_id", "block", F.col("set_id").alias("known"))
+
+
+def second_meetings(members: DataFrame, connected: DataFrame) -> DataFrame:
+    """Pairs of blocks of a large tile, dealt by component, but for pairs of blocks of one component."""
+    members = members.join(connected.select(F.col("node").alias("set_id"), F.col("root").alias("known")), "set_id", "left")
+    members = stored(members.withColumn("known", F.coalesce("known", "set_id")), "known-members")
+    sizes = members.groupBy("root", "tile", "known").agg(F.count(F.lit(1)).alias("size"))
+    own = F.when(F.col("size") >= BLOCK, F.col("known"))  # null: small components, dealt together
+    units = sizes.withColumn("unit", own).groupBy("root", "tile", "unit").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("blocks"))
+    of_tile = Window.partitionBy("root", "tile")
+    before = F.sum("blocks").over(of_tile.orderBy("unit").rowsBetween(Window.unboundedPreceding, 0)) - F.col("blocks")
+    units = units.select("*", before.cast("int").alias("first"), F.sum("blocks").over(of_tile).cast("int").alias("total"))
+    dealt = sizes.select("root", "tile", "known", own.alias("unit")).alias("s").join(
+        units.alias("u"), F.expr("s.root = u.root AND s.tile = u.tile AND s.unit <=> u.unit")
+    )
+    dealt = dealt.select("s.root", "s.tile", "s.known", "s.unit", "blocks", "first", "total")
+    rows = members.select("root", "tile", "known", "set_id").join(dealt, ["root", "tile", "known"])
+    spread = F.when(F.col("unit").isNull(), F.xxhash64("known", F.lit(7))).otherwise(F.xxhash64("set_id", F.lit(7)))
+    rows = rows.withColumn("block", F.col("first") + F.pmod(spread, F.col("blocks")).cast("int"))
+    none = F.array().cast("array<int>")
+    below = F.when(F.col("first") > 0, F.sequence(F.lit(0), F.col("first") - 1)).otherwise(none)
+    last = F.col("first") + F.col("blocks")
+    above = F.when(last < F.col("total"), F.sequence(last, F.col("total") - 1)).otherwise(none)
+    inside = F.when(F.col("unit").isNull(), F.sequence(F.col("first"), last - 1)).otherwise(none)
+    rows = rows.select("root", "tile", "known", "set_id", "block", F.explode(F.concat(below, inside, above)).alias("other"))
+    low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    return rows.select("root", "tile", low, high, F.lit(0).alias("turn"), "set_id", "block", "known")
+
+
 def tile_links(sets: DataFrame, places: DataFrame, roots: DataFrame) -> DataFrame:
-    """Links within each cluster, enough of them to connect what links connect.
+    """Links within each cluster, enough of them to connect what links connect, as a stored table.
 
-    A tile is a band of a cluster with its own sets and those of the band below; large ones are cut into blocks,
-    and every pair of blocks is a group of rows.
+    A tile is a band of a cluster with its own sets and those of the band below.
     """
     members = places.select("set_id", "tile", "home").distinct().join(roots.withColumnRenamed("node", "set_id"), "set_id")
     tiles = members.groupBy("root", "tile").agg(F.count(F.lit(1)).alias("members"), F.max("home").alias("any_home"))
     tiles = tiles.filter("members > 1 AND any_home").select("root", "tile", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
-    rows = members.join(tiles, ["root", "tile"]).withColumn("block", F.pmod(F.xxhash64("set_id", F.lit(3)), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    rows = rows.select("root", "tile", "set_id", "block", other)
-    rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    keys = ["root", "tile", "low", "high"]
-    rows = rows.select(*keys, "set_id", "block").join(sets.select("set_id", "n", "shingles"), "set_id")
-    rows = rows.select(*keys, "set_id", "n", "block", "shingles").repartition(*keys).sortWithinPartitions(*keys, "set_id")
-    return rows.mapInArrow(_tile_links, "a long, b long")
+    members = stored(members.select("set_id", "tile", "root").join(tiles, ["root", "tile"]), "members")
+    zero, large = F.lit(0), members.filter("blocks > 1")
+    small = members.filter("blocks = 1").select(
+        "root", "tile", zero.alias("low"), zero.alias("high"), zero.alias("turn"), "set_id", zero.alias("block"), F.col("set_id").alias("known")
+    )
+    if large.isEmpty():
+        return stored(_meetings(small, sets), "links")
+    first = stored(_meetings(small.unionByName(first_meetings(large)), sets), "first-links")
+    second = _meetings(second_meetings(large, components(first)), sets)
+    return stored(first.unionByName(second), "links")
 
 
 def similar_sets(docs: DataFrame, total: int, turn: int) -> DataFrame:
@@ -335,8 +391,7 @@ def similar_sets(docs: DataFrame, total: int, turn: int) -> DataFrame:
     own, above = ((F.col("band") + k).alias("tile") for k in (0, 1))
     tiles = F.array(F.struct(own, F.lit(True).alias("home")), F.struct(above, F.lit(False).alias("home")))
     places = sets.select("set_id", "band", F.explode("rarest").alias("token")).select("set_id", "token", F.inline(tiles))
-    links = stored(tile_links(sets, places, clusters(places)), "links")
-    return components(links)
+    return components(tile_links(sets, places, clusters(places)))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
