@@ -169,6 +169,38 @@ def test_ngram_join(docs, monkeypatch, block):
     assert _sorted(found) == _sorted(_joined(ROWS))
 
 
+@pytest.mark.parametrize("leaders", [1, 32])
+def test_ngram_join_of_tiles_with_many_blocks(spark, monkeypatch, leaders):
+    """Near copies of a text, chains that drift away from it, and sets that only share rare shingles with it."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    monkeypatch.setattr(ngram_join, "LEADERS", leaders)
+    rng = random.Random(31)
+    words = _sentence(rng, 80).split()
+    rows = []
+    for k in range(90):
+        own = list(words)
+        own[rng.randrange(80)] = f"x{k}"
+        rows.append((k, " ".join(own)))
+    drifting = list(words)
+    for k in range(30):
+        drifting[2 * k + 5] = f"y{k}"
+        rows.append((200 + k, " ".join(drifting)))
+    rows += [(300 + k, " ".join([*words[: 40 + k % 9], *_sentence(rng, 36).split()])) for k in range(40)]
+    found = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert _sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == _sorted(_joined(rows))
+
+
+def test_near_copies_meet_in_about_as_many_rows(spark):
+    """A tile of one component: its blocks do not meet again."""
+    members = spark.range(5000).select(F.lit(1).alias("root"), F.lit(2).alias("tile"), F.col("id").alias("set_id"), F.lit(5).alias("blocks"))
+    first = ngram_join.first_meetings(members)
+    assert 5000 <= first.count() <= 5000 + 5 * ngram_join.LEADERS
+    connected = members.select(F.col("set_id").alias("node"), F.lit(0).cast("long").alias("root"))
+    assert ngram_join.second_meetings(members, connected).isEmpty()
+    apart = ngram_join.second_meetings(members, connected.filter("node > 2"))  # two sets beside it
+    assert apart.count() <= 5000 + 2 * 6
+
+
 def test_one_of_each(docs, empty):
     kept = ngram_join.one_of_each(docs)
     assert kept.columns == docs.columns
@@ -633,6 +665,25 @@ def test_suffix_dedup(docs, most_members):
     assert _sorted(got) == _sorted(_cut(ROWS, 60))
 
 
+@pytest.mark.parametrize("most_members", [1, 3, 10])
+def test_large_groups_are_parted_by_the_bytes_beside_the_anchor(spark, most_members):
+    """One passage in many texts, changed at a place of its own in each, and texts that repeat whole."""
+    rng = random.Random(17)
+    passage, rows = _sentence(rng, 40), []
+    for k in range(40):
+        own = list(passage)
+        for _ in range(rng.randint(0, 3)):
+            own[rng.randrange(len(own))] = "#"
+        rows.append((k, f"{_sentence(rng, 6)} {''.join(own)} {_sentence(rng, 6)}"))
+    rows += [(100, rows[3][1]), (101, rows[5][1] + "!"), (102, passage * 3), (103, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = suffix_dedup.without_repeats(frame, span=90, most_members=most_members).collect()
+    got = [(r["row"]["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in found]
+    assert _sorted(got) == _sorted(_cut(rows, 90))
+    words = suffix_dedup.shortened(frame, 12 * suffix_dedup.WORDS.width, most_members, suffix_dedup.WORDS)
+    assert _sorted((r["doc_id"], r["text"]) for r in words.collect()) == _sorted(_passages_cut(rows, 12))
+
+
 def test_shortened_texts(docs, empty):
     found = suffix_dedup.shortened(docs, span=60)
     assert found.columns == docs.columns and suffix_dedup.shortened(empty).count() == 0
