@@ -369,21 +369,30 @@ def _cuts(lo: int, hi: int) -> list[tuple[int, int]]:
     return [(a, min(a + step, hi)) for a in range(lo, hi, step)]
 
 
+_PART = "part binary, lo int, hi int, left binary, right binary, key binary, places array<int>"
+
+
 def _parts(span: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Task function over (mark, side, left, right, cuts): the part that an occurrence is in for each interval of
-    bytes on the right, if it has the bytes."""
-    schema = pa.schema([("part", pa.binary()), ("lo", pa.int32()), ("hi", pa.int32()), ("mark", pa.int64()), ("side", pa.binary())])
+    """Task function over parts: the smaller part that an occurrence is in for each interval of bytes on the right.
+
+    All of a part have the same ``lo`` bytes on the right and ``span`` - ``hi`` + 1 on the left. Its rows hold only the
+    bytes behind these, up to those that a string with lo <= r < hi bytes on the right can reach.
+    """
+    kinds = [("part", pa.binary()), ("lo", pa.int32()), ("hi", pa.int32()), *list(_SIDES)[1:]]
+    schema = pa.schema(kinds)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for mark, side, left, right, cuts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for outer in cuts:
-                    for lo, hi in _cuts(outer["lo"], outer["hi"]):
-                        before = span - hi + 1
-                        if len(right) >= lo and len(left) >= before:
-                            name = b"%d %d %d " % (mark, lo, hi) + right[:lo] + left[:before]
-                            out.append((hashlib.blake2b(name, digest_size=16).digest(), lo, hi, mark, side))
+            for part, lo, hi, left, right, key, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                known = span - hi + 1
+                for low, high in _cuts(lo, hi):
+                    before = span - high + 1
+                    same, more = (left[: before - known], right[: low - lo]), (left[before - known : span - low - known], right[low - lo : high - 1 - lo])
+                    if len(same[0]) < before - known or len(same[1]) < low - lo or len(more[0]) + len(more[1]) < high - low - 1:
+                        continue  # no string of the interval fits into the text
+                    name = hashlib.blake2b(b"%b %d %d " % (part, low, high) + same[0] + same[1], digest_size=16).digest()
+                    out.append((name, low, high, *more, key, places))
                 if len(out) > 20_000:
                     yield _arrow_rows(out, schema)
                     out = []
@@ -392,6 +401,23 @@ def _parts(span: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
     return rows
 
 
+def _part_matches(span: int, units: Units) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Task function over rows sorted by part: matches. What all of a part have in common stands as zeros."""
+    sort = _group_matches(span, units)
+
+    def padded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part, lo, hi, left, right, key, places = (c.to_pylist() for c in batch.columns)
+            left = [bytes(span - h + 1) + x for h, x in zip(hi, left, strict=True)]
+            right = [bytes(n) + x for n, x in zip(lo, right, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part, pa.binary()), pa.array(left, pa.binary()), pa.array(right, pa.binary()), pa.array(key, pa.binary()), pa.array(places, pa.list_(pa.int32()))],
+                ["mark", "left", "right", "key", "places"],
+            )
+
+    return lambda batches: sort(padded(batches))
+
+
 def _crowded_matches(around: DataFrame, span: int, most_members: int, units: Units) -> list[DataFrame]:
     """Matches of the groups in ``around``, whatever their size, as stored tables of (key, start, stop).
 
@@ -400,32 +426,33 @@ def _crowded_matches(around: DataFrame, span: int, most_members: int, units: Uni
     side = F.unhex(F.md5(F.concat(F.md5("left"), F.md5("right")).cast("binary")))
     around = stored(around.withColumn("side", side), "crowded-sides")
     seen = around.groupBy("mark", "side").agg(F.sum(F.size("places")).alias("n"))
-    seen = stored(seen.filter("n > 1").select("mark", "side"), "crowded-again")
-    again = around.join(seen, ["mark", "side"], "left_semi")
-    again = again.select("key", F.explode("places").alias("at"), F.length("left").alias("before"), F.length("right").alias("after"))
+    again = around.select("mark", "side", "key", "places", F.length("left").alias("before"), F.length("right").alias("after"))
+    again = again.join(seen.filter("n > 1").select("mark", "side"), ["mark", "side"], "left_semi").withColumn("at", F.explode("places"))
     again = again.select("key", (F.col("at") - F.col("before")).alias("start"), (F.col("at") + F.col("after")).alias("stop"))
     found = [stored(_whole(again, span, units), "crowded-equal")]
-    sides = stored(around.dropDuplicates(["mark", "side"]), "crowded-different")
-    whole = F.array(F.struct(F.lit(GRAM).alias("lo"), F.lit(span + 1).alias("hi")))
-    cut = sides.withColumn("cuts", whole)
+    different = around.dropDuplicates(["mark", "side"])
+    group = F.unhex(F.lpad(F.hex("mark"), 16, "0")).alias("part")
+    start = F.substring("right", GRAM + 1, span).alias("right")
+    rows = different.select(group, F.lit(GRAM).alias("lo"), F.lit(span + 1).alias("hi"), "left", start, "key", "places")
+    held = [around]
     while True:
-        parts = cut.select("mark", "side", "left", "right", "cuts").mapInArrow(_parts(span), "part binary, lo int, hi int, mark long, side binary")
-        parts = stored(parts, "parts")
-        shared = parts.join(parts.groupBy("part").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "part")
-        shared = stored(shared, "shared-parts")
+        parts = stored(rows.mapInArrow(_parts(span), _PART), "parts")
+        drop(*held)
+        counts = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        shared = stored(parts.join(counts, "part"), "shared-parts")
         drop(parts)
         single = F.col("hi") - F.col("lo") == 1
-        settled = shared.filter(single).join(sides, ["mark", "side"]).select("key", "lo", F.explode("places").alias("at"))
+        settled = shared.filter(single).select("key", "lo", F.explode("places").alias("at"))
         settled = settled.select("key", (F.col("at") + F.col("lo") - span).alias("start"), (F.col("at") + F.col("lo")).alias("stop"))
-        small = shared.filter(~single & (F.col("n") <= most_members)).select("part", "mark", "side").join(sides, ["mark", "side"])
-        small = small.select("part", "left", "right", "key", "places").repartition("part").sortWithinPartitions("part")
-        small = small.mapInArrow(_group_matches(span, units), _MATCH)
+        columns = ["part", "lo", "hi", "left", "right", "key", "places"]
+        small = shared.filter(~single & (F.col("n") <= most_members)).select(*columns)
+        small = small.repartition("part").sortWithinPartitions("part").mapInArrow(_part_matches(span, units), _MATCH)
         found.append(stored(_whole(settled, span, units).unionByName(small), "crowded-matches"))
-        large = shared.filter(~single & (F.col("n") > most_members)).groupBy("mark", "side")
-        large = stored(large.agg(F.collect_list(F.struct("lo", "hi")).alias("cuts")), "large-parts")
-        if large.isEmpty():
+        rows = shared.filter(~single & (F.col("n") > most_members)).select(*columns)
+        if rows.isEmpty():
+            drop(shared)
             return found
-        cut = sides.join(large, ["mark", "side"])
+        held = [shared]
 
 
 def _whole(matches: DataFrame, span: int, units: Units) -> DataFrame:
