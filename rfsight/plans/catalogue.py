@@ -20,7 +20,7 @@ from rfsight.contracts import BT, WIFI, conform, contract
 from rfsight.functions import address, signal, tags, vocabulary
 from rfsight.functions.identity import event_key, hash_identifier, vendor_oui
 from rfsight.operators import analytics, bronze, clusters, expectations, lookup, outbox, reports
-from rfsight.operators.copresence import copresence_counts, copresence_pairs, copresence_rows
+from rfsight.operators.copresence import copresence_counts, copresence_pairs, copresence_report
 from rfsight.operators.dedup import dedup_batch, dedup_stream, first_per_window
 from rfsight.operators.silver import NORMALIZERS, to_silver
 from rfsight.operators.timeline import alert_candidates, alert_rows, device_timeline, high_threat, timeline_rows
@@ -775,17 +775,12 @@ _RULES_SQL = {
 
 
 def _checks(views: Views, *tables_named: str) -> list[tuple[expectations.ExpectationSet, DataFrame]]:
-    """Each table's rules with the rows that its flow runs them over: what is not late, what is unique, and gold rows
-    before their own drops."""
+    """Each table's rules with the rows that its flow runs them over: what is not late, and what is unique."""
     own = views.settings
     checks = {}
     for p in (WIFI, BT):
         checks[f"{p}_bronze"] = (expectations.BRONZE[p], bronze.drop_late(views.medallion.landed(p), own))
         checks[f"{p}_silver"] = (expectations.SILVER[p], NORMALIZERS[p](dedup_batch(views.bronze(p)), own))
-    silver = views.silver(WIFI), views.silver(BT)
-    checks["device_timeline"] = (expectations.TIMELINE, timeline_rows(*silver))
-    checks["copresence_events"] = (expectations.COPRESENCE, copresence_rows(*silver, own))
-    checks["perimeter_alerts"] = (expectations.ALERTS, alert_rows(views.timeline, own))
     return [checks[name] for name in (tables_named or checks)]
 
 
@@ -799,30 +794,45 @@ _COUNTED = ["event_id", "sensor_id", "event_time", "event_date", "rssi_dbm", "co
 _DEVICE = {WIFI: ["bssid_hash"], BT: ["device_address_hash"]}
 
 
-def _counted(views: Views) -> DataFrame:
-    """Lines of all rules with each table built once: bronze and silver counts are taken while silver is written, gold
-    counts from the silver tables."""
+def _counted_silver(views: Views, observed: bool) -> tuple[tables.Layout, list[tuple]]:
+    """Silver tables of both protocols, in the columns that count, and the lines of the rules on the way to them."""
     layout, own, landed_rows = views.scratch("counted"), views.settings, views.medallion
 
     def built(p: str) -> list[tuple]:
-        seen = {name: Observation(name) for name in (f"{p}_bronze", f"{p}_silver")}
+        seen = {name: Observation(name) if observed else None for name in (f"{p}_bronze", f"{p}_silver")}
         rows = bronze.to_bronze(landed_rows.landed(p), p, own, seen[f"{p}_bronze"])
         silver = to_silver(rows, p, own, seen[f"{p}_silver"])
         tables.write_table(silver.select(*_COUNTED, *_DEVICE[p]), layout, f"{p}_silver")
+        if not observed:
+            return []
         rules = [(r.table, rule, seen[r.table].get) for r in (expectations.BRONZE[p], expectations.SILVER[p]) for rule in r.rules]
         return [(table, rule.name, rule.action, n[rule.name], n["rows_seen"] - n[rule.name]) for table, rule, n in rules]
 
     with ThreadPoolExecutor(2) as pool:  # the two jobs share the cluster
-        lines = [line for part in pool.map(built, (WIFI, BT)) for line in part]
-    schema = "table_name string, expectation string, action string, failed long, passed long"
+        return layout, [line for part in pool.map(built, (WIFI, BT)) for line in part]
+
+
+def _gold_lines(views: Views, layout: tables.Layout) -> DataFrame:
+    """Lines of the gold rules from silver tables, over gold rows before their own drops. Pairs are counted, not formed."""
+    own = views.settings
     wifi, bt = (tables.read_table(views.spark, layout, f"{p}_silver") for p in (WIFI, BT))
-    gold = [
-        (expectations.TIMELINE, timeline_rows(wifi, bt)),
-        (expectations.COPRESENCE, copresence_rows(wifi, bt, own)),
-        (expectations.ALERTS, alert_rows(device_timeline(wifi, bt, own), own)),
+    lines = [
+        expectations.TIMELINE.report(timeline_rows(wifi, bt), own),
+        copresence_report(wifi, bt, own),
+        expectations.ALERTS.report(alert_rows(device_timeline(wifi, bt, own), own), own),
     ]
-    first = views.spark.createDataFrame(lines, schema)
-    return reduce(DataFrame.unionByName, [rules.report(rows, own).select(*first.columns) for rules, rows in gold], first)
+    return reduce(DataFrame.unionByName, [part.select(*_LINE) for part in lines])
+
+
+_LINE = ["table_name", "expectation", "action", "failed", "passed"]
+
+
+def _counted(views: Views) -> DataFrame:
+    """Lines of all rules with each table built once: bronze and silver counts are taken while silver is written, gold
+    counts from the silver tables."""
+    layout, lines = _counted_silver(views, observed=True)
+    schema = "table_name string, expectation string, action string, failed long, passed long"
+    return views.spark.createDataFrame(lines, schema).unionByName(_gold_lines(views, layout))
 
 
 @query("rules_bronze", _RULES_SQL["bronze"])
@@ -842,7 +852,8 @@ def _(views):
 
 @query("rules_gold", " UNION ALL ".join(_RULES_SQL[k] for k in ("timeline", "pairs", "alerts")))
 def _(views):
-    return _report(views, "device_timeline", "copresence_events", "perimeter_alerts")
+    layout, _ = _counted_silver(views, observed=False)
+    return _gold_lines(views, layout)
 
 
 def _streamed(views: Views) -> tables.Layout:
