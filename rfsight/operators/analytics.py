@@ -6,6 +6,8 @@ a device id) never gathers in one task. Arrays are built only from already group
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -248,17 +250,12 @@ def sighting_frequency(timeline: DataFrame) -> DataFrame:
     )
 
 
-#: A row of a path with its neighbours inside its chunk, as it is stored.
-_STOP = T.StructType([
-    T.StructField("event_time", T.TimestampType()),
-    T.StructField("event_id", T.StringType()),
-    T.StructField("sensor_id", T.StringType()),
-])
+#: A row of a path with its neighbours inside its chunk, as it is stored. Of a neighbour only what the path shows.
+_STOP = T.StructType([T.StructField("event_time", T.TimestampType()), T.StructField("sensor_id", T.StringType())])
 STEP = ["event_id", "device_id_hash", "protocol", "sensor_id", "event_time", "event_date"]
 PATH_PIECE = T.StructType([
     *[T.StructField(c, T.TimestampType() if c == "event_time" else T.StringType()) for c in STEP],
     T.StructField("chunk", T.LongType()),
-    T.StructField("stop", _STOP),
     T.StructField("before", _STOP),
     T.StructField("after", _STOP),
 ])
@@ -267,14 +264,16 @@ PATH_PIECE = T.StructType([
 def path_pieces(steps: DataFrame, chunk_hours: int = 1) -> DataFrame:
     """Rows of paths (:data:`STEP`) with their neighbours inside their time chunk; chunk ends stay open."""
     width = F.lit(chunk_hours * _HOUR_MICROS)
-    rows = steps.select(*STEP).withColumns(
-        {
-            "chunk": F.unix_micros("event_time") - F.pmod(F.unix_micros("event_time"), width),
-            "stop": F.struct("event_time", "event_id", "sensor_id"),
-        }
-    )
+    at = F.unix_micros("event_time")
+    rows = steps.select(*STEP).withColumn("chunk", at - F.pmod(at, width))
     inside = Window.partitionBy("device_id_hash", "chunk").orderBy("event_time", "event_id")
-    return rows.withColumns({"before": F.lag("stop").over(inside), "after": F.lead("stop").over(inside)})
+
+    def neighbour(of: Callable[[str], Column]) -> Column:
+        # field by field, so that rows are shuffled without a copy of themselves
+        there = of("event_time").over(inside)
+        return F.when(there.isNotNull(), F.struct(there.alias("event_time"), of("sensor_id").over(inside).alias("sensor_id")))
+
+    return rows.withColumns({"before": neighbour(F.lag), "after": neighbour(F.lead)})
 
 
 def stitched(pieces: DataFrame) -> DataFrame:
@@ -282,13 +281,18 @@ def stitched(pieces: DataFrame) -> DataFrame:
     Rows and chunk ends meet on (device, chunk)."""
     keys = ["device_id_hash", "chunk"]
     chunks = Window.partitionBy("device_id_hash").orderBy("chunk")
+    stop = F.struct("event_time", "event_id", "sensor_id")
+
+    def kept(end: Column) -> Column:
+        return F.when(end.isNotNull(), F.struct(end["event_time"].alias("event_time"), end["sensor_id"].alias("sensor_id")))
+
     ends = (
         pieces.groupBy(*keys)
-        .agg(F.min("stop").alias("first"), F.max("stop").alias("last"))
+        .agg(F.min(stop).alias("first"), F.max(stop).alias("last"))
         .select(
             *keys,
-            F.lag("last").over(chunks).alias("chunk_before"),
-            F.lead("first").over(chunks).alias("chunk_after"),
+            kept(F.lag("last").over(chunks)).alias("chunk_before"),
+            kept(F.lead("first").over(chunks)).alias("chunk_after"),
         )
     )
     joined = pieces.join(ends, keys)

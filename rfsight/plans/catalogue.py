@@ -11,7 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -358,10 +358,23 @@ def _(views):
     return _compacted(views, BT)
 
 
+def hashed(parts: int, key: str = "event_id") -> Column:
+    """One of several arrivals, by a hash of ``key``."""
+    return F.pmod(F.xxhash64(key, F.lit(1)), F.lit(parts))
+
+
 def arrivals(df: DataFrame, parts: int, key: str = "event_id") -> list[DataFrame]:
-    """The rows in several arrivals, by a hash of ``key``."""
-    placed = F.pmod(F.xxhash64(key, F.lit(1)), F.lit(parts))
-    return [df.filter(placed == k) for k in range(parts)]
+    """The rows of a stored table in several arrivals."""
+    return [df.filter(hashed(parts, key) == k) for k in range(parts)]
+
+
+def dealt(views: Views, df: DataFrame, number: Column, parts: int) -> list[DataFrame]:
+    """The rows in several arrivals, by ``number``: made once and stored, so each arrival reads its own share and makes
+    no other."""
+    folder = views.scratch("dealt").table("rows")
+    df.withColumn("arrival", number.cast("int")).write.partitionBy("arrival").parquet(folder)
+    stored = views.spark.read.schema(T.StructType([*df.schema.fields, T.StructField("arrival", T.IntegerType())])).parquet(folder)
+    return [stored.filter(F.col("arrival") == k).drop("arrival") for k in range(parts)]
 
 
 _BRONZE_READ = ["event_id", "event_date", "event_time", "ingest_time", "source_path", "message_id", "rssi_dbm"]
@@ -373,7 +386,7 @@ def _(views):
 
     def compacted(p: str) -> DataFrame:
         layout, name = views.scratch("compacted"), f"{p}_bronze"
-        for k, part in enumerate(arrivals(views.bronze(p), 5)):
+        for k, part in enumerate(dealt(views, views.bronze(p), hashed(5), 5)):
             tables.write_table(part, layout, name)
             if k in (2, 3):
                 tables.compact_days(views.spark, layout, name, "2024-02-01")
@@ -388,7 +401,7 @@ def _(views):
 
     def streamed(p: str) -> DataFrame:
         layout, name = views.scratch("follow"), f"{p}_bronze"
-        parts = arrivals(views.bronze(p), 4)
+        parts = dealt(views, views.bronze(p), hashed(4), 4)
         for arrived in (parts[:3], parts[3:]):
             for part in arrived:
                 tables.write_table(part, layout, name)
@@ -1078,15 +1091,24 @@ def _(views):
 _SLICE_SQL = f"greatest(0, least(2, (event_time - {adapter.EPOCH_MS}000) // 14400000000))"
 
 
+def third(time: str = "event_time") -> Column:
+    """Which third of the time, of three in order."""
+    micros = F.unix_micros(time) - F.lit(adapter.EPOCH_MS * 1000)
+    return F.greatest(F.lit(0), F.least(F.lit(2), F.floor(micros / F.lit(14_400_000_000))))
+
+
 def in_time(df: DataFrame, k: int) -> DataFrame:
-    """A third of the time, of three in order."""
-    micros = F.unix_micros("event_time") - F.lit(adapter.EPOCH_MS * 1000)
-    return df.filter(F.greatest(F.lit(0), F.least(F.lit(2), F.floor(micros / F.lit(14_400_000_000)))) == k)
+    """A third of a stored table."""
+    return df.filter(third() == k)
+
+
+def _is_late() -> Column:
+    return F.pmod(F.xxhash64("event_id", F.lit(1)), F.lit(8)) == 0
 
 
 def _with_late_share(timeline: DataFrame) -> list[DataFrame]:
     """Three arrivals in order of time, and a fourth with an eighth of the rows of all times."""
-    late = F.pmod(F.xxhash64("event_id", F.lit(1)), F.lit(8)) == 0
+    late = _is_late()
     return [*(in_time(timeline, k).filter(~late) for k in range(3)), timeline.filter(late)]
 
 
@@ -1106,8 +1128,8 @@ def _(views):
 
     def held(p: str) -> DataFrame:
         layout, out = views.scratch("state"), []
-        for k in range(3):
-            tables.write_table(in_time(views.bronze(p), k), layout, f"{p}_bronze")
+        for k, part in enumerate(dealt(views, views.bronze(p), third(), 3)):
+            tables.write_table(part, layout, f"{p}_bronze")
             _dedup_trigger(views, layout, f"{p}_bronze", views.settings.watermark_for(p))
             rows = flows.state_rows(views.spark, layout, "unique").agg(F.count(F.lit(1)).alias("state_rows")).first()[0]
             out.append((k, rows))
@@ -1120,9 +1142,10 @@ def _(views):
 def _(views):
     """Co-presence over three triggers: pairs meet through the state of the join."""
     layout = views.scratch("triggers")
+    silver = {p: dealt(views, views.silver(p), third(), 3) for p in (WIFI, BT)}
     for k in range(3):
         for protocol in (WIFI, BT):
-            tables.write_table(in_time(views.silver(protocol), k), layout, f"{protocol}_silver")
+            tables.write_table(silver[protocol][k], layout, f"{protocol}_silver")
         flows.run_copresence(views.spark, layout, views.settings)
     events = tables.read_table(views.spark, layout, "copresence_events")
     return events.select("wifi_event_id", "bt_event_id", "sensor_id")
@@ -1155,10 +1178,8 @@ def _(views):
 
     def alarms(p: str) -> DataFrame:
         layout, held = views.scratch("alarms"), views.quarantine(p)
-        micros = F.unix_micros("ingest_time") - F.lit(adapter.EPOCH_MS * 1000)
-        third = F.greatest(F.lit(0), F.least(F.lit(2), F.floor(micros / F.lit(14_400_000_000))))
         for k in range(3):
-            tables.write_table(held.filter(third == k), layout, f"{p}_quarantine")
+            tables.write_table(held.filter(third("ingest_time") == k), layout, f"{p}_quarantine")
             flows.run_quarantine_counts(views.spark, layout, p, alert_above=10)
         schema = "hour_start timestamp, quarantine_count long, alert boolean"
         return views.spark.read.schema(schema).parquet(layout.table(f"{p}_quarantine_counts"))
@@ -1402,8 +1423,8 @@ def _(views):
 @query("movement_history_stream", _MOVEMENT_SQL)
 def _(views):
     """Four triggers; the last one brings a share of the rows of the first three."""
-    layout = views.scratch("movement")
-    for part in _with_late_share(views.stored_timeline):
+    layout, steps = views.scratch("movement"), views.timeline.select(*analytics.STEP)
+    for part in dealt(views, steps, F.when(_is_late(), 3).otherwise(third()), 4):
         tables.write_table(part, layout, "device_timeline")
         flows.run_movement(views.spark, layout)
     return flows.read_movement(views.spark, layout)

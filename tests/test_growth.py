@@ -55,3 +55,35 @@ def test_gold_rules_form_no_pairs(spark):
     """Silver is read as a table, and no join is left that makes pairs."""
     text = run("rules_gold", spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "wifi_bucket" not in text and "Join" not in text
+
+
+def test_pieces_of_paths_hold_one_id_each(spark):
+    from rfsight.operators import analytics
+
+    assert analytics.PATH_PIECE.simpleString().count("event_id") == 1
+    rows = [(f"e{i}", "d", "WIFI", f"s{i % 3}", i * 1_800_000_000) for i in range(6)]
+    steps = spark.createDataFrame(rows, "event_id string, device_id_hash string, protocol string, sensor_id string, us bigint")
+    steps = steps.withColumns({"event_time": F.timestamp_micros("us"), "event_date": F.lit("1970-01-01")})
+    pieces = analytics.path_pieces(steps)
+    assert pieces.select(*analytics.PATH_PIECE.fieldNames()).schema.simpleString() == analytics.PATH_PIECE.simpleString()
+    path = sorted(analytics.stitched(pieces).collect(), key=lambda r: r.event_id)
+    assert [r.previous_sensor_id for r in path] == [None, "s0", "s1", "s2", "s0", "s1"]
+    assert [r.dwell_seconds for r in path] == [1800.0] * 5 + [None]
+
+
+def test_rows_are_made_once_for_all_arrivals(spark):
+    from rfsight.plans import adapter, catalogue
+
+    views = catalogue.Views(spark, SF_DIR, adapter.settings())
+    made = spark.sparkContext.accumulator(0)
+
+    def note(row):
+        made.add(1)
+        return row
+
+    steps = views.timeline.select("event_id", "event_time")
+    counted = spark.createDataFrame(steps.rdd.map(note), steps.schema)
+    parts = catalogue.dealt(views, counted, catalogue.third(), 3)
+    found = [r.event_id for part in parts for r in part.collect()]
+    assert len(found) == made.value > 0 and sorted(found) == sorted(r.event_id for r in steps.collect())
+    assert parts[1].columns == steps.columns
