@@ -87,3 +87,51 @@ def test_rows_are_made_once_for_all_arrivals(spark):
     found = [r.event_id for part in parts for r in part.collect()]
     assert len(found) == made.value > 0 and sorted(found) == sorted(r.event_id for r in steps.collect())
     assert parts[1].columns == steps.columns
+
+
+def _readings(spark, side, device, confidences, copies):
+    """Three devices on two sensors over some minutes, each reading ``copies`` times with confidences in turn."""
+    rows = [
+        (f"{side}{i}-{k}", f"s{i % 2}" if i % 11 else None, f"{side}-{i % 3}" if i % 7 else None, i * 17_000_000,
+         confidences[(i + k) % len(confidences)])
+        for i in range(24) for k in range(copies)
+    ]
+    df = spark.createDataFrame(rows, f"event_id string, sensor_id string, {device} string, us bigint, confidence double")
+    nothing = {c: F.lit(None).cast("double") for c in ("distance_est_m", "latitude", "longitude")}
+    return df.withColumns({"event_time": F.timestamp_micros("us"), "rssi_dbm": F.lit(-50), **nothing})
+
+
+@pytest.mark.parametrize("wifi_odd, bt_odd", [(False, False), (True, False), (False, True), (True, True)])
+def test_links_of_classes_equal_links_of_pairs(spark, wifi_odd, bt_odd):
+    """Confidences finer than a five-hundredth round pair by pair, on either side or both."""
+    from rfsight.operators import analytics
+
+    plain, fine = [0.0, 0.29, None, 0.57, 1.5], [0.333, 0.1235, 0.0004]
+    own = Settings(salt="x", as_of="2024-01-01T00:00:00Z")
+    wifi = _readings(spark, "w", "bssid_hash", plain + fine * wifi_odd, 5)
+    bt = _readings(spark, "b", "device_address_hash", plain[::-1] + fine[1:] * bt_odd, 4)
+    formed = analytics.entity_links(copresence.copresence_events(wifi, bt, own))
+    counted = analytics.class_links(wifi, bt, own)
+    assert counted.columns == formed.columns
+    assert sorted(map(tuple, counted.collect())) == sorted(map(tuple, formed.collect())) != []
+
+
+def test_copies_of_a_sighting_meet_once(spark):
+    """However many copies there are, and whatever their confidences, the rows that meet are as many as without them."""
+    own, met = Settings(salt="x", as_of="2024-01-01T00:00:00Z"), []
+    for copies in (1, 40):
+        sides = (_readings(spark, t, d, [k / 100 for k in range(30)], copies) for t, d in (("w", "bssid_hash"), ("b", "device_address_hash")))
+        evidence = copresence.link_evidence(*copresence.stored_classes(*sides), own)
+        met.append((evidence.count(), evidence.agg(F.sum("pair_count")).first()[0]))
+    assert met[0][0] == met[1][0] == met[0][1] and met[1][1] == 1600 * met[0][1]
+
+
+@pytest.mark.parametrize("name", ["entity_links"])
+def test_links_form_no_events(spark, name, monkeypatch):
+    from rfsight.plans import medallion
+
+    def no_events(*_):
+        raise AssertionError("a row per pair")
+
+    monkeypatch.setattr(medallion, "copresence_events", no_events)
+    assert run(name, spark, SF_DIR) is not None
