@@ -1444,7 +1444,7 @@ def _(views):
     "SELECT a AS device_id_hash, least(a, min(b)) AS cluster_id FROM reach GROUP BY a",
 )
 def _(views):
-    return clusters.entity_clusters(analytics.entity_links(views.copresence), min_pairs=3)
+    return clusters.entity_clusters(views.links, min_pairs=3)
 
 
 @query(
