@@ -126,7 +126,7 @@ def test_copies_of_a_sighting_meet_once(spark):
     assert met[0][0] == met[1][0] == met[0][1] and met[1][1] == 1600 * met[0][1]
 
 
-@pytest.mark.parametrize("name", ["entity_links", "entity_clusters"])
+@pytest.mark.parametrize("name", ["entity_links", "entity_clusters", "entity_clusters_stream"])
 def test_links_form_no_events(spark, name, monkeypatch):
     from rfsight.plans import medallion
 
