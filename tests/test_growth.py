@@ -135,3 +135,54 @@ def test_links_form_no_events(spark, name, monkeypatch):
 
     monkeypatch.setattr(medallion, "copresence_events", no_events)
     assert run(name, spark, SF_DIR) is not None
+
+
+def _silver(spark, layout, copies):
+    """Silver tables of both protocols with each sighting ``copies`` times, ids apart."""
+    from rfsight.contracts import contract
+    from rfsight.sources import tables
+
+    sides = (("wifi", "bssid_hash"), ("bt", "device_address_hash"))
+    for protocol, device in sides:
+        rows = _readings(spark, protocol[0], device, [0.5, None, 0.25], copies).withColumn("event_date", F.lit("1970-01-01"))
+        rows = spark.createDataFrame([], contract(f"{protocol}_silver")).unionByName(rows.drop("us"), allowMissingColumns=True)
+        tables.write_table(rows, layout, f"{protocol}_silver")
+    return [tables.read_table(spark, layout, f"{p}_silver") for p, _ in sides]
+
+
+def test_stored_copresence_follows_instants(spark, tmp_path):
+    """Copies of sightings add pairs, but no row to what the stream stores; readers and the log have every pair."""
+    from rfsight.sources import tables
+    from rfsight.sources.tables import Layout
+    from rfsight.streaming import flows, metrics
+
+    own, layout, stored = Settings(salt="x", as_of="1970-01-01T01:00:00Z"), Layout(str(tmp_path)), []
+    for copies in (1, 9):  # the second trigger repeats all instants, with one known id each
+        wifi, bt = _silver(spark, layout, copies)
+        flows.run_copresence(spark, layout, own, 2)
+        stored.append(tables.read_table(spark, layout, "copresence_instants").count())
+        formed = copresence.copresence_events(wifi, bt, own)
+        events = tables.read_table(spark, layout, "copresence_events")
+        assert events.columns == formed.columns
+        assert sorted(map(str, events.collect())) == sorted(map(str, formed.collect()))
+        log = metrics.read_log(spark, layout).agg(F.sum("passed")).first()[0]
+        assert log == formed.count() == (1 if copies == 1 else 100) * stored[0]
+    assert stored[0] == stored[1] > 0
+    assert not tables.exists(spark, layout.table("copresence_events"))
+    with pytest.raises(ValueError, match="rows=True"):
+        tables.read_table(spark, layout, "copresence_events", streaming=True)
+
+
+def test_copresence_as_rows_for_streams(spark, tmp_path):
+    from rfsight.sources import tables
+    from rfsight.sources.tables import Layout
+    from rfsight.streaming import flows
+
+    own, layout = Settings(salt="x", as_of="1970-01-01T01:00:00Z"), Layout(str(tmp_path))
+    formed = copresence.copresence_events(*_silver(spark, layout, 2), own)
+    flows.run_copresence(spark, layout, own, 2, rows=True)
+    events = tables.read_table(spark, layout, "copresence_events")
+    assert sorted(map(str, events.collect())) == sorted(map(str, formed.collect())) != []
+    assert tables.read_table(spark, layout, "copresence_events", streaming=True).isStreaming
+    with pytest.raises(ValueError, match="by rows"):
+        flows.run_copresence(spark, layout, own, 2)
