@@ -68,8 +68,13 @@ class Settings:
 
 
 def pin_session(spark: SparkSession) -> SparkSession:
-    """Session options the results depend on (UTC dates) and the runtime re-planning we rely on."""
+    """Session options the results depend on (UTC dates) and the runtime re-planning we rely on.
+
+    HotSpot never compiles a method over 8000 bytes of bytecode, and the wide projections here make such methods as one
+    stage: these would be interpreted row by row, so they run as operators of their own, whose code Spark splits.
+    """
     for key, value in {
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -1,6 +1,7 @@
 """Work that must follow the rows and not the pairs, and sources that must be built once."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from rfsight.config import Settings
 from rfsight.operators import copresence
 from rfsight.operators.expectations import COPRESENCE, DROP, Expectation, ExpectationSet
+from rfsight.plans import adapter
 from rfsight.plans.catalogue import run
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -186,3 +188,12 @@ def test_copresence_as_rows_for_streams(spark, tmp_path):
     assert tables.read_table(spark, layout, "copresence_events", streaming=True).isStreaming
     with pytest.raises(ValueError, match="by rows"):
         flows.run_copresence(spark, layout, own, 2)
+
+
+def test_wide_rows_are_not_made_by_a_method_that_stays_interpreted(spark):
+    """HotSpot compiles no method over 8000 bytes; the rows of a landing table would make one as a single stage."""
+    rows = adapter.wifi_landing(spark, SF_DIR)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    text = rows._jdf.queryExecution().explainString(mode)
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", text))) > 8000
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
