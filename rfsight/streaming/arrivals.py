@@ -121,9 +121,10 @@ def run_timely_silver(
     spark: SparkSession, layout: Layout, protocol: str, settings: Settings, partitions: int | None = None, **options
 ) -> None:
     """Bronze rows in time to silver; in the place of ``flows.run_silver``. No row is dropped for its age but by the
-    silver rule, which counts it."""
+    silver rule, which counts it. Ids that no copy in time can have any more stay until the next trigger's rows come:
+    such a copy goes to the late table, so holding them changes no row, and a sweep would visit the whole state again."""
     name = f"{protocol}_silver"
-    with state_settings(spark, partitions):
+    with state_settings(spark, partitions, sweep=False):
         rows = timely(spark, layout, protocol, **options)
         known = recent_history(spark, layout, f"{protocol}_bronze", settings)
         silver = to_silver(rows, protocol, settings, name, known, clock="released_at")

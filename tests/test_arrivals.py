@@ -110,3 +110,21 @@ def test_hours_come_out_once_when_closed(spark, tmp_path, cfg):
     batch = flows.hourly_counts(tables.read_table(spark, layout, "device_timeline"), ["device_id_hash", "protocol"], "event_time", "0 seconds", "sighting_count")
     closed = batch.filter("hour_start < timestamp '2024-06-01T14:00:00Z'")
     assert sorted(map(str, stream.collect())) == sorted(map(str, closed.select(*stream.columns).collect())) and closed.count() == 4
+
+
+def test_a_trigger_of_silver_visits_its_state_once(spark, tmp_path, cfg):
+    layout = Layout(str(tmp_path))
+    for k in range(3):
+        sent = [wifi(message_id=f"{k}-{i}", event_time=at(18000 * k + 60 * i)) for i in range(5)]
+        # copies of the last row of each trigger before: in time and held still, or late
+        again = [wifi(message_id=f"{j}-4", event_time=at(18000 * j + 240)) for j in range(k)]
+        write_lines(tmp_path / "landing" / "wifi", f"a{k}", [*sent, sent[0], *again])
+        arrivals.run_arrivals(spark, layout, "wifi", cfg)
+        arrivals.run_timely_silver(spark, layout, "wifi", cfg, 2)
+        done = (tmp_path / "checkpoints" / "wifi_silver" / "commits").iterdir()
+        assert len([f for f in done if f.name.isdigit()]) == k + 1
+        # ids of the trigger before are dropped with this one's rows: the state does not grow
+        held = flows.state_rows(spark, layout, "wifi_silver", 2).count()
+        assert held == (5 if k == 0 else 10)
+    assert _ids(tables.read_table(spark, layout, "wifi_silver")) == sorted(f"{k}-{i}" for k in range(3) for i in range(5))
+    assert _ids(tables.read_table(spark, layout, "wifi_late")) == ["0-4"]
