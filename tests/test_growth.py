@@ -2,6 +2,7 @@
 
 import random
 import re
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
@@ -197,3 +198,89 @@ def test_wide_rows_are_not_made_by_a_method_that_stays_interpreted(spark):
     text = rows._jdf.queryExecution().explainString(mode)
     assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", text))) > 8000
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def _minutes(spark, side, device, n, gap):
+    """``n`` sightings of one sensor, each at an instant of its own."""
+    rows = [(f"{side}{i}", "s", f"{side}-{i % 3}", 7_000_000 + i * gap) for i in range(n)]
+    df = spark.createDataFrame(rows, f"event_id string, sensor_id string, {device} string, us bigint")
+    nothing = {c: F.lit(None).cast("double") for c in ("distance_est_m", "latitude", "longitude", "confidence")}
+    return df.withColumns({"event_time": F.timestamp_micros("us"), "rssi_dbm": F.lit(-50), **nothing})
+
+
+def test_cells_do_not_grow_with_instants(spark):
+    """Ten times the sightings of some minutes, none at the time of another: 100 times the pairs, the same cells."""
+    own, stored, formed = Settings(salt="x", as_of="2024-01-01T00:00:00Z"), [], []
+    for n in (30, 300):
+        wifi = _minutes(spark, "w", "bssid_hash", n, 120_000_000 // n)
+        bt = _minutes(spark, "b", "device_address_hash", n, 119_000_000 // n)
+        cells = copresence.copresence_cells(wifi, bt, own)
+        events, pairs = copresence.events_of_cells(cells, wifi, bt), copresence.copresence_events(wifi, bt, own)
+        assert sorted(map(str, events.collect())) == sorted(map(str, pairs.collect()))
+        stored.append(cells.count())
+        formed.append(pairs.count())
+    assert stored[0] == stored[1] <= 5 and formed[1] > 90 * formed[0] > 0
+
+
+def test_a_pair_is_as_old_as_its_younger_sighting(spark):
+    own, wifi, bt = Settings(salt="x", as_of="2024-01-01T00:00:00Z"), *(
+        _minutes(spark, s, d, 4, 5_000_000) for s, d in (("w", "bssid_hash"), ("b", "device_address_hash"))
+    )
+    cells = copresence.copresence_cells(wifi, bt, own)
+    # the last Wi-Fi row came a day later, the first two Bluetooth rows are of a history that has no members
+    later, at = F.expr("TIMESTAMP '2024-01-02T00:00:00Z'"), own.now
+    came = [wifi.withColumns({"is_wifi": F.lit(True), "ingest_time": F.when(F.col("event_id") == "w3", later).otherwise(at)})]
+    came.append(bt.filter("event_id > 'b1'").withColumns({"is_wifi": F.lit(False), "ingest_time": at}))
+    members = came[0].select("sensor_id", "event_time", "is_wifi", "ingest_time").unionByName(
+        came[1].select("sensor_id", "event_time", "is_wifi", "ingest_time")
+    )
+    events = copresence.events_of_cells(cells, wifi, bt, members).collect()
+    assert len(events) == 16
+    assert {r.wifi_event_id: r.ingest_time.day for r in events} == {"w0": 1, "w1": 1, "w2": 1, "w3": 2}
+
+
+def test_a_batch_stores_copresence_by_cells(spark, tmp_path):
+    from rfsight.plans import medallion
+    from rfsight.sources import tables
+    from rfsight.sources.tables import Layout
+
+    layout, own, written = Layout(str(tmp_path)), Settings(salt="x", as_of="1970-01-01T01:00:00Z"), {}
+    silver = dict(zip(("wifi_silver", "bt_silver"), _silver(spark, layout, 3)))
+    empty = {p: spark.createDataFrame([], tables.contract(f"{p}_bronze")) for p in ("wifi", "bt")}
+
+    def write(rows, name):
+        if not name.endswith("silver"):
+            tables.write_table(rows, layout, name)
+            written[name] = rows.columns
+
+    def read(name):
+        if name in silver:
+            return silver[name]
+        return empty[name.removesuffix("_bronze")] if name.endswith("_bronze") else tables.read_table(spark, layout, name)
+
+    medallion._build(own, read, write)
+    assert "copresence_cells" in written and "copresence_instants" not in written
+    formed = copresence.copresence_events(silver["wifi_silver"], silver["bt_silver"], own)
+    events = tables.read_table(spark, layout, "copresence_events")
+    assert sorted(map(str, events.collect())) == sorted(map(str, formed.collect())) != []
+
+
+def test_flows_side_by_side(spark, tmp_path):
+    """All run to their end, a failure comes out, and lines that are logged at once are all there."""
+    from rfsight.sources.tables import Layout
+    from rfsight.streaming import flows, metrics
+
+    layout, gate, done = Layout(str(tmp_path)), Barrier(2, timeout=60), []
+
+    def log(k):
+        gate.wait()
+        report = {"observedMetrics": {"copresence_events": {"rows_seen": k, "valid_copresence_id": 0}}, "runId": "r", "batchId": k}
+        metrics.append_log(spark, layout, [report], COPRESENCE, "copresence_events")
+        done.append(k)
+
+    flows._side_by_side(lambda: log(1), lambda: log(2))
+    assert sorted(done) == [1, 2]
+    assert metrics.read_log(spark, layout).agg(F.sum("passed")).first()[0] == 3
+    with pytest.raises(ZeroDivisionError):
+        flows._side_by_side(lambda: 1 / 0, lambda: done.append(3))
+    assert 3 in done
