@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from rfsight.config import Settings
 from rfsight.functions.tags import is_randomized
-from rfsight.operators.copresence import copresence_counts, link_evidence, stored_classes
+from rfsight.operators.copresence import copresence_counts, folded, stored_classes
+from rfsight.operators.tiles import tiled_links
 
 _HOUR_MICROS = 3_600_000_000
 
@@ -331,10 +332,12 @@ def entity_links(copresence: DataFrame) -> DataFrame:
     return _links(both.withColumns({"pair_count": F.lit(1).cast("bigint"), "score_millis": millis}))
 
 
-def class_links(wifi_silver: DataFrame, bt_silver: DataFrame, settings: Settings) -> DataFrame:
-    """:func:`entity_links` of the co-presence events of two silver tables, without a row per event: sightings that make
-    the same pairs meet as one."""
-    return _links(link_evidence(*stored_classes(wifi_silver, bt_silver), settings))
+def class_links(wifi_silver: DataFrame, bt_silver: DataFrame, settings: Settings, min_pairs: int = 1) -> DataFrame:
+    """:func:`entity_links` of the co-presence events of two silver tables, of at least ``min_pairs`` events, without a
+    row per event: sightings that make the same pairs meet as one, and all of two devices meet in one task."""
+    sides = zip(stored_classes(wifi_silver, bt_silver), ("wifi", "bt"))
+    wifi, bt = ((classes, folded(classes, prefix)) for classes, prefix in sides)
+    return _scored(tiled_links(wifi, bt, settings.copresence_seconds, min_pairs))
 
 
 def _links(evidence: DataFrame) -> DataFrame:
@@ -347,6 +350,10 @@ def _links(evidence: DataFrame) -> DataFrame:
         F.min("window_start").alias("first_seen"),
         F.max("window_end").alias("last_seen"),
     )
+    return _scored(edges)
+
+
+def _scored(edges: DataFrame) -> DataFrame:
     mean = F.round(F.col("score_millis") / F.col("pair_count") / F.lit(1000.0), 6)
     return edges.withColumn("mean_score", mean).drop("score_millis")
 

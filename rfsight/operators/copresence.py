@@ -404,7 +404,7 @@ def sighting_classes(silver: DataFrame, prefix: str, device: str) -> DataFrame:
     return fold.withColumn(f"{prefix}_units", F.when(whole, F.round(parts).cast("bigint")))
 
 
-def _folded(classes: DataFrame, prefix: str) -> DataFrame:
+def folded(classes: DataFrame, prefix: str) -> DataFrame:
     """Classes with units, whatever these are, as one row per sensor, instant and device."""
     own = classes.filter(F.col(f"{prefix}_units").isNotNull())
     return own.groupBy(f"{prefix}_sensor_id", f"{prefix}_event_time", f"{prefix}_device_hash").agg(
@@ -416,7 +416,7 @@ def _folded(classes: DataFrame, prefix: str) -> DataFrame:
 def link_evidence(wifi: DataFrame, bt: DataFrame, settings: Settings) -> DataFrame:
     """Pairs of :func:`sighting_classes` that are co-present, with how many pairs each stands for and the sum of their
     scores in thousandths. Copies of a sighting, however many, meet as one row."""
-    whole = _met(_folded(wifi, "wifi"), _folded(bt, "bt"), settings.copresence_seconds)
+    whole = _met(folded(wifi, "wifi"), folded(bt, "bt"), settings.copresence_seconds)
     millis = F.col("wifi_units") * F.col("bt_n") + F.col("bt_units") * F.col("wifi_n")
     parts = [whole.withColumn("score_millis", millis)]
     # the sum of rounded scores does not fall apart where a confidence is finer: these meet one by one

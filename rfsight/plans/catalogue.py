@@ -72,7 +72,10 @@ class Views:
 
     @property
     def links(self) -> DataFrame:
-        return analytics.class_links(self.silver(WIFI), self.silver(BT), self.settings)
+        return self.links_from(1)
+
+    def links_from(self, min_pairs: int) -> DataFrame:
+        return analytics.class_links(self.silver(WIFI), self.silver(BT), self.settings, min_pairs)
 
     @cached_property
     def stored_timeline(self) -> DataFrame:
@@ -1444,7 +1447,7 @@ def _(views):
     "SELECT a AS device_id_hash, least(a, min(b)) AS cluster_id FROM reach GROUP BY a",
 )
 def _(views):
-    return clusters.entity_clusters(views.links, min_pairs=3)
+    return clusters.entity_clusters(views.links_from(3), min_pairs=3)
 
 
 @query(

@@ -284,3 +284,59 @@ def test_flows_side_by_side(spark, tmp_path):
     with pytest.raises(ZeroDivisionError):
         flows._side_by_side(lambda: 1 / 0, lambda: done.append(3))
     assert 3 in done
+
+
+def test_links_are_counted_where_pairs_are_formed(spark, monkeypatch):
+    """Many tiles, a few pairs at a time, and no exchange above the rows that two blocks make."""
+    from rfsight.operators import analytics, tiles
+
+    own = Settings(salt="x", as_of="2024-01-01T00:00:00Z")
+    wifi = _readings(spark, "w", "bssid_hash", [0.0, 0.29, None, 0.333, 0.1235], 5).filter("event_id <> 'w1-0'")
+    bt = _readings(spark, "b", "device_address_hash", [0.57, 0.0004, None, 1.5], 4)
+    formed = sorted(map(tuple, analytics.entity_links(copresence.copresence_events(wifi, bt, own)).collect()))
+    monkeypatch.setattr(tiles, "BLOCK_ROWS", 20)
+    counted = analytics.class_links(wifi, bt, own)
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "wifi_bucket" not in plan and plan.index("FlatMapCoGroupsInArrow") < plan.index("Repartition")
+    assert "Aggregate" not in plan[: plan.index("FlatMapCoGroupsInArrow")]
+    assert sorted(map(tuple, counted.collect())) == formed != []
+    least = max(r[2] for r in formed)
+    strong = analytics.class_links(wifi, bt, own, least).collect()
+    assert sorted(map(tuple, strong)) == [r for r in formed if r[2] >= least] != formed
+
+
+def test_a_tile_forms_its_pairs_in_parts(monkeypatch):
+    import pyarrow as pa
+
+    from rfsight.operators import tiles
+
+    rng = random.Random(3)
+
+    def side(tag):
+        rows = [(rng.choice("st"), rng.randrange(200) * 1_000_000, f"{tag}{rng.randrange(4)}", rng.randrange(1, 4), rng.randrange(500))
+                for _ in range(80)]
+        return pa.table(list(map(list, zip(*rows))) + [[0.0] * 80, [tiles.WHOLE] * 80], names=["sensor", "us", "device", "n", "units", "confidence", "kind"])
+
+    left, right = side("w"), side("b")
+    whole = tiles._linked(30_000_000, 1)(left, right)
+    monkeypatch.setattr(tiles, "PAIRS_AT_ONCE", 7)
+    assert tiles._linked(30_000_000, 1)(left, right).to_pylist() == whole.to_pylist()
+    met = [(w, b) for w in left.to_pylist() for b in right.to_pylist() if w["sensor"] == b["sensor"] and abs(w["us"] - b["us"]) <= 30_000_000]
+    assert sum(whole["pair_count"].to_pylist()) == sum(w["n"] * b["n"] for w, b in met) > 0
+    assert sum(whole["score_millis"].to_pylist()) == sum(w["units"] * b["n"] + b["units"] * w["n"] for w, b in met)
+    assert len(whole) == len({(w["device"], b["device"]) for w, b in met})
+    assert tiles._linked(30_000_000, 1)(left, right.slice(0, 0)).num_rows == 0
+
+
+def test_scores_round_as_sql_does(spark):
+    import numpy as np
+
+    from rfsight.operators import tiles
+
+    rng = random.Random(4)
+    values = [k / 2000 for k in range(-7, 60)] + [0.0005, 0.0015, 1.0005, 2.6755, -0.4995] + [rng.uniform(-2, 2) for _ in range(40)]
+    pairs = [(a, b) for a in values for b in rng.sample(values, 40)]
+    rows = spark.createDataFrame(pairs, "wifi double, bt double")
+    found = rows.select("wifi", "bt", F.round(copresence._score("wifi", "bt") * 1000).cast("bigint").alias("m")).toPandas()
+    assert (tiles.rounded_millis(found["wifi"].to_numpy(), found["bt"].to_numpy()) == found["m"].to_numpy(dtype="int64")).all()
+    assert np.array_equal(tiles.rounded_millis(np.array([1e12]), np.array([1e12])), [10**15])
