@@ -340,3 +340,16 @@ def test_scores_round_as_sql_does(spark):
     found = rows.select("wifi", "bt", F.round(copresence._score("wifi", "bt") * 1000).cast("bigint").alias("m")).toPandas()
     assert (tiles.rounded_millis(found["wifi"].to_numpy(), found["bt"].to_numpy()) == found["m"].to_numpy(dtype="int64")).all()
     assert np.array_equal(tiles.rounded_millis(np.array([1e12]), np.array([1e12])), [10**15])
+
+
+def test_tables_hold_hex_in_half_its_size(spark, tmp_path):
+    from rfsight.sources import tables
+    from rfsight.sources.tables import Layout
+
+    rows = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("event_id"), F.lit("2024-01-01").alias("event_date"))
+    rows = spark.createDataFrame([], tables.contract("bt_silver")).unionByName(rows, allowMissingColumns=True)
+    layout = Layout(str(tmp_path))
+    tables.write_table(rows, layout, "bt_silver")
+    size = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    assert size < 0.75 * 64 * 20_000
+    assert tables.read_table(spark, layout, "bt_silver").exceptAll(rows).isEmpty()
